@@ -1,7 +1,14 @@
-"""Day series: spines, gap filling and interval sweeps.  Their size is the calendar's, not the data's."""
+"""Day series from edges.  An edge is (metric, dt, d): the metric's level changes by d on day dt.
+
+Edges are summed per day before they are shuffled, so a series costs as many rows as there are
+calendar days, whatever the number of intervals and however long they are.  An edge with d = 0
+marks a day from which the series is reported.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -9,33 +16,20 @@ def to_date(value: str | Column) -> Column:
     return F.to_date(F.lit(value)) if isinstance(value, str) else value
 
 
-def spine(first: DataFrame, start: str, end: str | Column, name: str = "dt") -> DataFrame:
-    """Days from the smallest ``start`` in ``first`` to ``end`` exclusive."""
-    bounds = first.agg(F.min(start).alias("__s")).withColumn("__e", F.date_sub(to_date(end), 1))
-    bounds = bounds.where(F.col("__s") <= F.col("__e"))
-    return bounds.select(F.explode(F.sequence("__s", "__e")).alias(name))
-
-
-def running_total(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Running sum over a day series (one row per day, so one small partition)."""
-    along = Window.partitionBy(F.lit(0)).orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(along))
+def edge(metric: str, dt: Column, d: int) -> Column:
+    return F.struct(F.lit(metric).alias("metric"), dt.alias("dt"), F.lit(d).alias("d"))
 
 
-def sweep(intervals: DataFrame, start: str, stop: str, days: DataFrame, out: str) -> DataFrame:
-    """For each day of ``days``, how many intervals [start, stop) hold it.
+def daily_levels(edges: DataFrame, names: Sequence[str], end: str) -> DataFrame:
+    """One row per day, from the first edge to ``end`` exclusive, with the level of each metric.
 
-    Each interval becomes +1 at its start and -1 at its stop; these are summed per day before the
-    shuffle, so the work does not grow with the length of the intervals.
+    A metric is NULL before its first edge.  The window runs over one row per calendar day.
     """
-    edges = intervals.select(
-        F.explode(F.array(
-            F.struct(F.col(start).alias("dt"), F.lit(1).alias("d")),
-            F.struct(F.col(stop).alias("dt"), F.lit(-1).alias("d")),
-        )).alias("e")
-    ).select("e.dt", "e.d")
-    deltas = edges.groupBy("dt").agg(F.sum("d").alias("d"))
-    # A delta that falls before the first spine day still counts, so the spine joins in full.
-    marked = deltas.join(days.withColumn("__day", F.lit(True)), "dt", "full")
-    total = running_total(marked, "d", out)
-    return total.where("__day").select("dt", F.coalesce(F.col(out), F.lit(0)).cast("bigint").alias(out))
+    deltas = edges.groupBy("dt").pivot("metric", list(names)).agg(F.sum("d"))
+    along = Window.partitionBy(F.lit(0)).orderBy("dt")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    steps = deltas.select(
+        "dt", F.least(F.lead("dt").over(along), to_date(end)).alias("until"),
+        *[F.sum(F.col(f"`{n}`")).over(upto).alias(n) for n in names],
+    ).withColumn("until", F.coalesce("until", to_date(end))).where("dt < until")
+    return steps.withColumn("dt", F.explode(F.sequence("dt", F.date_sub("until", 1)))).drop("until")
