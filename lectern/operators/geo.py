@@ -53,6 +53,6 @@ def region_ip_ranges(
         .unionByName(near.join(zips.select("zip"), "zip", "left_semi").select("id"))
         .distinct())
     net = F.split("subnet", "/")
-    size = F.shiftleft(F.lit(1).cast("bigint"), 32 - F.get(net, F.lit(1)).cast("int"))
+    size = F.pow(F.lit(2.0), 32 - F.get(net, F.lit(1)).cast("int")).cast("bigint")
     return blocks.join(listed, "id", "left_semi").select(
         ip_to_long(F.get(net, F.lit(0))).alias("start"), (ip_to_long(F.get(net, F.lit(0))) + size).alias("end"))
