@@ -135,7 +135,9 @@ class Inputs:
             F.date_add(F.lit("2023-12-20").cast("date"), (key % 30).cast("int")).alias("joined"),
             F.when(F.col("c_mktsegment") == "FURNITURE", F.array(F.lit("c1"), F.lit("c2")))
             .when(F.col("c_mktsegment") == "BUILDING", F.array().cast("array<string>")).alias("coaches"),
-            F.when(nation > 0, done).alias("proficient_exercises"))
+            F.when(nation > 0, done).alias("proficient_exercises"),
+            F.concat(F.lower("c_name"), F.lit("@example.org")).alias("user_email"),
+            (F.col("c_mktsegment") != "MACHINERY").alias("registered"))
 
     @cached_property
     def order_days(self) -> DataFrame:
@@ -201,7 +203,7 @@ SQL_INPUTS.update({
     "b_learners": """
         SELECT c_custkey AS "user",
                CASE WHEN c_mktsegment = 'MACHINERY' THEN 'http://nouserid.example.org/' ELSE 'id' END || c_custkey AS user_id,
-               c_mktsegment <> 'MACHINERY' AS registered,
+               c_mktsegment <> 'MACHINERY' AS registered, lower(c_name) || '@example.org' AS user_email,
                DATE '2023-12-20' + CAST(c_custkey % 30 AS INTEGER) AS joined,
                CASE WHEN c_mktsegment = 'FURNITURE' THEN 2 ELSE 0 END AS n_coaches,
                CASE WHEN c_nationkey > 0 THEN c_nationkey + 1 END AS n_done FROM customer""",
