@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lectern.functions.columns import clamp, count_if
 from lectern.functions.ordered import scan_groups, top_k
+from lectern.session import cut_lineage
 
 ORDER = ("time_done", "event_id")
 
@@ -84,7 +85,7 @@ def accuracy_deltas(attempts: DataFrame, order: Sequence[str] = ORDER) -> DataFr
     """Accuracy gained per card: the change between consecutive randomized cards is spread evenly over
     the cards between them.  Spans of a user do not overlap, so they hold at most as many cards as the
     user did."""
-    cards = _topic_positions(attempts.where("topic <> 'any'"), order).where("randomized")
+    cards = cut_lineage(_topic_positions(attempts.where("topic <> 'any'"), order).where("randomized"))
     gains = card_gains(cards, ["user", "topic"], order, "card_number").where("prev IS NOT NULL")
     spread = gains.select(
         "topic", "user_segment", F.col("done").alias("num_problems_done"), (F.col("delta") / F.col("dist")).alias("gain"),
@@ -167,7 +168,7 @@ def experiment_learning_curves(
     cards = usable.select(
         *group, *order, "alternative", "exercise", "correct", "randomized", clamp("time_taken", 0, time_cap).alias("time_taken"))
     placed = scan_groups(cards, group, order, day_of_epoch(order[0]), number="position", group_sums={"done": F.lit(1)})
-    placed = placed.where(F.col("done") >= min_attempts)
+    placed = cut_lineage(placed.where(F.col("done") >= min_attempts))
 
     tests = placed.where("randomized")
     if cutoff is not None and difficulty is not None:
@@ -180,7 +181,7 @@ def experiment_learning_curves(
     steps = scan_groups(
         tests, group, order, day_of_epoch(order[0]), number="nth", group_sums={"tests": F.lit(1)},
         lags={"prev": "position", "prev_correct": "correct", "prev_ability": "ability"})
-    steps = steps.where(F.col("nth") <= F.col("tests") - truncate)
+    steps = cut_lineage(steps.where(F.col("nth") <= F.col("tests") - truncate))
 
     keys = ["alternative", "topic", "position"]
     zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
@@ -244,7 +245,7 @@ def mastery_run_accuracy(
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Accuracy of test cards by position within a mastery run; a practice card ends the run."""
-    placed = positions(attempts, n, min_problems, order).withColumn("reset", F.col("task_type").isin(*reset_types))
+    placed = cut_lineage(positions(attempts, n, min_problems, order).withColumn("reset", F.col("task_type").isin(*reset_types)))
     runs = scan_groups(placed, ["user"], order, day_of_epoch(order[0]), last_known={"broke": (F.col("position"), F.col("reset"))})
     tests = runs.where(F.col("task_type") == test_type).withColumn(
         "run_position", F.col("position") - F.coalesce("broke", F.lit(0)))
@@ -254,7 +255,7 @@ def mastery_run_accuracy(
 
 
 def _test_gains(attempts: DataFrame, n: int, min_problems: int, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    placed = positions(attempts, n, min_problems, order)
+    placed = cut_lineage(positions(attempts, n, min_problems, order))
     return placed, card_gains(placed.where("randomized"), ["user"], order, "position")
 
 

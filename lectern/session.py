@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,12 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(named, "rdd"))
     return named
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that later steps do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Later steps read the columns they need from it instead of computing it again, and a lost
+    executor costs no more than that.
+    """
+    path = new_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

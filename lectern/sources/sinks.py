@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from lectern.session import shared_dir
+from lectern.session import new_folder
 
 NULL_TEXT = "\\N"
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-
-
 def partition_overwrite(df: DataFrame, path: str, by: Sequence[str] = ("dt",), files_per_partition: int = 8) -> None:
     """Replace exactly the partitions that ``df`` holds.
 
