@@ -114,6 +114,11 @@ def day_chunk(ts: str) -> Column:
     return F.col(ts).cast("date")
 
 
+def epoch_day_chunk(seconds: str) -> Column:
+    """Chunks of one day for groups ordered by epoch seconds."""
+    return F.floor(F.col(seconds) / 86400)
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
     """The first ``k`` rows per key; Spark limits each group before the shuffle."""
     name = rank or "__rank"

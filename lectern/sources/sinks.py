@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lectern.session import new_folder
+from lectern.sources.readers import newest
 
 NULL_TEXT = "\\N"
 
@@ -38,7 +39,7 @@ def typed_report(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataF
     return df.where(~bad).select(*[v.alias(c) for c, v in cast.items()]), df.where(bad)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
         return True
@@ -46,6 +47,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def merge_buckets(fresh: DataFrame, path: str, keys: Sequence[str], order: Column, buckets: int = 64) -> None:
+    """Keep the row with the greatest ``order`` per key in a table split into hash buckets of the key.
+
+    Only the buckets that ``fresh`` touches are read and rewritten, through a staged copy.  Merging the
+    same rows twice gives the same table.
+    """
+    spark = fresh.sparkSession
+    rows = fresh.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if table_exists(spark, path):
+        touched = rows.select("bucket").distinct()  # at most ``buckets`` rows
+        rows = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi").unionByName(rows)
+    staged = new_folder(spark, "merge")
+    newest(rows, list(keys), order).write.parquet(staged)
+    if not spark.read.parquet(staged).isEmpty():
+        (spark.read.parquet(staged).repartition("bucket").write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
 def publish_report(
     df: DataFrame, path: str, types: dict[str, str], mode: str = "append", *, key: str | None = None,
     partition: Sequence[str] = (), buckets: int = 64,
@@ -71,25 +90,17 @@ def publish_report(
     elif mode == "upsert":
         if key is None:
             raise ValueError("upsert needs a key")
-        fresh = good.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        merged = fresh
-        if _exists(spark, path):
-            touched = fresh.select("bucket").distinct()  # at most ``buckets`` rows
-            kept = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi").join(
-                fresh.select(key), key, "left_anti")
-            merged = kept.unionByName(fresh)
-        staged = new_folder(spark, "upsert")
-        merged.write.parquet(staged)
-        (spark.read.parquet(staged).repartition("bucket").write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+        # The write counter puts new rows above those in the store, whatever they hold.
+        seen = spark.read.parquet(path).agg(F.max("written")).first()[0] if table_exists(spark, path) else 0
+        merge_buckets(good.withColumn("written", F.lit((seen or 0) + 1).cast("bigint")), path, [key], F.col("written"), buckets)
     else:
         raise ValueError(f"unknown mode {mode}")
     return good.agg(F.count(F.lit(1)).alias("saved")).crossJoin(bad.agg(F.count(F.lit(1)).alias("errors")))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a report; the bucket column of an upsert store is internal."""
-    return spark.read.parquet(path).drop("bucket")
+    """The rows of a report; bucket and write counter of an upsert store are internal."""
+    return spark.read.parquet(path).drop("bucket", "written")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
