@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def clamp(col: Column | str, low: float, high: float) -> Column:
@@ -63,3 +63,9 @@ def significant(col: Column, digits: int) -> Column:
 def is_registered(user_id: Column) -> Column:
     """Registered unless the id carries the mark of an unregistered visitor."""
     return ~user_id.contains("nouserid")
+
+
+def explode_present(df: DataFrame, items: list[Column], name: str) -> DataFrame:
+    """One row per item that is not NULL.  The filter runs after the generator, inside generated code;
+    ``array_compact`` before it would be interpreted for every row."""
+    return df.withColumn(name, F.explode(F.array(*items))).where(F.col(name).isNotNull())

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.functions.columns import any_true, bucket_end_anchored, clamp, count_if, month_of
+from lectern.functions.columns import any_true, bucket_end_anchored, clamp, count_if, explode_present, month_of
 from lectern.functions.days import to_date
 
 WATCH_CAP = 1800
@@ -123,11 +123,11 @@ def user_growth_daily(
         F.coalesce(F.lead("dt").over(along), to_date(end)).alias("next"))
     far = F.datediff("next", "dt") > window
     back = F.datediff("dt", "prev") > window
-    changes = gaps.select(F.explode(F.filter(F.array(
+    changes = explode_present(gaps, [
         F.when(F.col("joined"), F.struct("dt", F.lit("joins").alias("series"))),
         F.when(back, F.struct("dt", F.lit("reactivations").alias("series"))),
         F.when(far, F.struct(F.date_add("dt", window).alias("dt"), F.lit("deactivations").alias("series"))),
-    ), lambda c: c.isNotNull())).alias("c")).select("c.dt", "c.series")
+    ], "c").select("c.dt", "c.series")
     return changes.where(in_range(start, end)).groupBy("dt", "series").agg(F.count(F.lit(1)).alias("value"))
 
 
@@ -140,9 +140,8 @@ def user_growth_rollup(daily: DataFrame, end: str, days: int) -> DataFrame:
 def with_categories(usage: DataFrame, users: DataFrame) -> DataFrame:
     """Tag usage with each user category it counts for; users without a record count for 'all' only."""
     joined = usage.join(users.select("user", "registered"), "user", "left")
-    tags = F.array_compact(F.array(
-        F.lit("all"), F.when(F.col("registered"), "registered"), F.when(~F.col("registered"), "phantom")))
-    return joined.withColumn("user_category", F.explode(tags)).drop("registered")
+    tags = [F.lit("all"), F.when(F.col("registered"), "registered").when(~F.col("registered"), "phantom")]
+    return explode_present(joined, tags, "user_category").drop("registered")
 
 
 def daily_video_stats(uvs: DataFrame, videos: DataFrame, users: DataFrame, day: str | None = None) -> DataFrame:
@@ -170,13 +169,6 @@ def daily_video_stats(uvs: DataFrame, videos: DataFrame, users: DataFrame, day:
     return by_video.unionByName(total)
 
 
-def _usage_measures() -> list[Column]:
-    return [
-        F.countDistinct("user").alias("users"), F.countDistinct("user", "dt").alias("visits"),
-        count_if(F.col("completed")).alias("completed"), F.sum("num_seconds").alias("seconds_watched"),
-    ]
-
-
 def distinct_usage(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Users, user-days, completions and seconds per key, by one chain of partial aggregates.
 
@@ -345,8 +337,8 @@ def daily_exercise_stats(problem_log: DataFrame, users: DataFrame, day: str) ->
         F.sum(clamp("time_taken", 0, SOLVE_CAP)).alias("time_taken"),
     )
     counts = ("problems", "correct", "profs", "prof_prob_count", "first_attempts", "hint_probs", "time_taken")
-    views = F.array_compact(F.array(F.lit("any"), F.col("topic_mode").cast("string")))
-    per_exercise = base.withColumn("view", F.explode(views)).groupBy("user", "view", "exercise").agg(
+    views = [F.lit("any"), F.col("topic_mode").cast("string")]
+    per_exercise = explode_present(base, views, "view").groupBy("user", "view", "exercise").agg(
         *[F.sum(c).alias(c) for c in counts])
     per_name = (
         per_exercise.withColumn("exercise", F.explode(F.array(F.col("exercise"), F.lit("ALL"))))

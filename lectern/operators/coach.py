@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.functions.columns import any_true, count_if, is_registered
+from lectern.functions.columns import any_true, count_if, explode_present, is_registered
 from lectern.functions.days import daily_levels, edge, to_date
 from lectern.functions.ordered import top_k
 from lectern.operators.activity import ACTIVITY_COUNTS, in_range
@@ -86,23 +86,34 @@ def active_edges(
     ``min_days`` distinct active days among the ``window`` days before.  ``days`` holds distinct
     (keys, dt), and a flag ``late`` that stays set once it is, when a kind asks for it.
 
-    Between one active day and the next the answer changes at most once, so each active day opens at
-    most one interval per kind, where exploding it to its window would give ``window`` rows.
+    Between one active day and the next the answer changes at most once, and days whose stretches
+    touch need no edge between them: a group gives two edges per stretch of activity, where exploding
+    each day to its window would give ``window`` rows per day.
     """
+    if any(late and k != 1 for k, late in kinds.values()):
+        raise ValueError("late kinds count single days")
     along = Window.partitionBy(*keys).orderBy("dt")
-    lags = {k: F.lag("dt", k - 1).over(along) for k in {k for k, _ in kinds.values()} if k > 1}
-    late = ["late"] if "late" in days.columns else []
-    marked = days.select(
-        *keys, "dt", *late, F.lead("dt").over(along).alias("next"), *[c.alias(f"lag{k}") for k, c in lags.items()])
+    deepest = max(k for k, _ in kinds.values())
+    cells = {f"lag{j}": F.lag("dt", j).over(along) for j in range(1, deepest + 1)}
+    late = "late" in days.columns
+    if late:
+        cells["late_before"] = F.lag("late").over(along)
+    marked = days.select(*keys, "dt", *(["late"] if late else []), F.lead("dt").over(along).alias("next"), *[c.alias(n) for n, c in cells.items()])
+    lag = lambda j: F.col("dt") if j == 0 else F.col(f"lag{j}")
+    no = F.lit(False)
     out = []
     for name, (k, late_only) in kinds.items():
         shown = F.col("late") if late_only else F.lit(True)
-        oldest = F.col(f"lag{k}") if k > 1 else F.col("dt")
-        last = F.least(F.date_add(oldest, window), F.coalesce(F.col("next"), F.lit("9999-01-01").cast("date")))
-        opens = shown & oldest.isNotNull() & (last > F.col("dt"))
-        out += [F.when(shown, edge(name, F.col("dt"), 0)), F.when(opens, edge(name, F.date_add("dt", 1), 1)),
-                F.when(opens, edge(name, F.date_add(last, 1), -1))]
-    return marked.select(*keys, F.explode(F.array_compact(F.array(*out))).alias("e")).select(*keys, "e.*")
+        before = F.col("lag1").isNotNull() & (F.col("late_before") if late_only else F.lit(True))
+        end = F.date_add(lag(k - 1), window)  # last day on which this day's stretch can hold
+        opened = shown & F.coalesce(end > F.col("dt"), no)
+        running = before & F.coalesce(F.date_add(lag(k), window) >= F.col("dt"), no)
+        follows = F.col("next") if k == 1 else lag(k - 2)
+        goes_on = F.coalesce((F.col("next") <= end) & (F.date_add(follows, window) > F.col("next")), no)
+        last = F.least(end, F.coalesce(F.col("next"), F.lit("9999-01-01").cast("date")))
+        out += [F.when(shown & ~before, edge(name, F.col("dt"), 0)), F.when(opened & ~running, edge(name, F.date_add("dt", 1), 1)),
+                F.when(opened & ~goes_on, edge(name, F.date_add(last, 1), -1))]
+    return explode_present(marked, out, "e").select(*keys, "e.*")
 
 
 def busy_edges(members: DataFrame, group: str, threshold: int) -> DataFrame:
@@ -110,13 +121,10 @@ def busy_edges(members: DataFrame, group: str, threshold: int) -> DataFrame:
     deltas = members.groupBy(group, "metric", "dt").agg(F.sum("d").alias("d"))
     along = Window.partitionBy(group, "metric").orderBy("dt")
     level = F.sum("d").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    steps = deltas.select(group, "metric", "dt", level.alias("n"), F.lead("dt").over(along).alias("next"))
-    busy = F.col("n") >= threshold
-    named = lambda dt, d: F.struct(F.col("metric"), dt.alias("dt"), F.lit(d).alias("d"))
-    edges = F.array_compact(F.array(
-        named(F.col("dt"), 0), F.when(busy, named(F.col("dt"), 1)),
-        F.when(busy & F.col("next").isNotNull(), named(F.col("next"), -1))))
-    return steps.select(group, F.explode(edges).alias("e")).select(group, "e.*")
+    steps = deltas.select(group, "metric", "dt", "d", level.alias("n"), F.lag("dt").over(along).alias("prev"))
+    busy, was_busy = F.col("n") >= threshold, F.col("n") - F.col("d") >= threshold
+    change = F.when(busy & ~was_busy, 1).when(~busy & was_busy, -1).when(F.col("prev").isNull(), 0)
+    return steps.select(group, "metric", "dt", change.alias("d")).where("d IS NOT NULL")
 
 
 def rolling_active_users(

@@ -29,9 +29,10 @@ def user_classification(video: DataFrame, exercise: DataFrame, feedback: DataFra
               for kind, df in (("video", video), ("exercise", exercise), ("feedback", feedback))]
     rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     days = rows.groupBy("user", "dt").agg(*[F.coalesce(F.bool_or(k), F.lit(False)).alias(k) for k in ("video", "exercise", "feedback")])
-    types = F.array_compact(F.array(*[
-        F.when(functools.reduce(lambda a, b: a | b, [F.col(k) for k in kinds]), F.lit(name)) for name, kinds in VISIT_TYPES.items()]))
-    return days.select("user", F.explode(types).alias("type")).groupBy("user", "type").agg(F.count(F.lit(1)).alias("visits"))
+    counts = days.groupBy("user").agg(*[
+        count_if(functools.reduce(lambda a, b: a | b, [F.col(k) for k in kinds])).alias(name) for name, kinds in VISIT_TYPES.items()])
+    cells = F.array(*[F.struct(F.lit(name).alias("type"), F.col(name).alias("visits")) for name in VISIT_TYPES])
+    return counts.select("user", F.explode(cells).alias("c")).select("user", "c.*").where("visits > 0")
 
 
 def user_visits_summary(classification: DataFrame, users: DataFrame) -> DataFrame:

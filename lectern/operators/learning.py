@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lectern.functions.columns import clamp, count_if
+from lectern.functions.columns import clamp, count_if, explode_present
 from lectern.functions.ordered import epoch_day_chunk, scan_groups, top_k
 from lectern.session import cut_lineage
 
@@ -341,9 +341,8 @@ def conditional_accuracy(attempts: DataFrame, min_samples: int, order: Sequence[
     rows = scan_groups(kept, ["user"], order, epoch_day_chunk(order[0]), lags={"prev": "exercise", "prev_correct": "correct"})
     own = F.struct(F.col("exercise").alias("exercise"), F.lit("g").alias("k"))
     after = F.struct(F.col("prev").alias("exercise"), F.when(F.col("prev_correct"), "r").otherwise("w").alias("k"))
-    cells = rows.select(
-        F.explode(F.array_compact(F.array(own, F.when(F.col("prev").isNotNull(), after)))).alias("e"), F.col("correct").cast("int").alias("c"),
-    ).groupBy("e.exercise", "e.k").agg(F.avg("c").alias("p"))
+    cells = explode_present(rows, [own, F.when(F.col("prev").isNotNull(), after)], "e").groupBy("e.exercise", "e.k").agg(
+        F.avg(F.col("correct").cast("int")).alias("p"))
     return cells.groupBy("exercise").agg(*[
         F.max(F.when(F.col("k") == k, F.col("p"))).alias(name)
         for k, name in (("g", "p_global"), ("w", "p_given_wrong"), ("r", "p_given_right"))])

@@ -69,10 +69,12 @@ def url_latency_stats(
     """
     rows = log if day is None else log.where(F.col("dt") == to_date(day))
     out = rows.groupBy("dt", by).agg(F.count(F.lit(1)).alias("count"), F.avg("bytes").alias("avg_response_bytes"))
-    for measure in measures:
-        qs = {f"{measure}_pct{p}": p / 100 for p in PERCENTS}
-        out = out.join(exact_quantiles(rows, ["dt", by], measure, qs, width=width), ["dt", by], "left")
-    return out
+    tall = rows.select("dt", by, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("v")) for m in measures])).alias("c")).select("dt", by, "c.*")
+    picked = exact_quantiles(tall, ["dt", by, "measure"], "v", {f"pct{p}": p / 100 for p in PERCENTS}, width=width)
+    wide = picked.groupBy("dt", by).agg(*[
+        F.max(F.when(F.col("measure") == m, F.col(f"pct{p}"))).alias(f"{m}_pct{p}") for m in measures for p in PERCENTS])
+    return out.join(wide, ["dt", by], "left")
 
 
 def most_hit(stats: DataFrame, n: int = 100, by: str = "url") -> DataFrame:

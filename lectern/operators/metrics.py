@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.columns import significant
-from lectern.functions.days import to_date
 from lectern.functions.ordered import scan_groups
 from lectern.functions.quantile import exact_quantiles
 
@@ -67,14 +66,10 @@ def weighted_mean(df: DataFrame, weight: str, fields: Sequence[str], keys: Seque
 
 def median_record(df: DataFrame, fields: Sequence[str], keys: Sequence[str] = (), width: float = 1.0) -> DataFrame:
     """Median of each field per key; an even number of values gives the mean of the middle two."""
-    out = None
-    for field in fields:
-        one = exact_quantiles(df, list(keys), field, {f"__{field}": 0.5}, width=width).withColumnRenamed(f"__{field}", field)
-        if out is None:
-            out = one
-        else:
-            out = out.join(one, list(keys), "full") if keys else out.crossJoin(one)  # single rows
-    return out
+    tall = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("v")) for f in fields])).alias("c")).select(*keys, "c.*")
+    picked = exact_quantiles(tall, [*keys, "field"], "v", {"median": 0.5}, width=width)
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("field") == f, F.col("median"))).alias(f) for f in fields])
 
 
 def collate_records(df: DataFrame, fixed: Sequence[str], key: str, value: str, order: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -90,8 +85,3 @@ def collate_records(df: DataFrame, fixed: Sequence[str], key: str, value: str, o
 def metric_history(df: DataFrame, time: str, limit: int) -> DataFrame:
     """The newest records of a series, newest first."""
     return df.orderBy(F.col(time).desc()).limit(limit)
-
-
-def since_days(df: DataFrame, dt: str, end: str, days: int) -> DataFrame:
-    """Rows of the ``days`` days before ``end``."""
-    return df.where((F.col(dt) >= F.date_sub(to_date(end), days)) & (F.col(dt) < to_date(end)))
