@@ -11,6 +11,7 @@ from lectern.functions.days import daily_levels, edge, to_date
 from lectern.functions.ordered import top_k
 from lectern.operators.activity import ACTIVITY_COUNTS, in_range
 from lectern.operators.geo import ip_geolocate
+from lectern.session import cut_lineage
 
 CLASS_SIZE = 10
 WINDOW = 28
@@ -167,12 +168,14 @@ def student_teacher_count(
     """One row per day with 18 counts of teachers, students, coaches and their users.
 
     Each count is a set of edges; all of them are summed in one aggregate and laid side by side.
+    The class tables and the activity within classes feed several counts, so they are written once.
     A day is reported when the four cumulative counts have begun.
     """
-    teachers = teacher_since(pairs, n)
-    students = student_since(pairs, teachers)
-    coaches = small_coach_since(pairs, n)
-    singles = small_class_users(pairs, students)
+    pairs = cut_lineage(pairs)
+    teachers = cut_lineage(teacher_since(pairs, n))
+    students = cut_lineage(student_since(pairs, teachers))
+    coaches = cut_lineage(small_coach_since(pairs, n))
+    singles = cut_lineage(small_class_users(pairs, students))
     days = activity.where(F.col("dt") < to_date(end)).select("user", "dt").distinct()
 
     series = [
@@ -184,10 +187,9 @@ def student_teacher_count(
         (students.select(F.col("student").alias("user"), "teacher", F.col("dt").alias("began")), n, "teachers", "students"),
         (singles.select("user", F.col("coach").alias("teacher"), F.col("dt").alias("began")), 1, "coaches", "coach_users"))
     for members, threshold, group, member in classes:
-        seen = members.join(days, "user").where(F.col("dt") >= F.col("began")).withColumn(
-            "late", F.date_add("began", WINDOW) < F.col("dt"))
-        pair_days = seen.groupBy("teacher", "user", "dt").agg(F.bool_or("late").alias("late"))
-        user_days = seen.groupBy("user", "dt").agg(F.bool_or("late").alias("late"))
+        pair_days = cut_lineage(members.join(days, "user").where(F.col("dt") >= F.col("began")).withColumn(
+            "late", F.date_add("began", WINDOW) < F.col("dt")).drop("began"))
+        user_days = pair_days.groupBy("user", "dt").agg(F.bool_or("late").alias("late"))
         series.append(busy_edges(active_edges(pair_days, ["teacher", "user"], kinds), "teacher", threshold).select(
             F.concat("metric", F.lit(f"_{group}")).alias("metric"), "dt", "d"))
         series.append(active_edges(user_days, ["user"], kinds).select(

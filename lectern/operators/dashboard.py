@@ -32,12 +32,13 @@ def _shares(rows: DataFrame) -> DataFrame:
 def topic_share(video_stats: DataFrame, dt: str, duration: str, level: str = "top_topic") -> DataFrame:
     """Topics of a level and the total, each measure also as a share of the total's; 'NONE' is left out."""
     rows = video_stats.where((F.col("dt") == to_date(dt)) & (F.col("duration") == duration))
-    total = _shares(rows.where("aggregation = 'total'"))  # a single row
-    topics = _shares(rows.where(F.col("aggregation") == level)).where("title <> 'NONE'").unionByName(total)
-    names = [c for c in topics.columns if c != "title"]
-    whole = total.select(*[F.col(c).alias(f"__t_{c}") for c in names])
-    share = lambda c: F.when(F.col(f"__t_{c}") != 0, F.col(c) / F.col(f"__t_{c}")).otherwise(F.lit(0.0))
-    return topics.crossJoin(F.broadcast(whole)).select("title", *names, *[share(c).alias(f"{c}_pct") for c in names])
+    total = _shares(rows.where("aggregation = 'total'")).withColumn("whole", F.lit(True))
+    topics = _shares(rows.where(F.col("aggregation") == level)).where("title <> 'NONE'").withColumn("whole", F.lit(False)).unionByName(total)
+    names = [c for c in topics.columns if c not in ("title", "whole")]
+    everything = Window.partitionBy(F.lit(0))  # one row per topic
+    of = lambda c: F.max(F.when(F.col("whole"), F.col(c))).over(everything)
+    share = lambda c: F.when(of(c) != 0, F.col(c) / of(c)).otherwise(F.lit(0.0))
+    return topics.select("title", *names, *[share(c).alias(f"{c}_pct") for c in names])
 
 
 def top_videos(video_stats: DataFrame, dt: str, duration: str, k: int = 200, category: str = "all") -> DataFrame:
@@ -89,8 +90,7 @@ def exercise_drilldown(
     total = F.col("c") + F.col("w")
     sums = sums.withColumn("total", total)
     if exercise is not None and sub_type is None:
-        whole = sums.agg(F.sum("total").alias("__all"))  # a single row
-        sums = sums.crossJoin(F.broadcast(whole)).where(F.col("total") > F.col("__all") / 100)
+        sums = sums.where(F.col("total") > sums.agg(F.sum("total")).scalar() / 100)
     out = sums.select(
         "name", "total", (F.col("c") * 100.0 / F.col("total")).alias("pct_correct"), (F.col("w") * 100.0 / F.col("total")).alias("pct_wrong"),
         F.floor(F.col("t") / F.col("total") + 0.5).alias("avg_time"))
@@ -122,11 +122,11 @@ def context_shares(summary: DataFrame, badge: str, start: str | None = None, end
     cells = rows.where(F.col("badge_name") == badge).groupBy(
         F.when(F.coalesce("context_name", F.lit("")).isin("", "\\N"), "None").otherwise(F.col("context_name")).alias("context_name"),
     ).agg(F.sum("total_awarded").alias("total_awarded"), F.coalesce(F.sum("unique_awarded"), F.lit(0)).alias("unique_awarded"))
-    whole = cells.agg(F.sum("total_awarded").alias("t"), F.sum("unique_awarded").alias("u"))  # a single row
-    pct = lambda c, t: F.col(c) * 100.0 / F.when(F.col(t) != 0, F.col(t))
-    return cells.crossJoin(F.broadcast(whole)).select(
-        "context_name", "total_awarded", "unique_awarded", pct("total_awarded", "t").alias("total_percentage"),
-        pct("unique_awarded", "u").alias("unique_percentage"))
+    whole = lambda c: F.sum(c).over(Window.partitionBy(F.lit(0)))  # noqa: E731  (one row per context)
+    pct = lambda c: F.col(c) * 100.0 / F.when(whole(c) != 0, whole(c))
+    return cells.select(
+        "context_name", "total_awarded", "unique_awarded", pct("total_awarded").alias("total_percentage"),
+        pct("unique_awarded").alias("unique_percentage"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

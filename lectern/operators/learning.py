@@ -324,8 +324,8 @@ def cards_by_date(attempts: DataFrame) -> DataFrame:
     cells = attempts.where("randomized").groupBy("dt", "exercise").agg(
         F.count(F.lit(1)).alias("n"), count_if(F.col("correct")).alias("c"))
     first = cells.groupBy("exercise").agg(F.min("dt").alias("since"))
-    begin = cells.agg(F.min("dt").alias("begin"))  # a single row
-    flagged = cells.join(first, "exercise").crossJoin(F.broadcast(begin)).withColumn("old", F.col("since") == F.col("begin"))
+    begin = cells.agg(F.min("dt")).scalar()
+    flagged = cells.join(first, "exercise").withColumn("old", F.col("since") == begin)
     old = lambda c: F.sum(F.when(F.col("old"), F.col(c)))
     return flagged.groupBy("dt").agg(
         (F.sum("c") / F.sum("n")).alias("accuracy"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("exercises"),

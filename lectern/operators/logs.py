@@ -135,8 +135,8 @@ def cache_log_parse(lines: DataFrame, ignore_before: str | None = None, prefixes
     rows = scan_groups(tagged, ["file"], ["block", "seq"], chunk, last_known={"before": (F.col("own"), F.col("own").isNotNull())})
     placed = rows.withColumn("r", F.coalesce("own", "before")).where("r IS NOT NULL")
     if ignore_before is not None:
-        start = placed.where(F.col("value").contains(ignore_before)).agg(F.min("r.time").alias("start"))  # a single row
-        placed = placed.crossJoin(F.broadcast(start)).where("start IS NULL OR r.time >= start")
+        start = placed.where(F.col("value").contains(ignore_before)).agg(F.min("r.time")).scalar()
+        placed = placed.where(F.col("r.time") >= F.coalesce(start, F.col("r.time")))
     cell = lambda i: F.regexp_extract("value", CACHE_LINE, i)
     return placed.where(F.col("own").isNull() & F.col("value").rlike(CACHE_LINE)).select(
         F.col("r.request_id").alias("request_id"), F.col("r.time").alias("request_time"), F.col("r.url").alias("url"),

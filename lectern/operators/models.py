@@ -284,10 +284,10 @@ def item_response_fit(
         fitted = counts.join(items.select("exercise", "w_correct"), "exercise").mapInPandas(
             _solve_items(nodes, l2, use_time), "exercise string, w_correct array<double>, w_time array<double>, sigma double")
         items = cut_lineage(fitted)
-    mean = items.agg(*[F.avg(F.col("w_correct")[j]).alias(f"m{j}") for j in range(dims)])  # a single row
-    sign = [F.when(F.col(f"m{j}") < 0, -1.0).otherwise(1.0) for j in range(dims)] + [F.lit(1.0)]
+    mean = [items.agg(F.avg(F.col("w_correct")[j])).scalar() for j in range(dims)]
+    sign = [F.when(mean[j] < 0, -1.0).otherwise(1.0) for j in range(dims)] + [F.lit(1.0)]
     flip = lambda w: F.array(*[F.col(w)[j] * sign[j] for j in range(dims + 1)]).alias(w)
-    items = cut_lineage(items.crossJoin(F.broadcast(mean)).select("exercise", flip("w_correct"), flip("w_time"), "sigma"))
+    items = cut_lineage(items.select("exercise", flip("w_correct"), flip("w_time"), "sigma"))
     return items, estimate_abilities(data, items, dims, use_time, points)
 
 

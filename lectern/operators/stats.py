@@ -279,11 +279,14 @@ def compare_models(
 
 def parameter_overlap(a: DataFrame, b: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """Keys two models share, how many hold the same value, and the shares in percent."""
-    both = a.select(key, F.col(value).alias("va")).join(b.select(key, F.col(value).alias("vb")), key)
-    shared = both.agg(F.count(F.lit(1)).alias("shared"), count_if(F.col("va") == F.col("vb")).alias("shared_equal"))
-    sizes = a.agg(F.count(F.lit(1)).alias("keys_a")).crossJoin(b.agg(F.count(F.lit(1)).alias("keys_b")))  # single rows
+    left = a.select(key, F.col(value).alias("va"), F.lit(True).alias("in_a"))
+    right = b.select(key, F.col(value).alias("vb"), F.lit(True).alias("in_b"))
+    in_a, in_b = F.col("in_a").isNotNull(), F.col("in_b").isNotNull()
+    sizes = left.join(right, key, "full").agg(
+        count_if(in_a & in_b).alias("shared"), count_if(in_a & in_b & F.col("va").eqNullSafe(F.col("vb"))).alias("shared_equal"),
+        count_if(in_a).alias("keys_a"), count_if(in_b).alias("keys_b"))
     pct = lambda n, of: 100.0 * F.col(n) / F.when(F.col(of) > 0, F.col(of))
-    return shared.crossJoin(sizes).select(
+    return sizes.select(
         "shared", "shared_equal", pct("shared", "keys_a").alias("pct_of_a"), pct("shared", "keys_b").alias("pct_of_b"),
         pct("shared_equal", "shared").alias("pct_equal"))
 

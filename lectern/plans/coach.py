@@ -8,6 +8,7 @@ from lectern.operators import coach as ops, geo
 from lectern.operators.activity import ACTIVITY_COUNTS
 from lectern.plans.bindings import SQL_INPUTS, Inputs
 from lectern.plans.registry import query
+from lectern.session import cut_lineage
 
 START, END = "1995-01-01", "2001-09-01"
 
@@ -124,7 +125,7 @@ def dotted(n: Column) -> Column:
 
 def event_ips(b: Inputs):
     number = 167772160 + (F.col("user") * 3875 * 997 * 41 + (F.col("k") % 3) * 7777777) % 1000000000
-    return b.events.select("event_id", "user", "dt", dotted(number).alias("ip"))
+    return cut_lineage(b.events.select("event_id", "user", "dt", dotted(number).alias("ip")))
 
 
 @query("user_coach_mapping", "CO-1", 'SELECT "user", coach, self_coach FROM b_coach_mapping')

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+from lectern.functions.columns import count_if
 from lectern.session import new_folder
 from lectern.sources.readers import newest
 
@@ -29,14 +30,14 @@ def dimension_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def typed_report(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Text columns cast to their declared types; rows with an uncastable value are set apart."""
+def typed_report(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Text columns cast to their declared types, ``bad`` set on rows with a value that cannot be cast."""
     cells = {c: F.nullif(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in types}
     cast = {c: cells[c].try_cast(kind) for c, kind in types.items()}
     bad = F.lit(False)
     for c in types:
         bad = bad | (cells[c].isNotNull() & cast[c].isNull())
-    return df.where(~bad).select(*[v.alias(c) for c, v in cast.items()]), df.where(bad)
+    return df.select(*[v.alias(c) for c, v in cast.items()], bad.alias("bad"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -78,7 +79,8 @@ def publish_report(
                        by key hash and only touched buckets are rewritten
     """
     spark = df.sparkSession
-    good, bad = typed_report(df, types)
+    typed = typed_report(df, types)
+    good = typed.where("NOT bad").drop("bad")
     if mode == "append":
         good.write.mode("append").partitionBy(*partition).parquet(path)
     elif mode == "replace":
@@ -95,7 +97,7 @@ def publish_report(
         merge_buckets(good.withColumn("written", F.lit((seen or 0) + 1).cast("bigint")), path, [key], F.col("written"), buckets)
     else:
         raise ValueError(f"unknown mode {mode}")
-    return good.agg(F.count(F.lit(1)).alias("saved")).crossJoin(bad.agg(F.count(F.lit(1)).alias("errors")))
+    return typed.agg(count_if(~F.col("bad")).alias("saved"), count_if(F.col("bad")).alias("errors"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
