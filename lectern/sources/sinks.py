@@ -94,7 +94,7 @@ def publish_report(
             raise ValueError("upsert needs a key")
         # The write counter puts new rows above those in the store, whatever they hold.
         seen = spark.read.parquet(path).agg(F.max("written")).first()[0] if table_exists(spark, path) else 0
-        merge_buckets(good.withColumn("written", F.lit((seen or 0) + 1).cast("bigint")), path, [key], F.col("written"), buckets)
+        merge_buckets(good.withColumn("written", F.lit((seen or 0) + 1).cast("bigint")), path, [key], F.struct("written", *good.columns), buckets)
     else:
         raise ValueError(f"unknown mode {mode}")
     return typed.agg(count_if(~F.col("bad")).alias("saved"), count_if(F.col("bad")).alias("errors"))
