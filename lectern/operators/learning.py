@@ -1,7 +1,7 @@
 """Learning measurement: card stacks, retention, accuracy gains and curves by position.
 
 Attempts are ordered per (user, topic) or per user.  Such a group can be of any size (a shared or
-automated account), so positions and neighbours come from :func:`scan_groups`, cut by day.
+automated account), so positions and neighbours come from :func:`scan_groups`, cut by hour.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lectern.functions.columns import clamp, count_if, explode_present
-from lectern.functions.ordered import epoch_day_chunk, scan_groups, top_k
+from lectern.functions.ordered import epoch_hour_chunk, scan_groups, top_k
 from lectern.session import cut_lineage
 
 ORDER = ("time_done", "event_id")
@@ -40,14 +40,12 @@ def stack_cards(stack_log: DataFrame) -> DataFrame:
 
 
 def topic_attempts(problem_log: DataFrame, cards: DataFrame) -> DataFrame:
-    """Distinct attempts of the logged cards, each also under the topic 'any'."""
+    """Distinct attempts of the logged cards, each also under the topic 'any'; ``randomized`` marks the
+    cards the scheduler drew at random."""
     log = problem_log.select("key", "exercise", "time_done", "time_taken", "problem_number", "correct")
     rows = log.join(cards, "key").drop("key").distinct()
-    return rows.withColumn("topic", F.explode(F.array("topic", F.lit("any"))))
-
-
-def purpose_randomized(scheduler_info: str = "scheduler_info") -> Column:
-    return F.coalesce(F.get_json_object(scheduler_info, "$.purpose") == "randomized", F.lit(False))
+    drawn = F.coalesce(F.get_json_object("scheduler_info", "$.purpose") == "randomized", F.lit(False))
+    return rows.withColumns({"topic": F.explode(F.array("topic", F.lit("any"))), "randomized": drawn})
 
 
 def _topic_positions(attempts: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -55,7 +53,7 @@ def _topic_positions(attempts: DataFrame, order: Sequence[str]) -> DataFrame:
     that of its last card."""
     cards = attempts.select("user", "topic", *order, "problem_number", "correct", "randomized", "user_segment")
     rows = scan_groups(
-        cards, ["user", "topic"], order, epoch_day_chunk(order[0]), number="card_number",
+        cards, ["user", "topic"], order, epoch_hour_chunk(order[0]), number="card_number",
         group_sums={"done": F.lit(1)}, firsts={"first_problem": "problem_number"}, lasts={"segment": "user_segment"})
     return rows.where("first_problem = 1").withColumn("user_segment", F.col("segment")).drop("segment", "first_problem")
 
@@ -71,7 +69,7 @@ def topic_retention(attempts: DataFrame, order: Sequence[str] = ORDER) -> DataFr
 def card_gains(cards: DataFrame, keys: Sequence[str], order: Sequence[str], position: str) -> DataFrame:
     """Consecutive cards of each group with the change from one to the next: prev, dist, delta."""
     pairs = scan_groups(
-        cards, keys, order, epoch_day_chunk(order[0]), lags={"prev": position, "prev_correct": "correct"},
+        cards, keys, order, epoch_hour_chunk(order[0]), lags={"prev": position, "prev_correct": "correct"},
         number="nth", group_sums={"cards": F.lit(1)})
     return pairs.withColumn("delta", F.col("correct").cast("int") - F.col("prev_correct").cast("int")).withColumn(
         "dist", F.col(position) - F.col("prev"))
@@ -163,7 +161,7 @@ def experiment_learning_curves(
     usable = attempts.join(torn, "user", "left_anti").join(partial, group, "left_anti")
     cards = usable.select(
         *group, *order, "alternative", "exercise", "correct", "randomized", clamp("time_taken", 0, time_cap).alias("time_taken"))
-    placed = scan_groups(cards, group, order, epoch_day_chunk(order[0]), number="position", group_sums={"done": F.lit(1)})
+    placed = scan_groups(cards, group, order, epoch_hour_chunk(order[0]), number="position", group_sums={"done": F.lit(1)})
     placed = cut_lineage(placed.where(F.col("done") >= min_attempts))
 
     tests = placed.where("randomized")
@@ -175,7 +173,7 @@ def experiment_learning_curves(
     else:
         tests = tests.withColumn("ability", F.lit(0.0))
     steps = scan_groups(
-        tests, group, order, epoch_day_chunk(order[0]), number="nth", group_sums={"tests": F.lit(1)},
+        tests, group, order, epoch_hour_chunk(order[0]), number="nth", group_sums={"tests": F.lit(1)},
         lags={"prev": "position", "prev_correct": "correct", "prev_ability": "ability"})
     steps = cut_lineage(steps.where(F.col("nth") <= F.col("tests") - truncate))
 
@@ -205,7 +203,7 @@ def experiment_learning_curves(
 
 def positions(attempts: DataFrame, n: int, min_problems: int = 0, order: Sequence[str] = ORDER) -> DataFrame:
     """The first n attempts of each user with at least ``min_problems`` of them, numbered from 1."""
-    rows = scan_groups(attempts, ["user"], order, epoch_day_chunk(order[0]), number="position", group_sums={"done": F.lit(1)})
+    rows = scan_groups(attempts, ["user"], order, epoch_hour_chunk(order[0]), number="position", group_sums={"done": F.lit(1)})
     return rows.where((F.col("position") <= n) & (F.least("done", F.lit(n)) >= min_problems))
 
 
@@ -242,7 +240,7 @@ def mastery_run_accuracy(
 ) -> DataFrame:
     """Accuracy of test cards by position within a mastery run; a practice card ends the run."""
     placed = cut_lineage(positions(attempts, n, min_problems, order).withColumn("reset", F.col("task_type").isin(*reset_types)))
-    runs = scan_groups(placed, ["user"], order, epoch_day_chunk(order[0]), last_known={"broke": (F.col("position"), F.col("reset"))})
+    runs = scan_groups(placed, ["user"], order, epoch_hour_chunk(order[0]), last_known={"broke": (F.col("position"), F.col("reset"))})
     tests = runs.where(F.col("task_type") == test_type).withColumn(
         "run_position", F.col("position") - F.coalesce("broke", F.lit(0)))
     return tests.groupBy("run_position").agg(
@@ -338,7 +336,7 @@ def conditional_accuracy(attempts: DataFrame, min_samples: int, order: Sequence[
     wrongly or rightly.  Rarer exercises are removed before neighbours are formed."""
     common = attempts.groupBy("exercise").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_samples).select("exercise")
     kept = attempts.select("user", *order, "exercise", "correct").join(common, "exercise", "left_semi")
-    rows = scan_groups(kept, ["user"], order, epoch_day_chunk(order[0]), lags={"prev": "exercise", "prev_correct": "correct"})
+    rows = scan_groups(kept, ["user"], order, epoch_hour_chunk(order[0]), lags={"prev": "exercise", "prev_correct": "correct"})
     own = F.struct(F.col("exercise").alias("exercise"), F.lit("g").alias("k"))
     after = F.struct(F.col("prev").alias("exercise"), F.when(F.col("prev_correct"), "r").otherwise("w").alias("k"))
     cells = explode_present(rows, [own, F.when(F.col("prev").isNotNull(), after)], "e").groupBy("e.exercise", "e.k").agg(

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.functions.ordered import epoch_day_chunk, scan_groups
+from lectern.functions.ordered import epoch_hour_chunk, scan_groups
 from lectern.operators.stats import FEATURES, accuracy_features, history_validity, score, WEIGHTS
 from lectern.session import cut_lineage
 
@@ -52,7 +52,7 @@ def feature_samples(
 
     Sampled are problem numbers in [numbers), or one in ``one_in_n`` attempts by hash.
     """
-    chunk = epoch_day_chunk(order[0]) if chunk is None else chunk
+    chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
     valid = history_validity(attempts, chunk, order).where("sequential").select("user")
     rows = attempts.join(valid, "user", "left_semi")
     described = cut_lineage(accuracy_features(rows, chunk, order=order).withColumn("prediction", score(weights)))

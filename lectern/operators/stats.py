@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.columns import count_if
-from lectern.functions.ordered import CHUNK, epoch_day_chunk, scan_groups
+from lectern.functions.ordered import CHUNK, epoch_hour_chunk, scan_groups
 from lectern.functions.quantile import exact_quantiles, value_ranks
 from lectern.session import cut_lineage
 
@@ -60,7 +60,7 @@ def answer_history(
     at most ``size`` chunks can matter.
     """
     keys = list(keys)
-    chunk = epoch_day_chunk(order[0]) if chunk is None else chunk
+    chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
     answer = F.col(correct).cast("int")
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     rows = attempts.withColumn(CHUNK, chunk).withColumns({
@@ -139,7 +139,7 @@ def min_streak(df: DataFrame, threshold: str, weights: dict[str, float] = WEIGHT
 
 def history_validity(attempts: DataFrame, chunk: Column | None = None, order: Sequence[str] = ("time_done", "event_id")) -> DataFrame:
     """Per user: whether problem numbers go up by one within each exercise, and begin with 1."""
-    chunk = epoch_day_chunk(order[0]) if chunk is None else chunk
+    chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
     steps = scan_groups(
         attempts.select("user", "exercise", "problem_number", *order), ["user", "exercise"], order, chunk, lags={"prev": "problem_number"})
     first = F.col("prev").isNull()
@@ -241,7 +241,7 @@ def in_order_attempts(attempts: DataFrame, chunk: Column | None = None, order: S
     tidy log needs one round; groups that gain nothing drop out.
     """
     group = ["user", "exercise"]
-    chunk = epoch_day_chunk(order[0]) if chunk is None else chunk
+    chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
     steps = scan_groups(attempts, group, order, chunk, lags={"prev": "problem_number"})
     fresh = F.col("prev").isNull() | (F.col("problem_number") != F.col("prev") + 1)
     runs = cut_lineage(scan_groups(steps.withColumn("__fresh", fresh), group, order, chunk, sums={"run": F.col("__fresh").cast("int")}).drop("prev", "__fresh"))

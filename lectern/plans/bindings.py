@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.functions.ordered import day_chunk, scan_groups
+from lectern.functions.ordered import hour_chunk, scan_groups
 from lectern.session import cut_lineage
 
 SQL_INPUTS: dict[str, str] = {}
@@ -66,7 +66,7 @@ class Inputs:
         """Problem log with the position of each attempt among the user's attempts at the exercise,
         stored once as such a log would be."""
         return cut_lineage(scan_groups(
-            self.problem_log, ["user", "exercise"], ["ts", "event_id"], day_chunk("ts"), number="problem_number"))
+            self.problem_log, ["user", "exercise"], ["ts", "event_id"], hour_chunk("ts"), number="problem_number"))
 
     @cached_property
     def feedback(self) -> DataFrame:

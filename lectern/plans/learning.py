@@ -116,8 +116,8 @@ def stack_cards(b: Inputs):
 
 
 @query("topic_attempts", "LE-2", """
-    WITH j AS (SELECT DISTINCT c."user", c.topic, exercise, round(time_done, 3) AS time_done, time_taken::BIGINT AS time_taken, problem_number, correct, scheduler_info, c.user_segment
-               FROM b_stack_cards c JOIN b_attempts a ON c.key = a.event_id::VARCHAR)
+    WITH j AS (SELECT DISTINCT c."user", c.topic, exercise, round(time_done, 3) AS time_done, time_taken::BIGINT AS time_taken, problem_number, correct, scheduler_info, c.user_segment,
+                      scheduler_info LIKE '%randomized%' AS randomized FROM b_stack_cards c JOIN b_attempts a ON c.key = a.event_id::VARCHAR)
     SELECT * FROM j UNION ALL SELECT * REPLACE ('any' AS topic) FROM j""")
 def topic_attempts(b: Inputs):
     log = attempts(b).withColumn("key", F.col("event_id").cast("string"))

@@ -14,14 +14,13 @@ from lectern.sources.readers import newest
 NULL_TEXT = "\\N"
 
 
-def partition_overwrite(df: DataFrame, path: str, by: Sequence[str] = ("dt",), files_per_partition: int = 8) -> None:
+def partition_overwrite(df: DataFrame, path: str, by: Sequence[str] = ("dt",)) -> None:
     """Replace exactly the partitions that ``df`` holds.
 
-    Rows are spread over ``files_per_partition`` tasks per partition value, so one heavy day is not
-    written by one task.
+    Rows are gathered by partition value so that there are few files; adaptive execution splits a
+    value with many rows over several tasks and joins small ones.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-    (df.repartition(*by, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*by).parquet(path))
 
 
@@ -62,7 +61,7 @@ def merge_buckets(fresh: DataFrame, path: str, keys: Sequence[str], order: Colum
     staged = new_folder(spark, "merge")
     newest(rows, list(keys), order).write.parquet(staged)
     if not spark.read.parquet(staged).isEmpty():
-        (spark.read.parquet(staged).repartition("bucket").write.mode("overwrite")
+        (spark.read.parquet(staged).hint("rebalance", "bucket").write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
 
 

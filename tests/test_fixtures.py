@@ -69,6 +69,18 @@ def test_report_upsert_replaces_by_key(spark, folder, rows):
     assert rows(sinks.read_report(spark, path), "id", "n") == [(1, 5), (2, None), (4, 40), (9, 90)]
 
 
+def test_report_append_and_replace(spark, folder, rows):
+    path, types = folder("plain"), {"id": "int"}
+    one, two = (spark.createDataFrame([(v,)], "id string") for v in ("1", "2"))
+    sinks.publish_report(one, path, types)
+    sinks.publish_report(two, path, types)
+    assert rows(sinks.read_report(spark, path)) == [(1,), (2,)]
+    sinks.publish_report(two, path, types, "replace")
+    assert rows(sinks.read_report(spark, path)) == [(2,)]
+    with pytest.raises(ValueError):
+        sinks.publish_report(two, path, types, "upsert")
+
+
 def test_csv_export(spark, folder):
     sinks.export_csv(spark.range(3), folder("csv"))
     assert spark.read.option("header", True).csv(folder("csv")).count() == 3
