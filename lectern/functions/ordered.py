@@ -30,8 +30,10 @@ def scan_groups(
     group_sums: dict[str, Column] | None = None,
     firsts: dict[str, str] | None = None,
     lasts: dict[str, str] | None = None,
+    null_keys: bool = False,
 ) -> DataFrame:
-    """Add ordered columns to ``df``; rows with a NULL key belong to no group and are left out.
+    """Add ordered columns to ``df``; rows with a NULL key belong to no group and are left out, unless
+    ``null_keys`` makes NULL a key like any other.
 
     ``order`` must be unique inside a group and ``chunk`` must not decrease along it.
 
@@ -42,6 +44,12 @@ def scan_groups(
     group_sums   sum over the whole group
     firsts, lasts  value of a column on the first / last row of the group
     """
+    if null_keys and keys:
+        # A struct that holds NULL is not NULL itself, so grouping and joining on it keep such rows.
+        wrapped = df.withColumn("__key", F.struct(*keys))
+        return scan_groups(
+            wrapped, ["__key"], order, chunk, number=number, sums=sums, lags=lags, leads=leads, last_known=last_known,
+            group_sums=group_sums, firsts=firsts, lasts=lasts).drop("__key")
     sums, lags, leads = dict(sums or {}), dict(lags or {}), dict(leads or {})
     last_known, group_sums = dict(last_known or {}), dict(group_sums or {})
     firsts, lasts = dict(firsts or {}), dict(lasts or {})

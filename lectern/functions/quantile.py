@@ -14,7 +14,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, width: float) ->
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     return scan_groups(
         counts, keys, [value], F.floor(F.col(value) / F.lit(float(width))),
-        sums={"last": F.col("n")}, group_sums={"total": F.col("n")},
+        sums={"last": F.col("n")}, group_sums={"total": F.col("n")}, null_keys=True,
     )
 
 

@@ -81,7 +81,9 @@ def _usage(rows: DataFrame, keys: Sequence[str], users: bool) -> DataFrame:
     else:
         out = days.groupBy(*keys).agg(F.count(F.lit(1)).alias("visits"), *sums)
     videos = rows.select(*keys, "video_key").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("videos"))
-    return out.join(videos, list(keys))
+    # Joined by grouping, which keeps usage without a category.
+    both = out.unionByName(videos, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
 
 
 def category_usage(uvs: DataFrame, categories: DataFrame, start: str, end: str, level: str = "top") -> DataFrame:

@@ -74,7 +74,9 @@ def url_latency_stats(
     picked = exact_quantiles(tall, ["dt", by, "measure"], "v", {f"pct{p}": p / 100 for p in PERCENTS}, width=width)
     wide = picked.groupBy("dt", by).agg(*[
         F.max(F.when(F.col("measure") == m, F.col(f"pct{p}"))).alias(f"{m}_pct{p}") for m in measures for p in PERCENTS])
-    return out.join(wide, ["dt", by], "left")
+    # Joined by grouping, which keeps requests without a url.
+    both = out.unionByName(wide, allowMissingColumns=True)
+    return both.groupBy("dt", by).agg(*[F.max(c).alias(c) for c in both.columns if c not in ("dt", by)])
 
 
 def most_hit(stats: DataFrame, n: int = 100, by: str = "url") -> DataFrame:

@@ -357,6 +357,20 @@ def test_event_params(spark, rows):
     assert rows(logs.event_param_extract(df, "e", "lesson.text"), "value") == [("Hi there",), ("open end",)]
 
 
+def test_latency_keeps_requests_without_url(spark, rows):
+    log = spark.createDataFrame([(D(2024, 1, 1), None, 10, 4, 100), (D(2024, 1, 1), None, 30, 8, 300), (D(2024, 1, 1), "/a", 5, None, 50)],
+                                "dt date, url string, ms int, cpu_ms int, bytes int")
+    out = logs.url_latency_stats(log, measures=["ms", "cpu_ms"])
+    assert rows(out, "url", "count", "avg_response_bytes", "ms_pct50", "cpu_ms_pct50") == [("/a", 1, 50.0, 5.0, None), (None, 2, 200.0, 20.0, 6.0)]
+
+
+def test_category_usage_keeps_missing_categories(spark, rows):
+    uvs = spark.createDataFrame([("u", 1, D(2024, 1, 1), 5, True), ("u", 2, D(2024, 1, 1), 7, False)], "user string, video_key int, dt date, num_seconds int, completed boolean")
+    cats = spark.createDataFrame([(1, None, None), (2, "Math", None)], "vid_key int, top_category string, second_category string")
+    out = engagement.category_usage(uvs, cats, "2024-01-01", "2024-01-02")
+    assert rows(out, "topic", "videos", "users", "visits", "seconds", "completed") == [("Math", 1, 1, 1, 7, 0), (None, 1, 1, 1, 5, 1)]
+
+
 def test_log_search_needs_a_term(spark):
     with pytest.raises(ValueError, match="broad"):
         logs.log_search(spark.range(1), spark.range(1))

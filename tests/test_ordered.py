@@ -56,6 +56,17 @@ def test_lag_keeps_nulls_apart_from_missing(spark):
     assert [(r.p, r.n) for r in out.orderBy("t").collect()] == [(None, 5), (None, None), (5, None)]
 
 
+def test_null_is_a_key_when_asked(spark):
+    df = spark.createDataFrame([(None, t, 1) for t in range(5)] + [("a", 9, 1)], "k string, t int, v int")
+    chunk = F.floor(F.col("t") / 2)
+    assert scan_groups(df, ["k"], ["t"], chunk, number="n").count() == 1
+    kept = scan_groups(df, ["k"], ["t"], chunk, number="n", sums={"run": F.col("v")}, lags={"p": "t"}, null_keys=True)
+    got = sorted(((r.k, r.t, r.n, r.run, r.p) for r in kept.collect()), key=lambda r: (r[0] or "", r[1]))
+    assert got == [(None, t, t + 1, t + 1, t - 1 if t else None) for t in range(5)] + [("a", 9, 1, 1, None)]
+    quantiles = {r.k: r.q for r in exact_quantiles(df, ["k"], "t", {"q": 0.5}, width=2.0).collect()}
+    assert quantiles == {None: 2.0, "a": 9.0}
+
+
 def test_hot_group_is_split(spark):
     """The row windows run over (key, chunk), so no task holds the whole key."""
     df = spark.range(1000).select(F.when(F.col("id") < 700, "hot").otherwise("cold").alias("k"), F.col("id").alias("t"))
