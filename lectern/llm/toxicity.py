@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field, with document scores.
 
 Tokens are runs of word characters, lower-cased. Documents are labelled, tokens are not, so the labelled
-tokens are derived: in a toxic document of the sample, a token is labelled toxic when its word or its first
-letters occur almost only in toxic documents. The field has two states; a token's evidence is the sum of
-the weights of its word, its first four and five letters and its last three. It is fitted by gradient steps
+tokens are derived: a word, or its first letters, is a mark of toxicity when it occurs almost only in toxic
+documents and tells something of them that stronger marks don't (words that merely come along, such as
+those of copied documents, are explained away); the tokens with a mark in toxic documents are labelled toxic. The field has two states; a token's evidence is the sum of
+the weights of its word, its first five letters and its last three. It is fitted by gradient steps
 on the likelihood, whose expectations come from forward-backward. Marginals then give spans (stretches
 with a marginal of at least a half) and, through a two-weight logistic fit, the document's score.
 
@@ -33,19 +34,18 @@ from lectern.llm.shingles import portions
 TOKEN = re.compile(r"\w+")
 PER_CLASS = 1_500
 MOST_CHARS = 30_000
-STEPS = 40
+STEPS = 30
 # A word is toxic evidence when it is this much more frequent, by documents, among toxic ones.
 LIFT = 20.0
-LEAST_DOCS = 3
+LEAST_DOCS = 5
+EXPLAINED = 3
 _BLOCK = 64
 _KEPT_WORDS = 300_000
 
 
 def features(word: str) -> tuple[str, ...]:
-    """The word, its first four and five letters, its last three."""
+    """The word, its first five letters, its last three."""
     found = ["=" + word]
-    if len(word) > 4:
-        found.append("^" + word[:4])
     if len(word) > 5:
         found.append("^" + word[:5])
     if len(word) > 3:
@@ -144,7 +144,9 @@ def fit(rows: list[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, lea
         seen[x].update({f for w in np.unique(found).tolist() for f in of_word[w]})
     n1, n0 = int(label.sum()), int((1 - label).sum())
     names = list(ids)
-    marks = {f for f, k in seen[1].items() if k >= least and names[f][0] in "=^" and (k + 0.5) / (n1 + 1) >= lift * (seen[0][f] + 0.5) / (n0 + 1)}
+    likely = {f for f, k in seen[1].items() if k >= least and names[f][0] in "=^" and (k + 0.5) / (n1 + 1) >= lift * (seen[0][f] + 0.5) / (n0 + 1)}
+    holds = [Counter(f for w in found.tolist() for f in of_word[w] if f in likely) for found, x in zip(tokens, label.tolist()) if x]
+    marks = _marks(holds, max(least, n1 // 100))
     evident = np.array([any(f in marks for f in fs) for fs in of_word] or [False])
 
     flat = np.concatenate(tokens)
@@ -193,6 +195,34 @@ def fit(rows: list[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, lea
     return model
 
 
+def _marks(holds: list[Counter], least: int) -> set[int]:
+    """Of the likely marks each toxic document holds (with their numbers), those needed to explain the documents.
+
+    The mark of most documents is taken again and again; a document in which marks taken occur ``EXPLAINED``
+    times needs no more, and a mark must occur in ``least`` documents that do.
+    """
+    open_docs = {d: set(fs) for d, fs in enumerate(holds) if fs}
+    left = Counter(f for fs in open_docs.values() for f in fs)
+    where: dict[int, list[int]] = {}
+    for d, fs in open_docs.items():
+        for f in fs:
+            where.setdefault(f, []).append(d)
+    taken: set[int] = set()
+    explained = Counter()
+    while left:
+        mark, n = max(left.items(), key=lambda item: (item[1], -item[0]))
+        if n < least:
+            break
+        taken.add(mark)
+        del left[mark]
+        for d in where[mark]:
+            explained[d] += holds[d][mark]
+            if d in open_docs and explained[d] >= EXPLAINED:
+                for f in open_docs.pop(d) & left.keys():
+                    left[f] -= 1
+    return taken
+
+
 def _sums(p: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sum and largest of each text's marginals."""
     total, most = np.zeros(len(lengths)), np.zeros(len(lengths))
