@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import mixing, quality, tiff, tokencount, toxicity
+from lectern.llm import mixing, neardup, quality, tiff, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.payloads(_table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op5_quality": op5_quality,
     "op6_tiff": op6_tiff,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_token_counts": op9_token_counts,
     "op10_mix": op10_mix,
 }
