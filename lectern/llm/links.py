@@ -41,11 +41,20 @@ def components(links: DataFrame) -> DataFrame:
     return star.unionByName(star.select(F.col("component").alias("id"), "component").distinct())
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids``, marked for broadcast if there are few; their number is checked first."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return F.broadcast(ids) if few else ids
+
+
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is in ``ids`` (id, distinct)."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    keys = ids.select(F.col("id").alias("doc_id"))
-    return docs.join(F.broadcast(keys) if few else keys, "doc_id", "left_semi")
+    return docs.join(_small(ids.select(F.col("id").alias("_id"))), F.col("doc_id") == F.col("_id"), "left_semi")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``ids`` (id, distinct; null counts as a value)."""
+    return docs.join(_small(ids.select(F.col("id").alias("_id"))), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.llm.links import bit_planes, components, confirmed, only, shingle_sets
+from lectern.llm.links import bit_planes, components, confirmed, only, shingle_sets, without
 from lectern.llm.shingles import as_long, shingles
 from lectern.session import cut_lineage
 
@@ -143,3 +143,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = plain.join(joined, ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return linked.select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def representatives(docs: DataFrame, **options) -> DataFrame:
+    """One document of each near-duplicate group, that of the smallest id; documents without words stay.
+
+    Of several rows with one id one stays.
+    """
+    gone = cut_lineage(near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct())
+    left = without(docs, gone)
+    repeated = cut_lineage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id")))
+    if repeated.isEmpty():
+        return left
+    return without(left, repeated).unionByName(only(left, repeated).dropDuplicates(["doc_id"]))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import mixing, neardup, quality, tiff, tokencount, toxicity
+from lectern.llm import decontam, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
@@ -29,6 +41,10 @@ def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.payloads(_table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -43,11 +59,15 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_secrets": op2_secrets,
     "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_tiff": op6_tiff,
+    "op7_pii": op7_pii,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_counts": op9_token_counts,
     "op10_mix": op10_mix,
 }
-ORACLES: dict[str, str] = {"op10_mix": mixing.SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": decontam.SQL, "op10_mix": mixing.SQL}
