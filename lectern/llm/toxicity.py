@@ -32,15 +32,15 @@ from lectern.llm.labelled import held_out, sample
 from lectern.llm.shingles import portions
 
 TOKEN = re.compile(r"\w+")
-PER_CLASS = 1_500
-MOST_CHARS = 30_000
+PER_CLASS = 800
+MOST_CHARS = 20_000
 STEPS = 30
 # A word is toxic evidence when it is this much more frequent, by documents, among toxic ones.
 LIFT = 20.0
 LEAST_DOCS = 5
 EXPLAINED = 3
 _BLOCK = 64
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 100_000
 
 
 def features(word: str) -> tuple[str, ...]:
@@ -173,8 +173,9 @@ def fit(rows: list[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, lea
         by_word = np.bincount(flat, weights=truth - p, minlength=len(of_word))
         e, t = np.exp(np.clip(evidence, -30, 30)), np.exp(moves)
         f, g, after = forward[:-1], backward[1:], e[1:]
-        cells = np.stack([t[0, 0] * np.ones(len(f)), t[0, 1] * after * g, t[1, 0] * f, t[1, 1] * f * after * g])
-        cells = (cells / cells.sum(axis=0))[:, inner[1:]].sum(axis=1)
+        f, g = f[inner[1:]], (after * g)[inner[1:]]
+        whole = t[0, 0] + t[0, 1] * g + t[1, 0] * f + t[1, 1] * f * g
+        cells = [0.0, (t[0, 1] * g / whole).sum(), (t[1, 0] * f / whole).sum(), (t[1, 1] * f * g / whole).sum()]
         gradient = np.concatenate([np.bincount(feature_of, weights=by_word[word_of], minlength=len(ids)), [by_word.sum()], [pairs[0, 1] - cells[1], pairs[1, 0] - cells[2], pairs[1, 1] - cells[3]]]) - 0.05 * theta
         # Each weight steps by its own pace, which grows while its gradient keeps its sign.
         turned = gradient * before
