@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.shingles import as_long, shingles
+from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
 
 # Up to so many ids (16 bytes each) are sent to all tasks; beyond that the tables are shuffled.
@@ -62,7 +62,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["doc_id"], "shingles": [as_long(shingles(t)) for t in batch["text"]]})
+            texts = batch["text"].tolist()
+            for piece in portions([len(t or "") for t in texts]):
+                yield pd.DataFrame({"id": batch["doc_id"].values[piece], "shingles": [as_long(shingles(t)) for t in texts[piece]]})
 
     return docs.select("doc_id", "text").mapInPandas(run, "id long, shingles array<long>").dropDuplicates(["id"])
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.links import bit_planes, components, confirmed, only, shingle_sets, without
-from lectern.llm.shingles import as_long, shingles
+from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
 
 PERCENT = 75
@@ -40,7 +40,7 @@ MOST_LONG = 161
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RNG.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
-_SLICE = 4096
+_SLICE = 1024
 
 
 def signature(values: np.ndarray, count: int) -> np.ndarray:
@@ -64,19 +64,23 @@ def keys(symbols: np.ndarray) -> np.ndarray:
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            found = shingles(text)
-            digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
-            rows.append((len(found), *digest, keys(signature(found, SYMBOLS)) if len(found) else []))
-        yield pd.DataFrame({"doc_id": batch["doc_id"], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
+        texts = batch["text"].tolist()
+        for piece in portions([len(t or "") for t in texts]):
+            rows = []
+            for text in texts[piece]:
+                found = shingles(text)
+                digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
+                rows.append((len(found), *digest, keys(signature(found, SYMBOLS)) if len(found) else []))
+            yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
 
 
 def _long_signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        symbols = np.stack([signature(np.asarray(s, dtype=np.int64).view(np.uint64), LONG_SYMBOLS) for s in batch["shingles"]]) if len(batch) else np.empty((0, LONG_SYMBOLS), np.uint16)
-        planes, long = bit_planes(symbols[:, :SYMBOLS], 16), bit_planes(symbols, LONG_BITS)
-        yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in batch["shingles"]], "planes": list(planes), "long": list(long)})
+        sets = batch["shingles"].tolist()
+        for piece in portions([len(s) for s in sets]):
+            symbols = np.stack([signature(np.asarray(s, dtype=np.int64).view(np.uint64), LONG_SYMBOLS) for s in sets[piece]])
+            planes, long = bit_planes(symbols[:, :SYMBOLS], 16), bit_planes(symbols, LONG_BITS)
+            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "planes": list(planes), "long": list(long)})
 
 
 def _differing(left: Column, right: Column, first: int, bits: int) -> Column:

@@ -13,7 +13,7 @@ import numpy as np
 import xxhash
 
 SHINGLE = 5
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 # One odd multiplier for each place of a word in its shingle.
 _PLACES = np.array([xxhash.xxh64_intdigest(f"place {j}") | 1 for j in range(SHINGLE)], dtype=np.uint64)
@@ -61,7 +61,7 @@ def as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def portions(lengths: list[int], limit: int = 4_000_000) -> Iterator[slice]:
+def portions(lengths: list[int], limit: int = 1_000_000) -> Iterator[slice]:
     """Slices of consecutive rows whose lengths add up to about ``limit`` (one row at least)."""
     start = total = 0
     for i, n in enumerate(lengths):
