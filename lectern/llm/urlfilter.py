@@ -145,7 +145,8 @@ def judge(pages: DataFrame, rules=RULES, lexicon=SPAM_WORDS) -> DataFrame:
     sums = tokens.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"), F.count("*").alias("v")).first()
     classes = labelled.agg(F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), F.coalesce(F.sum(1 - F.col("blocked")), F.lit(0)).alias("g")).first()
     share = lambda c, whole: F.log((F.col(c) + 1.0) / float(whole + sums["v"] + 1))
-    ratios = tokens.select("token", F.round((share("bad", sums["b"]) - share("good", sums["g"])) * ONE).cast("bigint").alias("ratio"))
+    # The lexicon adds to its own words and takes nothing from the others.
+    ratios = tokens.select("token", F.round((share("bad", sums["b"] - 2 * len(lexicon) * LEXICON_WEIGHT) - share("good", sums["g"])) * ONE).cast("bigint").alias("ratio"))
     base = int(round(np.log((classes["b"] + 1.0) / (classes["g"] + 1.0)) * ONE))
     by_host = hosted.join(ratios, "token").groupBy("host").agg(F.sum("ratio").alias("host_score"))
     by_path = pathed.join(ratios, "token").groupBy("path").agg(F.sum("ratio").alias("path_score"))
