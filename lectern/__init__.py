@@ -1 +1 @@
-"""Learning-analytics operators for Spark: every operator maps DataFrames to a DataFrame."""
+"""Operators for learning data for Spark: every operator maps DataFrames to a DataFrame."""

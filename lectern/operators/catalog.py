@@ -77,19 +77,19 @@ def exercises_by_topic(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("topic").agg(F.array_sort(F.collect_set("exercise")).alias("exercises"))
 
 
-def cover_graph(edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def cover_graph(edges: DataFrame) -> DataFrame:
     """Direct and transitive relations of a DAG, with the level of each node.
 
     Paths grow by one edge per round; each round holds the distinct (source, target) pairs joined by
-    a path of that length, written to the shared folder.  A path longer than ``max_depth`` means a
+    a path of that length, written to the shared folder.  A path that leads back to its source is a
     cycle, which is an error.  A node's level is its longest downstream path plus one.
     """
     direct = cut_lineage(edges.select("source", "target").where("source <> target").distinct())
     step = direct.select(F.col("source").alias("target"), F.col("target").alias("next"))
     paths, rounds, depth = direct, [], 1
     while not paths.isEmpty():
-        if depth > max_depth:
-            raise ValueError(f"path longer than {max_depth}: the graph has a cycle")
+        if not paths.where("source = target").isEmpty():
+            raise ValueError("the graph has a cycle")
         rounds.append(paths.withColumn("depth", F.lit(depth)))
         paths = cut_lineage(paths.join(step, "target").select("source", F.col("next").alias("target")).distinct())
         depth += 1

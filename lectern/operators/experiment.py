@@ -116,9 +116,9 @@ def experiment_snapshots(
         "experiment", "alternative", F.timestamp_seconds("tick").alias("time"), "participants", "conversions")
 
 
-def experiment_timeline(snapshots: DataFrame, alternatives: DataFrame, limit: int | None = 1000) -> DataFrame:
-    """Conversion rate over time, in percent unless the test counts conversions; the newest ``limit``
-    snapshots of each test."""
+def experiment_timeline(snapshots: DataFrame, alternatives: DataFrame, limit: int | None = None) -> DataFrame:
+    """Conversion rate over time, in percent unless the test counts conversions; all snapshots, or
+    the newest ``limit`` of each test."""
     rules = alternatives.select("experiment", "counting").distinct()
     if limit is not None:
         snapshots = top_k(snapshots, ["experiment"], [F.col("time").desc(), F.col("alternative").asc()], limit)

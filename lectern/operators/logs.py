@@ -22,7 +22,8 @@ CACHE_LINE = r'^\t1:([\d.]+) memcache: ([^ ]+) "([^"]+)" ?(\((?:success|fail)\))
 # The last part of a cache key's name that does not vary by user or item.
 KEY_PREFIXES = (
     "_ag5", ":ag5", "last_action_cache_2_", "notifications_dict_for_", "VoteRateLimiter", "FlagRateLimiter",
-    "api_topic_videos", "identity_bucket", "profile_from_userid:", "blog_posts_id=", "oauth_token_1/",
+    "api_topic_videos", "identity_bucket", "bingo_random", "profile_from_userid:", "blog_posts_id=", "oauth_token_1/",
+    "_gae_alternative:", "__gae_mini_profiler_request_",
 )
 SETTERS = ("set", "set_multi", "add", "add_multi", "replace", "replace_multi")
 COUNTERS = ("incr", "decr", "offset_multi")

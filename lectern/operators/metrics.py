@@ -83,5 +83,5 @@ def collate_records(df: DataFrame, fixed: Sequence[str], key: str, value: str, o
 
 
 def metric_history(df: DataFrame, time: str, limit: int) -> DataFrame:
-    """The newest records of a series, newest first."""
-    return df.orderBy(F.col(time).desc()).limit(limit)
+    """The newest records of a series, newest first; equal times go by the other columns."""
+    return df.orderBy(F.col(time).desc(), *[F.col(f"`{c}`") for c in df.columns if c != time]).limit(limit)

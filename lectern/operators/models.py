@@ -17,7 +17,7 @@ from lectern.operators.stats import FEATURES, accuracy_features, history_validit
 from lectern.session import cut_lineage
 
 MIN_SAMPLES = 2500
-SEED = 909090
+SEED = 7
 
 
 # -- feature samples ---------------------------------------------------------------------------

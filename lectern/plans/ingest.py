@@ -96,7 +96,9 @@ def key_sample_md5(b: Inputs):
     return readers.key_sample(b.table("lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", fraction=0.25)
 
 
-@query("key_sample_hash", "IN-5")
+@query("key_sample_hash", "IN-5", """
+    WITH h AS (SELECT *, md5(l_orderkey::VARCHAR) AS m FROM lineitem)
+    SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM h WHERE ('0x' || substr(m, 25, 8))::BIGINT % 16 = 0""")
 def key_sample_hash(b: Inputs):
     return readers.key_sample(b.table("lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", buckets=16)
 

@@ -9,14 +9,14 @@ from lectern.plans.bindings import SQL_INPUTS, Inputs
 from lectern.plans.registry import query
 
 N = 60
-MASTERY = ("mastery.analytics", "mastery.review")
+MASTERY = ("mastery.scheduled", "mastery.review")
 
 SQL_INPUTS.update({
     "b_attempts": """
         SELECT event_id, "user", problem_type AS topic, exercise, epoch_us(ts) / 1e6 AS time_done, time_taken, problem_number, correct,
                event_id % 4 = 0 AS randomized, 'seg' || (event_id % 3) AS user_segment, dt,
                CASE WHEN "user" % 11 = 3 AND event_id % 2 = 0 THEN 'alt9' ELSE 'alt' || ("user" % 3) END AS alternative,
-               CASE WHEN event_id % 4 = 0 THEN 'mastery.analytics' WHEN event_id % 9 = 1 THEN 'practice' WHEN event_id % 9 <> 2 THEN 'mastery.review' END AS task_type
+               CASE WHEN event_id % 4 = 0 THEN 'mastery.scheduled' WHEN event_id % 9 = 1 THEN 'practice' WHEN event_id % 9 <> 2 THEN 'mastery.review' END AS task_type
         FROM b_numbered_log""",
     "b_trial_attempts": """
         SELECT * REPLACE ('topic_' || (substr(exercise, 4)::INT % 3) AS topic, problem_number + CASE WHEN "user" % 7 = 0 THEN 1 ELSE 0 END AS problem_number)
@@ -70,7 +70,7 @@ def attempts(b: Inputs):
         (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("time_done"), "time_taken", "problem_number", "correct",
         (ident % 4 == 0).alias("randomized"), F.concat(F.lit("seg"), ident % 3).alias("user_segment"), "dt",
         F.when((k % 11 == 3) & (ident % 2 == 0), "alt9").otherwise(F.concat(F.lit("alt"), k % 3)).alias("alternative"),
-        F.when(ident % 4 == 0, "mastery.analytics").when(ident % 9 == 1, "practice").when(ident % 9 != 2, "mastery.review").alias("task_type"))
+        F.when(ident % 4 == 0, "mastery.scheduled").when(ident % 9 == 1, "practice").when(ident % 9 != 2, "mastery.review").alias("task_type"))
 
 
 def attempts_any(b: Inputs):
@@ -225,20 +225,20 @@ def position_curves_by_type(b: Inputs):
 
 
 @query("type_ratios", "LE-8", """
-    WITH c AS (SELECT position, COUNT(*) FILTER (WHERE task_type = 'mastery.analytics') AS t, COUNT(*) FILTER (WHERE task_type LIKE 'mastery%') AS m,
+    WITH c AS (SELECT position, COUNT(*) FILTER (WHERE task_type = 'mastery.scheduled') AS t, COUNT(*) FILTER (WHERE task_type LIKE 'mastery%') AS m,
                       COUNT(task_type) AS a FROM b_positions GROUP BY 1)
     SELECT position, round(t / NULLIF(m, 0), 6) AS test_to_mastery, round(t / NULLIF(a, 0), 6) AS test_to_all, round(m / NULLIF(a, 0), 6) AS mastery_to_all FROM c""")
 def type_ratios(b: Inputs):
-    return rounded(ops.type_ratios(attempts(b), N, "mastery.analytics", MASTERY))
+    return rounded(ops.type_ratios(attempts(b), N, "mastery.scheduled", MASTERY))
 
 
 @query("mastery_run_accuracy", "LE-8", """
     WITH r AS (SELECT *, SUM(COALESCE(task_type = 'practice', false)::INT) OVER (PARTITION BY "user" ORDER BY position) AS run FROM b_positions),
     j AS (SELECT *, row_number() OVER (PARTITION BY "user", run ORDER BY position) - CASE WHEN run > 0 THEN 1 ELSE 0 END AS run_position FROM r)
     SELECT run_position, COUNT(*) AS total, COUNT(*) FILTER (WHERE correct) AS correct, round(AVG(correct::INT), 6) AS accuracy
-    FROM j WHERE task_type = 'mastery.analytics' GROUP BY 1""")
+    FROM j WHERE task_type = 'mastery.scheduled' GROUP BY 1""")
 def mastery_run_accuracy(b: Inputs):
-    return rounded(ops.mastery_run_accuracy(attempts(b), N, "mastery.analytics", ["practice"]))
+    return rounded(ops.mastery_run_accuracy(attempts(b), N, "mastery.scheduled", ["practice"]))
 
 
 @query("efficiency_curves", "LE-9", """

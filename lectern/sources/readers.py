@@ -80,7 +80,7 @@ def key_sample(df: DataFrame, key: str, *, buckets: int | None = None, fraction:
     The comparison is inclusive, so a fraction of 0.5 keeps 51 of 100 residues.
     """
     if buckets is not None:
-        return df.where(F.pmod(F.hash(key), F.lit(buckets)) == 0)
+        return df.where(md5_mod(F.col(key).cast("string"), buckets) == 0)
     if fraction is None:
         raise ValueError("give buckets or fraction")
     return df.where(md5_mod(F.col(key).cast("string"), 100) <= fraction * 100)

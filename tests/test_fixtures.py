@@ -114,7 +114,7 @@ def test_cover_graph_levels_and_cycles(spark, rows):
     assert ("a", "c", "descendant", 3) in out and ("a", "c", "covers", 3) in out and ("c", "a", "covered", 1) in out
     assert ("b", "a", "ancestor", 2) in out and len([r for r in out if r[2] == "descendant"]) == 3
     with pytest.raises(ValueError, match="cycle"):
-        catalog.cover_graph(spark.createDataFrame([("a", "b"), ("b", "a")], "source string, target string"), max_depth=5)
+        catalog.cover_graph(spark.createDataFrame([("a", "b"), ("b", "a")], "source string, target string"))
 
 
 # -- activity ---------------------------------------------------------------------------------
@@ -444,3 +444,13 @@ def test_total_row_equals_sum_of_parts(spark):
     for category in ("all", "registered", "phantom"):
         assert len({sums[category, a] for a in ("video", "top_topic", "second_topic", "total")}) == 1
     assert sums["all", "total"] == sums["registered", "total"] + sums["phantom", "total"]
+
+
+def test_cover_graph_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(70)], "source string, target string")
+    levels = {r["node"]: r["level"] for r in catalog.cover_graph(edges).select("node", "level").distinct().collect()}
+    assert levels["n00"] == 71 and levels["n70"] == 1
+
+
+def test_key_prefixes_are_whole():
+    assert len(logs.KEY_PREFIXES) == 14
