@@ -49,7 +49,7 @@ def user_experiment_info(assigned: DataFrame, users: DataFrame) -> DataFrame:
 def counted_conversions(participations: DataFrame, conversions: DataFrame, alternatives: DataFrame) -> DataFrame:
     """Conversions that count: after taking part, in a live test; the first one only in a binary test."""
     rules = alternatives.select("experiment", "live", "counting").distinct()
-    began = participations.groupBy("experiment", "identity").agg(F.min("ts").alias("began"), F.min_by("alternative", "ts").alias("alternative"))
+    began = participations.groupBy("experiment", "identity").agg(F.min("ts").alias("began"), F.min(F.struct("ts", "alternative")).getField("alternative").alias("alternative"))
     hits = conversions.select("experiment", "identity", "ts").join(began, ["experiment", "identity"]).where("ts >= began").join(
         rules.where("live"), "experiment")
     many = hits.where("counting").select("experiment", "alternative", "ts")
@@ -60,7 +60,7 @@ def counted_conversions(participations: DataFrame, conversions: DataFrame, alter
 
 def experiment_results(participations: DataFrame, conversions: DataFrame, alternatives: DataFrame) -> DataFrame:
     """Participants, conversions and rate of every alternative."""
-    people = participations.groupBy("experiment", "identity").agg(F.min_by("alternative", "ts").alias("alternative")).groupBy(
+    people = participations.groupBy("experiment", "identity").agg(F.min(F.struct("ts", "alternative")).getField("alternative").alias("alternative")).groupBy(
         "experiment", "alternative").agg(F.count(F.lit(1)).alias("participants"))
     counted = counted_conversions(participations, conversions, alternatives).groupBy("experiment", "alternative").agg(
         F.count(F.lit(1)).alias("conversions"))
@@ -100,7 +100,7 @@ def experiment_snapshots(
     its first participant to ``end``.  Events are summed per interval before anything is ordered."""
     span = minutes * 60
     stop = F.unix_timestamp(F.lit(end).cast("timestamp"))
-    first = participations.groupBy("experiment", "identity").agg(F.min("ts").alias("ts"), F.min_by("alternative", "ts").alias("alternative"))
+    first = participations.groupBy("experiment", "identity").agg(F.min("ts").alias("ts"), F.min(F.struct("ts", "alternative")).getField("alternative").alias("alternative"))
     rows = first.select("experiment", "alternative", "ts", F.lit(1).alias("p"), F.lit(0).alias("c")).unionByName(
         counted_conversions(participations, conversions, alternatives).select(
             "experiment", "alternative", "ts", F.lit(0).alias("p"), F.lit(1).alias("c")))
