@@ -61,7 +61,7 @@ def submitter_counts(log: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def url_latency_stats(
-    log: DataFrame, by: str = "url", day: str | None = None, measures: Sequence[str] = ("ms", "cpu_ms", "cpm"), width: float = 16.0
+    log: DataFrame, by: str = "url", day: str | None = None, measures: Sequence[str] = ("ms", "cpu_ms", "cpm"), width: float | None = None
 ) -> DataFrame:
     """Per day and url (or route): requests, mean response size and exact percentiles of each measure.
 
@@ -122,14 +122,19 @@ def key_prefix(key: Column, prefixes: Sequence[str] = KEY_PREFIXES) -> Column:
     return F.regexp_replace(key, "(" + "|".join(f"\\Q{p}\\E" for p in prefixes) + ").*", "$1...")
 
 
+def _is_request() -> Column:
+    return ~F.startswith("value", F.lit("\t")) & F.col("value").rlike(REQUEST_LINE)
+
+
 def cache_log_parse(lines: DataFrame, ignore_before: str | None = None, prefixes: Sequence[str] = KEY_PREFIXES) -> DataFrame:
     """Cache commands with the request they belong to: the nearest request line before them in the file.
 
+    ``line_id`` and ``request_id`` are places (file, block, running number), so lines logged at one time keep their order.
     ``ignore_before`` is a text; requests older than the first one that holds it are left out.
     """
-    is_request = ~F.startswith("value", F.lit("\t")) & F.col("value").rlike(REQUEST_LINE)
+    is_request = _is_request()
     request = F.struct(
-        F.concat_ws(":", "file", "block", "seq").alias("request_id"),
+        F.struct("file", "block", "seq").alias("request_id"),
         F.to_timestamp(F.regexp_extract("value", REQUEST_LINE, 1), "dd/MMM/yyyy:HH:mm:ss").alias("time"),
         F.regexp_extract("value", REQUEST_LINE, 2).alias("url"))
     tagged = lines.withColumns({"own": F.when(is_request, request)})
@@ -143,7 +148,7 @@ def cache_log_parse(lines: DataFrame, ignore_before: str | None = None, prefixes
     cell = lambda i: F.regexp_extract("value", CACHE_LINE, i)
     return placed.where(F.col("own").isNull() & F.col("value").rlike(CACHE_LINE)).select(
         F.col("r.request_id").alias("request_id"), F.col("r.time").alias("request_time"), F.col("r.url").alias("url"),
-        cell(1).cast("double").alias("time"), F.concat_ws(":", "file", "block", "seq").alias("line_id"),
+        cell(1).cast("double").alias("time"), F.struct("file", "block", "seq").alias("line_id"),
         cell(2).alias("command"), cell(3).alias("key"), key_prefix(cell(3), prefixes).alias("key_prefix"),
         (cell(4) != "(fail)").alias("success"), F.coalesce(cell(5).try_cast("bigint"), F.lit(0)).alias("num_bytes"),
         F.coalesce(cell(6).try_cast("bigint"), F.lit(0)).alias("expires"))
@@ -236,11 +241,29 @@ def cache_get_never_set(ops: DataFrame) -> DataFrame:
 
 
 def cache_space(ops: DataFrame) -> DataFrame:
-    """Bytes of the last value of each key per prefix, for keys still live and keys seen to be evicted."""
+    """Bytes of the last value of each key per prefix, for keys still live and keys seen to be evicted, and
+    the bytes and items of either kind in all."""
     s = _key_states(_labelled(ops)).where("last_set IS NOT NULL").withColumn(
-        "state", F.when(F.col("last_miss") > F.col("last_set"), "evicted_bytes").otherwise("live_bytes"))
-    n = s.groupBy("state", "key_prefix").agg(F.sum("size").alias("n"))
-    return n.select(F.col("state").alias("report"), F.col("key_prefix").alias("key"), F.col("n").cast("double").alias("value"))
+        "state", F.when(F.col("last_miss") > F.col("last_set"), "evicted").otherwise("live"))
+    n = s.groupBy("state", "key_prefix").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("items"))
+    cell = lambda report, key, value: F.struct(report.alias("report"), key.alias("key"), value.cast("double").alias("value"))
+    total = F.concat("state", F.lit("_total"))
+    cells = n.select(F.explode(F.array(
+        cell(F.concat("state", F.lit("_bytes")), F.col("key_prefix"), F.col("bytes")),
+        cell(total, F.lit("bytes"), F.col("bytes")), cell(total, F.lit("items"), F.col("items")))).alias("c"))
+    return cells.groupBy("c.report", "c.key").agg(F.sum("c.value").alias("value"))
+
+
+def cache_idle_requests(lines: DataFrame, ops: DataFrame) -> DataFrame:
+    """How many requests the log lines hold, and how many of them made no cache command.
+
+    ``lines`` are those ``ops`` was parsed from, both over the same time.
+    """
+    asked = lines.agg(count_if(_is_request()).alias("n"))
+    busy = ops.select("request_id").distinct().agg(F.count(F.lit(1)).alias("n"))
+    cells = asked.select(F.lit("requests").alias("key"), F.col("n").alias("value")).unionByName(
+        asked.select(F.lit("without cache commands").alias("key"), (F.col("n") - busy.scalar()).alias("value")))
+    return _tall(cells, "idle_requests", F.col("key"), F.col("value"))
 
 
 CACHE_REPORTS = {

@@ -12,6 +12,9 @@ from lectern.session import new_folder
 
 START, END = "2024-01-03", "2024-01-28"
 
+# The key's prefix, one of all by the number of the event.
+_ANY_PREFIX = f"{list(ops.KEY_PREFIXES)}[k // 2 % {len(ops.KEY_PREFIXES)} + 1]"
+
 SQL_INPUTS.update({
     "b_requests": """
         SELECT event_id, ts, dt, "user", k, event_type, CASE WHEN k % 10 <> 9 THEN 'ident' || "user" END AS identity,
@@ -24,18 +27,19 @@ SQL_INPUTS.update({
         SELECT "user" AS id, exercise, problem_number - 1 AS total_done, 'text ' || event_id AS text, epoch_us(ts) / 1e6 + event_id % 1500 AS ts
         FROM b_numbered_log WHERE problem_type <> 'view'
         UNION ALL SELECT "user", exercise, problem_number - 1, 'again ' || event_id, epoch_us(ts) / 1e6 + event_id % 1500 - 100 FROM b_numbered_log WHERE event_id % 2 = 0""",
-    "b_cache_ops": """
-        SELECT event_id, floor(epoch(ts))::BIGINT AS request_time, '/page/' || (k % 20) AS url, (epoch_us(ts) + o * 1000) / 1e6 AS time, o, command, key,
-               regexp_replace(key, '(_ag5|last_action_cache_2_).*', '\\1...') AS key_prefix, success, num_bytes, expires
-        FROM (SELECT *, 0 AS o, 'get' AS command, CASE WHEN k % 2 = 0 THEN 'ns_ag5' || "user" ELSE 'last_action_cache_2_' || "user" END AS key, k % 3 <> 0 AS success, 0 AS num_bytes, 0 AS expires FROM b_events
-              UNION ALL SELECT *, 1, 'set', CASE WHEN k % 2 = 0 THEN 'ns_ag5' || "user" ELSE 'plain' || k END, true, 100 + k, 2160000 FROM b_events WHERE k % 3 = 0
-              UNION ALL SELECT *, 2, 'incr', 'count' || (k % 7), k % 10 <> 0, 0, 0 FROM b_events WHERE k % 5 = 0)""",
+    "b_cache_ops": f"""
+        SELECT event_id, floor(epoch(ts))::BIGINT AS request_time, '/page/' || (k % 20) AS url, (epoch_us(ts) + CASE WHEN event_id % 4 = 0 THEN 0 ELSE o * 1000 END) / 1e6 AS time, o,
+               (epoch_us(ts) + CASE WHEN event_id % 4 = 0 THEN 0 ELSE o * 1000 END) * 100 + o AS seq, command, key,
+               regexp_replace(key, '({"|".join(ops.KEY_PREFIXES)}).*', '\\1...') AS key_prefix, success, num_bytes, expires
+        FROM (SELECT *, 10 AS o, 'get' AS command, CASE WHEN k % 2 = 0 THEN 'ns_ag5' || "user" ELSE {_ANY_PREFIX} || "user" END AS key, k % 3 <> 0 AS success, 0 AS num_bytes, 0 AS expires FROM b_events WHERE event_id % 11 <> 0
+              UNION ALL SELECT *, 9, 'set', CASE WHEN k % 2 = 0 THEN 'ns_ag5' || "user" ELSE 'plain' || k END, true, 100 + k, 2160000 FROM b_events WHERE k % 3 = 0
+              UNION ALL SELECT *, 11, 'incr', 'count' || (k % 7), k % 10 <> 0, 0, 0 FROM b_events WHERE k % 5 = 0)""",
     "b_ops": """
         SELECT *, command IN ('set', 'incr') AS sets, command = 'get' AS gets, command <> 'set' AND success AS hit, command <> 'set' AND NOT success AS miss,
                length(key) + CASE command WHEN 'incr' THEN 4 ELSE num_bytes END AS size FROM b_cache_ops""",
     "b_keys": """
-        SELECT key, key_prefix, MIN(time) FILTER (WHERE sets) AS fs, MAX(time) FILTER (WHERE sets) AS ls, MAX(time) FILTER (WHERE gets) AS lg,
-               MAX(time) FILTER (WHERE miss AND NOT sets) AS lm, arg_max(size, time) FILTER (WHERE sets) AS size FROM b_ops GROUP BY 1, 2""",
+        SELECT key, key_prefix, MIN(seq) FILTER (WHERE sets) AS fs, MAX(seq) FILTER (WHERE sets) AS ls, MAX(seq) FILTER (WHERE gets) AS lg,
+               MAX(seq) FILTER (WHERE miss AND NOT sets) AS lm, arg_max(size, seq) FILTER (WHERE sets) AS size FROM b_ops GROUP BY 1, 2""",
 })
 
 
@@ -119,20 +123,32 @@ def message_attempt_match(b: Inputs):
     return ops.message_attempt_match(logs, messages)
 
 
-def cache_ops(b: Inputs):
-    """The events as raw log text, read back and parsed."""
+def cache_lines(b: Inputs):
+    """The events as raw log text, read back line by line: up to twelve lines each, some logged at one time."""
     k, micros = F.col("k"), F.unix_micros(F.col("ts").cast("timestamp"))
-    line = lambda o, *rest: F.concat(F.lit("\n\t1:"), ((micros + o * 1000).cast("decimal(20,0)") / 1000000).cast("decimal(20,6)").cast("string"), F.lit(" memcache: "), *rest)
-    owned = F.concat(F.when(k % 2 == 0, F.lit("ns_ag5")).otherwise(F.lit("last_action_cache_2_")), "user")
+    line = lambda o, *rest: F.concat(F.lit("\n\t1:"), ((micros + F.when(F.col("event_id") % 4 == 0, 0).otherwise(o * 1000)).cast("decimal(20,0)") / 1000000).cast("decimal(20,6)").cast("string"), F.lit(" memcache: "), *rest)
+    owned = F.concat(F.when(k % 2 == 0, F.lit("ns_ag5")).otherwise(F.get(F.array(*map(F.lit, ops.KEY_PREFIXES)), F.floor(k / 2) % len(ops.KEY_PREFIXES))), "user")
     text = F.concat(
         F.lit("10.0.0.1 - - ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "/page/'), k % 20, F.lit('" 200'),
-        line(0, F.lit('get "'), owned, F.when(k % 3 == 0, '" (fail)').otherwise('" (success)')),
-        F.when(k % 3 == 0, line(1, F.lit('set "'), F.when(k % 2 == 0, owned).otherwise(F.concat(F.lit("plain"), k)), F.lit('" ('), 100 + k, F.lit(" bytes) (expires 2160000)"))).otherwise(""),
-        F.lit("\n\t1:0.0 note: nothing to see"),
-        F.when(k % 5 == 0, line(2, F.lit('incr "count'), k % 7, F.when(k % 10 == 0, '" (fail)').otherwise('" (success)'))).otherwise(""))
+        *[F.lit(f"\n\t1:0.{i} note: nothing to see") for i in range(8)],
+        F.when(k % 3 == 0, line(9, F.lit('set "'), F.when(k % 2 == 0, owned).otherwise(F.concat(F.lit("plain"), k)), F.lit('" ('), 100 + k, F.lit(" bytes) (expires 2160000)"))).otherwise(""),
+        F.when(F.col("event_id") % 11 != 0, line(10, F.lit('get "'), owned, F.when(k % 3 == 0, '" (fail)').otherwise('" (success)'))).otherwise(""),
+        F.when(k % 5 == 0, line(11, F.lit('incr "count'), k % 7, F.when(k % 10 == 0, '" (fail)').otherwise('" (success)'))).otherwise(""))
     path = new_folder(b.spark, "log")
     b.events.select(text.alias("value")).write.text(path)
-    return ops.cache_log_parse(ops.read_log_lines(b.spark, path))
+    return ops.read_log_lines(b.spark, path)
+
+
+def cache_ops(b: Inputs):
+    return ops.cache_log_parse(cache_lines(b))
+
+
+@query("cache_idle_requests", "LO-7", """
+    SELECT 'idle_requests' AS report, 'requests' AS key, COUNT(*)::DOUBLE AS value FROM b_events
+    UNION ALL SELECT 'idle_requests', 'without cache commands', COUNT(*)::DOUBLE FROM b_events WHERE event_id % 11 = 0 AND k % 3 <> 0 AND k % 5 <> 0""")
+def cache_idle_requests(b: Inputs):
+    lines = cache_lines(b)
+    return ops.cache_idle_requests(lines, ops.cache_log_parse(lines))
 
 
 @query("cache_log_parse", "LO-6", "SELECT request_time, url, time, command, key, key_prefix, success, num_bytes::BIGINT AS num_bytes, expires::BIGINT AS expires FROM b_cache_ops")
@@ -152,18 +168,20 @@ _CACHE_SQL = {
         SELECT 'access_pattern' AS report, '(' || f || ', ' || s || ', ' || h || ')' AS key, COUNT(*)::DOUBLE AS value FROM r GROUP BY 2
         UNION ALL SELECT 'access_pattern', CASE WHEN f > 0 AND s > 0 THEN 'failed get and set' ELSE 'no failed get and set' END, COUNT(*)::DOUBLE FROM r GROUP BY 2""",
     "evicted_gets": """
-        SELECT 'evicted_gets' AS report, o.key_prefix AS key, COUNT(*)::DOUBLE AS value FROM b_ops o JOIN b_keys k ON k.key = o.key WHERE miss AND NOT sets AND o.time > k.fs GROUP BY 2""",
+        SELECT 'evicted_gets' AS report, o.key_prefix AS key, COUNT(*)::DOUBLE AS value FROM b_ops o JOIN b_keys k ON k.key = o.key WHERE miss AND NOT sets AND o.seq > k.fs GROUP BY 2""",
     "most_gets": """
         SELECT 'most_gets' AS report, key, n::DOUBLE AS value FROM (SELECT key, COUNT(*) AS n FROM b_ops WHERE hit GROUP BY 1 ORDER BY n DESC, key LIMIT 10)""",
     "set_never_get": """
         WITH n AS (SELECT key_prefix, COUNT(*) FILTER (WHERE lg IS NULL OR lg < ls) AS u, COUNT(*) FILTER (WHERE lg > fs) AS g FROM b_keys WHERE ls IS NOT NULL GROUP BY 1 HAVING u > 0)
         SELECT 'set_never_get' AS report, key_prefix AS key, u::DOUBLE AS value FROM n UNION ALL SELECT 'set_and_get', key_prefix, g::DOUBLE FROM n""",
     "get_never_set": """
-        WITH r AS (SELECT o.* FROM b_ops o JOIN b_keys k ON k.key = o.key WHERE hit AND NOT sets AND (k.fs IS NULL OR o.time < k.fs))
+        WITH r AS (SELECT o.* FROM b_ops o JOIN b_keys k ON k.key = o.key WHERE hit AND NOT sets AND (k.fs IS NULL OR o.seq < k.fs))
         SELECT 'get_never_set' AS report, key_prefix AS key, COUNT(*)::DOUBLE AS value FROM r GROUP BY 2
         UNION ALL SELECT 'get_never_set_range', 'from', MIN(time) FROM r UNION ALL SELECT 'get_never_set_range', 'to', MAX(time) FROM r""",
     "space": """
-        SELECT CASE WHEN lm > ls THEN 'evicted_bytes' ELSE 'live_bytes' END AS report, key_prefix AS key, SUM(size)::DOUBLE AS value FROM b_keys WHERE ls IS NOT NULL GROUP BY 1, 2""",
+        WITH s AS (SELECT *, CASE WHEN lm > ls THEN 'evicted' ELSE 'live' END AS state FROM b_keys WHERE ls IS NOT NULL)
+        SELECT state || '_bytes' AS report, key_prefix AS key, SUM(size)::DOUBLE AS value FROM s GROUP BY 1, 2
+        UNION ALL SELECT state || '_total', 'bytes', SUM(size)::DOUBLE FROM s GROUP BY 1 UNION ALL SELECT state || '_total', 'items', COUNT(*)::DOUBLE FROM s GROUP BY 1""",
 }
 for _report, _sql in _CACHE_SQL.items():
     query(f"cache_{_report}", "LO-7", f"SELECT report, key, round(value, 6) AS value FROM ({_sql})")(

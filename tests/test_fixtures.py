@@ -342,10 +342,24 @@ def test_evicted_and_unused_keys(spark, rows):
     ops = [("r1", 1.0, "set", "k", True, 10), ("r1", 2.0, "get", "k", False, 0), ("r2", 3.0, "set", "k", True, 20), ("r2", 0.5, "get", "old", True, 0), ("r3", 4.0, "set", "lost", True, 7)]
     df = spark.createDataFrame(ops, "request_id string, time double, command string, key string, success boolean, num_bytes bigint").withColumns({"key_prefix": F.col("key"), "line_id": F.lit("l")})
     assert rows(logs.cache_report(df, "evicted_gets"), "key", "value") == [("k", 1.0)]
-    assert rows(logs.cache_report(df, "space")) == [("live_bytes", "k", 21.0), ("live_bytes", "lost", 11.0)]
+    assert rows(logs.cache_report(df, "space")) == [
+        ("live_bytes", "k", 21.0), ("live_bytes", "lost", 11.0), ("live_total", "bytes", 32.0), ("live_total", "items", 2.0)]
     assert rows(logs.cache_report(df, "set_never_get")) == [("set_and_get", "k", 1.0), ("set_and_get", "lost", 0.0), ("set_never_get", "k", 1.0), ("set_never_get", "lost", 1.0)]
 
 
+def test_cache_lines_of_one_time_keep_their_order(spark, folder, rows):
+    """Line 9 sets, line 10 looks the key up in vain at the same logged time; the last request does nothing."""
+    text = ['10.0.0.1 - - [22/May/2012:10:00:00 -0700] "/first" 200', *["\tnoise"] * 8, '\t1:1.5 memcache: set "k" (7 bytes)', '\t1:1.5 memcache: get "k" (fail)',
+            '10.0.0.1 - - [22/May/2012:10:00:05 -0700] "/idle" 200']
+    spark.createDataFrame([("\n".join(text),)], "value string").coalesce(1).write.text(folder("log"))
+    lines = logs.read_log_lines(spark, folder("log"))
+    ops = logs.cache_log_parse(lines)
+    assert rows(logs.cache_report(ops, "evicted_gets"), "key", "value") == [("k", 1.0)]
+    assert rows(logs.cache_report(ops, "space")) == [("evicted_bytes", "k", 8.0), ("evicted_total", "bytes", 8.0), ("evicted_total", "items", 1.0)]
+    assert rows(logs.cache_report(ops, "get_never_set"), "key", "value") == [("from", None), ("to", None)]
+    assert rows(logs.cache_idle_requests(lines, ops), "key", "value") == [("requests", 2.0), ("without cache commands", 1.0)]
+
+
 def test_message_match_window(spark, rows):
     problems = spark.createDataFrame([("u", "e", 3, "log3", 1000.0, D(2024, 1, 1)), ("u", "e", 4, "log4", 5000.0, D(2024, 1, 1))], "id string, exercise string, problem_number int, info string, ts double, dt date")
     messages = spark.createDataFrame([("u", "e", 2, "old", 900.0), ("u", "e", 2, "hello", 1599.0), ("u", "e", 3, "far", 4400.0)], "id string, exercise string, total_done int, text string, ts double")
