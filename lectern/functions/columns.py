@@ -69,3 +69,11 @@ def explode_present(df: DataFrame, items: list[Column], name: str) -> DataFrame:
     """One row per item that is not NULL.  The filter runs after the generator, inside generated code;
     ``array_compact`` before it would be interpreted for every row."""
     return df.withColumn(name, F.explode(F.array(*items))).where(F.col(name).isNotNull())
+
+
+def explode_range(df: DataFrame, first: str | Column, last: str | Column, name: str, step: int = 1024) -> DataFrame:
+    """A row for each whole number from ``first`` to ``last``, in two steps, so that no row holds the whole range."""
+    low, high = F.col(first) if isinstance(first, str) else first, F.col(last) if isinstance(last, str) else last
+    ranged = df.withColumns({"__low": low.cast("bigint"), "__high": high.cast("bigint")}).where("__low <= __high")
+    blocks = ranged.withColumn("__low", F.explode(F.sequence("__low", "__high", F.lit(step).cast("bigint"))))
+    return blocks.withColumn(name, F.explode(F.sequence("__low", F.least(F.col("__low") + (step - 1), F.col("__high"))))).drop("__low", "__high")

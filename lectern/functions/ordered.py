@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lectern.session import cut_lineage
+
 CHUNK = "__chunk"
 
 
@@ -133,3 +135,17 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, r
     name = rank or "__rank"
     out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= k)
     return out if rank else out.drop(name)
+
+
+def number_all(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name``, the place of each row (from 0) in the unique ``order`` of all rows.
+
+    Rows are sorted into ranges whose bounds Spark takes from the data; each range is numbered by itself, and
+    the sizes of the ranges before it are added.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    placed = cut_lineage(ranged).withColumns({"__part": F.shiftright("__id", 33), "__row": F.col("__id").bitwiseAND((1 << 33) - 1)})
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row per task
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return placed.join(offsets, "__part").withColumn(name, F.col("__off") + F.col("__row")).drop("__id", "__part", "__row", "__off")

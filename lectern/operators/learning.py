@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lectern.functions.columns import clamp, count_if, explode_present
+from lectern.functions.columns import clamp, count_if, explode_present, explode_range
 from lectern.functions.ordered import epoch_hour_chunk, scan_groups, top_k
 from lectern.session import cut_lineage
 
@@ -81,9 +81,10 @@ def accuracy_deltas(attempts: DataFrame, order: Sequence[str] = ORDER) -> DataFr
     user did."""
     cards = cut_lineage(_topic_positions(attempts.where("topic <> 'any'"), order).where("randomized"))
     gains = card_gains(cards, ["user", "topic"], order, "card_number").where("prev IS NOT NULL")
-    spread = gains.select(
+    spans = gains.select(
         "topic", "user_segment", F.col("done").alias("num_problems_done"), (F.col("delta") / F.col("dist")).alias("gain"),
-        F.explode(F.sequence("prev", F.col("card_number") - 1)).alias("card_number"))
+        "prev", F.col("card_number").alias("next"))
+    spread = explode_range(spans, "prev", F.col("next") - 1, "card_number")
     return spread.groupBy("topic", "user_segment", "num_problems_done", "card_number").agg(
         F.sum("gain").alias("sum_deltas"), F.count(F.lit(1)).alias("num_deltas"), F.avg("gain").alias("avg_deltas"))
 
@@ -120,11 +121,14 @@ def learning_curve_view(retention: DataFrame, deltas: DataFrame, topic: str, seg
         (F.sum("sum_deltas") / F.sum("num_deltas")).alias("gain"))
     kept = retention.where(chosen).groupBy(F.col("bucket_value").alias("card_number")).agg(
         F.sum("num_attempts").alias("a"), F.sum("num_correct").alias("c"))
-    # One row per card number from here on.
-    along = Window.partitionBy(F.lit(0)).orderBy("card_number").rowsBetween(Window.unboundedPreceding, 0)
-    return gains.join(kept, "card_number", "full").select(
-        "card_number", "gain", F.sum("gain").over(along).alias("cumulative_gain"),
-        (F.col("a") / F.greatest(F.max("a").over(Window.partitionBy(F.lit(0))), F.lit(1))).alias("retention"),
+    # One row per card number from here on; they run as far as the longest log, so the sum goes by chunks.
+    rows = scan_groups(
+        gains.join(kept, "card_number", "full"), [], ["card_number"], F.floor(F.col("card_number") / 10_000),
+        sums={"cumulative_gain": F.col("gain"), "gains": F.col("gain").isNotNull().cast("int")})
+    most = kept.agg(F.max("a")).scalar()
+    return rows.select(
+        "card_number", "gain", F.when(F.col("gains") > 0, F.col("cumulative_gain")).alias("cumulative_gain"),
+        (F.col("a") / F.greatest(most, F.lit(1))).alias("retention"),
         (F.col("c") / F.col("a")).alias("pct_correct"))
 
 
@@ -187,9 +191,10 @@ def experiment_learning_curves(
         *keys, zero.alias("num_all_cards"), F.lit(1).cast("bigint").alias("num_test_cards"),
         F.col("correct").cast("bigint").alias("num_correct"), F.col("time_taken").cast("bigint").alias("time_taken"),
         none.alias("raw_gain"), none.alias("total_increments"), F.col("ability").alias("sum_abilities"), none.alias("ability_gain"))
-    size = 1.0 / (F.col("position") - F.col("prev"))
-    gained = steps.where("prev IS NOT NULL").select(
-        "alternative", "topic", F.explode(F.sequence("prev", F.col("position") - 1)).alias("position"),
+    spans = steps.where("prev IS NOT NULL").withColumnRenamed("position", "next").withColumn("size", 1.0 / (F.col("next") - F.col("prev")))
+    size = F.col("size")
+    gained = explode_range(spans, "prev", F.col("next") - 1, "position").select(
+        *keys,
         zero.alias("num_all_cards"), zero.alias("num_test_cards"), zero.alias("num_correct"), zero.alias("time_taken"),
         (size * (F.col("correct").cast("int") - F.col("prev_correct").cast("int"))).alias("raw_gain"), size.alias("total_increments"),
         none.alias("sum_abilities"), (size * (F.col("ability") - F.col("prev_ability"))).alias("ability_gain"))

@@ -64,7 +64,7 @@ def weighted_mean(df: DataFrame, weight: str, fields: Sequence[str], keys: Seque
         total.alias(weight), *[(F.sum(F.col(weight) * F.col(f)) / F.when(total != 0, total)).alias(f) for f in fields])
 
 
-def median_record(df: DataFrame, fields: Sequence[str], keys: Sequence[str] = (), width: float = 1.0) -> DataFrame:
+def median_record(df: DataFrame, fields: Sequence[str], keys: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """Median of each field per key; an even number of values gives the mean of the middle two."""
     tall = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("v")) for f in fields])).alias("c")).select(*keys, "c.*")

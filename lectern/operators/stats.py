@@ -31,7 +31,7 @@ LOG_FLOOR = -100.0
 
 
 def trimmed_mean(
-    df: DataFrame, value: str, keys: Sequence[str], lower: float = 0.1, upper: float = 0.9, width: float = 1.0
+    df: DataFrame, value: str, keys: Sequence[str], lower: float = 0.1, upper: float = 0.9, width: float | None = None
 ) -> DataFrame:
     """Mean of the values whose rank percentile lies in [lower, upper]; values that are not finite do not
     count.  One value has percentile .5, two have .49999 and .50001.
@@ -236,35 +236,35 @@ def model_averages(quality: DataFrame, curve: DataFrame, model: str = "model", g
 def in_order_attempts(attempts: DataFrame, chunk: Column | None = None, order: Sequence[str] = ("time_done", "event_id")) -> DataFrame:
     """The attempts of each (user, exercise) whose number is the next one due, starting with 1, in time order.
 
-    Runs of consecutive numbers are found first.  Each round then finds, for every group, the earliest
-    attempt after the last taken run that has the number due, and takes its run from there on.  A
-    tidy log needs one round; groups that gain nothing drop out.
+    Runs of consecutive numbers are found first.  The end of a run leads to the earliest later attempt
+    that has the next number, and so to that attempt's run.  From each group's first attempt with
+    number 1 the chain of such hops is followed with hops of doubling length, so n breaks take about log2(n) rounds.
     """
     group = ["user", "exercise"]
     chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
-    steps = scan_groups(attempts, group, order, chunk, lags={"prev": "problem_number"})
+    steps = scan_groups(attempts, group, order, chunk, number="__pos", lags={"prev": "problem_number"})
     fresh = F.col("prev").isNull() | (F.col("problem_number") != F.col("prev") + 1)
     runs = cut_lineage(scan_groups(steps.withColumn("__fresh", fresh), group, order, chunk, sums={"run": F.col("__fresh").cast("int")}).drop("prev", "__fresh"))
-    at = F.struct(*order)
-    ends = runs.groupBy(*group, "run").agg(F.max("problem_number").alias("until"), F.max(at).alias("end"))
-    spots = runs.select(*group, "problem_number", "run", at.alias("at"))
-    due = cut_lineage(runs.select(*group).distinct().select(*group, F.lit(1).cast("bigint").alias("due"), F.lit(None).cast(spots.schema["at"].dataType).alias("after")))
-    taken = []
+    number = F.col("problem_number").cast("bigint")
+    # Along falling positions the nearest later attempt is the last one met.
+    spots = runs.select(*group, number.alias("due"), (-F.col("__pos")).alias("back"), "run", F.lit(True).alias("spot"))
+    ends = runs.groupBy(*group, "run").agg(F.max("__pos").alias("end"), F.max(number).alias("until")).select(
+        *group, (F.col("until") + 1).alias("due"), (-F.col("end")).alias("back"), "run", F.lit(False).alias("spot"))
+    met = scan_groups(
+        spots.unionByName(ends), [*group, "due"], ["back"], F.floor(F.col("back") / 100_000), last_known={"next": (F.col("run"), F.col("spot"))})
+    hops = cut_lineage(met.where("NOT spot AND next IS NOT NULL").select(*group, "run", "next", "due"))
+    starts = runs.where("problem_number = 1").groupBy(*group).agg(F.min_by("run", "__pos").alias("run"))
+    reached, hop = cut_lineage(starts), hops.select(*group, "run", "next")
     while True:
-        found = due.join(spots, group).where(
-            (F.col("problem_number") == F.col("due")) & (F.col("after").isNull() | (F.col("at") > F.col("after")))
-        ).groupBy(*group, "due").agg(F.min_by("run", "at").alias("run"))
-        step = cut_lineage(found.join(ends, [*group, "run"]))
-        if step.isEmpty():
+        found = cut_lineage(reached.join(hop, [*group, "run"]).select(*group, F.col("next").alias("run")))
+        if found.isEmpty():
             break
-        taken.append(step.select(*group, "run", "due"))
-        due = step.select(*group, (F.col("until") + 1).cast("bigint").alias("due"), F.col("end").alias("after"))
-    if not taken:
-        return attempts.limit(0)
-    segments = taken[0]
-    for more in taken[1:]:
-        segments = segments.unionByName(more)
-    return runs.join(segments, [*group, "run"]).where("problem_number >= due").select(*attempts.columns)
+        reached = cut_lineage(reached.unionByName(found))
+        onward = hop.select(*group, F.col("run").alias("next"), F.col("next").alias("far"))
+        hop = cut_lineage(hop.join(onward, [*group, "next"]).select(*group, "run", F.col("far").alias("next")))
+    entered = starts.withColumn("due", F.lit(1).cast("bigint")).unionByName(
+        reached.join(hops, [*group, "run"]).select(*group, F.col("next").alias("run"), "due"))
+    return runs.join(entered, [*group, "run"]).where("problem_number >= due").select(*attempts.columns)
 
 
 def compare_models(
@@ -341,7 +341,7 @@ def temporal_performance(perf: DataFrame, keys: Sequence[str] = ("job", "predict
         F.when(weight > 0, F.sum("logl").over(along) / F.when(weight > 0, weight)).otherwise(F.lit(0.0)).alias("smooth_logl"))
 
 
-def quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = (), width: float = 1.0) -> DataFrame:
+def quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """The values at index floor((n - 1) q) of the sorted column, one row per q."""
     wide = exact_quantiles(df, list(keys), value, {f"q{i}": q for i, q in enumerate(qs)}, width=width, interpolate=False)
     cells = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col(f"q{i}").alias("value")) for i, q in enumerate(qs)])

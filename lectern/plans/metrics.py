@@ -88,7 +88,7 @@ query("weighted_mean", "OP-6", """
 query("median_record", "OP-6", """
     SELECT l_returnflag, round(median(l_quantity), 6) AS l_quantity, round(median(l_extendedprice), 6) AS l_extendedprice, round(median(l_tax), 6) AS l_tax
     FROM lineitem GROUP BY 1""")(
-    lambda b: rounded(ops.median_record(b.table("lineitem"), ["l_quantity", "l_extendedprice", "l_tax"], ["l_returnflag"], width=100.0)))
+    lambda b: rounded(ops.median_record(b.table("lineitem"), ["l_quantity", "l_extendedprice", "l_tax"], ["l_returnflag"])))
 
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 query("collate_records", "OP-7", "SELECT c_nationkey::BIGINT AS c_nationkey, " + ", ".join(

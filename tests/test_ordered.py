@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import ip_to_long, md5_mod
-from lectern.functions.ordered import scan_groups, top_k
-from lectern.functions.quantile import exact_quantiles
+from lectern.functions.columns import explode_range, ip_to_long, md5_mod
+from lectern.functions.ordered import number_all, scan_groups, top_k
+from lectern.functions.quantile import exact_quantiles, value_chunk
 from lectern.operators.coach import rolling_active_teachers, rolling_active_users
 
 DAY = dt.date(2024, 1, 1)
@@ -147,3 +147,33 @@ def test_md5_modulo_and_ip(spark):
             assert r.r == int(hashlib.md5(r.s.encode()).hexdigest(), 16) % m
     ips = spark.createDataFrame([("1.2.3.4",), ("255.255.255.255",), ("x.2.3.4",), ("1.2.3",), (None,)], "ip string")
     assert [r[0] for r in ips.select(ip_to_long(F.col("ip"))).collect()] == [16909060, 4294967295, None, None, None]
+
+
+def test_value_chunks_follow_the_data(spark):
+    for values in ([i / 5000 for i in range(5000)], [1.7e9 + i for i in range(5000)], [-(2.0 ** (i / 100)) for i in range(2000)]):
+        df = spark.createDataFrame([(v,) for v in values], "v double").withColumns({"low": F.lit(min(values)), "high": F.lit(max(values))})
+        chunks = df.withColumn("c", value_chunk(F.col("v"), F.col("low"), F.col("high")))
+        sizes = [r["count"] for r in chunks.groupBy("c").count().collect()]
+        assert len(sizes) > 100 and max(sizes) < len(values) / 20
+        by_value = [tuple(r.c) for r in chunks.orderBy("v").collect()]
+        assert by_value == sorted(by_value)
+    mixed = [-3.0, -1e-300, 0.0, 1e-300, 0.5, 7.0]
+    df = spark.createDataFrame([(v,) for v in mixed], "v double")
+    row = exact_quantiles(df, [], "v", {"low": 0.0, "mid": 0.4, "high": 1.0}, interpolate=False).first()
+    assert (row.low, row.mid, row.high) == (-3.0, 0.0, 7.0)
+    same = spark.createDataFrame([("k", 4.0)] * 3 + [(None, 1.0)], "k string, v double")
+    assert {r.k: r.q for r in exact_quantiles(same, ["k"], "v", {"q": 0.5}).collect()} == {"k": 4.0, None: 1.0}
+
+
+def test_number_all(spark):
+    items = [(f"item{i:05d}",) for i in range(3000)]
+    out = number_all(spark.createDataFrame(items, "item string").repartition(7), ["item"], "n").collect()
+    assert {r.n: r.item for r in out} == {i: item for i, (item,) in enumerate(items)}
+    assert number_all(spark.createDataFrame([], "item string"), ["item"], "n").count() == 0
+
+
+def test_explode_range(spark):
+    df = spark.createDataFrame([(1, 5000), (7, 7), (9, 8)], "a bigint, b bigint")
+    out = explode_range(df, "a", "b", "i", step=100)
+    assert out.where("a = 1").agg(F.count("i"), F.min("i"), F.max("i"), F.countDistinct("i")).first()[:] == (5000, 1, 5000, 5000)
+    assert [r.i for r in out.where("a > 1").collect()] == [7]
