@@ -17,6 +17,7 @@ from lectern.operators.stats import FEATURES, accuracy_features, history_validit
 from lectern.session import cut_lineage
 
 MIN_SAMPLES = 2500
+NODES, MORE_NODES = {1: 15, 2: 7}, 64
 SEED = 7
 
 
@@ -44,13 +45,14 @@ def random_components(keys: DataFrame, dim: int, seed: int = SEED) -> DataFrame:
 
 
 def feature_samples(
-    attempts: DataFrame, chunk: Column | None = None, dim: int = 100, seed: int = SEED, numbers: tuple[int, int] = (1, 6), one_in_n: int | None = None,
-    order: Sequence[str] = ("time_done", "event_id"), weights: dict[str, float] = WEIGHTS,
+    attempts: DataFrame, chunk: Column | None = None, dim: int = 100, seed: int = SEED, numbers: tuple[int, int | None] = (1, 6), one_in_n: int | None = None,
+    order: Sequence[str] = ("time_done", "event_id"), weights: dict[str, float] = WEIGHTS, randomized: bool = False,
 ) -> DataFrame:
     """Training samples of users with a valid history, described before each attempt: model prediction and
     features, exercises met so far, position, and the sum of the random vectors of their first attempts.
 
-    Sampled are problem numbers in [numbers), or one in ``one_in_n`` attempts by hash.
+    Sampled are problem numbers in [numbers) (None: no upper end), or one in ``one_in_n`` attempts by hash; ``randomized``
+    keeps only cards the scheduler drew at random, while all attempts still count as history.
     """
     chunk = epoch_hour_chunk(order[0]) if chunk is None else chunk
     valid = history_validity(attempts, chunk, order).where("sequential").select("user")
@@ -66,7 +68,11 @@ def feature_samples(
     if one_in_n is not None:
         kept = placed.where(F.pmod(F.xxhash64("user", *order), F.lit(one_in_n)) == 0)
     else:
-        kept = placed.where((F.col("problem_number") >= numbers[0]) & (F.col("problem_number") < numbers[1]))
+        kept = placed.where(F.col("problem_number") >= numbers[0])
+        if numbers[1] is not None:
+            kept = kept.where(F.col("problem_number") < numbers[1])
+    if randomized:
+        kept = kept.where("randomized")
     return kept.select(
         "exercise", F.col("correct").cast("int").alias("correct"), "prediction", "n_prev_ex", "problem_number",
         (F.col("position") - 1).alias("attempt_number"), *FEATURES, F.array(*[F.col(f"f{i}") - own(i) for i in range(dim)]).alias("random"))
@@ -129,9 +135,10 @@ def _newton_steps(group: str, l2: float):
 
 def fit_per_group(
     samples: DataFrame, group: str = "exercise", label: str = "correct", min_samples: int = MIN_SAMPLES, l2: float = 1e-6,
-    max_steps: int = 25, tolerance: float = 1e-7,
+    max_steps: int = 100, tolerance: float = 1e-7,
 ) -> DataFrame:
-    """Logistic regression of ``label`` on ``features`` for every group at once: theta and sample count.
+    """Logistic regression of ``label`` on ``features`` for every group at once: theta, sample count, and
+    ``converged``, whether the last step moved no entry by ``tolerance`` or more.
 
     Newton's method: each step is one pass over the samples in which every task adds up gradient and
     curvature per group; the sums meet entry by entry, and the solves see one row per group.  Groups
@@ -140,18 +147,19 @@ def fit_per_group(
     counts = cut_lineage(samples.groupBy(group).agg(F.count(F.lit(1)).alias("num_samples"), F.max(F.size("features")).alias("d")))
     data = samples.select(group, F.col(label).cast("double").alias(label), "features")
     kind = dict(samples.dtypes)[group]
-    theta = cut_lineage(counts.where(F.col("num_samples") >= min_samples).select(group, F.array_repeat(F.lit(0.0), F.col("d")).alias("theta")))
+    theta = cut_lineage(counts.where(F.col("num_samples") >= min_samples).select(group, F.array_repeat(F.lit(0.0), F.col("d")).alias("theta"), F.lit(None).cast("double").alias("move")))
     for _ in range(max_steps):
-        rows = data.join(theta, group)
+        rows = data.join(theta.select(group, "theta"), group)
         parts = rows.mapInPandas(_partial_sums(group, label), f"{group} {kind}, part array<double>")
         cells = parts.select(group, F.posexplode("part").alias("i", "v")).groupBy(group, "i").agg(F.sum("v").alias("v"))
         total = cells.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda c: c["v"]).alias("total"))
-        stepped = cut_lineage(theta.join(total, group).mapInPandas(_newton_steps(group, l2), f"{group} {kind}, theta array<double>, move double"))
-        theta = stepped.select(group, "theta")
+        stepped = cut_lineage(theta.select(group, "theta").join(total, group).mapInPandas(_newton_steps(group, l2), f"{group} {kind}, theta array<double>, move double"))
+        theta = stepped
         largest = stepped.agg(F.max("move")).first()[0]
         if largest is None or largest < tolerance:
             break
-    return counts.drop("d").join(theta, group, "left").select(group, "theta", "num_samples")
+    fitted = theta.withColumn("converged", F.coalesce(F.col("move") < tolerance, F.lit(False)))
+    return counts.drop("d").join(fitted, group, "left").select(group, "theta", "num_samples", "converged")
 
 
 def predict_per_group(samples: DataFrame, fits: DataFrame, group: str = "exercise") -> DataFrame:
@@ -176,9 +184,12 @@ def fit_forest(samples: DataFrame, label: str = "correct", trees: int = 100, dep
 
 
 def quadrature(dims: int, points: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes and weights of a standard normal ability on an even grid in 1 or 2 dimensions."""
-    if dims not in (1, 2):
-        raise ValueError("quadrature covers 1 or 2 abilities")
+    """Nodes and weights of a standard normal ability: an even grid in 1 or 2 dimensions with ``points`` a side, and beyond
+    ``points`` draws of a fixed seed with their mirror images, as a grid would grow with the power of the dimensions."""
+    if dims > 2:
+        drawn = np.random.default_rng(SEED).standard_normal((points, dims))
+        nodes = np.concatenate([drawn, -drawn])
+        return nodes, np.full(len(nodes), 1.0 / len(nodes))
     axis = np.linspace(-4.0, 4.0, points)
     mass = np.exp(-axis ** 2 / 2)
     if dims == 1:
@@ -196,10 +207,10 @@ def _solve_items(nodes: np.ndarray, l2: float, use_time: bool):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = {"exercise": batch["exercise"], "w_correct": [], "w_time": [], "sigma": []}
+            out = {"exercise": batch["exercise"], "w_correct": [], "w_time": [], "sigma": [], "move": []}
             for row in batch.itertuples(index=False):
                 n, r = np.asarray(row.n), np.asarray(row.r)
-                w = np.asarray(row.w_correct)
+                before = w = np.asarray(row.w_correct)
                 for _ in range(20):
                     p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
                     gradient = x.T @ (r - n * p) - 2 * l2 * w
@@ -209,6 +220,7 @@ def _solve_items(nodes: np.ndarray, l2: float, use_time: bool):
                     if np.abs(move).max() < 1e-9:
                         break
                 out["w_correct"].append(w.tolist())
+                out["move"].append(float(np.abs(w - before).max()))
                 if use_time:
                     s = np.asarray(row.s)
                     v = np.linalg.solve((x * n[:, None]).T @ x + 2 * l2 * np.eye(d), x.T @ s)
@@ -256,23 +268,22 @@ def first_responses(responses: DataFrame, order: Sequence[str], max_time: float
 
 
 def item_response_fit(
-    responses: DataFrame, dims: int = 1, epochs: int = 20, l2: float = 1e-3, use_time: bool = False, points: int | None = None,
-    order: Sequence[str] = ("time_done", "event_id"),
+    responses: DataFrame, dims: int = 1, epochs: int = 100, l2: float = 1e-3, use_time: bool = False, points: int | None = None,
+    order: Sequence[str] = ("time_done", "event_id"), tolerance: float = 1e-3,
 ) -> tuple[DataFrame, DataFrame]:
     """Item couplings and user abilities by expectation maximisation over a grid of abilities.
 
     Each epoch: users' node weights from sums over their answers; expected counts per exercise and node
     from sums over its answers; one small solve per exercise.  Abilities are standard normal; the
-    signs are set so that the mean coupling is not negative.  Returns (items, abilities).
+    signs are set so that the mean coupling is not negative.  It ends when no coupling moves by ``tolerance`` in
+    an epoch, or after ``epochs``.  Returns (items, abilities); ``converged`` says for each item whether its couplings had come to rest.
     """
-    nodes, weights = quadrature(dims, points or (15 if dims == 1 else 7))
+    nodes, weights = quadrature(dims, points or NODES.get(dims, MORE_NODES))
     data = cut_lineage(first_responses(responses, order))
-    start = [1.0] * dims + [0.0]
-    if dims == 2:  # two equal axes could not part
-        start = [1.0, 0.5, 0.0]
+    start = [0.5**j for j in range(dims)] + [0.0]  # equal axes could not part
     vector = lambda v: F.array(*[F.lit(float(x)) for x in v])
     items = cut_lineage(data.select("exercise").distinct().select(
-        "exercise", vector(start).alias("w_correct"), vector([0.0] * (dims + 1)).alias("w_time"), F.lit(1.0).alias("sigma")))
+        "exercise", vector(start).alias("w_correct"), vector([0.0] * (dims + 1)).alias("w_time"), F.lit(1.0).alias("sigma"), F.lit(None).cast("double").alias("move")))
     for _ in range(epochs):
         post = _posteriors(data, items, nodes, weights, use_time).select("user", "post")
         rows = data.join(post, "user")
@@ -282,19 +293,38 @@ def item_response_fit(
             F.array(*[F.sum(F.when(F.col("correct"), F.col("post")[i]).otherwise(0.0)) for i in q]).alias("r"),
             F.array(*[F.sum(F.col("post")[i] * F.col("log_time")) for i in q]).alias("s"), F.sum(F.col("log_time") * F.col("log_time")).alias("q"))
         fitted = counts.join(items.select("exercise", "w_correct"), "exercise").mapInPandas(
-            _solve_items(nodes, l2, use_time), "exercise string, w_correct array<double>, w_time array<double>, sigma double")
+            _solve_items(nodes, l2, use_time), "exercise string, w_correct array<double>, w_time array<double>, sigma double, move double")
         items = cut_lineage(fitted)
+        largest = items.agg(F.max("move")).first()[0]
+        if largest is None or largest < tolerance:
+            break
     mean = [items.agg(F.avg(F.col("w_correct")[j])).scalar() for j in range(dims)]
     sign = [F.when(mean[j] < 0, -1.0).otherwise(1.0) for j in range(dims)] + [F.lit(1.0)]
     flip = lambda w: F.array(*[F.col(w)[j] * sign[j] for j in range(dims + 1)]).alias(w)
-    items = cut_lineage(items.select("exercise", flip("w_correct"), flip("w_time"), "sigma"))
+    items = cut_lineage(items.select("exercise", flip("w_correct"), flip("w_time"), "sigma", F.coalesce(F.col("move") < tolerance, F.lit(False)).alias("converged")))
     return items, estimate_abilities(data, items, dims, use_time, points)
 
 
 def estimate_abilities(data: DataFrame, items: DataFrame, dims: int = 1, use_time: bool = False, points: int | None = None) -> DataFrame:
     """Posterior mean ability of each user, and the log likelihood of the answers."""
-    nodes, weights = quadrature(dims, points or (15 if dims == 1 else 7))
+    nodes, weights = quadrature(dims, points or NODES.get(dims, MORE_NODES))
     post = _posteriors(data, items, nodes, weights, use_time)
     mean = [sum((F.col("post")[i] * float(node[j]) for i, node in enumerate(nodes)), F.lit(0.0)) for j in range(dims)]
     return post.select("user", F.array(*mean).alias("theta"), "logl")
 
+
+def item_response_slope(data: DataFrame, items: DataFrame, dims: int = 1, l2: float = 1e-3, points: int | None = None) -> DataFrame:
+    """Per exercise the slope of the penalised log likelihood at its couplings, per answer: (exercise, n, slope).
+
+    At a fit's result every entry is near 0, whatever way the fit took.
+    """
+    nodes, weights = quadrature(dims, points or NODES.get(dims, MORE_NODES))
+    rows = data.join(_posteriors(data, items, nodes, weights, False).select("user", "post"), "user").join(items.select("exercise", "w_correct"), "exercise")
+
+    def miss(node: np.ndarray) -> Column:
+        z = sum((F.col("w_correct")[j] * float(node[j]) for j in range(dims)), F.col("w_correct")[dims])
+        return F.col("correct").cast("double") - 1.0 / (1.0 + F.exp(-z))
+
+    parts = [F.sum(sum((F.col("post")[q] * miss(node) * float([*node, 1.0][j]) for q, node in enumerate(nodes)), F.lit(0.0))) for j in range(dims + 1)]
+    sums = rows.groupBy("exercise", "w_correct").agg(F.count(F.lit(1)).alias("n"), F.array(*parts).alias("s"))
+    return sums.select("exercise", "n", F.zip_with("s", "w_correct", lambda s, w: (s - 2 * l2 * w) / F.col("n")).alias("slope"))

@@ -148,8 +148,8 @@ SQL_INPUTS["b_odd_features"] = _features_sql("b_odd_attempts")
 SQL_INPUTS["b_odd_predictions"] = f"SELECT *, CASE WHEN total_done > 0 THEN 1 / (1 + exp(-({_z(W)}))) ELSE 0.8 END AS prediction FROM b_odd_features"
 
 
-def samples(b: Inputs, dim: int = _DIM, numbers: tuple[int, int] = (1, 6)):
-    return models.feature_samples(odd_attempts(b).withColumnRenamed("task_type", "problem_type"), dim=dim, numbers=numbers)
+def samples(b: Inputs, dim: int = _DIM, numbers: tuple[int, int | None] = (1, 6), randomized: bool = False):
+    return models.feature_samples(odd_attempts(b).withColumnRenamed("task_type", "problem_type"), dim=dim, numbers=numbers, randomized=randomized)
 
 
 @query("feature_samples", "ST-5", f"""
@@ -161,8 +161,15 @@ def feature_samples(b: Inputs):
     return out.withColumns({**{c: F.round(c, 8) for c in eight}, **{c: F.round(c, 6) + F.lit(0.0) for c in ("prediction", *[f"f{i}" for i in range(_DIM)])}})
 
 
+@query("feature_samples_randomized", "ST-5", """
+    SELECT exercise, problem_number, attempt_number, n_prev_ex::BIGINT AS n_prev_ex, round(prediction, 6) AS prediction FROM b_samples WHERE randomized AND problem_number >= 1""")
+def feature_samples_randomized(b: Inputs):
+    out = samples(b, dim=1, numbers=(1, None), randomized=True)
+    return out.select("exercise", "problem_number", "attempt_number", "n_prev_ex", F.round("prediction", 6).alias("prediction"))
+
+
 def training(b: Inputs):
-    return cut_lineage(models.feature_vector(samples(b, dim=2, numbers=(1, 10 ** 6)), ["custom", "random"]))
+    return cut_lineage(models.feature_vector(samples(b, dim=2, numbers=(1, None)), ["custom", "random"]))
 
 
 @query("fit_per_group", "ST-6")
@@ -178,10 +185,40 @@ def predict_per_group(b: Inputs):
     return scored.groupBy("exercise").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 6).alias("mean_p"), F.round(F.avg("correct"), 6).alias("mean_correct"))
 
 
-@query("fit_forest", "ST-6")
+def flagged(b: Inputs):
+    """Answers described by a constant and one flag, so that the fit is the log odds of either cell."""
+    return b.events.select(
+        F.concat(F.lit("ex_"), F.col("k") % 12).alias("exercise"), (F.col("value") < 60).cast("int").alias("correct"),
+        F.array(F.lit(1.0), (F.col("event_id") % 3 == 0).cast("double")).alias("features"))
+
+
+SQL_INPUTS["b_flagged"] = """
+    SELECT 'ex_' || (k % 12) AS exercise, event_id % 3 = 0 AS flag, COUNT(*) AS n, COUNT(*) FILTER (WHERE value < 60) AS r FROM b_events GROUP BY 1, 2"""
+
+
+@query("fit_log_odds", "ST-6", """
+    WITH c AS (SELECT exercise, SUM(n)::BIGINT AS num_samples, MAX(ln(r / (n - r))) FILTER (WHERE NOT flag) AS a, MAX(ln(r / (n - r))) FILTER (WHERE flag) AS b FROM b_flagged GROUP BY 1)
+    SELECT exercise, num_samples, true AS converged, i::BIGINT AS i, round(CASE i WHEN 0 THEN a ELSE b - a END, 4) AS theta FROM c CROSS JOIN (VALUES (0), (1)) t(i)""")
+def fit_log_odds(b: Inputs):
+    fits = models.fit_per_group(flagged(b), min_samples=1, l2=1e-9)
+    return fits.select("exercise", "num_samples", "converged", F.posexplode("theta").alias("i", "theta")).withColumn("theta", F.round("theta", 4))
+
+
+@query("predict_log_odds", "ST-6", "SELECT exercise, flag, n, r::DOUBLE AS expected FROM b_flagged")
+def predict_log_odds(b: Inputs):
+    rows = flagged(b)
+    scored = models.predict_per_group(rows, models.fit_per_group(rows, min_samples=1, l2=1e-9))
+    return scored.groupBy("exercise", (F.col("features")[1] == 1).alias("flag")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("p"), 3).alias("expected"))
+
+
+@query("fit_forest", "ST-6", """
+    SELECT exercise, COUNT(*) AS n, round(AVG(correct::INT), 6) AS mean_correct, true AS in_range, true AS near FROM b_samples WHERE problem_number >= 1 GROUP BY 1""")
 def fit_forest(b: Inputs):
-    scored = models.fit_forest(training(b), trees=10, depth=4)
-    return scored.groupBy("exercise").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
+    scored = models.fit_forest(training(b))
+    sums = scored.groupBy("exercise").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("correct").alias("c"), F.avg("p").alias("p"), F.min("p").alias("low"), F.max("p").alias("high"))
+    return sums.select("exercise", "n", F.round("c", 6).alias("mean_correct"), ((F.col("low") >= 0) & (F.col("high") <= 1)).alias("in_range"),
+                       (F.abs(F.col("p") - F.col("c")) < 0.1).alias("near"))
 
 
 def scores(b: Inputs):
@@ -303,6 +340,31 @@ def item_response_fit(b: Inputs):
                         *[F.round(F.col("w_time")[i], 4).alias(f"time_{i}") for i in range(2)], F.round("sigma", 4).alias("sigma"))
 
 
+@query("item_response_slope", "ST-12", """
+    SELECT exercise, COUNT(DISTINCT "user") AS n, true AS flat FROM b_attempts GROUP BY 1""")
+def item_response_slope(b: Inputs):
+    items, _ = models.item_response_fit(responses(b), tolerance=0.05)
+    slopes = models.item_response_slope(models.first_responses(responses(b), ("time_done", "event_id")), items)
+    return slopes.select("exercise", "n", F.forall("slope", lambda s: F.abs(s) < 0.002).alias("flat"))
+
+
+@query("item_response_fixed", "ST-12", """
+    WITH f AS (SELECT "user", exercise, correct FROM (SELECT *, row_number() OVER (PARTITION BY "user", exercise ORDER BY time_done, event_id) AS rn FROM b_attempts) WHERE rn = 1),
+    g AS (SELECT -4 + 8.0::DOUBLE * q / 14 AS a FROM (SELECT unnest(generate_series(0, 14)) AS q)),
+    w AS (SELECT a, -a * a / 2 - ln((SELECT SUM(exp(-a * a / 2)) FROM g)) AS p FROM g),
+    z AS (SELECT "user", correct, a, p, (0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE) * a + (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE AS z FROM f CROSS JOIN w),
+    l AS (SELECT "user", a, p - SUM(ln(1 + exp(CASE WHEN correct THEN -z ELSE z END))) AS l FROM z GROUP BY "user", a, p),
+    m AS (SELECT *, MAX(l) OVER (PARTITION BY "user") AS top FROM l)
+    SELECT "user", round(SUM(exp(l - top) * a) / SUM(exp(l - top)), 6) AS theta, round(MAX(top) + ln(SUM(exp(l - top))), 6) AS logl FROM m GROUP BY 1""")
+def item_response_fixed(b: Inputs):
+    """Abilities at given couplings."""
+    data = models.first_responses(responses(b), ("time_done", "event_id"))
+    number = F.substring("exercise", 4, 9).cast("int")
+    items = data.select("exercise").distinct().select(
+        "exercise", F.array(0.5 + number / 12, (number - 6) / 6).alias("w_correct"), F.array(F.lit(0.0), F.lit(0.0)).alias("w_time"), F.lit(1.0).alias("sigma"))
+    return models.estimate_abilities(data, items).select("user", F.round(F.col("theta")[0], 6).alias("theta"), F.round("logl", 6).alias("logl"))
+
+
 @query("item_response_abilities", "ST-12")
 def item_response_abilities(b: Inputs):
     _, abilities = models.item_response_fit(responses(b), epochs=3)
@@ -317,4 +379,4 @@ _QS = (0.0, 0.1, 0.5, 0.9, 1.0)
     WITH r AS (SELECT l_returnflag AS l_shipmode, l_extendedprice AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS i,
                       COUNT(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) SELECT l_shipmode AS l_returnflag, q, value FROM (""", ")"]))
 def quantiles(b: Inputs):
-    return ops.quantiles(b.table("lineitem"), "l_extendedprice", _QS, ["l_returnflag"], width=500.0)
+    return ops.quantiles(b.table("lineitem"), "l_extendedprice", _QS, ["l_returnflag"])

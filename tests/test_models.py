@@ -222,3 +222,36 @@ def test_item_response_in_two_dimensions(spark):
     items, abilities = models.item_response_fit(responses, dims=2, epochs=2, use_time=True)
     assert all(len(r.w_correct) == 3 and r.sigma > 0 for r in items.collect())
     assert all(len(r.theta) == 2 for r in abilities.limit(3).collect())
+
+
+def test_many_breaks_need_few_rounds(spark, monkeypatch):
+    """Each number is met twice, with noise between, so every attempt ends a run."""
+    rows = []
+    for i in range(1, 1001):
+        rows += [("u", "e", 10.0 * i, 3 * i, i, True), ("u", "e", 10.0 * i + 1, 3 * i + 1, i + 5000, True), ("u", "e", 10.0 * i + 2, 3 * i + 2, i, True)]
+    steps = []
+    plain = stats.cut_lineage
+    monkeypatch.setattr(stats, "cut_lineage", lambda df: steps.append(1) or plain(df))
+    df = spark.createDataFrame(rows, "user string, exercise string, time_done double, event_id int, problem_number bigint, correct boolean")
+    taken = {r.event_id for r in stats.in_order_attempts(df).collect()}
+    assert taken == {3 * i for i in range(1, 1001)}
+    assert len(steps) < 45
+
+
+def test_converged_is_said(spark):
+    rows = [(f"g{i % 2}", int(i % 3 > 0), [1.0, float(i % 5)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "exercise string, correct int, features array<double>")
+    assert all(r.converged for r in models.fit_per_group(df, min_samples=10).collect())
+    assert not any(r.converged for r in models.fit_per_group(df, min_samples=10, max_steps=1).collect())
+    assert all(r.converged is None for r in models.fit_per_group(df, min_samples=1000).collect())
+
+
+def test_three_abilities(spark):
+    nodes, weights = models.quadrature(3, 64)
+    assert nodes.shape == (128, 3) and abs(weights.sum() - 1) < 1e-9 and np.abs(weights @ nodes).max() < 1e-9
+    rng = np.random.default_rng(1)
+    rows = [(f"u{u}", f"e{e}", bool(rng.random() < 0.3 + 0.1 * (u % 4)), 10, float(e), e) for u in range(30) for e in range(6)]
+    df = spark.createDataFrame(rows, "user string, exercise string, correct boolean, time_taken int, time_done double, event_id int")
+    items, abilities = models.item_response_fit(df, dims=3, epochs=2, points=8)
+    assert all(len(r.w_correct) == 4 for r in items.collect())
+    assert all(len(r.theta) == 3 and np.isfinite(r.theta).all() for r in abilities.collect()) and abilities.count() == 30
