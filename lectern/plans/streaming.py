@@ -72,12 +72,21 @@ query("rolling_windows", "STR-4", """
     lambda b: jobs.rolling_windows(user_days(b), "2024-02-10", min_days=4))
 
 
-@query("visit_sessions", "STR-4", """
+_VISITS = """
     WITH g AS (SELECT "user", ts, (lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 6 HOURS)::INT AS fresh FROM b_events WINDOW w AS (PARTITION BY "user" ORDER BY ts)),
     s AS (SELECT *, SUM(fresh) OVER (PARTITION BY "user" ORDER BY ts) AS n FROM g),
     v AS (SELECT "user", MIN(ts) AS a, MAX(ts) + INTERVAL 6 HOURS AS z, COUNT(*) AS events FROM s GROUP BY "user", n)
-    SELECT "user", floor(epoch(a))::BIGINT AS session_start, floor(epoch(z))::BIGINT AS session_end, events FROM v WHERE z <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM b_events)""")
+    SELECT "user", floor(epoch(a))::BIGINT AS session_start, floor(epoch(z))::BIGINT AS session_end, events FROM v"""
+
+
+@query("visit_sessions", "STR-4", _VISITS)
 def visit_sessions(b: Inputs):
+    rows = b.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return jobs.visits(rows, "6 hours").withColumns({c: F.unix_timestamp(c) for c in ("session_start", "session_end")})
+
+
+@query("visit_sessions_closed", "STR-4", _VISITS + " WHERE z <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM b_events)")
+def visit_sessions_closed(b: Inputs):
     store = new_folder(b.spark, "visits")
     jobs.visit_sessions(events(b), store, "6 hours")
     return b.spark.read.parquet(store).drop("batch").withColumns({c: F.unix_timestamp(c) for c in ("session_start", "session_end")})

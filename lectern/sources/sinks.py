@@ -47,22 +47,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def merge_buckets(fresh: DataFrame, path: str, keys: Sequence[str], order: Column, buckets: int = 64) -> None:
+def merge_buckets(fresh: DataFrame, path: str, keys: Sequence[str], order: Column, buckets: int = 64, day: str | None = None) -> None:
     """Keep the row with the greatest ``order`` per key in a table split into hash buckets of the key.
 
     Only the buckets that ``fresh`` touches are read and rewritten, through a staged copy.  Merging the
-    same rows twice gives the same table.
+    same rows twice gives the same table.  With ``day``, a time that is one of the keys, the table is split by
+    calendar day instead, so days without fresh rows are left alone, however long the history.
     """
     spark = fresh.sparkSession
-    rows = fresh.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    place, value = ("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if day is None else ("day", F.to_date(day))
+    rows = fresh.withColumn(place, value)
     if table_exists(spark, path):
-        touched = rows.select("bucket").distinct()  # at most ``buckets`` rows
-        rows = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi").unionByName(rows)
+        touched = rows.select(place).distinct()  # at most ``buckets`` rows, or one a calendar day
+        rows = spark.read.parquet(path).join(F.broadcast(touched), place, "left_semi").unionByName(rows)
     staged = new_folder(spark, "merge")
     newest(rows, list(keys), order).write.parquet(staged)
     if not spark.read.parquet(staged).isEmpty():
-        (spark.read.parquet(staged).hint("rebalance", "bucket").write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+        (spark.read.parquet(staged).hint("rebalance", place).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy(place).parquet(path))
 
 
 def publish_report(

@@ -2,7 +2,7 @@
 
 Each job reads a stream with a watermark, which bounds its state, and keeps its result in a table in
 the shared folder.  Batches are written so that a repeated batch changes nothing: rows are merged by
-key into hash buckets, or a batch's own folder is overwritten.
+key into hash buckets, or into calendar days where the key holds a window, or a batch's own folder is overwritten.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lectern.operators.coach import rolling_active_users
 from lectern.operators.geo import split_ip_ranges
 from lectern.functions.columns import ip_to_long
+from lectern.functions.ordered import hour_chunk, scan_groups
 from lectern.session import new_folder
 from lectern.sources.sinks import merge_buckets, table_exists
 
@@ -59,7 +60,7 @@ def snapshot_upsert_stream(
 
 
 def live_experiment_stream(
-    stream: DataFrame, store: str, window: str = "30 minutes", delay: str = DELAY, checkpoint: str | None = None, buckets: int = 16
+    stream: DataFrame, store: str, window: str = "30 minutes", delay: str = DELAY, checkpoint: str | None = None
 ) -> None:
     """Participations and conversions per identity and window.  Input: experiment, alternative, identity,
     kind ('view' or 'convert') and ts.  State lives as long as the watermark lets late rows in."""
@@ -67,7 +68,7 @@ def live_experiment_stream(
     counts = stream.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
     flat = counts.select(F.col("w.start").alias("window_start"), *keys, "n", "first", "last")
-    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys], F.col("n"), buckets), "update", checkpoint)
+    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys], F.col("n"), day="window_start"), "update", checkpoint)
 
 
 def live_experiment_counts(store: DataFrame, rules: DataFrame) -> DataFrame:
@@ -89,7 +90,10 @@ def recent_activity_feed(
     stream: DataFrame, ranges: DataFrame, store: str, n: int, ident: str = "event_id", ts: str = "ts", ip: str = "ip",
     delay: str = DELAY, checkpoint: str | None = None,
 ) -> DataFrame:
-    """The newest ``n`` attempts with their place: repeats and unlocated ones (no place, or 0/0) left out."""
+    """The newest ``n`` attempts with their place: repeats and unlocated ones (no place, or 0/0) left out.
+
+    The store holds two slots in turn: a batch reads the other's and overwrites its own, so it can be repeated.
+    """
     pieces = split_ip_ranges(ranges.select("lo", "hi", "city", "country", "latitude", "longitude"), bits=16)
     rows = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([ident]).withColumn("__n", ip_to_long(F.col(ip)))
     placed = rows.join(
@@ -98,24 +102,27 @@ def recent_activity_feed(
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = f"{store}/batch={batch_id - 1}"
-        both = batch.unionByName(spark.read.parquet(earlier)) if table_exists(spark, earlier) else batch
-        both.orderBy(F.col(ts).desc(), F.col(ident).desc()).limit(n).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        earlier = f"{store}/slot={(batch_id - 1) % 2}"
+        both = batch
+        if batch_id > 0 and table_exists(spark, earlier):
+            both = batch.unionByName(spark.read.parquet(earlier).drop("batch"))
+        newest = both.orderBy(F.col(ts).desc(), F.col(ident).desc()).limit(n)
+        newest.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{store}/slot={batch_id % 2}")
 
     run_available(placed, keep, checkpoint=checkpoint)
     feed = stream.sparkSession.read.parquet(store)
     newest = feed.agg(F.max("batch").alias("batch"))  # a single row
-    return feed.join(F.broadcast(newest), "batch", "left_semi").drop("batch")
+    return feed.join(F.broadcast(newest), "batch", "left_semi").drop("batch", "slot")
 
 
 def activity_day_stream(
     stream: DataFrame, store: str, size: str = "1 day", keys: Sequence[str] = ("user",), ts: str = "ts", delay: str = DELAY,
-    checkpoint: str | None = None, buckets: int = 16,
+    checkpoint: str | None = None,
 ) -> None:
     """Events per user and tumbling window, kept current; rows later than the delay are dropped."""
     counts = stream.withWatermark(ts, delay).groupBy(F.window(ts, size).alias("w"), *keys).agg(F.count(F.lit(1)).alias("events"))
     flat = counts.select(F.col("w.start").alias("window_start"), *keys, "events")
-    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys], F.col("events"), buckets), "update", checkpoint)
+    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys], F.col("events"), day="window_start"), "update", checkpoint)
 
 
 def activity_windows(store: DataFrame) -> DataFrame:
@@ -138,3 +145,15 @@ def visit_sessions(
     flat = visits.select(user, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events")
     run_available(flat, lambda batch, i: batch.write.mode("overwrite").parquet(f"{store}/batch={i}"), checkpoint=checkpoint)
 
+
+def visits(events: DataFrame, gap: str = "30 minutes", user: str = "user", ts: str = "ts", ident: str = "event_id") -> DataFrame:
+    """All visits of a table of events, closed or still open: what :func:`visit_sessions` would write in the end.
+
+    Visits are runs of events cut by the hour, so a user with very many events is no single task.
+    """
+    rows = events.select(user, ts, ident)
+    steps = scan_groups(rows, [user], [ts, ident], hour_chunk(ts), lags={"__prev": ts})
+    fresh = F.col("__prev").isNull() | (F.col(ts) >= F.col("__prev") + F.expr(f"INTERVAL {gap}"))
+    numbered = scan_groups(steps.withColumn("__fresh", fresh.cast("int")), [user], [ts, ident], hour_chunk(ts), sums={"__visit": F.col("__fresh")})
+    return numbered.groupBy(user, "__visit").agg(
+        F.min(ts).alias("session_start"), (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("session_end"), F.count(F.lit(1)).alias("events")).drop("__visit")

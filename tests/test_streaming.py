@@ -1,6 +1,7 @@
 """Streams over several batches, with overlap, late rows and a restart."""
 
 import datetime as dt
+import pathlib
 
 from pyspark.sql import functions as F
 
@@ -74,3 +75,34 @@ def test_sessions_close_behind_the_watermark(spark, folder, rows):
     jobs.visit_sessions(jobs.file_stream(spark, src), store)
     out = spark.read.parquet(store)
     assert rows(out, "user", "events") == [("a", 1), ("a", 2)]
+
+
+def test_closed_days_are_left_alone(spark, folder):
+    src, store, offsets = folder("src"), folder("store"), folder("offsets")
+    run = lambda: jobs.activity_day_stream(jobs.file_stream(spark, src), store, checkpoint=offsets)
+    write(spark, src, [("a", at(0)), ("b", at(30))], "user string, ts timestamp")
+    run()
+    before = {p: p.stat().st_mtime_ns for p in pathlib.Path(store).rglob("*.parquet")}
+    write(spark, src, [("c", at(31))], "user string, ts timestamp")
+    run()
+    after = {p: p.stat().st_mtime_ns for p in pathlib.Path(store).rglob("*.parquet")}
+    same = {p for p in before if after.get(p) == before[p]}
+    assert {p.parent.name for p in same} == {"day=2024-01-01"}
+    assert {p.parent.name for p in after} == {"day=2024-01-01", "day=2024-01-02"}
+
+
+def test_feed_holds_two_slots_only(spark, folder, rows):
+    src, store, offsets = folder("src"), folder("store"), folder("offsets")
+    ranges = spark.createDataFrame([(16777216, 16777471, "Town", "Land", 1.0, 2.0)], "lo bigint, hi bigint, city string, country string, latitude double, longitude double")
+    for i in range(5):
+        write(spark, src, [(i, "1.0.0.1", at(i))], "event_id int, ip string, ts timestamp")
+        out = jobs.recent_activity_feed(jobs.file_stream(spark, src), ranges, store, 2, checkpoint=offsets)
+        assert rows(out, "event_id") == [(k,) for k in range(max(0, i - 1), i + 1)]
+    assert {p.name for p in pathlib.Path(store).iterdir()} == {"slot=0", "slot=1"}
+
+
+def test_all_visits_with_a_busy_user(spark, rows):
+    data = [("a", i, at(i / 10)) for i in range(100)] + [("a", 200, at(10.5)), ("b", 1, at(60)), ("b", 2, at(60)), (None, 3, at(1))]
+    df = spark.createDataFrame(data, "user string, event_id int, ts timestamp")
+    assert rows(jobs.visits(df), "user", "events") == [("a", 1), ("a", 100), ("b", 2)]
+    assert jobs.visits(df.limit(0)).count() == 0
