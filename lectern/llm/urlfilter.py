@@ -129,7 +129,7 @@ def judge(pages: DataFrame, rules=RULES, lexicon=SPAM_WORDS) -> DataFrame:
     ruled = parts.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     hosts = parts.select("host").distinct()
     met = hosts.select("host", F.posexplode(runs(F.col("host"))).alias("place", "run"))
-    counts = word_counts(pages, urls)
+    counts = cut_lineage(word_counts(pages, urls))
     split = segments(met.select("run").distinct(), counts)
     host_words = cut_lineage(met.join(split, "run").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("place", "words"))).alias("w")).select("host", F.flatten(F.col("w.words")).alias("words")))
 
