@@ -17,6 +17,10 @@ SETTINGS = {
 }
 
 
+# Temporary folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(master: str = "local[8]", app: str = "lectern", **extra: str) -> SparkSession:
     """A session for tests and the bench; a cluster supplies its own."""
     builder = SparkSession.builder.master(master).appName(app)
@@ -47,8 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
+        # A running session does not take this setting, so the folder is kept here.
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_DIRS:
+            _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        named = _LOCAL_DIRS[application]
     return named
 
 
