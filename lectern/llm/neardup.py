@@ -10,8 +10,8 @@ and all pairs under the threshold share a key.
 No bucket is expanded into pairs. Documents with equal sets are one class from the start. Each class is first
 checked against the head (smallest id) it shares most keys with, on the whole sets, and components are formed
 from these links. Buckets with one component are then settled. Members of other buckets are checked across components only:
-a pair is taken at its first common key, if their sizes allow the similarity and a longer signature (512 symbols of four
-bits) doesn't rule it out, and is confirmed on whole sets.
+members are dealt to blocks that are compared two by two, a pair is taken at its first common key, if their sizes allow
+the similarity and a longer signature (512 symbols of four bits) doesn't rule it out, and is confirmed on whole sets.
 
 Defined results: null and empty texts have the empty set and are linked with nothing. Rows that share a
 doc_id are one document in the graph and keep a row each. A null doc_id links by its set, but cannot name a component; it has
@@ -21,11 +21,10 @@ component null unless another document has the same set. An empty table gives an
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.links import bit_planes, components, confirmed, only, shingle_sets, without
 from lectern.llm.shingles import as_long, portions, shingles
@@ -41,6 +40,8 @@ _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RNG.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
 _SLICE = 1024
+# Members of a bucket that are compared at once.
+BLOCK = 256
 
 
 def signature(values: np.ndarray, count: int) -> np.ndarray:
@@ -80,46 +81,91 @@ def _long_signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for piece in portions([len(s) for s in sets]):
             symbols = np.stack([signature(np.asarray(s, dtype=np.int64).view(np.uint64), LONG_SYMBOLS) for s in sets[piece]])
             planes, long = bit_planes(symbols[:, :SYMBOLS], 16), bit_planes(symbols, LONG_BITS)
-            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "planes": list(planes), "long": list(long)})
+            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "planes": [p.tobytes() for p in planes], "long": [x.tobytes() for x in long]})
 
 
-def _differing(left: Column, right: Column, first: int, bits: int) -> Column:
-    """A bit for each of 64 symbols that differ in any of ``bits`` planes."""
-    return reduce(lambda x, y: x.bitwiseOR(y), [left[first + b].bitwiseXOR(right[first + b]) for b in range(bits)])
+def at_first_common_key(differ: np.ndarray, place: int) -> np.ndarray:
+    """Whether ``place`` (16 chunks x 4 symbols left out) is the first under which both signatures are filed alike.
 
-
-def _first_common_key(differ: Column, place: Column) -> Column:
-    """Whether ``place`` (16 chunks x 4 symbols left out) is the first under which both signatures are filed alike."""
-    odd, spread = F.lit(0x5555555555555555), F.lit(0x1111111111111111)
-    shifted = F.shiftright(differ, 1)
-    both = differ.bitwiseAND(shifted).bitwiseAND(odd)
-    some = differ.bitwiseOR(shifted).bitwiseAND(odd)
-    # A mark for each chunk with two or more errors.
-    off = both.bitwiseOR(F.shiftright(both, 2)).bitwiseOR(some.bitwiseAND(F.shiftright(some, 2))).bitwiseAND(spread)
-    chunk = (F.shiftright(place, 2) * CHUNK).cast("int")
-    earlier = F.call_function("shiftleft", F.lit(1).cast("bigint"), chunk) - 1
-    errors = F.call_function("shiftright", differ, chunk).bitwiseAND(F.lit(15))
-    left_out = (place % CHUNK).cast("int")
-    alone = ((errors == 0) & (left_out == 0)) | (errors == F.call_function("shiftleft", F.lit(1).cast("bigint"), left_out))
-    return (off.bitwiseAND(earlier) == spread.bitwiseAND(earlier)) & alone
+    ``differ`` has a bit for each symbol in which the signatures of a pair differ.
+    """
+    errors = ((differ[:, None] >> np.arange(SYMBOLS, dtype=np.uint64)) & np.uint64(1)).reshape(-1, SYMBOLS // CHUNK, CHUNK)
+    chunk = (errors.sum(axis=2) <= 1).argmax(axis=1)
+    return chunk * CHUNK + errors[np.arange(len(differ)), chunk].argmax(axis=1) == place
+
+
+class _Members:
+    """Rows of the bucket comparison as arrays."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.key, self.i, self.j, self.own, self.id, self.component, self.n = (rows[c].to_numpy(dtype=np.int64) for c in ("key", "i", "j", "own", "id", "component", "n"))
+        self.planes = np.frombuffer(b"".join(rows["planes"]), dtype=np.uint64).reshape(len(rows), -1)
+        self.long = np.frombuffer(b"".join(rows["long"]), dtype=np.uint64).reshape(len(rows), LONG_SYMBOLS // 64, LONG_BITS)
+
+    def cuts(self) -> list[int]:
+        """Where block pairs begin."""
+        changed = (self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
+        return [0, *(np.flatnonzero(changed) + 1).tolist()]
+
+    def near(self, start: int, stop: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (a, b) of one block pair that are of different components and not ruled out by size or signatures."""
+        own, component = self.own[start:stop], self.component[start:stop]
+        if (component == component[0]).all():
+            return component[:0], component[:0]
+        x, y = np.flatnonzero(own == self.i[start]) + start, np.flatnonzero(own == self.j[start]) + start
+        nx, ny = self.n[x][:, None], self.n[y]
+        to_do = (self.component[x][:, None] != self.component[y]) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+        if self.i[start] == self.j[start]:
+            to_do &= self.id[x][:, None] < self.id[y]
+        differ = np.zeros(to_do.shape, dtype=np.uint64)
+        for plane in self.planes.T:
+            differ |= plane[x][:, None] ^ plane[y]
+        at, to = np.nonzero(to_do & (np.bitwise_count(differ) <= MOST_DIFFERENT))
+        first = at_first_common_key(differ[at, to], self.key[start] >> 48)
+        differ, at, to = None, x[at[first]], y[to[first]]
+        close = np.zeros(len(at), dtype=bool)
+        for k in range(0, len(at), _SLICE):
+            other = np.bitwise_or.reduce(self.long[at[k : k + _SLICE]] ^ self.long[to[k : k + _SLICE]], axis=2)
+            close[k : k + _SLICE] = np.bitwise_count(other).sum(axis=1) <= MOST_LONG
+        return self.id[at[close]], self.id[to[close]]
+
+
+def _compared(percent: int):
+    """The near pairs of all block pairs of a partition that is sorted by them; holds one block pair and one batch."""
+
+    def found(members: _Members, cuts: list[int]) -> pd.DataFrame:
+        pairs = [members.near(start, stop, percent) for start, stop in zip(cuts, cuts[1:])]
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in pairs]), "b": np.concatenate([b for _, b in pairs])})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            members = _Members(rows)
+            cuts = members.cuts()
+            if len(cuts) > 1:
+                yield found(members, cuts)
+            held = rows.iloc[cuts[-1] :]
+        if held is not None and len(held):
+            yield found(_Members(held), [0, len(held)])
+
+    return run
 
 
 def _across(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that the signatures don't rule out."""
-    unsettled = entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rows = cut_lineage(entries.join(unsettled, "key").select("key", "id", "component"))
-    signed = sets.join(rows.select("id").distinct(), "id").mapInPandas(_long_signed, "id long, n int, planes array<long>, long array<long>")
-    full = cut_lineage(rows.join(signed, "id").withColumn("place", F.shiftright("key", 48)))
-    left, right = full.alias("left"), full.alias("right")
-    a, b = (lambda c: F.col(f"left.{c}")), (lambda c: F.col(f"right.{c}"))
-    differ = _differing(a("planes"), b("planes"), 0, 16)
-    words = LONG_SYMBOLS // 64
-    distance = reduce(lambda x, y: x + y, [F.bit_count(_differing(a("long"), b("long"), w * LONG_BITS, LONG_BITS)) for w in range(words)])
-    near = (
-        (a("key") == b("key")) & (a("id") < b("id")) & (a("component") != b("component"))
-        & (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n")))
-        & (F.bit_count(differ) <= MOST_DIFFERENT) & (distance <= MOST_LONG) & _first_common_key(differ, a("place")))
-    return left.join(right, near).select(a("id").alias("a"), b("id").alias("b"))
+    """Pairs (a, b) of one bucket but different components that the signatures don't rule out.
+
+    A bucket's members are dealt to blocks of about ``BLOCK``, and each pair of blocks is compared on its own, so no
+    task holds a large bucket.
+    """
+    buckets = entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = cut_lineage(entries.join(buckets.where("lo <> hi").select("key", "blocks"), "key").select("key", "id", "component", "blocks"))
+    signed = cut_lineage(sets.join(rows.select("id").distinct(), "id").mapInPandas(_long_signed, "id long, n int, planes binary, long binary"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
+    full = paired.join(signed, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return full.mapInPandas(_compared(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

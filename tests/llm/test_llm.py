@@ -84,6 +84,35 @@ def test_pigeonhole_keys():
         assert set(neardup.keys(a).tolist()) & set(neardup.keys(b).tolist())
 
 
+def test_first_common_key_is_taken_once():
+    rng = np.random.default_rng(4)
+    for errors in (0, 5, 20, 31):
+        a = rng.integers(0, 65536, 64).astype(np.uint16)
+        b = a.copy()
+        b[rng.permutation(64)[:errors]] ^= 1
+        differ = np.array([sum(1 << int(k) for k in np.flatnonzero(a != b))], dtype=np.uint64)
+        shared = sorted(set(neardup.keys(a).tolist()) & set(neardup.keys(b).tolist()))
+        taken = [key for key in shared if neardup.at_first_common_key(differ, key >> 48)[0]]
+        assert taken == shared[:1] or [key >> 48 for key in taken] == [min(k >> 48 for k in shared)]
+        assert len(taken) == 1
+
+
+def test_large_bucket_without_links(spark, monkeypatch):
+    """Texts around one passage meet in large buckets, in many blocks; only those that are near are linked."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    passage, rng = _sentence(7, 90), np.random.default_rng(8)
+    rows = []
+    for k in range(120):
+        own = ["p%d" % i for i in rng.integers(0, 90, int(rng.integers(12, 45)))]
+        rows.append((int(1000 - k), " ".join(passage + own)))
+        if k % 6 == 0:
+            rows.append((2000 + k, " ".join(passage + own[:-2])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = _linked([{"doc_id": d, "text": t} for d, t in rows])
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame).collect()}
+    assert found == expected and len(set(expected.values())) > 1
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     found = {r["id"]: r["component"] for r in components(links).collect()}
