@@ -2,11 +2,11 @@
 
 The base forms (e-mail addresses, IP addresses, card numbers, phone numbers) are the seeds. Each seed and
 each other token that holds a digit or an at sign is an instance, met in lexical patterns: the word on its left,
-the word on its right, and both. Patterns and instances form a graph. In turns, a pattern scores the mean over its
-instances (seeds score 1, others what they have got so far), damped by ``DAMPING`` instances, and an instance scores the
-best of its patterns. Scores are whole millionths, so they don't depend on the order of sums. After
-``rounds`` turns, instances of confident patterns, those with enough distinct seeds and a high score,
-that score high are identifiers too.
+the word on its right, and both. Patterns and instances form a graph. A pattern of n instances of which k are identifiers
+is confident when k is at least ``LEAST_SEEDS`` and k / (n + ``DAMPING``) at least ``CONFIDENT``; all instances of a
+confident pattern are identifiers. That goes on in turns, found identifiers counting like seeds, until a turn finds none. Identifiers only
+become more, so it ends, and the result doesn't depend on the order of turns. With the values below a pattern of 5
+identifiers may have 5 other instances, one of 20 may have 28.
 
 Patterns and instances count as distinct texts, so copies don't weigh. Texts are scanned once.
 
@@ -31,8 +31,7 @@ BASE = {
 SMALL_PARTS = r"^0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])){3}$"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 CONTEXT = 40
-ROUNDS, DAMPING = 3, 2
-LEAST_SEEDS, CONFIDENT = 5, 0.8
+LEAST_SEEDS, DAMPING, CONFIDENT = 5, 2, 0.4
 ONE = 1_000_000
 
 
@@ -93,26 +92,26 @@ def _patterns(x: str) -> Column:
     return F.filter(F.when((left != "") & (right != ""), named).when(left != "", F.slice(named, 1, 1)).when(right != "", F.slice(named, 2, 1)).otherwise(F.array().cast("array<string>")), lambda p: p.isNotNull())
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, confident: float = CONFIDENT) -> DataFrame:
-    """pattern, value pairs of instances that are no seeds, where pattern and instance are both confident."""
+def bootstrap(found: DataFrame, least_seeds: int = LEAST_SEEDS, confident: float = CONFIDENT) -> DataFrame:
+    """pattern, value pairs of confident patterns and their instances that are no seeds."""
     met = found.select(F.explode(F.concat(
         F.transform("seeds", lambda s: s.withField("seed", F.lit(True))), F.transform("others", lambda s: s.withField("seed", F.lit(False))))).alias("x"))
     edges = cut_lineage(
         met.select(F.explode(_patterns("x")).alias("pattern"), F.col("x.value").alias("value"), F.col("x.seed").alias("seed"))
         .groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
-    # A pattern without a seed never scores, so only edges of patterns with enough seeds matter.
-    seeds = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n")).where(F.col("seeds") >= least_seeds)
-    live = cut_lineage(edges.join(seeds, "pattern"))
-    instances = live.groupBy("value").agg((F.max("seed").cast("int") * ONE).cast("bigint").alias("score"), F.max("seed").alias("seed"))
-    for turn in range(rounds):
-        scored = live.select("pattern", "value", "n").join(instances.select("value", "score"), "value")
-        patterns = scored.groupBy("pattern").agg(F.expr(f"sum(score) div (max(n) + {DAMPING})").alias("strength"))
-        best = live.join(patterns, "pattern").groupBy("value").agg(F.max("seed").alias("seed"), F.max("strength").alias("strength"))
-        instances = cut_lineage(best.select("value", "seed", F.when(F.col("seed"), F.lit(ONE)).otherwise(F.col("strength")).cast("bigint").alias("score")))
-    scored = live.select("pattern", "value", "n").join(instances.select("value", "score"), "value")
-    sure = scored.groupBy("pattern").agg(F.expr(f"sum(score) div (max(n) + {DAMPING})").alias("strength")).where(F.col("strength") >= int(confident * ONE))
-    chosen = instances.where(~F.col("seed") & (F.col("score") >= int(confident * ONE))).select("value")
-    return live.where(~F.col("seed")).select("pattern", "value").join(sure.select("pattern"), "pattern").join(chosen, "value")
+    # A seed is one in all its patterns, also where a longer token hid it.
+    seeds = edges.where("seed").select("value").distinct().withColumn("known", F.lit(True))
+    # Patterns of fewer instances never have enough identifiers, whatever is found.
+    large = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_seeds)
+    live = cut_lineage(edges.join(large, "pattern").join(seeds, "value", "left").select("pattern", "value", "n", F.coalesce("known", F.lit(False)).alias("seed")))
+    state = live.withColumn("known", F.col("seed"))
+    while True:
+        k = state.groupBy("pattern", "n").agg(F.count_if("known").alias("k"))
+        sure = k.where((F.col("k") >= least_seeds) & (F.col("k") * ONE >= (F.col("n") + DAMPING) * round(confident * ONE))).select("pattern")
+        fresh = cut_lineage(state.where("not known").join(sure, "pattern", "left_semi").select("value").distinct())
+        if fresh.isEmpty():
+            return live.where("not seed").join(sure, "pattern", "left_semi").select("pattern", "value")
+        state = cut_lineage(state.join(fresh.withColumn("fresh", F.lit(True)), "value", "left").select("pattern", "value", "n", "seed", (F.col("known") | F.col("fresh").isNotNull()).alias("known")))
 
 
 def identified(docs: DataFrame, keep: list[str], **options) -> DataFrame:

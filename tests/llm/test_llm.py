@@ -231,6 +231,18 @@ def test_personal_data(spark):
     assert clean[0]["n_chars"] == len(clean[0]["text"]) and clean[10]["text"] == ""
 
 
+def test_personal_data_of_later_turns(spark):
+    """With the parameters in use: five seeds suffice, and what they find makes a pattern of its own."""
+    found, later, lone = [f"id-{i}" for i in range(5)], ["late-8", "late-9"], [f"no-{i}" for i in range(20)]
+    texts = [f"call u{i}@mail.example.com now" for i in range(5)] + [f"call {v} now" for v in found]
+    texts += [f"ref {v} ok" for v in found + later] + [f"see {v} there" for v in lone] + [f"see w{i}@mail.example.com there" for i in range(5)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {texts[r["doc_id"]]: r["spans"] for r in pii.find(frame).collect()}
+    assert all("learned" in spans[f"call {v} now"] for v in found)
+    assert all("learned" in spans[f"ref {v} ok"] for v in found + later)
+    assert not any("learned" in spans[f"see {v} there"] for v in lone)
+
+
 def test_toxicity(spark):
     plain = [" ".join(_sentence(500 + k, 40)) for k in range(200)]
     rows = [(k, t + (" stupid idiot fool" if k % 3 == 0 else "")) for k, t in enumerate(plain)] + [(900, None), (901, "")]
