@@ -169,13 +169,13 @@ def feature_samples_randomized(b: Inputs):
 
 
 def training(b: Inputs):
-    return cut_lineage(models.feature_vector(samples(b, dim=2, numbers=(1, None)), ["custom", "random"]))
+    return cut_lineage(models.feature_vector(models.feature_samples(odd_attempts(b).withColumnRenamed("task_type", "problem_type"), numbers=(1, None)), ["custom", "random"]))
 
 
 @query("fit_per_group", "ST-6")
 def fit_per_group(b: Inputs):
     fits = models.fit_per_group(training(b), min_samples=100, l2=1.0)
-    return fits.select("exercise", "num_samples", F.posexplode_outer("theta").alias("i", "theta")).withColumn("theta", F.round("theta", 6))
+    return fits.select("exercise", "num_samples", "converged", F.posexplode_outer("theta").alias("i", "theta")).withColumn("theta", F.round("theta", 6))
 
 
 @query("predict_per_group", "ST-6")
@@ -335,15 +335,15 @@ def responses(b: Inputs):
 
 @query("item_response_fit", "ST-12")
 def item_response_fit(b: Inputs):
-    items, _ = models.item_response_fit(responses(b), epochs=4, use_time=True)
+    items, _ = models.item_response_fit(responses(b), use_time=True)
     return items.select("exercise", *[F.round(F.col("w_correct")[i], 4).alias(f"correct_{i}") for i in range(2)],
-                        *[F.round(F.col("w_time")[i], 4).alias(f"time_{i}") for i in range(2)], F.round("sigma", 4).alias("sigma"))
+                        *[F.round(F.col("w_time")[i], 4).alias(f"time_{i}") for i in range(2)], F.round("sigma", 4).alias("sigma"), "converged")
 
 
 @query("item_response_slope", "ST-12", """
     SELECT exercise, COUNT(DISTINCT "user") AS n, true AS flat FROM b_attempts GROUP BY 1""")
 def item_response_slope(b: Inputs):
-    items, _ = models.item_response_fit(responses(b), tolerance=0.05)
+    items, _ = models.item_response_fit(responses(b))
     slopes = models.item_response_slope(models.first_responses(responses(b), ("time_done", "event_id")), items)
     return slopes.select("exercise", "n", F.forall("slope", lambda s: F.abs(s) < 0.002).alias("flat"))
 
@@ -367,8 +367,9 @@ def item_response_fixed(b: Inputs):
 
 @query("item_response_abilities", "ST-12")
 def item_response_abilities(b: Inputs):
-    _, abilities = models.item_response_fit(responses(b), epochs=3)
-    return abilities.select("user", F.round(F.col("theta")[0], 4).alias("theta"), F.round("logl", 4).alias("logl"))
+    items, abilities = models.item_response_fit(responses(b))
+    return abilities.crossJoin(items.agg(F.every("converged").alias("converged"))).select(
+        "user", F.round(F.col("theta")[0], 4).alias("theta"), F.round("logl", 4).alias("logl"), "converged")
 
 
 _QS = (0.0, 0.1, 0.5, 0.9, 1.0)

@@ -255,3 +255,29 @@ def test_three_abilities(spark):
     items, abilities = models.item_response_fit(df, dims=3, epochs=2, points=8)
     assert all(len(r.w_correct) == 4 for r in items.collect())
     assert all(len(r.theta) == 3 and np.isfinite(r.theta).all() for r in abilities.collect()) and abilities.count() == 30
+
+
+def test_registered_fits_use_the_operators_defaults(spark, monkeypatch):
+    from lectern.plans import load_all
+    from lectern.plans.registry import QUERIES
+
+    load_all()
+    asked, fit = [], models.item_response_fit
+
+    def spy(responses, **options):
+        asked.append(set(options))
+        return fit(responses, **{**options, "epochs": 1})
+
+    monkeypatch.setattr(models, "item_response_fit", spy)
+    for name in ("item_response_fit", "item_response_abilities"):
+        assert "converged" in QUERIES[name](spark, "/root/testdata/sf0.001").columns
+    QUERIES["item_response_slope"](spark, "/root/testdata/sf0.001")
+    assert len(asked) == 3 and not set.union(*asked) & {"epochs", "tolerance"}
+    described = []
+    vector = models.feature_vector
+    monkeypatch.setattr(models, "feature_vector", lambda samples, *rest: described.append(samples) or vector(samples, *rest))
+    from lectern.plans import stats
+    from lectern.plans.bindings import Inputs
+
+    stats.training(Inputs(spark, "/root/testdata/sf0.001"))
+    assert {r["n"] for r in described[0].selectExpr("size(random) AS n").distinct().collect()} == {100}
