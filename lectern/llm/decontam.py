@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.links import without
+from lectern.llm.links import text_key, without_rows
 from lectern.llm.shingles import as_long, shingles
 from lectern.session import cut_lineage
 
@@ -77,10 +77,10 @@ def _all_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "doc_key": batch["doc_key"], "shingles": [as_long(shingles(t)) for t in batch["text"]]})
 
 
-def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT, broadcast: int = BROADCAST_SHINGLES) -> DataFrame:
-    """doc_id, item_id, n_item, n_shared and containment of each contained item."""
+def _found(docs: DataFrame, items: DataFrame, percent: int = PERCENT, broadcast: int = BROADCAST_SHINGLES) -> DataFrame:
+    """doc_id, doc_key (of its text), item_id, n_item and n_shared of each contained item's text."""
     table = index(items, percent)
-    texts = docs.select("doc_id", F.xxhash64("text").alias("doc_key"), "text")
+    texts = docs.select("doc_id", text_key().alias("doc_key"), "text")
     schema = "doc_id long, doc_key long, shingles array<long>"
     # The same shingle may belong to many items; each is sent once, marked if it is in any sketch.
     flags = table.groupBy("shingle").agg(F.max("sketched").alias("sketched"))
@@ -95,16 +95,20 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT, broadca
         probed = texts.mapInPandas(_all_shingles, schema)
     hits = probed.select("doc_id", "doc_key", F.explode("shingles").alias("shingle")).distinct()
     shared = hits.join(table, "shingle").groupBy("doc_id", "doc_key", "item_id", "item_key", "n_item").agg(F.count("*").alias("n_shared"), F.max("sketched").alias("candidate"))
-    found = shared.where(F.col("candidate") & (100 * F.col("n_shared") >= percent * F.col("n_item")))
+    return shared.where(F.col("candidate") & (100 * F.col("n_shared") >= percent * F.col("n_item")))
+
+
+def contained(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """doc_id, item_id, n_item, n_shared and containment of each contained item."""
+    found = _found(docs, items, **options)
     # Several texts of one id: the best counts.
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("containment"), "n_item", "n_shared")).alias("x"))
     return best.select("doc_id", "item_id", F.col("x.n_item").cast("bigint").alias("n_item"), F.col("x.n_shared").alias("n_shared"), F.col("x.containment").alias("containment"))
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that contain no item; a null doc_id is judged by its own rows."""
-    found = cut_lineage(contained(docs, items, **options).select(F.col("doc_id").alias("id")).distinct())
-    return without(docs, found)
+    """The documents that contain no item; each text is judged by itself, also if its doc_id is null or has others."""
+    return without_rows(docs, cut_lineage(_found(docs, items, **options).select("doc_id", F.col("doc_key").alias("text_key")).distinct()))
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
@@ -47,14 +47,21 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if few else ids
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (id, distinct)."""
-    return docs.join(_small(ids.select(F.col("id").alias("_id"))), F.col("doc_id") == F.col("_id"), "left_semi")
+def text_key() -> Column:
+    """With doc_id, what tells rows apart that have no id or share one; null counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``ids`` (id, distinct; null counts as a value)."""
-    return docs.join(_small(ids.select(F.col("id").alias("_id"))), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+def with_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (with text_key) that are in ``rows`` (doc_id, text_key, id; distinct; null counts as a value), with their id."""
+    small = _small(rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "id"))
+    return docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).drop("_id", "_key")
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text are not in ``rows`` (doc_id, text_key; distinct; null counts as a value)."""
+    small = _small(rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    return docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:

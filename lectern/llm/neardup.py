@@ -13,9 +13,9 @@ from these links. Buckets with one component are then settled. Members of other
 members are dealt to blocks that are compared two by two, a pair is taken at its first common key, if their sizes allow
 the similarity and a longer signature (512 symbols of four bits) doesn't rule it out, and is confirmed on whole sets.
 
-Defined results: null and empty texts have the empty set and are linked with nothing. Rows that share a
-doc_id are one document in the graph and keep a row each. A null doc_id links by its set, but cannot name a component; it has
-component null unless another document has the same set. An empty table gives an empty result.
+Defined results: null and empty texts have the empty set and are linked with nothing. The nodes of
+the graph are distinct sets, so each text is judged by itself, whether its doc_id is null or has other texts too. A component is named by its
+smallest doc_id; it has no name (null) if all are null. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.links import bit_planes, components, confirmed, only, shingle_sets, without
+from lectern.llm.links import bit_planes, components, confirmed, shingle_sets, text_key, with_rows, without_rows
 from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
 
@@ -72,7 +72,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 found = shingles(text)
                 digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
                 rows.append((len(found), *digest, keys(signature(found, SYMBOLS)) if len(found) else []))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
 
 
 def _long_signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,41 +168,61 @@ def _across(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.mapInPandas(_compared(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
-
-    ``percent`` may be raised; below 75 the signature threshold would have to be larger.
-    """
+def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``near_duplicates`` with the text_key and the digest (h1, h2) of each row."""
     if not PERCENT <= percent <= 100:
         raise ValueError(f"percent must be from {PERCENT} to 100")
-    signed = cut_lineage(docs.select("doc_id", "text").mapInPandas(_signed, "doc_id long, n_shingles int, h1 long, h2 long, keys array<long>"))
-    classes = cut_lineage(signed.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id")))
-    named = classes.where("id IS NOT NULL AND n_shingles > 0").select("id").distinct()
-    filed = signed.where("n_shingles > 0").withColumnRenamed("doc_id", "id").join(named, "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    signed = cut_lineage(docs.select("doc_id", text_key().alias("text_key"), "text").mapInPandas(_signed, "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>"))
+    known = signed.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))
+    # A node is called by its smallest doc_id; sets without one, or whose id has another set, get a number above the ids.
+    owners = known.where("least IS NOT NULL").groupBy("least").agg(F.min(F.struct("h1", "h2", "n_shingles")).alias("owner"))
+    own = F.col("owner").eqNullSafe(F.struct("h1", "h2", "n_shingles"))
+    spare = F.lit(2**62) + F.pmod(F.xxhash64("h1", "h2", "n_shingles"), F.lit(2**61))
+    classes = cut_lineage(known.join(owners, "least", "left").select(
+        "h1", "h2", "n_shingles", "least", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key"), F.when(own, F.col("least")).otherwise(spare).alias("id")))
+    filed = with_rows(signed.select("doc_id", "text_key", "keys"), classes.select("doc_id", "text_key", "id")).select("id", F.explode("keys").alias("key"))
     heads = filed.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("other")).where("head <> other").select("key", "head")
     entries = cut_lineage(filed.join(heads, "key").select("key", "id", "head").distinct())
-    sets = cut_lineage(shingle_sets(only(docs, entries.select("id").distinct())))
+    needed = classes.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
+    texts = with_rows(docs.select("doc_id", "text", text_key().alias("text_key")), needed)
+    sets = cut_lineage(shingle_sets(texts.select(F.col("id").alias("doc_id"), "text")))
     votes = entries.where("id <> head").groupBy("id", "head").agg(F.count("*").alias("n"))
     starred = votes.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("head")).alias("head"))).alias("best")).select(F.col("id").alias("a"), (-F.col("best.head")).alias("b"))
     links = cut_lineage(confirmed(starred, sets, percent))
     marked = entries.select("key", "id").join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
     more = confirmed(_across(marked, sets, percent), sets, percent)
     found = components(links.unionByName(more))
-    joined = classes.where("n_shingles > 0").join(found, "id", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    plain = signed.select("doc_id", "n_shingles", "h1", "h2")
-    linked = plain.join(joined, ["h1", "h2", "n_shingles"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return linked.select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    joined = classes.select("h1", "h2", "n_shingles", "least", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # Unnamed sets come last, so a component is named if any of its documents is.
+    names = joined.groupBy("component").agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "id")).alias("head"))
+    named = joined.join(names, "component").select("h1", "h2", "n_shingles", F.col("head.least").alias("component_id"), (F.col("id") == F.col("head.id")).alias("first"))
+    linked = signed.select("doc_id", "text_key", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
+    words = F.col("n_shingles") > 0
+    kept = F.when(words, F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))).otherwise(True)
+    return linked.select("doc_id", "text_key", "h1", "h2", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.when(words, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
+
+    ``percent`` may be raised; below 75 the signature threshold would have to be larger. Rows that repeat a kept id and text are all kept here.
+    """
+    return _judged(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def representatives(docs: DataFrame, **options) -> DataFrame:
     """One document of each near-duplicate group, that of the smallest id; documents without words stay.
 
-    Of several rows with one id one stays.
+    Of several rows of one id with equal sets one stays, so also of copies without an id.
     """
-    gone = cut_lineage(near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct())
-    left = without(docs, gone)
-    repeated = cut_lineage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id")))
-    if repeated.isEmpty():
+    judged = cut_lineage(_judged(docs, **options))
+    repeats = F.col("kept") & ((F.col("n_shingles") > 0) | F.col("doc_id").isNotNull())
+    groups = cut_lineage(judged.where(repeats).groupBy("doc_id", "h1", "h2", "n_shingles").agg(F.min("text_key").alias("text_key"), F.count("*").alias("n")).where("n > 1"))
+    many = groups.select("doc_id", "text_key")
+    left = without_rows(docs, judged.where(~F.col("kept")).select("doc_id", "text_key").distinct())
+    if groups.isEmpty():
         return left
-    return without(left, repeated).unionByName(only(left, repeated).dropDuplicates(["doc_id"]))
+    again = cut_lineage(judged.where(repeats).alias("r").join(
+        groups.alias("g"), F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("r.h1") == F.col("g.h1")) & (F.col("r.h2") == F.col("g.h2")) & (F.col("r.n_shingles") == F.col("g.n_shingles"))).select("r.doc_id", "r.text_key").distinct())
+    one = with_rows(docs.withColumn("text_key", text_key()), many.withColumn("id", F.lit(1))).dropDuplicates(["doc_id", "text_key"])
+    return without_rows(left, again).unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -75,6 +75,20 @@ def test_near_duplicates_of_nothing(docs):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_or_with_two_texts(spark):
+    a, b, c, d = (" ".join(_sentence(900 + k, 60)) for k in range(4))
+    near = c.split()
+    near[5] = "other"
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (None, " ".join(near)), (None, ""), (None, None), (2, a), (2, d), (2, d)]
+    frame = spark.createDataFrame([(i, t, "a", "en") for i, t in rows], DOCS)
+    left = [(r["doc_id"], r["text"]) for r in neardup.representatives(frame).collect()]
+    assert len(left) == 6 and {(1, a), (None, b), (None, ""), (None, None), (2, d)} <= set(left)
+    assert sum(t in (c, " ".join(near)) for _, t in left) == 1
+    items = spark.createDataFrame([(7, b)], "item_id long, text string")
+    clean = [(r["doc_id"], r["text"]) for r in decontam.clean(frame, items).collect()]
+    assert sorted(clean, key=repr) == sorted([r for r in rows if r[1] != b], key=repr)
+
+
 def test_pigeonhole_keys():
     rng = np.random.default_rng(3)
     for _ in range(200):
