@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,8 +32,8 @@ from lectern.llm.labelled import held_out, sample
 from lectern.llm.shingles import portions
 
 TOKEN = re.compile(r"\w+")
-PER_CLASS = 800
-MOST_CHARS = 20_000
+PER_CLASS = 1_500
+MOST_CHARS = 30_000
 STEPS = 30
 # A word is toxic evidence when it is this much more frequent, by documents, among toxic ones.
 LIFT = 20.0
@@ -128,15 +128,18 @@ def _count(total: np.ndarray) -> np.ndarray:
     return np.log(0.05 + total)
 
 
-def fit(rows: list[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, least: int = LEAST_DOCS) -> Model:
-    """A model from (text, label) rows, a bounded sample."""
-    if not rows:
+def fit(rows: Iterable[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, least: int = LEAST_DOCS) -> Model:
+    """A model from (text, label) rows, a bounded sample; texts are read one by one and only their words' numbers kept."""
+    number: dict[str, int] = {}
+    tokens, labels = [], []
+    for text, x in rows:
+        tokens.append(np.array([number.setdefault(m.group(), len(number)) for m in TOKEN.finditer(text.lower())], dtype=np.int32))
+        labels.append(x)
+    if not labels:
         return Model()
-    label = np.array([x for _, x in rows])
+    label = np.array(labels)
     if label.min() == label.max():
         return Model(rate=float(label[0]))
-    number: dict[str, int] = {}
-    tokens = [np.array([number.setdefault(w, len(number)) for w in TOKEN.findall(text.lower())], dtype=np.int64) for text, _ in rows]
     ids: dict[str, int] = {}
     of_word = [[ids.setdefault(f, len(ids)) for f in features(w)] for w in number]
     seen = {0: Counter(), 1: Counter()}
@@ -274,7 +277,7 @@ def _tagger(model: Model):
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Model:
     """Fit on at most ``2 * per_class`` labelled documents, collected to the driver."""
     rows = sample(docs, labels, "toxic", per_class, most_chars).orderBy("doc_id").toLocalIterator()
-    return fit([(r["text"], r["label"]) for r in rows])
+    return fit((r["text"], r["label"]) for r in rows)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -270,6 +270,15 @@ def test_toxicity(spark):
     assert toxicity.score(frame, toxicity.learn(frame, labels.limit(0))).where("score <> 0").count() == 0
 
 
+def test_toxicity_sample_sizes(spark):
+    rows = [(k, f"words {k}") for k in range(3800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    assert labelled.sample(frame, labels, "toxic", toxicity.PER_CLASS, toxicity.MOST_CHARS).groupBy("label").count().where("count = 1500").count() == 2
+    long = spark.createDataFrame([(k, "word " * 5000) for k in range(1, 5)], "doc_id long, text string")
+    assert labelled.sample(long, labels, "toxic", toxicity.PER_CLASS, toxicity.MOST_CHARS).count() > 0
+
+
 def test_forward_backward():
     rng = np.random.default_rng(1)
     evidence, first, moves = rng.normal(size=150), np.zeros(150, dtype=bool), rng.normal(size=(2, 2))
