@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontam, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import decontam, fim, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -69,5 +73,6 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_counts": op9_token_counts,
     "op10_mix": op10_mix,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": decontam.SQL, "op10_mix": mixing.SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": decontam.SQL, "op10_mix": mixing.SQL, "op11_fill_in_middle": fim.SQL}
