@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontam, fim, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import decontam, divergence, fim, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -74,5 +78,11 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_mix": op10_mix,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
+}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": decontam.SQL,
+    "op10_mix": mixing.SQL,
+    "op11_fill_in_middle": fim.SQL,
+    "op12_source_divergence": divergence.SQL,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": decontam.SQL, "op10_mix": mixing.SQL, "op11_fill_in_middle": fim.SQL}
