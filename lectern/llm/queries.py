@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontam, divergence, fim, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import decontam, divergence, fim, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter, vectorjoin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorjoin.linked(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op10_mix": op10_mix,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_source_divergence": op12_source_divergence,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 ORACLES: dict[str, str] = {
     "op4_decontamination": decontam.SQL,
