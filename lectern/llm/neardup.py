@@ -8,9 +8,9 @@ so each document is filed under every chunk with each of its symbols left out: 6
 and all pairs under the threshold share a key.
 
 No bucket is expanded into pairs. Documents with equal sets are one class from the start. Each class is first
-checked against the head (smallest id) it shares most keys with, on the whole sets, and components are formed
-from these links. Buckets with one component are then settled. Members of other buckets are checked across components only:
-members are dealt to blocks that are compared two by two, a pair is taken at its first common key, if their sizes allow
+checked against the head it shares most keys with, the most central member of a large bucket, on the whole sets, and components are formed
+from these links. Buckets with one component are then settled. Members of other buckets are checked across components only
+(``buckets``): a pair is taken at its first common key, if the sizes allow
 the similarity and a longer signature (512 symbols of four bits) doesn't rule it out, and is confirmed on whole sets.
 
 Defined results: null and empty texts have the empty set and are linked with nothing. The nodes of
@@ -26,22 +26,22 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.llm.buckets import Kernel, pairs_across
+from lectern.llm.classes import classes, labelled, shared_buckets, stars, unsettled
 from lectern.llm.links import bit_planes, components, confirmed, shingle_sets, text_key, with_rows, without_rows
 from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
 
 PERCENT = 75
-SYMBOLS, CHUNK = 64, 4
+SYMBOLS, SYMBOL_BITS, CHUNK = 64, 16, 4
 MOST_DIFFERENT = 2 * (SYMBOLS // CHUNK) - 1
 LONG_SYMBOLS, LONG_BITS = 512, 4
-# Differences of long signatures: at similarity 0.75 mean 120, deviation 9.6; beyond this one pair in 100,000.
-MOST_LONG = 161
+# Differences of long signatures: at similarity 0.75 mean 120, deviation 9.6; beyond this fewer than one pair in a thousand million.
+MOST_LONG = 181
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RNG.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
 _SLICE = 1024
-# Members of a bucket that are compared at once.
-BLOCK = 256
 
 
 def signature(values: np.ndarray, count: int) -> np.ndarray:
@@ -75,16 +75,16 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
 
 
-def _long_signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = batch["shingles"].tolist()
         for piece in portions([len(s) for s in sets]):
             symbols = np.stack([signature(np.asarray(s, dtype=np.int64).view(np.uint64), LONG_SYMBOLS) for s in sets[piece]])
-            planes, long = bit_planes(symbols[:, :SYMBOLS], 16), bit_planes(symbols, LONG_BITS)
-            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "planes": [p.tobytes() for p in planes], "long": [x.tobytes() for x in long]})
+            planes, long = bit_planes(symbols[:, :SYMBOLS], SYMBOL_BITS), bit_planes(symbols, LONG_BITS)
+            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "data": [p.tobytes() + x.tobytes() for p, x in zip(planes, long)]})
 
 
-def at_first_common_key(differ: np.ndarray, place: int) -> np.ndarray:
+def at_first_common_key(differ: np.ndarray, place: int | np.ndarray) -> np.ndarray:
     """Whether ``place`` (16 chunks x 4 symbols left out) is the first under which both signatures are filed alike.
 
     ``differ`` has a bit for each symbol in which the signatures of a pair differ.
@@ -94,78 +94,24 @@ def at_first_common_key(differ: np.ndarray, place: int) -> np.ndarray:
     return chunk * CHUNK + errors[np.arange(len(differ)), chunk].argmax(axis=1) == place
 
 
-class _Members:
-    """Rows of the bucket comparison as arrays."""
-
-    def __init__(self, rows: pd.DataFrame):
-        self.key, self.i, self.j, self.own, self.id, self.component, self.n = (rows[c].to_numpy(dtype=np.int64) for c in ("key", "i", "j", "own", "id", "component", "n"))
-        self.planes = np.frombuffer(b"".join(rows["planes"]), dtype=np.uint64).reshape(len(rows), -1)
-        self.long = np.frombuffer(b"".join(rows["long"]), dtype=np.uint64).reshape(len(rows), LONG_SYMBOLS // 64, LONG_BITS)
-
-    def cuts(self) -> list[int]:
-        """Where block pairs begin."""
-        changed = (self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
-        return [0, *(np.flatnonzero(changed) + 1).tolist()]
-
-    def near(self, start: int, stop: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (a, b) of one block pair that are of different components and not ruled out by size or signatures."""
-        own, component = self.own[start:stop], self.component[start:stop]
-        if (component == component[0]).all():
-            return component[:0], component[:0]
-        x, y = np.flatnonzero(own == self.i[start]) + start, np.flatnonzero(own == self.j[start]) + start
-        nx, ny = self.n[x][:, None], self.n[y]
-        to_do = (self.component[x][:, None] != self.component[y]) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
-        if self.i[start] == self.j[start]:
-            to_do &= self.id[x][:, None] < self.id[y]
-        differ = np.zeros(to_do.shape, dtype=np.uint64)
-        for plane in self.planes.T:
-            differ |= plane[x][:, None] ^ plane[y]
-        at, to = np.nonzero(to_do & (np.bitwise_count(differ) <= MOST_DIFFERENT))
-        first = at_first_common_key(differ[at, to], self.key[start] >> 48)
-        differ, at, to = None, x[at[first]], y[to[first]]
-        close = np.zeros(len(at), dtype=bool)
-        for k in range(0, len(at), _SLICE):
-            other = np.bitwise_or.reduce(self.long[at[k : k + _SLICE]] ^ self.long[to[k : k + _SLICE]], axis=2)
-            close[k : k + _SLICE] = np.bitwise_count(other).sum(axis=1) <= MOST_LONG
-        return self.id[at[close]], self.id[to[close]]
-
-
-def _compared(percent: int):
-    """The near pairs of all block pairs of a partition that is sorted by them; holds one block pair and one batch."""
-
-    def found(members: _Members, cuts: list[int]) -> pd.DataFrame:
-        pairs = [members.near(start, stop, percent) for start, stop in zip(cuts, cuts[1:])]
-        return pd.DataFrame({"a": np.concatenate([a for a, _ in pairs]), "b": np.concatenate([b for _, b in pairs])})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            members = _Members(rows)
-            cuts = members.cuts()
-            if len(cuts) > 1:
-                yield found(members, cuts)
-            held = rows.iloc[cuts[-1] :]
-        if held is not None and len(held):
-            yield found(_Members(held), [0, len(held)])
-
-    return run
-
-
-def _across(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that the signatures don't rule out.
-
-    A bucket's members are dealt to blocks of about ``BLOCK``, and each pair of blocks is compared on its own, so no
-    task holds a large bucket.
-    """
-    buckets = entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    rows = cut_lineage(entries.join(buckets.where("lo <> hi").select("key", "blocks"), "key").select("key", "id", "component", "blocks"))
-    signed = cut_lineage(sets.join(rows.select("id").distinct(), "id").mapInPandas(_long_signed, "id long, n int, planes binary, long binary"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
-    full = paired.join(signed, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return full.mapInPandas(_compared(percent), "a long, b long")
+class Signatures(Kernel):
+    """Signatures as bit planes: the symbols of the index, then the longer ones."""
+
+    def __init__(self, percent: int = PERCENT):
+        self.percent = percent
+
+    def load(self, data: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(data), dtype=np.uint64).reshape(len(data), -1)
+
+    def near(self, key: np.ndarray, n: np.ndarray, x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
+        differ = np.bitwise_or.reduce(x[i, :SYMBOL_BITS] ^ y[j, :SYMBOL_BITS], axis=1)
+        close = np.bitwise_count(differ) <= MOST_DIFFERENT
+        at = np.flatnonzero(close)
+        at = at[at_first_common_key(differ[at], key[at] >> 48)]
+        close[:] = False
+        other = (x[i[at], SYMBOL_BITS:] ^ y[j[at], SYMBOL_BITS:]).reshape(len(at), -1, LONG_BITS)
+        close[at] = np.bitwise_count(np.bitwise_or.reduce(other, axis=2)).sum(axis=1) <= MOST_LONG
+        return close
 
 
 def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -173,33 +119,17 @@ def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not PERCENT <= percent <= 100:
         raise ValueError(f"percent must be from {PERCENT} to 100")
     signed = cut_lineage(docs.select("doc_id", text_key().alias("text_key"), "text").mapInPandas(_signed, "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>"))
-    known = signed.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))
-    # A node is called by its smallest doc_id; sets without one, or whose id has another set, get a number above the ids.
-    owners = known.where("least IS NOT NULL").groupBy("least").agg(F.min(F.struct("h1", "h2", "n_shingles")).alias("owner"))
-    own = F.col("owner").eqNullSafe(F.struct("h1", "h2", "n_shingles"))
-    spare = F.lit(2**62) + F.pmod(F.xxhash64("h1", "h2", "n_shingles"), F.lit(2**61))
-    classes = cut_lineage(known.join(owners, "least", "left").select(
-        "h1", "h2", "n_shingles", "least", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key"), F.when(own, F.col("least")).otherwise(spare).alias("id")))
-    filed = with_rows(signed.select("doc_id", "text_key", "keys"), classes.select("doc_id", "text_key", "id")).select("id", F.explode("keys").alias("key"))
-    heads = filed.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("other")).where("head <> other").select("key", "head")
-    entries = cut_lineage(filed.join(heads, "key").select("key", "id", "head").distinct())
-    needed = classes.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
+    known = cut_lineage(classes(signed))
+    filed = with_rows(signed.select("doc_id", "text_key", "keys"), known.select("doc_id", "text_key", "id")).select("id", F.explode("keys").alias("key"))
+    entries = cut_lineage(shared_buckets(filed))
+    needed = known.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
     texts = with_rows(docs.select("doc_id", "text", text_key().alias("text_key")), needed)
     sets = cut_lineage(shingle_sets(texts.select(F.col("id").alias("doc_id"), "text")))
-    votes = entries.where("id <> head").groupBy("id", "head").agg(F.count("*").alias("n"))
-    starred = votes.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("head")).alias("head"))).alias("best")).select(F.col("id").alias("a"), (-F.col("best.head")).alias("b"))
-    links = cut_lineage(confirmed(starred, sets, percent))
-    marked = entries.select("key", "id").join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    more = confirmed(_across(marked, sets, percent), sets, percent)
-    found = components(links.unionByName(more))
-    joined = classes.select("h1", "h2", "n_shingles", "least", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    # Unnamed sets come last, so a component is named if any of its documents is.
-    names = joined.groupBy("component").agg(F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "id")).alias("head"))
-    named = joined.join(names, "component").select("h1", "h2", "n_shingles", F.col("head.least").alias("component_id"), (F.col("id") == F.col("head.id")).alias("first"))
-    linked = signed.select("doc_id", "text_key", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
-    words = F.col("n_shingles") > 0
-    kept = F.when(words, F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))).otherwise(True)
-    return linked.select("doc_id", "text_key", "h1", "h2", F.col("n_shingles").cast("bigint").alias("n_shingles"), F.when(words, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), kept.alias("kept"))
+    links = cut_lineage(confirmed(stars(entries), sets, percent))
+    rows = cut_lineage(unsettled(entries, components(links)))
+    signatures = cut_lineage(sets.join(rows.select("id").distinct(), "id").mapInPandas(_payload, "id long, n int, data binary"))
+    more = confirmed(pairs_across(rows, signatures, Signatures(percent)), sets, percent)
+    return labelled(signed, known, components(links.unionByName(more)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lectern.llm import decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import buckets, decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
 from lectern.llm.links import components
 from lectern.llm.queries import ORACLES, QUERIES
 
@@ -112,8 +112,9 @@ def test_first_common_key_is_taken_once():
 
 
 def test_large_bucket_without_links(spark, monkeypatch):
-    """Texts around one passage meet in large buckets, in many blocks; only those that are near are linked."""
-    monkeypatch.setattr(neardup, "BLOCK", 8)
+    """Texts around one passage meet in large buckets, in many leaves; only those that are near are linked."""
+    monkeypatch.setattr(buckets, "LEAF", 8)
+    monkeypatch.setattr(buckets, "FAN", 2)
     passage, rng = _sentence(7, 90), np.random.default_rng(8)
     rows = []
     for k in range(120):
