@@ -26,45 +26,69 @@ an empty table gives an empty result; other columns play no part. Ties go by the
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.shingles import portions
 from lectern.session import cut_lineage
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# Bytes of terms, A-Z as a-z; all others divide terms.
+_BYTES = bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
 LEAST_DOCS = 3
 TOP = 200
 _UNIT = 1_000_000_000
 # Rows of a hot source or language are dealt to so many keys; the small side is repeated for each.
 _SALTS = 16
 _HELD = 500_000
-_MATCHES = 100_000
+# Counts of so many terms are held in a task before they are handed on.
+_COUNTED = 400_000
+_AT_ONCE = 1_000_000
+
+
+def _terms(text: str) -> Iterator[list[bytes]]:
+    """The terms of a text, in lists of about a million bytes of it."""
+    data = text.encode("utf-8", "surrogatepass").translate(_BYTES)
+    start = 0
+    while start < len(data):
+        stop = data.find(b" ", start + _AT_ONCE)
+        yield data[start : stop if stop >= 0 else len(data)].split()
+        start = stop if stop >= 0 else len(data)
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Occurrences and documents of each term by (lang, source), summed over a portion of rows; a group also has a row without a term."""
+    """Occurrences and documents of each term by (lang, source), summed over many rows; a group also has a row without a term."""
+    found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    held = 0
+
+    def taken() -> pd.DataFrame:
+        parts = [
+            pd.DataFrame({
+                "lang": lang, "source": source, "term": [None, *(t.decode("utf-8", "surrogatepass") for t in count)],
+                "n": [0, *count.values()], "docs": [0, *map(docs.__getitem__, count)]})
+            for (lang, source), (count, docs) in found.items()]
+        found.clear()
+        return pd.concat(parts, ignore_index=True)
+
     for batch in batches:
-        texts, groups = batch["text"].tolist(), list(zip(batch["lang"], batch["source"]))
-        for piece in portions([len(t) for t in texts], 4_000_000):
-            found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-            for text, group in zip(texts[piece], groups[piece]):
-                count, docs = found.setdefault(group, (Counter(), Counter()))
-                matches, own = TERM.finditer(text.encode("utf-8", "surrogatepass").lower()), set()
-                while some := [m.group() for m in islice(matches, _MATCHES)]:
-                    count.update(some)
-                    own.update(some)
+        for text, lang, source in zip(batch["text"], batch["lang"], batch["source"]):
+            if (lang, source) not in found:
+                found[lang, source] = (Counter(), Counter())
+            count, docs = found[lang, source]
+            before, own = len(count), None
+            for some in _terms(text):
+                count.update(some)
+                own = set(some) if own is None else own.union(some)
+            if own:
                 docs.update(own)
-            for (lang, source), (count, docs) in found.items():
-                yield pd.DataFrame({
-                    "lang": lang, "source": source, "term": [None, *(t.decode("utf-8", "surrogatepass") for t in count)],
-                    "n": [0, *count.values()], "docs": [0, *(docs[t] for t in count)]})
+            held += len(count) - before
+            if held > _COUNTED:
+                yield taken()
+                held = 0
+    if found:
+        yield taken()
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -90,74 +114,77 @@ def _salted(many: DataFrame, few: DataFrame, on: list[str], by: Column) -> DataF
 
 
 class _Path:
-    """The open path of the tree and the corrections of its closed nodes, by (lang, ancestor's source, node's source)."""
+    """The open path of the tree and the closed nodes of one language, each with its ancestors."""
 
     def __init__(self):
         self.lang, self.nodes, self.passed = None, [], []
+        self.places = np.zeros(0, dtype=np.int64)
         self.shares = np.zeros((2, 0), dtype=np.int64)
         self.number: dict[str, int] = {}
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.closed: list[tuple[np.ndarray, np.ndarray, int]] = []
         self.held = 0
 
-    def insert(self, lang: str, nodes: list[tuple[str, int]], shares: np.ndarray, times: int) -> None:
-        if lang != self.lang:
-            self.close(0)
-            self.lang = lang
+    def insert(self, sources: list[str], counts: list[int], shares: np.ndarray, times: int) -> None:
+        nodes = list(zip(sources, counts))
         common = 0
-        while common < min(len(nodes), len(self.nodes)) and nodes[common] == self.nodes[common]:
+        for old, new in zip(self.nodes, nodes):
+            if old != new:
+                break
             common += 1
         self.close(common)
-        self.nodes += nodes[common:]
+        self.nodes = nodes
         self.passed += [0] * (len(nodes) - common)
         self.passed[-1] += times
+        self.places = np.array([self.number.setdefault(s, len(self.number)) for s in sources])
         self.shares = shares
 
     def close(self, depth: int) -> None:
         """Close the nodes below ``depth``; the terms that passed them passed their parents."""
-        while len(self.nodes) > depth:
-            at = len(self.nodes) - 1
-            (source, _), times = self.nodes.pop(), self.passed.pop()
+        for at in range(len(self.nodes) - 1, depth - 1, -1):
+            times = self.passed.pop()
             if at:
                 self.passed[-1] += times
-                self._correct(at, source, times)
-
-    def _correct(self, at: int, source: str, times: int) -> None:
-        (p, z), (q, y) = self.shares[:, :at], self.shares[:, at]
-        far = lambda a, b: (a - b) ** 2 // b
-        node = self.number.setdefault(source, len(self.number))
-        above = np.array([self.number.setdefault(s, len(self.number)) for s, _ in self.nodes[:at]])
-        here = np.full(at, node)
-        self.parts.append((above, here, times * (far(p, q) - far(p, y) - far(z, q) + far(z, y))))
-        self.parts.append((here, above, times * (far(q, p) - far(q, z) - far(y, p) + far(y, z))))
-        self.held += 2 * at
+                self.closed.append((self.places[: at + 1], self.shares[:, : at + 1], times))
+                self.held += 2 * at
+        del self.nodes[depth:]
 
     def taken(self) -> pd.DataFrame:
-        """The corrections so far, summed; they are of one language."""
-        a, b, value = (np.concatenate(x) for x in zip(*self.parts))
-        pairs, at = np.unique(a * len(self.number) + b, return_inverse=True)
+        """The corrections of the closed nodes with each of their ancestors, by (lang, source, item), and none left."""
+        lengths = np.array([len(places) for places, _, _ in self.closed])
+        last = np.cumsum(lengths) - 1
+        place = np.concatenate([places for places, _, _ in self.closed])
+        p, z = np.concatenate([shares for _, shares, _ in self.closed], axis=1)
+        node = np.repeat(last, lengths)
+        times = np.repeat(np.array([t for _, _, t in self.closed], dtype=np.int64), lengths)
+        above = node != np.arange(len(node))
+        p, z, q, y, times, a, b = p[above], z[above], p[node[above]], z[node[above]], times[above], place[above], place[node[above]]
+        far = lambda x, to: (x - to) ** 2 // to
+        value = np.concatenate([times * (far(p, q) - far(p, y) - far(z, q) + far(z, y)), times * (far(q, p) - far(q, z) - far(y, p) + far(y, z))])
+        size = len(self.number)
+        pairs, at = np.unique(np.concatenate([a * size + b, b * size + a]), return_inverse=True)
         total = np.zeros(len(pairs), dtype=np.int64)
         np.add.at(total, at, value)
         names = np.array(list(self.number), dtype=object)
-        rows = pd.DataFrame({"lang": self.lang, "source": names[pairs // len(names)], "item": names[pairs % len(names)], "value": total})
-        self.parts, self.held = [], 0
-        return rows
+        self.closed, self.held = [], 0
+        return pd.DataFrame({"lang": self.lang, "source": names[pairs // size], "item": names[pairs % size], "value": total})
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Corrections of the tree of the sorted rows of a partition; holds one path and at most about ``_HELD`` corrections."""
+    """Corrections of the tree of the sorted rows of a partition; holds one path and closed nodes of about ``_HELD`` corrections."""
     path = _Path()
     for batch in batches:
         for lang, sources, ns, ps, zeros, times in zip(batch["lang"], batch["sources"], batch["ns"], batch["ps"], batch["zeros"], batch["times"]):
-            if path.lang is not None and lang != path.lang:
+            if lang != path.lang:
                 path.close(0)
-                if path.parts:
+                if path.closed:
                     yield path.taken()
-                path.number = {}
-            path.insert(lang, list(zip(sources, map(int, ns))), np.array([ps, zeros], dtype=np.int64), int(times))
+                path = _Path()
+                path.lang = lang
+            path.insert(list(sources), list(ns), np.array([ps, zeros], dtype=np.int64), int(times))
             if path.held > _HELD:
                 yield path.taken()
     path.close(0)
-    if path.parts:
+    if path.closed:
         yield path.taken()
 
 

@@ -84,11 +84,14 @@ def test_empty_table_and_extra_columns(spark):
     assert sorted(tuple(r) for r in divergence.audit(docs).collect()) == sorted(_audit([r[:3] for r in rows]))
 
 
-def test_long_text_and_many_matches(monkeypatch):
-    monkeypatch.setattr(divergence, "_MATCHES", 7)
-    text = "Wort wörter " * 500 + "x"
-    found = pd.concat(divergence._counted(iter([pd.DataFrame({"text": [text, "x"], "lang": "de", "source": "s"})])))
-    assert {(t, n, d) for t, n, d in zip(found["term"], found["n"], found["docs"]) if t} == {("wort", 500, 1), ("wörter", 500, 1), ("x", 2, 2)}
+def test_long_text_and_small_portions(monkeypatch):
+    text = "Wort wörter," * 500 + "x"
+    for at_once, held in ((10**6, 10**6), (7, 10**6), (7, 0)):
+        monkeypatch.setattr(divergence, "_AT_ONCE", at_once)
+        monkeypatch.setattr(divergence, "_COUNTED", held)
+        found = pd.concat(divergence._counted(iter([pd.DataFrame({"text": [text, "x"], "lang": "de", "source": "s"})])))
+        total = {t: (int(g["n"].sum()), int(g["docs"].sum())) for t, g in found.groupby("term")}
+        assert total == {"wort": (500, 1), "wörter": (500, 1), "x": (2, 2)} and found["term"].isna().any()
 
 
 def test_tree_by_pairs_of_entries(monkeypatch):
@@ -127,6 +130,6 @@ def test_path_counts_nodes_once():
     path = divergence._Path()
     shares = np.array([[9, 8, 7], [1, 2, 3]], dtype=np.int64)
     for _ in range(4):
-        path.insert("x", [("a", 1), ("b", 2), ("c", 3)], shares, 2)
+        path.insert(["a", "b", "c"], [1, 2, 3], shares, 2)
     path.close(0)
-    assert path.held == 6 and len(path.parts) == 4
+    assert path.held == 6 and [times for _, _, times in path.closed] == [8, 8]
