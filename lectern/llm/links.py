@@ -73,7 +73,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             for piece in portions([len(t or "") for t in texts]):
                 yield pd.DataFrame({"id": batch["doc_id"].values[piece], "shingles": [as_long(shingles(t)) for t in texts[piece]]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "id long, shingles array<long>").dropDuplicates(["id"])
+    return docs.select("doc_id", "text").dropDuplicates(["doc_id"]).mapInPandas(run, "id long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -84,6 +84,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
+def verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """``confirmed``, with the sets of only those ids that are in ``pairs`` (a, b).
+
+    ``texts`` has doc_id, text_key and text, ``rows`` the doc_id and text_key of each id. Rows that repeat a document are left out
+    before their sets are made.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    found = with_rows(texts, rows.join(ids, "id", "left_semi").select("doc_id", "text_key", "id"))
+    return confirmed(pairs, cut_lineage(shingle_sets(found.select(F.col("id").alias("doc_id"), "text"))), percent)
+
+
 def bit_planes(symbols: np.ndarray, bits: int) -> np.ndarray:
     """``bits`` low bits of each row's symbols, bit by bit, 64 symbols to a long: words x bits longs a row."""
     rows, count = symbols.shape

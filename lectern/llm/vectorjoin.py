@@ -12,8 +12,8 @@ ordered, the frequent ones last, and a set of n is a point in the trees of its f
 whose first so many differ can't be linked, in whatever order, so no link is lost. Which shingles are frequent is counted over
 all documents, portion by portion; it decides how large trees get, not what is found.
 
-Sets that are equal are one class. Each class is verified with the centre of its trees first, and trees whose points are of one
-component by then are settled. The other trees are searched for pairs of different components.
+Sets that are equal are one class. Each class is held against the centre of its trees first, point by point and then set by set, and
+trees whose points are of one component by then are settled. The other trees are searched for pairs of different components.
 
 Defined results: null and empty texts have the empty set and are linked with nothing; a text of fewer than five words has
 one shingle of all; rows that repeat a document have the same component, and each text of an id that has several is
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.buckets import Kernel, pairs_across
 from lectern.llm.classes import classes, labelled, shared_buckets, stars, unsettled
-from lectern.llm.links import components, confirmed, shingle_sets, text_key, with_rows
+from lectern.llm.links import components, text_key, verified, with_rows
 from lectern.llm.shingles import as_long, portions, shingles
 from lectern.session import cut_lineage
 
@@ -96,8 +96,9 @@ def _signed(often: tuple[np.ndarray, np.ndarray], percent: int):
                 for text in texts[piece]:
                     found = shingles(text)
                     digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
-                    rows.append((len(found), *digest, as_long(ordered(found, often)[: first_ones(len(found), percent)])))
-                yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
+                    rows.append((len(found), *digest, as_long(ordered(found, often)[: first_ones(len(found), percent)]), point(found).tobytes()))
+                names = ("n_shingles", "h1", "h2", "keys", "point")
+                yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(names)}})
 
     return run
 
@@ -116,10 +117,12 @@ class CountVectors(Kernel):
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
 
+    def points(self, data: list[bytes]) -> np.ndarray:
+        return np.stack([np.frombuffer(d, dtype=np.uint16, count=GROUPS + 2) for d in data]) if data else np.empty((0, GROUPS + 2), dtype=np.uint16)
+
     def load(self, data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
         width = (GROUPS + 2) * 2
-        points = np.stack([np.frombuffer(d, dtype=np.uint16, count=GROUPS + 2) for d in data]) if data else np.empty((0, GROUPS + 2), dtype=np.uint16)
-        return points, [np.frombuffer(d, dtype=np.int64, offset=width + 4) for d in data]
+        return self.points(data), [np.frombuffer(d, dtype=np.int64, offset=width + 4) for d in data]
 
     @staticmethod
     def _beyond(points: np.ndarray) -> np.ndarray:
@@ -146,12 +149,24 @@ class CountVectors(Kernel):
 
 
 def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A member's data: its point, then the trees it is in."""
     for batch in batches:
-        data = []
-        for found, trees in zip(batch["shingles"], batch["trees"]):
-            values = np.asarray(found, dtype=np.int64).view(np.uint64)
-            data.append(point(values).tobytes() + b"\0" * 4 + np.sort(np.asarray(trees, dtype=np.int64)).tobytes())
-        yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in batch["shingles"]], "data": data})
+        data = [point + b"\0" * 4 + np.sort(np.asarray(trees, dtype=np.int64)).tobytes() for point, trees in zip(batch["point"], batch["trees"])]
+        yield pd.DataFrame({"id": batch["id"], "n": batch["n"], "data": data})
+
+
+def _possible(percent: int):
+    """The pairs whose points allow the similarity."""
+    kernel = CountVectors(percent)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x, y = (kernel.points(batch[c].tolist()) for c in ("point_a", "point_b"))
+                n = (batch["n_a"] + batch["n_b"]).to_numpy(dtype=np.int64)
+                yield batch.loc[(100 + percent) * kernel.most_shared(x, y) >= percent * n, ["a", "b"]]
+
+    return run
 
 
 def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -159,16 +174,19 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
     texts = docs.select("doc_id", text_key().alias("text_key"), "text")
-    signed = cut_lineage(texts.mapInPandas(_signed(frequent(docs), percent), "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>"))
+    signed = cut_lineage(texts.mapInPandas(_signed(frequent(docs), percent), "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>, point binary"))
     known = cut_lineage(classes(signed))
-    filed = with_rows(signed.select("doc_id", "text_key", "keys"), known.select("doc_id", "text_key", "id")).select("id", F.explode("keys").alias("key"))
+    rows_of = known.select("doc_id", "text_key", "id")
+    filed = with_rows(signed.select("doc_id", "text_key", "keys"), rows_of).select("id", F.explode("keys").alias("key"))
     entries = cut_lineage(shared_buckets(filed))
-    needed = known.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
-    sets = cut_lineage(shingle_sets(with_rows(texts, needed).select(F.col("id").alias("doc_id"), "text")))
-    links = cut_lineage(confirmed(stars(entries), sets, percent))
+    met = rows_of.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
+    points = cut_lineage(with_rows(signed.select("doc_id", "text_key", F.col("n_shingles").alias("n"), "point"), met).select("id", "n", "point").dropDuplicates(["id"]))
+    sides = [points.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("point").alias(f"point_{s}")) for s in "ab"]
+    starred = cut_lineage(stars(entries).join(sides[0], "a").join(sides[1], "b").mapInPandas(_possible(percent), "a long, b long"))
+    links = cut_lineage(verified(starred, texts, rows_of, percent))
     rows = cut_lineage(unsettled(entries, components(links)))
     trees = rows.groupBy("id").agg(F.collect_list("key").alias("trees"))  # no more than the set's first shingles
-    payload = cut_lineage(sets.join(trees, "id").mapInPandas(_payload, "id long, n int, data binary"))
-    pairs = pairs_across(rows, payload, CountVectors(percent)).distinct()
-    found = components(links.unionByName(confirmed(pairs, sets, percent)))
+    payload = cut_lineage(points.join(trees, "id").mapInPandas(_payload, "id long, n int, data binary"))
+    pairs = cut_lineage(pairs_across(rows, payload, CountVectors(percent)).distinct())
+    found = components(links.unionByName(verified(pairs, texts, rows_of, percent)))
     return labelled(signed, known, found).select("doc_id", "n_shingles", "component_id")

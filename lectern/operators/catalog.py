@@ -77,35 +77,61 @@ def exercises_by_topic(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("topic").agg(F.array_sort(F.collect_set("exercise")).alias("exercises"))
 
 
+def _doubled(direct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The transitive closure (source, target) of a DAG and, for nodes with a way on, the length of their longest (node, height).
+
+    Round k holds the pairs that 2^k steps lead between (``leaps``), the pairs that fewer steps do and the longest ways
+    of fewer steps. A longer way is a leap and a shorter way, so each round doubles the length and the
+    number of rounds is the logarithm of the longest way; a pair is found once from each way's length at most.
+    """
+    leaps, length = direct, 1
+    closure = heights = None
+    while True:
+        after = leaps.select(F.col("source").alias("node"), F.lit(length).alias("height"))
+        near = leaps
+        if closure is not None:
+            near = near.unionByName(closure).unionByName(closure.alias("c").join(leaps.alias("l"), F.col("c.target") == F.col("l.source")).select("c.source", "l.target"))
+            way = leaps.join(heights.withColumnRenamed("node", "target"), "target").select(F.col("source").alias("node"), (F.col("height") + length).alias("height"))
+            after = after.unionByName(way).unionByName(heights)
+        closure = cut_lineage(near.distinct())
+        heights = cut_lineage(after.groupBy("node").agg(F.max("height").alias("height")))
+        if not closure.where("source = target").isEmpty():
+            raise ValueError(f"the graph has a cycle: {', '.join(map(str, _one_cycle(closure)))}")
+        leaps = cut_lineage(leaps.alias("a").join(leaps.alias("b"), F.col("a.target") == F.col("b.source")).select("a.source", "b.target").distinct())
+        length *= 2
+        if leaps.isEmpty():
+            return closure, heights
+
+
+def _one_cycle(closure: DataFrame, most: int = 20) -> list:
+    """Nodes of the strongly connected component of the smallest node on a cycle, the first ``most`` of them."""
+    first = closure.where("source = target").agg(F.min("source")).scalar()
+    there = closure.where(F.col("source") == first).select(F.col("target").alias("node"))
+    back = closure.where(F.col("target") == first).select(F.col("source").alias("node"))
+    return [r["node"] for r in there.join(back, "node").distinct().orderBy("node").limit(most).collect()]
+
+
 def cover_graph(edges: DataFrame) -> DataFrame:
     """Direct and transitive relations of a DAG, with the level of each node.
 
-    Paths grow by one edge per round; each round holds the distinct (source, target) pairs joined by
-    a path of that length, written to the shared folder.  A path that leads back to its source is a
-    cycle, which is an error.  A node's level is its longest downstream path plus one.
+    The closure grows by doubling, see ``_doubled``.  A way that leads back to its start is a
+    cycle, which is an error that names it; an edge from a node to itself is left out.  A node's level is its longest
+    downstream path plus one.
     """
     direct = cut_lineage(edges.select("source", "target").where("source <> target").distinct())
-    step = direct.select(F.col("source").alias("target"), F.col("target").alias("next"))
-    paths, rounds, depth = direct, [], 1
-    while not paths.isEmpty():
-        if not paths.where("source = target").isEmpty():
-            raise ValueError("the graph has a cycle")
-        rounds.append(paths.withColumn("depth", F.lit(depth)))
-        paths = cut_lineage(paths.join(step, "target").select("source", F.col("next").alias("target")).distinct())
-        depth += 1
-    if not rounds:
+    if direct.isEmpty():
         return direct.select(
             F.col("source").alias("node"), F.col("target").alias("related"), F.lit("covers").alias("relation"),
             F.lit(1).alias("level"))
-    walked = rounds[0]
-    for more in rounds[1:]:
-        walked = walked.unionByName(more)
-    closure = walked.groupBy("source", "target").agg(F.min("depth").alias("depth"))
-    down = closure.select(F.col("source").alias("node"), F.col("target").alias("related"), "depth", F.lit(True).alias("down"))
-    up = closure.select(F.col("target").alias("node"), F.col("source").alias("related"), "depth", F.lit(False).alias("down"))
-    names = F.when(F.col("down"), F.array_compact(F.array(F.lit("descendant"), F.when(F.col("depth") == 1, "covers")))) \
-        .otherwise(F.array_compact(F.array(F.lit("ancestor"), F.when(F.col("depth") == 1, "covered"))))
-    related = down.unionByName(up).select("node", "related", F.explode(names).alias("relation"))
-    levels = walked.groupBy(F.col("source").alias("node")).agg((F.max("depth") + 1).alias("level"))
+    closure, heights = _doubled(direct)
+
+    def relations(pairs: DataFrame, down: str, up: str) -> DataFrame:
+        either = F.array(
+            F.struct(F.col("source").alias("node"), F.col("target").alias("related"), F.lit(down).alias("relation")),
+            F.struct(F.col("target").alias("node"), F.col("source").alias("related"), F.lit(up).alias("relation")))
+        return pairs.select(F.explode(either).alias("r")).select("r.*")
+
+    related = relations(closure, "descendant", "ancestor").unionByName(relations(direct, "covers", "covered"))
+    levels = heights.select("node", (F.col("height") + 1).alias("level"))
     return related.join(levels, "node", "left").select(
         "node", "related", "relation", F.coalesce("level", F.lit(1)).alias("level"))

@@ -155,8 +155,10 @@ def experiment_learning_curves(
 
     Left out: (user, topic) groups in which some exercise does not begin with its first problem, and
     users seen in more than one alternative.  ``truncate`` drops the last test cards of each group,
-    ``cutoff`` the exercises of ``difficulty`` at or above it.  ``abilities`` (exercise, correct, ability)
-    adds the same sums over estimated abilities.
+    ``cutoff`` the exercises of ``difficulty`` at or above it.  ``abilities`` (exercise, correct, ability, variance,
+    difficulty; see ``models.response_abilities``) adds sums over the test cards: of difficulties, of abilities, of abilities weighted by
+    their precision (1 / variance) and of these weights, and the ability gain spread like the raw gain.  Cards without an ability are no
+    test cards then.
     """
     group = ["user", "topic"]
     begun = attempts.groupBy(*group, "exercise").agg(F.min_by("problem_number", F.struct(*order)).alias("p"))
@@ -173,9 +175,9 @@ def experiment_learning_curves(
         easy = difficulty.where(F.col("difficulty") < cutoff).select("exercise")
         tests = tests.join(easy, "exercise", "left_semi")
     if abilities is not None:
-        tests = tests.join(abilities.select("exercise", "correct", "ability"), ["exercise", "correct"])
+        tests = tests.join(abilities.select("exercise", "correct", "ability", "variance", "difficulty"), ["exercise", "correct"])
     else:
-        tests = tests.withColumn("ability", F.lit(0.0))
+        tests = tests.withColumns({"ability": F.lit(0.0), "variance": F.lit(1.0), "difficulty": F.lit(0.0)})
     steps = scan_groups(
         tests, group, order, epoch_hour_chunk(order[0]), number="nth", group_sums={"tests": F.lit(1)},
         lags={"prev": "position", "prev_correct": "correct", "prev_ability": "ability"})
@@ -183,27 +185,28 @@ def experiment_learning_curves(
 
     keys = ["alternative", "topic", "position"]
     zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
-    counted = placed.select(
-        *keys, F.lit(1).cast("bigint").alias("num_all_cards"), zero.alias("num_test_cards"), zero.alias("num_correct"),
-        zero.alias("time_taken"), none.alias("raw_gain"), none.alias("total_increments"), none.alias("sum_abilities"),
-        none.alias("ability_gain"))
-    answered = steps.select(
-        *keys, zero.alias("num_all_cards"), F.lit(1).cast("bigint").alias("num_test_cards"),
-        F.col("correct").cast("bigint").alias("num_correct"), F.col("time_taken").cast("bigint").alias("time_taken"),
-        none.alias("raw_gain"), none.alias("total_increments"), F.col("ability").alias("sum_abilities"), none.alias("ability_gain"))
+    counts = ["num_all_cards", "num_test_cards", "num_correct", "time_taken"]
+    by_ability = ["sum_difficulty", "sum_abilities", "sum_abilities_weighted", "sum_abilities_weights", "ability_gain"]
+    sums = [*counts, "raw_gain", "total_increments", *by_ability]
+
+    def summands(df: DataFrame, **given: Column) -> DataFrame:
+        """Rows of zeros but for the sums ``given``."""
+        return df.select(*keys, *[given.get(c, F.lit(0)).cast("bigint" if c in counts else "double").alias(c) for c in sums])
+
+    counted = summands(placed, num_all_cards=F.lit(1))
+    answered = summands(
+        steps, num_test_cards=F.lit(1), num_correct=F.col("correct"), time_taken=F.col("time_taken"), sum_difficulty=F.col("difficulty"),
+        sum_abilities=F.col("ability"), sum_abilities_weighted=F.col("ability") / F.col("variance"), sum_abilities_weights=1.0 / F.col("variance"))
     spans = steps.where("prev IS NOT NULL").withColumnRenamed("position", "next").withColumn("size", 1.0 / (F.col("next") - F.col("prev")))
     size = F.col("size")
-    gained = explode_range(spans, "prev", F.col("next") - 1, "position").select(
-        *keys,
-        zero.alias("num_all_cards"), zero.alias("num_test_cards"), zero.alias("num_correct"), zero.alias("time_taken"),
-        (size * (F.col("correct").cast("int") - F.col("prev_correct").cast("int"))).alias("raw_gain"), size.alias("total_increments"),
-        none.alias("sum_abilities"), (size * (F.col("ability") - F.col("prev_ability"))).alias("ability_gain"))
-    sums = [c for c in counted.columns if c not in keys]
+    gained = summands(
+        explode_range(spans, "prev", F.col("next") - 1, "position"), raw_gain=size * (F.col("correct").cast("int") - F.col("prev_correct").cast("int")),
+        total_increments=size, ability_gain=size * (F.col("ability") - F.col("prev_ability")))
     rows = counted.unionByName(answered).unionByName(gained)
     per_topic = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     out = per_topic.withColumn("topic", F.explode(F.array("topic", F.lit("AGGREGATE")))).groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in sums])
-    return out if abilities is not None else out.drop("sum_abilities", "ability_gain")
+    return out if abilities is not None else out.drop(*by_ability)
 
 
 def positions(attempts: DataFrame, n: int, min_problems: int = 0, order: Sequence[str] = ORDER) -> DataFrame:

@@ -313,6 +313,27 @@ def estimate_abilities(data: DataFrame, items: DataFrame, dims: int = 1, use_tim
     return post.select("user", F.array(*mean).alias("theta"), "logl")
 
 
+def response_abilities(items: DataFrame, dims: int = 1, points: int | None = None) -> DataFrame:
+    """What one answer says: (exercise, correct, ability, variance, difficulty) for a right and a wrong answer to each item.
+
+    Ability and variance are those of the posterior over the grid, taken over all dimensions alike; the difficulty is the
+    item's constant coupling.  Their precision, 1 / variance, weighs abilities in sums over answers.
+    """
+    nodes, weights = quadrature(dims, points or NODES.get(dims, MORE_NODES))
+    rows = items.select("exercise", F.col("w_correct"), F.explode(F.array(F.lit(True), F.lit(False))).alias("correct"))
+    sign = F.when(F.col("correct"), 1.0).otherwise(-1.0)
+
+    def chance(node: np.ndarray) -> Column:
+        return 1.0 / (1.0 + F.exp(-sign * sum((F.col("w_correct")[j] * float(node[j]) for j in range(dims)), F.col("w_correct")[dims])))
+
+    post = rows.withColumn("post", F.array(*[chance(node) * float(w) for node, w in zip(nodes, weights)]))
+    total = lambda values: sum((F.col("post")[q] * float(v) for q, v in enumerate(values)), F.lit(0.0))
+    whole = total(np.ones(len(nodes)))
+    moments = post.select(
+        "exercise", "correct", (total(nodes.mean(axis=1)) / whole).alias("ability"), (total((nodes**2).mean(axis=1)) / whole).alias("square"), F.col("w_correct")[dims].alias("difficulty"))
+    return moments.select("exercise", "correct", "ability", (F.col("square") - F.col("ability") * F.col("ability")).alias("variance"), "difficulty")
+
+
 def item_response_slope(data: DataFrame, items: DataFrame, dims: int = 1, l2: float = 1e-3, points: int | None = None) -> DataFrame:
     """Per exercise the slope of the penalised log likelihood at its couplings, per answer: (exercise, n, slope).
 

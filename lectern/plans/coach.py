@@ -364,6 +364,25 @@ def ip_geolocate(b: Inputs):
     return geo.ip_geolocate(event_ips(b).select("event_id", "ip"), ranges(b))
 
 
+def nested_ranges(b: Inputs):
+    """The ranges of the nations, in each three smaller ones, and one around all."""
+    inner = ranges(b).select(
+        F.explode(F.sequence(F.lit(1), F.lit(3))).alias("i"), "*").select(
+        (F.col("lo") + F.col("i") * 1000000).alias("lo"), (F.col("lo") + F.col("i") * 1000000 + F.when(F.col("i") == 3, 20000000).otherwise(700000)).alias("hi"),
+        F.concat_ws("/", "city", "i").alias("city"))
+    whole = b.spark.range(1).select(F.lit(0).cast("bigint").alias("lo"), F.lit(4294967295).alias("hi"), F.lit("Earth").alias("city"))
+    return ranges(b).select("lo", "hi", "city").unionByName(inner).unionByName(whole)
+
+
+@query("ip_geolocate_nested", "GE-2", """
+    WITH i AS (SELECT unnest(generate_series(1, 3)) AS i),
+    r AS (SELECT lo, hi, city FROM b_ranges UNION ALL SELECT 0, 4294967295, 'Earth'
+          UNION ALL SELECT lo + i * 1000000, lo + i * 1000000 + CASE WHEN i = 3 THEN 20000000 ELSE 700000 END, city || '/' || i FROM b_ranges CROSS JOIN i)
+    SELECT event_id, ip, arg_max(city, lo) AS city FROM b_ips JOIN r ON ipn BETWEEN lo AND hi GROUP BY 1, 2""")
+def ip_geolocate_nested(b: Inputs):
+    return geo.ip_geolocate(event_ips(b).select("event_id", "ip"), nested_ranges(b))
+
+
 @query("region_ip_ranges", "GE-3", """
     WITH l AS (SELECT s_suppkey AS id, CASE WHEN s_nationkey % 2 = 0 THEN 'CA' ELSE 'NY' END AS state, s_nationkey AS city,
                       400 + s_suppkey % 30 AS area, CASE WHEN s_suppkey % 7 <> 0 THEN 94000 + s_suppkey END AS zip FROM supplier),

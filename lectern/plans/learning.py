@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import learning as ops
+from lectern.operators import learning as ops, models
 from lectern.plans.bindings import SQL_INPUTS, Inputs
 from lectern.plans.registry import query
 
@@ -169,10 +169,17 @@ def segment_rates(b: Inputs):
 
 
 def _experiment_sql(truncate: int, abilities: bool) -> str:
-    ability = ", SUM(ab) AS sum_abilities, SUM(ag) AS ability_gain" if abilities else ""
-    final = ", round(SUM(sum_abilities), 6) + 0.0 AS sum_abilities, round(SUM(ability_gain), 6) + 0.0 AS ability_gain" if abilities else ""
+    sums = {"sd": "sum_difficulty", "ab": "sum_abilities", "aw": "sum_abilities_weighted", "ws": "sum_abilities_weights", "ag": "ability_gain"}
+    ability = "".join(f", SUM({short}) AS {name}" for short, name in sums.items()) if abilities else ""
+    final = "".join(f", round(SUM({name}), 6) + 0.0 AS {name}" for name in sums.values()) if abilities else ""
     return f"""
-        WITH f AS (SELECT *, first_value(problem_number) OVER (PARTITION BY "user", topic, exercise ORDER BY time_done, event_id) AS p1 FROM b_trial_attempts),
+        WITH g AS (SELECT -4 + 8.0::DOUBLE * q / 14 AS x, exp(-(-4 + 8.0::DOUBLE * q / 14) ** 2 / 2) AS w FROM (SELECT unnest(generate_series(0, 14)) AS q)),
+        e AS (SELECT exercise, (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE AS difficulty, 0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE AS slope
+              FROM (SELECT DISTINCT exercise FROM b_trial_attempts)),
+        h AS (SELECT exercise, correct, difficulty, x, w / (1 + exp(CASE WHEN correct THEN -1 ELSE 1 END * (slope * x + difficulty))) AS w
+              FROM e CROSS JOIN g CROSS JOIN (VALUES (true), (false)) v(correct)),
+        o AS (SELECT exercise, correct, difficulty, SUM(w * x) / SUM(w) AS ability, SUM(w * x * x) / SUM(w) - (SUM(w * x) / SUM(w)) ** 2 AS variance FROM h GROUP BY ALL),
+        f AS (SELECT *, first_value(problem_number) OVER (PARTITION BY "user", topic, exercise ORDER BY time_done, event_id) AS p1 FROM b_trial_attempts),
         ok AS (SELECT "user", topic FROM f GROUP BY 1, 2 HAVING MAX(p1) = 1),
         okuser AS (SELECT "user" FROM b_trial_attempts GROUP BY 1 HAVING COUNT(DISTINCT alternative) = 1),
         a AS (SELECT f.*, row_number() OVER (PARTITION BY f."user", f.topic ORDER BY time_done, event_id) AS position,
@@ -180,14 +187,14 @@ def _experiment_sql(truncate: int, abilities: bool) -> str:
               WHERE f."user" IN (SELECT "user" FROM okuser)),
         k AS (SELECT * FROM a WHERE done >= 3),
         t AS (SELECT *, row_number() OVER w AS nth, COUNT(*) OVER (PARTITION BY "user", topic) AS tests, lag(position) OVER w AS prev, lag(correct) OVER w AS pc,
-                     pct * (CASE WHEN correct THEN 1 ELSE -1 END) AS ability, lag(pct * (CASE WHEN correct THEN 1 ELSE -1 END)) OVER w AS pa
-              FROM (SELECT k.*, length(exercise)::DOUBLE AS pct FROM k WHERE randomized)
+                     lag(ability) OVER w AS pa
+              FROM (SELECT k.*, difficulty, ability, variance FROM k JOIN o USING (exercise, correct) WHERE randomized)
               WINDOW w AS (PARTITION BY "user", topic ORDER BY position)),
         s AS (SELECT * FROM t WHERE nth <= tests - {truncate}),
-        r AS (SELECT alternative, topic, position, 1 AS n, 0 AS tc, 0 AS c, 0 AS tt, 0.0::DOUBLE AS g, 0.0::DOUBLE AS i, 0.0::DOUBLE AS ab, 0.0::DOUBLE AS ag FROM k
-              UNION ALL SELECT alternative, topic, position, 0, 1, correct::INT, LEAST(GREATEST(time_taken, 0), 600), 0, 0, ability, 0 FROM s
+        r AS (SELECT alternative, topic, position, 1 AS n, 0 AS tc, 0 AS c, 0 AS tt, 0.0::DOUBLE AS g, 0.0::DOUBLE AS i, 0.0::DOUBLE AS sd, 0.0::DOUBLE AS ab, 0.0::DOUBLE AS aw, 0.0::DOUBLE AS ws, 0.0::DOUBLE AS ag FROM k
+              UNION ALL SELECT alternative, topic, position, 0, 1, correct::INT, LEAST(GREATEST(time_taken, 0), 600), 0, 0, difficulty, ability, ability / variance, 1 / variance, 0 FROM s
               UNION ALL SELECT alternative, topic, unnest(generate_series(prev, position - 1)), 0, 0, 0, 0,
-                     (correct::INT - pc::INT) / (position - prev)::DOUBLE, 1.0 / (position - prev)::DOUBLE, 0, (ability - pa) / (position - prev)::DOUBLE
+                     (correct::INT - pc::INT) / (position - prev)::DOUBLE, 1.0 / (position - prev)::DOUBLE, 0, 0, 0, 0, (ability - pa) / (position - prev)::DOUBLE
               FROM s WHERE prev IS NOT NULL),
         x AS (SELECT alternative, topic, position, SUM(n) AS n, SUM(tc) AS tc, SUM(c) AS c, SUM(tt) AS tt, SUM(g) AS g, SUM(i) AS i{ability} FROM r GROUP BY 1, 2, 3),
         y AS (SELECT * FROM x UNION ALL SELECT * REPLACE ('AGGREGATE' AS topic) FROM x)
@@ -203,9 +210,9 @@ def experiment_learning_curves(b: Inputs):
 @query("experiment_ability_curves", "LE-7", _experiment_sql(0, True))
 def experiment_ability_curves(b: Inputs):
     rows = trial_attempts(b)
-    sign = F.explode(F.array(F.lit(True), F.lit(False)))
-    abilities = rows.select("exercise").distinct().select("exercise", sign.alias("correct")).withColumn(
-        "ability", F.when(F.col("correct"), F.length("exercise")).otherwise(-F.length("exercise")).cast("double"))
+    number = F.substring("exercise", 4, 9).cast("int")
+    items = rows.select("exercise").distinct().select("exercise", F.array(0.5 + number / 12, (number - 6) / 6).alias("w_correct"))
+    abilities = models.response_abilities(items)
     return rounded(ops.experiment_learning_curves(rows, min_attempts=3, abilities=abilities))
 
 

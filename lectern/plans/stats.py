@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import models, stats as ops
+from lectern.operators import models, sampler, stats as ops
+from lectern.operators.lbfgs import lbfgs_per_group
 from lectern.operators.learning import exercise_difficulty as difficulty
 from lectern.plans.bindings import SQL_INPUTS, Inputs
 from lectern.plans.learning import attempts, rounded
@@ -204,6 +205,14 @@ def fit_log_odds(b: Inputs):
     return fits.select("exercise", "num_samples", "converged", F.posexplode("theta").alias("i", "theta")).withColumn("theta", F.round("theta", 4))
 
 
+@query("fit_log_odds_quasi_newton", "ST-12", """
+    WITH c AS (SELECT exercise, SUM(n)::BIGINT AS num_samples, MAX(ln(r / (n - r))) FILTER (WHERE NOT flag) AS a, MAX(ln(r / (n - r))) FILTER (WHERE flag) AS b FROM b_flagged GROUP BY 1)
+    SELECT exercise, num_samples, true AS converged, i::BIGINT AS i, round(CASE i WHEN 0 THEN a ELSE b - a END, 4) AS theta FROM c CROSS JOIN (VALUES (0), (1)) t(i)""")
+def fit_log_odds_quasi_newton(b: Inputs):
+    fits = lbfgs_per_group(flagged(b), l2=1e-9)
+    return fits.select("exercise", "num_samples", "converged", F.posexplode("theta").alias("i", "theta")).withColumn("theta", F.round("theta", 4))
+
+
 @query("predict_log_odds", "ST-6", "SELECT exercise, flag, n, r::DOUBLE AS expected FROM b_flagged")
 def predict_log_odds(b: Inputs):
     rows = flagged(b)
@@ -341,11 +350,29 @@ def item_response_fit(b: Inputs):
 
 
 @query("item_response_slope", "ST-12", """
-    SELECT exercise, COUNT(DISTINCT "user") AS n, true AS flat FROM b_attempts GROUP BY 1""")
+    WITH f AS (SELECT "user", exercise, correct, 0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE AS w0, (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE AS w1
+               FROM (SELECT *, row_number() OVER (PARTITION BY "user", exercise ORDER BY time_done, event_id) AS rn FROM b_attempts) WHERE rn = 1),
+    g AS (SELECT -4 + 8.0::DOUBLE * q / 14 AS a FROM (SELECT unnest(generate_series(0, 14)) AS q)),
+    z AS (SELECT f.*, a, w0 * a + w1 AS z FROM f CROSS JOIN g),
+    l AS (SELECT "user", a, -a * a / 2 - SUM(ln(1 + exp(CASE WHEN correct THEN -z ELSE z END))) AS l FROM z GROUP BY "user", a),
+    m AS (SELECT "user", a, exp(l - MAX(l) OVER (PARTITION BY "user")) AS e FROM l),
+    p AS (SELECT "user", a, e / SUM(e) OVER (PARTITION BY "user") AS post FROM m)
+    SELECT exercise, COUNT(DISTINCT "user") AS n, round((SUM(post * (correct::INT - 1 / (1 + exp(-z))) * a) - 0.002::DOUBLE * MAX(w0)) / COUNT(DISTINCT "user"), 6) + 0.0 AS slope_0,
+           round((SUM(post * (correct::INT - 1 / (1 + exp(-z)))) - 0.002::DOUBLE * MAX(w1)) / COUNT(DISTINCT "user"), 6) + 0.0 AS slope_1
+    FROM z JOIN p USING ("user", a) GROUP BY 1""")
 def item_response_slope(b: Inputs):
-    items, _ = models.item_response_fit(responses(b))
-    slopes = models.item_response_slope(models.first_responses(responses(b), ("time_done", "event_id")), items)
-    return slopes.select("exercise", "n", F.forall("slope", lambda s: F.abs(s) < 0.002).alias("flat"))
+    """The way up from given couplings."""
+    slopes = models.item_response_slope(*answered_items(b))
+    return slopes.select("exercise", "n", *[(F.round(F.col("slope")[i], 6) + F.lit(0.0)).alias(f"slope_{i}") for i in range(2)])
+
+
+def answered_items(b: Inputs):
+    """First answers, and given couplings of their exercises."""
+    data = models.first_responses(responses(b), ("time_done", "event_id"))
+    number = F.substring("exercise", 4, 9).cast("int")
+    items = data.select("exercise").distinct().select(
+        "exercise", F.array(0.5 + number / 12, (number - 6) / 6).alias("w_correct"), F.array(F.lit(0.0), F.lit(0.0)).alias("w_time"), F.lit(1.0).alias("sigma"))
+    return data, items
 
 
 @query("item_response_fixed", "ST-12", """
@@ -358,13 +385,42 @@ def item_response_slope(b: Inputs):
     SELECT "user", round(SUM(exp(l - top) * a) / SUM(exp(l - top)), 6) AS theta, round(MAX(top) + ln(SUM(exp(l - top))), 6) AS logl FROM m GROUP BY 1""")
 def item_response_fixed(b: Inputs):
     """Abilities at given couplings."""
-    data = models.first_responses(responses(b), ("time_done", "event_id"))
-    number = F.substring("exercise", 4, 9).cast("int")
-    items = data.select("exercise").distinct().select(
-        "exercise", F.array(0.5 + number / 12, (number - 6) / 6).alias("w_correct"), F.array(F.lit(0.0), F.lit(0.0)).alias("w_time"), F.lit(1.0).alias("sigma"))
+    data, items = answered_items(b)
     return models.estimate_abilities(data, items).select("user", F.round(F.col("theta")[0], 6).alias("theta"), F.round("logl", 6).alias("logl"))
 
 
+_CHAIN, _BURN_IN = 60, 20
+
+
+@query("item_response_chain", "ST-12", f"""
+    WITH RECURSIVE f AS (SELECT "user", exercise, correct FROM (SELECT *, row_number() OVER (PARTITION BY "user", exercise ORDER BY time_done, event_id) AS rn FROM b_attempts) WHERE rn = 1),
+    a AS (SELECT "user", list(struct_pack(s := 0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE, b := (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE, c := CASE WHEN correct THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
+                 ORDER BY exercise) AS r FROM f GROUP BY 1),
+    h AS (SELECT "user", r, step, md5('{models.SEED}|' || "user" || '|0|' || step || '|0') AS m FROM a CROSS JOIN (SELECT unnest(generate_series(0, {_CHAIN - 1})) AS step)),
+    u AS (SELECT "user", r, step, (('0x' || m[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u0,
+                 1.2::DOUBLE * sqrt(-2.0::DOUBLE * ln((('0x' || m[9:16])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))
+                 * cos(2 * pi() * (('0x' || m[17:24])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE) AS move FROM h),
+    w AS (SELECT "user", -1 AS step, 0.0::DOUBLE AS theta, -list_sum(list_transform(r, lambda x: ln(1 + exp(x.c * x.b)))) AS density, 0 AS accepted, 0.0::DOUBLE AS total FROM a
+          UNION ALL
+          SELECT "user", step, CASE WHEN took THEN there ELSE theta END, CASE WHEN took THEN other ELSE density END, accepted + took::INT,
+                 total + CASE WHEN step < {_BURN_IN} THEN 0 WHEN took THEN there ELSE theta END
+          FROM (SELECT *, ln(u0) < other - density AS took FROM (
+              SELECT p.*, -0.5::DOUBLE * there * there - list_sum(list_transform(r, lambda x: ln(1 + exp(x.c * (x.s * there + x.b))))) AS other FROM (
+                  SELECT w."user", u.step, w.theta, w.density, w.accepted, w.total, u.r, u.u0, w.theta + u.move AS there FROM w JOIN u ON u."user" = w."user" AND u.step = w.step + 1) p)))
+    SELECT "user", accepted::BIGINT AS accepted, round(total / {_CHAIN - _BURN_IN}, 6) + 0.0 AS theta FROM w WHERE step = {_CHAIN - 1}""")
+def item_response_chain(b: Inputs):
+    """One Metropolis chain a user at the same couplings."""
+    data, items = answered_items(b)
+    sampled = sampler.sample_abilities(data, items, steps=_CHAIN, burn_in=_BURN_IN, chains=1)
+    return sampled.select("user", "accepted", (F.round(F.col("theta")[0], 6) + F.lit(0.0)).alias("theta"))
+
+
+@query("item_response_sampled", "ST-12")
+def item_response_sampled(b: Inputs):
+    items, _ = sampler.item_response_sampled(responses(b))
+    return items.select("exercise", *[F.round(F.col("w_correct")[i], 4).alias(f"correct_{i}") for i in range(2)], F.round("spread", 4).alias("spread"))
+
+
 @query("item_response_abilities", "ST-12")
 def item_response_abilities(b: Inputs):
     items, abilities = models.item_response_fit(responses(b))

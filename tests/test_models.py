@@ -271,8 +271,7 @@ def test_registered_fits_use_the_operators_defaults(spark, monkeypatch):
     monkeypatch.setattr(models, "item_response_fit", spy)
     for name in ("item_response_fit", "item_response_abilities"):
         assert "converged" in QUERIES[name](spark, "/root/testdata/sf0.001").columns
-    QUERIES["item_response_slope"](spark, "/root/testdata/sf0.001")
-    assert len(asked) == 3 and not set.union(*asked) & {"epochs", "tolerance"}
+    assert len(asked) == 2 and not set.union(*asked) & {"epochs", "tolerance"}
     described = []
     vector = models.feature_vector
     monkeypatch.setattr(models, "feature_vector", lambda samples, *rest: described.append(samples) or vector(samples, *rest))
