@@ -109,7 +109,7 @@ class Signatures(Kernel):
         at = np.flatnonzero(close)
         at = at[at_first_common_key(differ[at], key[at] >> 48)]
         close[:] = False
-        other = (x[i[at], SYMBOL_BITS:] ^ y[j[at], SYMBOL_BITS:]).reshape(len(at), -1, LONG_BITS)
+        other = (x[i[at], SYMBOL_BITS:] ^ y[j[at], SYMBOL_BITS:]).reshape(len(at), LONG_SYMBOLS // 64, LONG_BITS)
         close[at] = np.bitwise_count(np.bitwise_or.reduce(other, axis=2)).sum(axis=1) <= MOST_LONG
         return close
 
