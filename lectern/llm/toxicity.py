@@ -5,7 +5,7 @@ tokens are derived: a word, or its first letters, is a mark of toxicity when it
 documents and tells something of them that stronger marks don't (words that merely come along, such as
 those of copied documents, are explained away); the tokens with a mark in toxic documents are labelled toxic. The field has two states; a token's evidence is the sum of
 the weights of its word, its first five letters and its last three. It is fitted by gradient steps
-on the likelihood, whose expectations come from forward-backward. Marginals then give spans (stretches
+on the likelihood, whose expectations come from forward-backward; each step sums gradients in Spark tasks. Marginals then give spans (stretches
 with a marginal of at least a half) and, through a two-weight logistic fit, the document's score.
 
 Forward and backward messages are ratios x(t) = (a x(t-1) + b) / (c x(t-1) + d); such maps compose as
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.labelled import held_out, sample
 from lectern.llm.shingles import portions
+from lectern.session import cut_lineage
 
 TOKEN = re.compile(r"\w+")
 PER_CLASS = 1_500
@@ -41,6 +42,9 @@ LEAST_DOCS = 5
 EXPLAINED = 3
 _BLOCK = 64
 _KEPT_WORDS = 100_000
+_KINDS = ("whole", "begin", "end")
+_PARTS = 8
+_TOKENS_AT_ONCE = 200_000
 
 
 def features(word: str) -> tuple[str, ...]:
@@ -128,74 +132,168 @@ def _count(total: np.ndarray) -> np.ndarray:
     return np.log(0.05 + total)
 
 
-def fit(rows: Iterable[tuple[str, int]], steps: int = STEPS, lift: float = LIFT, least: int = LEAST_DOCS) -> Model:
-    """A model from (text, label) rows, a bounded sample; texts are read one by one and only their words' numbers kept."""
-    number: dict[str, int] = {}
-    tokens, labels = [], []
-    for text, x in rows:
-        tokens.append(np.array([number.setdefault(m.group(), len(number)) for m in TOKEN.finditer(text.lower())], dtype=np.int32))
-        labels.append(x)
-    if not labels:
-        return Model()
-    label = np.array(labels)
-    if label.min() == label.max():
-        return Model(rate=float(label[0]))
-    ids: dict[str, int] = {}
-    of_word = [[ids.setdefault(f, len(ids)) for f in features(w)] for w in number]
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "words": [TOKEN.findall((t or "").lower()) for t in batch["text"]]})
+
+
+def _feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """feature and its numbers of documents of either label in a partition."""
     seen = {0: Counter(), 1: Counter()}
-    for found, x in zip(tokens, label.tolist()):
-        seen[x].update({f for w in np.unique(found).tolist() for f in of_word[w]})
-    n1, n0 = int(label.sum()), int((1 - label).sum())
-    names = list(ids)
-    likely = {f for f, k in seen[1].items() if k >= least and names[f][0] in "=^" and (k + 0.5) / (n1 + 1) >= lift * (seen[0][f] + 0.5) / (n0 + 1)}
-    holds = [Counter(f for w in found.tolist() for f in of_word[w] if f in likely) for found, x in zip(tokens, label.tolist()) if x]
-    marks = _marks(holds, max(least, n1 // 100))
-    evident = np.array([any(f in marks for f in fs) for fs in of_word] or [False])
-
-    flat = np.concatenate(tokens)
-    lengths = np.array([len(t) for t in tokens])
-    first = np.zeros(len(flat), dtype=bool)
-    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-    truth = (evident[flat] & np.repeat(label == 1, lengths)).astype(float)
-    inner = ~first
-    pairs = np.array([[((1 - truth[:-1]) * (1 - truth[1:]))[inner[1:]].sum(), ((1 - truth[:-1]) * truth[1:])[inner[1:]].sum()],
-                      [(truth[:-1] * (1 - truth[1:]))[inner[1:]].sum(), (truth[:-1] * truth[1:])[inner[1:]].sum()]])
-    word_of = np.repeat(np.arange(len(of_word)), [len(f) for f in of_word])
-    feature_of = np.array([f for fs in of_word for f in fs], dtype=np.int64)
-    # Weights, the bias and three transition scores (staying in state 0 is the zero point).
-    theta = np.zeros(len(ids) + 4)
-    theta[len(ids)] = -5.0
-    pace, speed, before = np.full(len(theta), 0.3), np.zeros(len(theta)), np.zeros(len(theta))
-    for _ in range(steps):
-        moves = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
-        word_score = theta[len(ids)] + np.bincount(word_of, weights=theta[feature_of], minlength=len(of_word))
-        evidence = word_score[flat]
+    for batch in batches:
+        for found, label in zip(batch["words"], batch["label"]):
+            seen[label].update({f for w in set(found) for f in features(w)})
+    names = list(seen[0].keys() | seen[1].keys())
+    yield pd.DataFrame({"feature": pd.Series(names, dtype=object), "yes": [seen[1][f] for f in names], "no": [seen[0][f] for f in names]})
+
+
+def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with a number each from 0 on, and how many there are; only the sizes of partitions are collected."""
+    placed = cut_lineage(rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))))
+    sizes = sorted((r["part"], r["count"]) for r in placed.groupBy("part").count().collect())
+    starts, total = [], 0
+    for part, size in sizes:
+        starts.append((part, total))
+        total += size
+    if not total:
+        return placed.withColumn("number", F.lit(0)).drop("part", "place"), 0
+    start = F.element_at(F.create_map(*[F.lit(x) for pair in starts for x in pair]), F.col("part"))
+    return placed.withColumn("number", (start + F.col("place")).cast("int")).drop("part", "place"), total
+
+
+def _encoded(tokens: DataFrame, numbers: DataFrame) -> DataFrame:
+    """doc_id, label and, token by token, the numbers of its three features (-1 for none)."""
+    word = F.col("word")
+    named = tokens.select(F.explode("words").alias("word")).distinct().select(
+        "word", F.concat(F.lit("="), word).alias("whole"), F.when(F.length(word) > 5, F.concat(F.lit("^"), F.substring(word, 1, 5))).alias("begin"),
+        F.when(F.length(word) > 3, F.concat(F.lit("$"), F.right(word, F.lit(3)))).alias("end"))
+    for kind in _KINDS:
+        named = named.join(numbers.select(F.col("feature").alias(kind), F.col("number").alias(f"{kind}_number")), kind, "left")
+    known = cut_lineage(named.select("word", *[F.coalesce(f"{kind}_number", F.lit(-1)).alias(kind) for kind in _KINDS]))
+    met = tokens.select("doc_id", "label", F.posexplode("words").alias("at", "word")).join(known, "word")
+    listed = met.groupBy("doc_id", "label").agg(F.sort_array(F.collect_list(F.struct("at", *_KINDS))).alias("tokens"))
+    return listed.select("doc_id", "label", *[F.col(f"tokens.{kind}").alias(kind) for kind in _KINDS])
+
+
+def _holds(encoded: DataFrame, likely: DataFrame) -> list[Counter]:
+    """The likely marks in each toxic document that has one, with how often; the sample bounds their number."""
+    number = F.explode(F.concat("whole", "begin")).alias("number")
+    rows = encoded.where("label = 1").select("doc_id", number).join(likely, "number").groupBy("doc_id", "number").agg(F.count("*").alias("n")).orderBy("doc_id", "number").toArrow()
+    held: dict[int, Counter] = {}
+    for doc_id, mark, n in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "number", "n"))):
+        held.setdefault(doc_id, Counter())[mark] = n
+    return list(held.values())
+
+
+def _gradient(theta: np.ndarray, marks: np.ndarray):
+    """The gradient of the likelihood over the documents of a partition, one row."""
+    count = len(theta) - 4
+    weights = np.append(theta[:count], 0.0)  # a token without a feature of some kind has number -1
+    moves = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
+    marked = np.zeros(count + 1, dtype=bool)
+    marked[marks] = True
+    t = np.exp(moves)
+
+    def add(total: np.ndarray, rows: pd.DataFrame) -> None:
+        numbers = [np.concatenate(rows[kind].tolist()).astype(np.int64) for kind in _KINDS]
+        lengths = rows["whole"].map(len).to_numpy()
+        first = np.zeros(len(numbers[0]), dtype=bool)
+        first[np.cumsum(lengths) - lengths] = True
+        truth = ((marked[numbers[0]] | marked[numbers[1]]) & np.repeat(rows["label"].to_numpy() == 1, lengths)).astype(float)
+        evidence = theta[count] + sum(weights[n] for n in numbers)
         forward, backward = messages(evidence, first, moves)
         odds = forward * backward
-        p = odds / (1.0 + odds)
-        by_word = np.bincount(flat, weights=truth - p, minlength=len(of_word))
-        e, t = np.exp(np.clip(evidence, -30, 30)), np.exp(moves)
-        f, g, after = forward[:-1], backward[1:], e[1:]
-        f, g = f[inner[1:]], (after * g)[inner[1:]]
+        rest = truth - odds / (1.0 + odds)
+        for n in numbers:
+            total[:count] += np.bincount(n + 1, weights=rest, minlength=count + 1)[1:]
+        total[count] += rest.sum()
+        inner = ~first[1:]
+        e = np.exp(np.clip(evidence, -30, 30))
+        f, g = forward[:-1][inner], (e[1:] * backward[1:])[inner]
         whole = t[0, 0] + t[0, 1] * g + t[1, 0] * f + t[1, 1] * f * g
-        cells = [0.0, (t[0, 1] * g / whole).sum(), (t[1, 0] * f / whole).sum(), (t[1, 1] * f * g / whole).sum()]
-        gradient = np.concatenate([np.bincount(feature_of, weights=by_word[word_of], minlength=len(ids)), [by_word.sum()], [pairs[0, 1] - cells[1], pairs[1, 0] - cells[2], pairs[1, 1] - cells[3]]]) - 0.05 * theta
+        before, after = truth[:-1][inner], truth[1:][inner]
+        total[-3] += ((1 - before) * after - t[0, 1] * g / whole).sum()
+        total[-2] += (before * (1 - after) - t[1, 0] * f / whole).sum()
+        total[-1] += (before * after - t[1, 1] * f * g / whole).sum()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, least = np.zeros(len(theta)), None
+        for batch in batches:
+            rows = batch.reset_index(drop=True)
+            for piece in portions([len(x) for x in rows["whole"]], _TOKENS_AT_ONCE):
+                add(total, rows.iloc[piece])
+            least = min([int(rows["doc_id"].min()), *([] if least is None else [least])])
+        if least is not None:
+            yield pd.DataFrame({"least": [least], "gradient": [total.tobytes()]})
+
+    return run
+
+
+def _climb(encoded: DataFrame, size: int, marks: set[int], steps: int) -> np.ndarray:
+    """Weights of the features, the bias and three transition scores (staying in state 0 is the zero point).
+
+    Each step is a job over the sample whose tasks return their summed gradients; the driver holds a few vectors.
+    """
+    theta = np.zeros(size + 4)
+    theta[size] = -5.0
+    pace, speed, before = np.full(len(theta), 0.3), np.zeros(len(theta)), np.zeros(len(theta))
+    taken = np.array(sorted(marks), dtype=np.int64)
+    for _ in range(steps):
+        gradient = -0.05 * theta
+        parts = encoded.mapInPandas(_gradient(theta, taken), "least long, gradient binary").collect()
+        for row in sorted(parts, key=lambda r: r["least"]):
+            gradient += np.frombuffer(row["gradient"])
         # Each weight steps by its own pace, which grows while its gradient keeps its sign.
         turned = gradient * before
         pace = np.clip(np.where(turned > 0, pace * 1.2, np.where(turned < 0, pace * 0.5, pace)), 1e-4, 2.0)
         speed = np.where(turned < 0, 0.0, np.sign(gradient) * pace)
         theta = theta + speed
         before = np.where(turned < 0, 0.0, gradient)
-    model = Model({n: round(float(w), 4) for n, w in zip(names, theta) if abs(w) > 0.05}, float(theta[len(ids)]), np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]]), rate=float(label.mean()))
-    evidence = np.array([model.evidence(w) for w in number])[flat]
-    total, most = _sums(marginals(evidence, first, model.moves), lengths)
+    return theta
+
+
+def _weighty(theta: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            weight = theta[batch["number"].to_numpy(dtype=np.int64)]
+            large = np.abs(weight) > 0.05
+            yield pd.DataFrame({"feature": batch["feature"][large], "weight": weight[large].round(4)})
+
+    return run
+
+
+def _logistic(label: np.ndarray, total: np.ndarray, most: np.ndarray) -> tuple[float, float, float]:
+    """Weights of the document score, either label counting a half."""
+    n1, n0 = int(label.sum()), int((1 - label).sum())
     x = np.stack([np.ones(len(label)), _count(total), most], axis=1)
     balance = np.where(label == 1, 0.5 / n1, 0.5 / n0) * len(label)
     beta = np.zeros(3)
     for _ in range(30):
         q = 1.0 / (1.0 + np.exp(-np.clip(x @ beta, -30, 30)))
         beta = beta + np.linalg.solve((x * (balance * q * (1 - q))[:, None]).T @ x + 0.5 * np.eye(3), x.T @ (balance * (label - q)) - 0.5 * beta)
-    model.logistic = tuple(beta.tolist())
+    return tuple(beta.tolist())
+
+
+def fit(rows: DataFrame, steps: int = STEPS, lift: float = LIFT, least: int = LEAST_DOCS) -> Model:
+    """A model from doc_id, text and label (0 or 1) of a bounded sample, one row a document."""
+    rows = cut_lineage(rows.select("doc_id", "text", "label"))
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    if not n1 or not n0:
+        return Model(rate=float(n1 > 0))
+    tokens = cut_lineage(rows.mapInPandas(_tokens, "doc_id long, label int, words array<string>"))
+    seen = tokens.mapInPandas(_feature_counts, "feature string, yes long, no long").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    # In a fixed order, so that reruns agree.
+    numbers, size = _numbered(seen.repartition(_PARTS, "feature").sortWithinPartitions("feature"))
+    encoded = cut_lineage(_encoded(tokens, numbers).repartition(_PARTS, "doc_id").sortWithinPartitions("doc_id"))
+    lifted = (F.col("yes") + 0.5) / (n1 + 1) >= lift * (F.col("no") + 0.5) / (n0 + 1)
+    likely = numbers.where((F.col("yes") >= least) & ~F.col("feature").startswith("$") & lifted).select("number")
+    marks = _marks(_holds(encoded, likely), max(least, n1 // 100))
+    theta = _climb(encoded, size, marks, steps)
+    weights = numbers.select("feature", "number").mapInPandas(_weighty(theta), "feature string, weight double").collect()
+    model = Model({r["feature"]: r["weight"] for r in weights}, float(theta[size]), np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]]), rate=n1 / (n0 + n1))
+    sums = rows.mapInPandas(_tagger(model, sums=True), "label int, total double, most double").orderBy("label", "total", "most").toArrow()
+    model.logistic = _logistic(*(sums.column(c).to_numpy().astype(float) for c in ("label", "total", "most")))
     return model
 
 
@@ -237,7 +335,9 @@ def _sums(p: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return total, most
 
 
-def _tagger(model: Model):
+def _tagger(model: Model, sums: bool = False):
+    """Scores and spans of texts; or, of labelled ones, the sum and the largest of the marginals."""
+
     class Evidence(dict):
         def __missing__(self, word: str) -> float:
             if len(self) >= _KEPT_WORDS:
@@ -259,6 +359,9 @@ def _tagger(model: Model):
                 first[starts[lengths > 0]] = True
                 p = marginals(evidence, first, model.moves)
                 total, most = _sums(p, lengths)
+                if sums:
+                    yield pd.DataFrame({"label": batch["label"].values[piece], "total": total, "most": most})
+                    continue
                 score = model.scores(total, most)
                 spans: list[list[str]] = [[] for _ in rows]
                 for k in np.flatnonzero(most >= 0.5).tolist():
@@ -275,9 +378,8 @@ def _tagger(model: Model):
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Model:
-    """Fit on at most ``2 * per_class`` labelled documents, collected to the driver."""
-    rows = sample(docs, labels, "toxic", per_class, most_chars).orderBy("doc_id").toLocalIterator()
-    return fit((r["text"], r["label"]) for r in rows)
+    """Fit on at most ``2 * per_class`` labelled documents."""
+    return fit(sample(docs, labels, "toxic", per_class, most_chars))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
