@@ -1,5 +1,6 @@
 """Pairs of different components within buckets, compared in blocks with numpy.
 
+Members of tiny buckets are paired by their sizes alone, at most ``TINY`` pairs a member; a pair that many buckets tell of is compared once.
 Members of small buckets are compared where the bucket is gathered, pair by pair of all buckets of a batch at once.
 A large bucket is sorted by component and size and cut into leaves of ``LEAF`` members; leaves come ``FAN`` to a parent. Pairs
 of nodes are followed from the parents to the leaves, and only those in which a link may be: not all of one
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.session import cut_lineage
 
-LEAF, FAN = 256, 16
+TINY, LEAF, FAN = 16, 256, 16
 _AT_ONCE = 16_384
 _NODE = "key long, node long, parent long, level int, c_lo long, c_hi long, n_lo int, n_hi int, top array<int>"
 _PACKED = "ids array<long>, components array<long>, ns array<int>, data array<binary>"
@@ -32,8 +33,8 @@ class Kernel:
     def load(self, data: list[bytes]) -> Any:
         raise NotImplementedError
 
-    def near(self, key: np.ndarray, n: np.ndarray, x: Any, i: np.ndarray, y: Any, j: np.ndarray) -> np.ndarray:
-        """Whether the members ``i`` of x and ``j`` of y, with ``n`` shingles together, may be linked and ``key`` is the first bucket to say so."""
+    def near(self, key: np.ndarray | None, n: np.ndarray, x: Any, i: np.ndarray, y: Any, j: np.ndarray) -> np.ndarray:
+        """Whether the members ``i`` of x and ``j`` of y, with ``n`` shingles together, may be linked and ``key``, if given, is the first bucket to say so."""
         raise NotImplementedError
 
     def top(self, loaded: Any) -> np.ndarray:
@@ -61,19 +62,18 @@ def _near(kernel: Kernel, key: np.ndarray, x: _Members, i: np.ndarray, y: _Membe
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _small(kernel: Kernel) -> Callable:
-    """Pairs of the buckets of a partition that is sorted by key; holds a batch and one bucket."""
+def _within(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows with the same key, of rows sorted by key."""
+    key = rows["key"].to_numpy(dtype=np.int64)
+    for step in range(1, len(rows)):
+        at = np.flatnonzero(key[step:] == key[:-step])
+        if not len(at):
+            break
+        yield at, at + step
 
-    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        key = rows["key"].to_numpy(dtype=np.int64)
-        members = _Members(kernel, rows["id"], rows["component"], rows["n"], rows["data"])
-        for step in range(1, len(rows)):
-            at = np.flatnonzero(key[step:] == key[:-step])
-            if not len(at):
-                break
-            pairs = _near(kernel, key[at], members, at, members, at + step)
-            if len(pairs):
-                yield pairs
+
+def _whole_buckets(found: Callable[[pd.DataFrame], Iterator[pd.DataFrame]]) -> Callable:
+    """``found`` for a partition that is sorted by key, bucket by whole bucket; holds a batch and one bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -90,6 +90,51 @@ def _small(kernel: Kernel) -> Callable:
     return run
 
 
+def _small(kernel: Kernel) -> Callable:
+    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        key = rows["key"].to_numpy(dtype=np.int64)
+        members = _Members(kernel, rows["id"], rows["component"], rows["n"], rows["data"])
+        for i, j in _within(rows):
+            yield _near(kernel, key[i], members, i, members, j)
+
+    return _whole_buckets(found)
+
+
+def _tiny(percent: int) -> Callable:
+    """Pairs whose components differ and whose sizes allow a link."""
+
+    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        ids, component, n = (rows[c].to_numpy(dtype=np.int64) for c in ("id", "component", "n"))
+        pairs = [np.empty((2, 0), dtype=np.int64)]
+        for i, j in _within(rows):
+            good = (component[i] != component[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            pairs.append(np.sort(np.stack([ids[i[good]], ids[j[good]]]), axis=0))
+        a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        yield pd.DataFrame({"a": a, "b": b})
+
+    return _whole_buckets(found)
+
+
+def _compared(kernel: Kernel) -> Callable:
+    """Of pairs (a, b) with both sizes and data those that may be linked."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), _AT_ONCE):
+                rows = batch.iloc[at : at + _AT_ONCE]
+                x, y = (kernel.load(rows[c].tolist()) for c in ("data_a", "data_b"))
+                n, i = (rows["n_a"] + rows["n_b"]).to_numpy(dtype=np.int64), np.arange(len(rows))
+                yield rows.loc[kernel.near(None, n, x, i, y, i), ["a", "b"]]
+
+    return run
+
+
+def near_pairs(pairs: DataFrame, payload: DataFrame, kernel: Kernel) -> DataFrame:
+    """The ``pairs`` (a, b) that may be linked by what ``payload`` (id, n, data) knows of both."""
+    sides = [payload.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("data").alias(f"data_{s}")) for s in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(_compared(kernel), "a long, b long")
+
+
 def _leaves(kernel: Kernel) -> Callable:
     """Leaves and parents of the large buckets of a sorted partition."""
 
@@ -169,12 +214,16 @@ def _node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel) -> DataFrame:
-    """a, b of the members of one bucket but different components that may be linked.
+    """a, b of the members of one bucket but different components that may be linked; a pair may come twice.
 
     ``rows`` has key, id, component and the bucket's size; ``payload`` id, n and data.
     """
-    full = rows.join(payload, "id").select("key", "id", "component", "n", "data", "size")
-    small = full.where(F.col("size") <= LEAF).drop("size").repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), "a long, b long")
+    ends = "a long, b long"
+    few = rows.where(F.col("size") <= TINY).join(payload.select("id", "n"), "id").select("key", "id", "component", "n")
+    paired = few.repartition("key").sortWithinPartitions("key").mapInPandas(_tiny(kernel.percent), ends).distinct()
+    tiny = near_pairs(cut_lineage(paired), payload, kernel)
+    more = rows.where(F.col("size").between(TINY + 1, LEAF)).join(payload, "id").select("key", "id", "component", "n", "data")
+    small = tiny.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), ends))
     large = cut_lineage(rows.where(F.col("size") > LEAF))
     if large.isEmpty():
         return small
@@ -185,4 +234,4 @@ def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel) -> DataFra
     sides = pairs.select("key", "node_x", "node_y", F.explode(F.array_distinct(F.array("node_x", "node_y"))).alias("node"))
     leaves = nodes.where("level = 0").select("key", "node", "ids", "components", "ns", "data")
     met = sides.join(leaves, ["key", "node"]).groupBy("key", "node_x", "node_y")
-    return small.unionByName(met.applyInPandas(_met(kernel), "a long, b long"))
+    return small.unionByName(met.applyInPandas(_met(kernel), ends))

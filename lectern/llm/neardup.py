@@ -103,11 +103,12 @@ class Signatures(Kernel):
     def load(self, data: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(data), dtype=np.uint64).reshape(len(data), -1)
 
-    def near(self, key: np.ndarray, n: np.ndarray, x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
+    def near(self, key: np.ndarray | None, n: np.ndarray, x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
         differ = np.bitwise_or.reduce(x[i, :SYMBOL_BITS] ^ y[j, :SYMBOL_BITS], axis=1)
         close = np.bitwise_count(differ) <= MOST_DIFFERENT
         at = np.flatnonzero(close)
-        at = at[at_first_common_key(differ[at], key[at] >> 48)]
+        if key is not None:
+            at = at[at_first_common_key(differ[at], key[at] >> 48)]
         close[:] = False
         other = (x[i[at], SYMBOL_BITS:] ^ y[j[at], SYMBOL_BITS:]).reshape(len(at), LONG_SYMBOLS // 64, LONG_BITS)
         close[at] = np.bitwise_count(np.bitwise_or.reduce(other, axis=2)).sum(axis=1) <= MOST_LONG
@@ -128,7 +129,7 @@ def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = cut_lineage(confirmed(stars(entries), sets, percent))
     rows = cut_lineage(unsettled(entries, components(links)))
     signatures = cut_lineage(sets.join(rows.select("id").distinct(), "id").mapInPandas(_payload, "id long, n int, data binary"))
-    more = confirmed(pairs_across(rows, signatures, Signatures(percent)), sets, percent)
+    more = confirmed(pairs_across(rows, signatures, Signatures(percent)).distinct(), sets, percent)
     return labelled(signed, known, components(links.unionByName(more)))
 
 

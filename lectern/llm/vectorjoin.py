@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.buckets import Kernel, pairs_across
+from lectern.llm.buckets import TINY, Kernel, near_pairs, pairs_across
 from lectern.llm.classes import classes, labelled, shared_buckets, stars, unsettled
 from lectern.llm.links import components, text_key, verified, with_rows
 from lectern.llm.shingles import as_long, portions, shingles
@@ -117,12 +117,10 @@ class CountVectors(Kernel):
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
 
-    def points(self, data: list[bytes]) -> np.ndarray:
-        return np.stack([np.frombuffer(d, dtype=np.uint16, count=GROUPS + 2) for d in data]) if data else np.empty((0, GROUPS + 2), dtype=np.uint16)
-
     def load(self, data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
         width = (GROUPS + 2) * 2
-        return self.points(data), [np.frombuffer(d, dtype=np.int64, offset=width + 4) for d in data]
+        points = np.stack([np.frombuffer(d, dtype=np.uint16, count=GROUPS + 2) for d in data]) if data else np.empty((0, GROUPS + 2), dtype=np.uint16)
+        return points, [np.frombuffer(d[width + 4 :], dtype=np.int64) for d in data]
 
     @staticmethod
     def _beyond(points: np.ndarray) -> np.ndarray:
@@ -133,9 +131,9 @@ class CountVectors(Kernel):
         least = np.minimum(x[:, :GROUPS], y[:, :GROUPS]).sum(axis=1, dtype=np.int64)
         return least + np.minimum(self._beyond(x), self._beyond(y))
 
-    def near(self, key: np.ndarray, n: np.ndarray, x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
+    def near(self, key: np.ndarray | None, n: np.ndarray, x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
         close = (100 + self.percent) * self.most_shared(x[0][i], y[0][j]) >= self.percent * n
-        for at in np.flatnonzero(close).tolist():
+        for at in np.flatnonzero(close).tolist() if key is not None else ():
             # The first tree that both are in takes the pair.
             one, two = x[1][i[at]], y[1][j[at]]
             place = np.searchsorted(two, one)
@@ -149,26 +147,12 @@ class CountVectors(Kernel):
 
 
 def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A member's data: its point, then the trees it is in."""
+    """A member's data: its point, then the trees of more than a few that it is in."""
     for batch in batches:
-        data = [point + b"\0" * 4 + np.sort(np.asarray(trees, dtype=np.int64)).tobytes() for point, trees in zip(batch["point"], batch["trees"])]
+        data = [point + b"\0" * 4 + np.sort(np.asarray([] if trees is None else trees, dtype=np.int64)).tobytes() for point, trees in zip(batch["data"], batch["trees"])]
         yield pd.DataFrame({"id": batch["id"], "n": batch["n"], "data": data})
 
 
-def _possible(percent: int):
-    """The pairs whose points allow the similarity."""
-    kernel = CountVectors(percent)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                x, y = (kernel.points(batch[c].tolist()) for c in ("point_a", "point_b"))
-                n = (batch["n_a"] + batch["n_b"]).to_numpy(dtype=np.int64)
-                yield batch.loc[(100 + percent) * kernel.most_shared(x, y) >= percent * n, ["a", "b"]]
-
-    return run
-
-
 def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text)."""
     if not 1 <= percent <= 100:
@@ -180,13 +164,14 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     filed = with_rows(signed.select("doc_id", "text_key", "keys"), rows_of).select("id", F.explode("keys").alias("key"))
     entries = cut_lineage(shared_buckets(filed))
     met = rows_of.join(entries.select("id").distinct(), "id", "left_semi").select("doc_id", "text_key", "id")
-    points = cut_lineage(with_rows(signed.select("doc_id", "text_key", F.col("n_shingles").alias("n"), "point"), met).select("id", "n", "point").dropDuplicates(["id"]))
-    sides = [points.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("point").alias(f"point_{s}")) for s in "ab"]
-    starred = cut_lineage(stars(entries).join(sides[0], "a").join(sides[1], "b").mapInPandas(_possible(percent), "a long, b long"))
-    links = cut_lineage(verified(starred, texts, rows_of, percent))
+    points = with_rows(signed.select("doc_id", "text_key", F.col("n_shingles").alias("n"), F.col("point").alias("data")), met)
+    points = cut_lineage(points.select("id", "n", "data").dropDuplicates(["id"]))
+    kernel = CountVectors(percent)
+    links = cut_lineage(verified(cut_lineage(near_pairs(stars(entries), points, kernel)), texts, rows_of, percent))
     rows = cut_lineage(unsettled(entries, components(links)))
-    trees = rows.groupBy("id").agg(F.collect_list("key").alias("trees"))  # no more than the set's first shingles
-    payload = cut_lineage(points.join(trees, "id").mapInPandas(_payload, "id long, n int, data binary"))
-    pairs = cut_lineage(pairs_across(rows, payload, CountVectors(percent)).distinct())
+    trees = rows.where(F.col("size") > TINY).groupBy("id").agg(F.collect_list("key").alias("trees"))  # no more than the set's first shingles
+    left = points.join(rows.select("id").distinct(), "id", "left_semi").join(trees, "id", "left")
+    payload = cut_lineage(left.mapInPandas(_payload, "id long, n int, data binary"))
+    pairs = cut_lineage(pairs_across(rows, payload, kernel).distinct())
     found = components(links.unionByName(verified(pairs, texts, rows_of, percent)))
     return labelled(signed, known, found).select("doc_id", "n_shingles", "component_id")

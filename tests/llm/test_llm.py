@@ -113,6 +113,7 @@ def test_first_common_key_is_taken_once():
 
 def test_large_bucket_without_links(spark, monkeypatch):
     """Texts around one passage meet in large buckets, in many leaves; only those that are near are linked."""
+    monkeypatch.setattr(buckets, "TINY", 3)
     monkeypatch.setattr(buckets, "LEAF", 8)
     monkeypatch.setattr(buckets, "FAN", 2)
     passage, rng = _sentence(7, 90), np.random.default_rng(8)

@@ -68,6 +68,8 @@ def test_against_brute_force(spark, percent):
 
 def test_large_trees(spark, monkeypatch):
     """Small leaves make trees of two levels; copies far from the text copied aren't linked, but for those alike."""
+    monkeypatch.setattr(buckets, "TINY", 2)
+    monkeypatch.setattr(vectorjoin, "TINY", 2)
     monkeypatch.setattr(buckets, "LEAF", 6)
     monkeypatch.setattr(buckets, "FAN", 3)
     monkeypatch.setattr(vectorjoin, "LEAST_FREQUENT", 4)
