@@ -173,7 +173,7 @@ def _experiment_sql(truncate: int, abilities: bool) -> str:
     ability = "".join(f", SUM({short}) AS {name}" for short, name in sums.items()) if abilities else ""
     final = "".join(f", round(SUM({name}), 6) + 0.0 AS {name}" for name in sums.values()) if abilities else ""
     return f"""
-        WITH g AS (SELECT -4 + 8.0::DOUBLE * q / 14 AS x, exp(-(-4 + 8.0::DOUBLE * q / 14) ** 2 / 2) AS w FROM (SELECT unnest(generate_series(0, 14)) AS q)),
+        WITH g AS (SELECT -4 + 8.0::DOUBLE * q / 14 AS x, exp(-(4 - 8.0::DOUBLE * q / 14) * (4 - 8.0::DOUBLE * q / 14) / 2) AS w FROM (SELECT unnest(generate_series(0, 14)) AS q)),
         e AS (SELECT exercise, (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE AS difficulty, 0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE AS slope
               FROM (SELECT DISTINCT exercise FROM b_trial_attempts)),
         h AS (SELECT exercise, correct, difficulty, x, w / (1 + exp(CASE WHEN correct THEN -1 ELSE 1 END * (slope * x + difficulty))) AS w

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import models, sampler, stats as ops
+from lectern.operators import forest, models, sampler, stats as ops
 from lectern.operators.lbfgs import lbfgs_per_group
 from lectern.operators.learning import exercise_difficulty as difficulty
 from lectern.plans.bindings import SQL_INPUTS, Inputs
@@ -230,6 +230,18 @@ def fit_forest(b: Inputs):
                        (F.abs(F.col("p") - F.col("c")) < 0.1).alias("near"))
 
 
+@query("fit_forest_per_group", "ST-6", """
+    SELECT exercise, COUNT(*) AS n, round(AVG(correct::INT), 6) AS mean_correct, true AS in_range, true AS near FROM b_samples WHERE problem_number >= 1 GROUP BY 1""")
+def fit_forest_per_group(b: Inputs):
+    """A forest for each exercise; its chances lie in range and are right on the whole."""
+    rows = training(b)
+    scored = forest.predict_forest_per_group(rows, forest.fit_forest_per_group(rows))
+    sums = scored.groupBy("exercise").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("correct").alias("c"), F.avg("p").alias("p"), F.min("p").alias("low"), F.max("p").alias("high"))
+    return sums.select("exercise", "n", F.round("c", 6).alias("mean_correct"), ((F.col("low") >= 0) & (F.col("high") <= 1)).alias("in_range"),
+                       (F.abs(F.col("p") - F.col("c")) < 0.1).alias("near"))
+
+
 def scores(b: Inputs):
     k, value = F.col("k"), F.col("value")
     p1 = F.round(0.5 * (50 / (value + 50)) + 0.5 * k / 100.0, 4)
@@ -393,7 +405,7 @@ _CHAIN, _BURN_IN = 60, 20
 
 
 @query("item_response_chain", "ST-12", f"""
-    WITH RECURSIVE f AS (SELECT "user", exercise, correct FROM (SELECT *, row_number() OVER (PARTITION BY "user", exercise ORDER BY time_done, event_id) AS rn FROM b_attempts) WHERE rn = 1),
+    SELECT * FROM (WITH RECURSIVE f AS (SELECT "user", exercise, correct FROM (SELECT *, row_number() OVER (PARTITION BY "user", exercise ORDER BY time_done, event_id) AS rn FROM b_attempts) WHERE rn = 1),
     a AS (SELECT "user", list(struct_pack(s := 0.5::DOUBLE + substr(exercise, 4)::INT / 12.0::DOUBLE, b := (substr(exercise, 4)::INT - 6) / 6.0::DOUBLE, c := CASE WHEN correct THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
                  ORDER BY exercise) AS r FROM f GROUP BY 1),
     h AS (SELECT "user", r, step, md5('{models.SEED}|' || "user" || '|0|' || step || '|0') AS m FROM a CROSS JOIN (SELECT unnest(generate_series(0, {_CHAIN - 1})) AS step)),
@@ -407,7 +419,7 @@ _CHAIN, _BURN_IN = 60, 20
           FROM (SELECT *, ln(u0) < other - density AS took FROM (
               SELECT p.*, -0.5::DOUBLE * there * there - list_sum(list_transform(r, lambda x: ln(1 + exp(x.c * (x.s * there + x.b))))) AS other FROM (
                   SELECT w."user", u.step, w.theta, w.density, w.accepted, w.total, u.r, u.u0, w.theta + u.move AS there FROM w JOIN u ON u."user" = w."user" AND u.step = w.step + 1) p)))
-    SELECT "user", accepted::BIGINT AS accepted, round(total / {_CHAIN - _BURN_IN}, 6) + 0.0 AS theta FROM w WHERE step = {_CHAIN - 1}""")
+    SELECT "user", accepted::BIGINT AS accepted, round(total / {_CHAIN - _BURN_IN}, 6) + 0.0 AS theta FROM w WHERE step = {_CHAIN - 1})""")
 def item_response_chain(b: Inputs):
     """One Metropolis chain a user at the same couplings."""
     data, items = answered_items(b)

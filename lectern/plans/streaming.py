@@ -28,8 +28,8 @@ def snapshot_upsert_stream(b: Inputs):
 
 SQL_INPUTS["b_live"] = """
     WITH p AS (SELECT experiment, alternative, identity, began, floor(epoch(began) / 1800)::BIGINT * 1800 AS w FROM b_participants),
-    s AS (SELECT e.experiment, e.identity, floor(epoch(e.ts) / 1800)::BIGINT * 1800 AS w, COUNT(*) AS n, MIN(e.ts) AS f FROM b_trial_events e WHERE event_type = 'purchase' GROUP BY 1, 2, 3),
-    h AS (SELECT p.experiment, p.alternative, p.identity, s.w, s.n, r.counting FROM s JOIN p ON p.experiment = s.experiment AND p.identity = s.identity AND s.f >= p.began
+    h AS (SELECT p.experiment, p.alternative, p.identity, floor(epoch(e.ts) / 1800)::BIGINT * 1800 AS w, 1 AS n, r.counting
+          FROM b_trial_events e JOIN p ON p.experiment = e.experiment AND p.identity = e.identity AND e.ts >= p.began AND event_type = 'purchase'
           JOIN (SELECT DISTINCT experiment, live, counting FROM b_trials) r ON r.experiment = p.experiment WHERE r.live),
     u AS (SELECT experiment, alternative, w, 1 AS p, 0 AS c FROM p UNION ALL SELECT experiment, alternative, w, 0, n FROM h WHERE counting
           UNION ALL SELECT experiment, alternative, MIN(w), 0, 1 FROM h WHERE NOT counting GROUP BY experiment, alternative, identity)

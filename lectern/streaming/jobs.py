@@ -63,22 +63,26 @@ def live_experiment_stream(
     stream: DataFrame, store: str, window: str = "30 minutes", delay: str = DELAY, checkpoint: str | None = None
 ) -> None:
     """Participations and conversions per identity and window.  Input: experiment, alternative, identity,
-    kind ('view' or 'convert') and ts.  State lives as long as the watermark lets late rows in."""
+    kind ('view' or 'convert') and ts.  State lives as long as the watermark lets late rows in.
+
+    Views of a window are one row with their first time.  Conversions keep their times (``at``), as one that comes before the
+    person's first view, which may be known only later, does not count and a later one in the same window does.
+    """
     keys = ["experiment", "alternative", "identity", "kind"]
-    counts = stream.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), *keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    flat = counts.select(F.col("w.start").alias("window_start"), *keys, "n", "first", "last")
-    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys], F.col("n"), day="window_start"), "update", checkpoint)
+    at = F.when(F.col("kind") == "convert", F.col("ts")).otherwise(F.lit(0).cast("timestamp"))
+    counts = stream.withWatermark("ts", delay).withColumn("at", at).groupBy(F.window("ts", window).alias("w"), *keys, "at").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"))
+    flat = counts.select(F.col("w.start").alias("window_start"), *keys, "at", "n", "first")
+    run_available(flat, lambda batch, _: merge_buckets(batch, store, ["window_start", *keys, "at"], F.col("n"), day="window_start"), "update", checkpoint)
 
 
 def live_experiment_counts(store: DataFrame, rules: DataFrame) -> DataFrame:
-    """Per window and alternative: new participants, and conversions of people who took part, in live tests;
-    each person counts once in a binary test, in the window of their first conversion."""
+    """Per window and alternative: new participants, and conversions at or after the person's first view, in live tests;
+    each person counts once in a binary test, in the window of their first such conversion."""
     keys = ["experiment", "alternative"]
     people = store.where("kind = 'view'").groupBy(*keys, "identity").agg(F.min("first").alias("began"), F.min("window_start").alias("window_start"))
-    hits = store.where("kind = 'convert'").join(people.select(*keys, "identity", "began"), [*keys, "identity"]).where("first >= began")
+    hits = store.where("kind = 'convert'").join(people.select(*keys, "identity", "began"), [*keys, "identity"]).where("at >= began")
     hits = hits.join(rules.where("live").select("experiment", "counting").distinct(), "experiment")
-    many = hits.where("counting").select("window_start", *keys, F.col("n").alias("c"))
+    many = hits.where("counting").groupBy("window_start", *keys).agg(F.sum("n").alias("c"))
     once = hits.where("NOT counting").groupBy(*keys, "identity").agg(F.min("window_start").alias("window_start")).select(
         "window_start", *keys, F.lit(1).cast("bigint").alias("c"))
     joined = people.select("window_start", *keys, F.lit(1).cast("bigint").alias("p"), F.lit(0).cast("bigint").alias("c"))

@@ -50,3 +50,8 @@ def test_scans_of_one_pass_operators(spark):
     the labelled levels, one for the totals."""
     plan = plan_of(entry.queries()["video_stats"](spark, SF))
     assert plan.count("lineitem.parquet") <= 2
+
+
+def test_address_lookup_expands_nothing(spark):
+    plan = plan_of(entry.queries()["ip_geolocate"](spark, SF))
+    assert "Generate" not in plan and "explode" not in plan

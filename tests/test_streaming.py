@@ -106,3 +106,20 @@ def test_all_visits_with_a_busy_user(spark, rows):
     df = spark.createDataFrame(data, "user string, event_id int, ts timestamp")
     assert rows(jobs.visits(df), "user", "events") == [("a", 1), ("a", 100), ("b", 2)]
     assert jobs.visits(df.limit(0)).count() == 0
+
+
+def test_conversions_around_the_first_view(spark, folder, rows):
+    """Within one window a person converts, first views, then converts twice; another view comes late from an earlier window."""
+    src, store, offsets = folder("src"), folder("store"), folder("offsets")
+    schema = "experiment string, alternative string, identity string, kind string, ts timestamp"
+    minute = lambda m: T0 + dt.timedelta(minutes=m)
+    rules = spark.createDataFrame([("binary", "a", True, False), ("count", "a", True, True)], "experiment string, alternative string, live boolean, counting boolean")
+    run = lambda: jobs.live_experiment_stream(jobs.file_stream(spark, src), store, checkpoint=offsets)
+    counts = lambda: rows(jobs.live_experiment_counts(spark.read.parquet(store), rules).withColumn("m", (F.unix_timestamp("window_start") / 60 - F.lit(T0.replace(tzinfo=dt.timezone.utc).timestamp() / 60)).cast("int")), "experiment", "m", "participants", "conversions")
+    kinds = [("convert", 61), ("view", 65), ("convert", 70), ("convert", 80), ("convert", 80)]
+    write(spark, src, [(e, "a", "p", kind, minute(m)) for e in ("binary", "count") for kind, m in kinds], schema)
+    run()
+    assert counts() == [("binary", 60, 1, 1), ("count", 60, 1, 3)]
+    write(spark, src, [(e, "a", "p", "view", minute(31)) for e in ("binary", "count")], schema)
+    run()
+    assert counts() == [("binary", 30, 1, 0), ("binary", 60, 0, 1), ("count", 30, 1, 0), ("count", 60, 0, 4)]
