@@ -1,6 +1,6 @@
 """Pairs of different components within buckets, compared in blocks with numpy.
 
-Members of tiny buckets are paired by their sizes alone, at most ``TINY`` pairs a member; a pair that many buckets tell of is compared once.
+Members of tiny buckets are paired by their sizes alone, fewer than ``tiny`` (by default ``TINY``) pairs a member; a pair that many buckets tell of is compared once.
 Members of small buckets are compared where the bucket is gathered, pair by pair of all buckets of a batch at once.
 A large bucket is sorted by component and size and cut into leaves of ``LEAF`` members; leaves come ``FAN`` to a parent. Pairs
 of nodes are followed from the parents to the leaves, and only those in which a link may be: not all of one
@@ -213,18 +213,19 @@ def _node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     return two.where(once & _possible(percent)).select("p.key", F.col("x.node").alias("node_x"), F.col("y.node").alias("node_y"))
 
 
-def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel) -> DataFrame:
+def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int | None = None) -> DataFrame:
     """a, b of the members of one bucket but different components that may be linked; a pair may come twice.
 
     ``rows`` has key, id, component and the bucket's size; ``payload`` id, n and data.
     """
     ends = "a long, b long"
-    few = rows.where(F.col("size") <= TINY).join(payload.select("id", "n"), "id").select("key", "id", "component", "n")
+    tiny = TINY if tiny is None else tiny
+    few = rows.where(F.col("size") <= tiny).join(payload.select("id", "n"), "id").select("key", "id", "component", "n")
     paired = few.repartition("key").sortWithinPartitions("key").mapInPandas(_tiny(kernel.percent), ends).distinct()
-    tiny = near_pairs(cut_lineage(paired), payload, kernel)
-    more = rows.where(F.col("size").between(TINY + 1, LEAF)).join(payload, "id").select("key", "id", "component", "n", "data")
-    small = tiny.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), ends))
-    large = cut_lineage(rows.where(F.col("size") > LEAF))
+    compared = near_pairs(cut_lineage(paired), payload, kernel)
+    more = rows.where(F.col("size").between(tiny + 1, LEAF)).join(payload, "id").select("key", "id", "component", "n", "data")
+    small = compared.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), ends))
+    large = cut_lineage(rows.where(F.col("size") > max(tiny, LEAF)))
     if large.isEmpty():
         return small
     order = ["key", "component", "n", "id"]

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.buckets import TINY, Kernel, near_pairs, pairs_across
+from lectern.llm.buckets import Kernel, near_pairs, pairs_across
 from lectern.llm.classes import classes, labelled, shared_buckets, stars, unsettled
 from lectern.llm.links import components, text_key, verified, with_rows
 from lectern.llm.shingles import as_long, portions, shingles
@@ -41,7 +41,9 @@ MOST_FREQUENT = 500_000
 LEAST_FREQUENT = 64
 _PORTION = 8_000_000
 _SEEN = 3
-_COUNT_MAX = np.iinfo(np.uint16).max
+_COUNT_MAX = np.iinfo(np.uint8).max
+# Trees of so many points at most are paired by size before their points are sent along.
+FEW = 64
 
 
 def first_ones(count: int, percent: int) -> int:
@@ -96,19 +98,18 @@ def _signed(often: tuple[np.ndarray, np.ndarray], percent: int):
                 for text in texts[piece]:
                     found = shingles(text)
                     digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
-                    rows.append((len(found), *digest, as_long(ordered(found, often)[: first_ones(len(found), percent)]), point(found).tobytes()))
+                    rows.append((len(found), *digest, as_long(ordered(found, often)[: first_ones(len(found), percent)]), point(found)))
                 names = ("n_shingles", "h1", "h2", "keys", "point")
                 yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(names)}})
 
     return run
 
 
-def point(found: np.ndarray) -> np.ndarray:
-    """How many shingles are in each group, up to what 16 bits hold, then the number beyond that in two halves."""
+def point(found: np.ndarray) -> bytes:
+    """How many shingles are in each group, up to what 8 bits hold, then the number beyond that."""
     counts = np.bincount((found % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
     held = np.minimum(counts, _COUNT_MAX)
-    beyond = int((counts - held).sum())
-    return np.concatenate([held, [beyond & 0xFFFF, beyond >> 16]]).astype(np.uint16)
+    return held.astype(np.uint8).tobytes() + np.int64((counts - held).sum()).tobytes()
 
 
 class CountVectors(Kernel):
@@ -117,39 +118,36 @@ class CountVectors(Kernel):
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
 
-    def load(self, data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-        width = (GROUPS + 2) * 2
-        points = np.stack([np.frombuffer(d, dtype=np.uint16, count=GROUPS + 2) for d in data]) if data else np.empty((0, GROUPS + 2), dtype=np.uint16)
-        return points, [np.frombuffer(d[width + 4 :], dtype=np.int64) for d in data]
+    def load(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Counts held, numbers beyond them, and trees of each member."""
+        if not data:
+            return np.empty((0, GROUPS), dtype=np.uint8), np.empty(0, dtype=np.int64), []
+        counts = np.stack([np.frombuffer(d, dtype=np.uint8, count=GROUPS) for d in data])
+        rest = [np.frombuffer(d[GROUPS:], dtype=np.int64) for d in data]
+        return counts, np.array([r[0] for r in rest]), [r[1:] for r in rest]
 
-    @staticmethod
-    def _beyond(points: np.ndarray) -> np.ndarray:
-        return points[:, GROUPS].astype(np.int64) + (points[:, GROUPS + 1].astype(np.int64) << 16)
-
-    def most_shared(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """The sum of the smaller counts: the most that sets of these points share."""
-        least = np.minimum(x[:, :GROUPS], y[:, :GROUPS]).sum(axis=1, dtype=np.int64)
-        return least + np.minimum(self._beyond(x), self._beyond(y))
+    def most_shared(self, x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
+        """The sum of the smaller counts: the most that the sets of members ``i`` of x and ``j`` of y share."""
+        return np.minimum(x[0][i], y[0][j]).sum(axis=1, dtype=np.int64) + np.minimum(x[1][i], y[1][j])
 
     def near(self, key: np.ndarray | None, n: np.ndarray, x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
-        close = (100 + self.percent) * self.most_shared(x[0][i], y[0][j]) >= self.percent * n
+        close = (100 + self.percent) * self.most_shared(x, i, y, j) >= self.percent * n
         for at in np.flatnonzero(close).tolist() if key is not None else ():
             # The first tree that both are in takes the pair.
-            one, two = x[1][i[at]], y[1][j[at]]
+            one, two = x[2][i[at]], y[2][j[at]]
             place = np.searchsorted(two, one)
             place[place == len(two)] = 0
             close[at] = one[two[place] == one][0] == key[at]
         return close
 
     def top(self, loaded: tuple) -> np.ndarray:
-        points = loaded[0]
-        return np.concatenate([points[:, :GROUPS].max(axis=0).astype(np.int64), [self._beyond(points).max()]]).astype(np.int32)
+        return np.concatenate([loaded[0].max(axis=0).astype(np.int64), [loaded[1].max()]]).astype(np.int32)
 
 
 def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A member's data: its point, then the trees of more than a few that it is in."""
     for batch in batches:
-        data = [point + b"\0" * 4 + np.sort(np.asarray([] if trees is None else trees, dtype=np.int64)).tobytes() for point, trees in zip(batch["data"], batch["trees"])]
+        data = [point + np.sort(np.asarray([] if trees is None else trees, dtype=np.int64)).tobytes() for point, trees in zip(batch["data"], batch["trees"])]
         yield pd.DataFrame({"id": batch["id"], "n": batch["n"], "data": data})
 
 
@@ -169,9 +167,9 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kernel = CountVectors(percent)
     links = cut_lineage(verified(cut_lineage(near_pairs(stars(entries), points, kernel)), texts, rows_of, percent))
     rows = cut_lineage(unsettled(entries, components(links)))
-    trees = rows.where(F.col("size") > TINY).groupBy("id").agg(F.collect_list("key").alias("trees"))  # no more than the set's first shingles
+    trees = rows.where(F.col("size") > FEW).groupBy("id").agg(F.collect_list("key").alias("trees"))  # no more than the set's first shingles
     left = points.join(rows.select("id").distinct(), "id", "left_semi").join(trees, "id", "left")
     payload = cut_lineage(left.mapInPandas(_payload, "id long, n int, data binary"))
-    pairs = cut_lineage(pairs_across(rows, payload, kernel).distinct())
+    pairs = cut_lineage(pairs_across(rows, payload, kernel, FEW).distinct())
     found = components(links.unionByName(verified(pairs, texts, rows_of, percent)))
     return labelled(signed, known, found).select("doc_id", "n_shingles", "component_id")

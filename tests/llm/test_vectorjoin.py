@@ -68,8 +68,7 @@ def test_against_brute_force(spark, percent):
 
 def test_large_trees(spark, monkeypatch):
     """Small leaves make trees of two levels; copies far from the text copied aren't linked, but for those alike."""
-    monkeypatch.setattr(buckets, "TINY", 2)
-    monkeypatch.setattr(vectorjoin, "TINY", 2)
+    monkeypatch.setattr(vectorjoin, "FEW", 2)
     monkeypatch.setattr(buckets, "LEAF", 6)
     monkeypatch.setattr(buckets, "FAN", 3)
     monkeypatch.setattr(vectorjoin, "LEAST_FREQUENT", 4)
@@ -115,14 +114,14 @@ def test_first_ones_hold_any_link():
 
 def test_points_bound_what_is_shared(monkeypatch):
     """Also where a count goes beyond what the point holds."""
-    for most in (65_535, 2):
+    for most in (255, 2):
         monkeypatch.setattr(vectorjoin, "_COUNT_MAX", most)
-        kernel, rng = vectorjoin.CountVectors(), np.random.default_rng(most)
+        kernel, rng, one = vectorjoin.CountVectors(), np.random.default_rng(most), np.zeros(1, dtype=np.int64)
         for _ in range(100):
             a, b = (np.unique(rng.integers(0, 3000, int(rng.integers(1, 2500)), dtype=np.uint64)) for _ in range(2))
-            x, y = (kernel.load([vectorjoin.point(v).tobytes() + b"\0" * 4])[0] for v in (a, b))
-            assert kernel.most_shared(x, y)[0] >= len(np.intersect1d(a, b))
-            assert np.minimum(kernel.top((x, None)), kernel.top((y, None))).sum() >= len(np.intersect1d(a, b))
+            x, y = (kernel.load([vectorjoin.point(v)]) for v in (a, b))
+            assert kernel.most_shared(x, one, y, one)[0] >= len(np.intersect1d(a, b))
+            assert np.minimum(kernel.top(x), kernel.top(y)).sum() >= len(np.intersect1d(a, b))
 
 
 def test_leaves_of_a_sorted_partition(monkeypatch):
@@ -130,7 +129,7 @@ def test_leaves_of_a_sorted_partition(monkeypatch):
     monkeypatch.setattr(buckets, "LEAF", 4)
     monkeypatch.setattr(buckets, "FAN", 2)
     kernel = vectorjoin.CountVectors()
-    data = [vectorjoin.point(shingles(f"a b c d e {k}")).tobytes() + b"\0" * 4 + np.array([1], dtype=np.int64).tobytes() for k in range(40)]
+    data = [vectorjoin.point(shingles(f"a b c d e {k}")) + np.array([1], dtype=np.int64).tobytes() for k in range(40)]
     rows = pd.DataFrame({"key": [1] * 3 + [2] * 21 + [5] * 16, "id": range(40), "component": range(40), "n": 2, "data": data})
     for cuts in ([0, 40], [0, 1, 2, 9, 10, 23, 24, 40], list(range(41))):
         nodes = pd.concat(buckets._leaves(kernel)(iter([rows.iloc[a:b] for a, b in zip(cuts, cuts[1:])])))
