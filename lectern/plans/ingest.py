@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from lectern.plans.bindings import SQL_INPUTS, Inputs
 from lectern.plans.registry import query
-from lectern.sources import readers, sinks
+from lectern.sources import readers, sinks, versions
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("user", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -160,6 +160,19 @@ def publish_report_partition(b: Inputs):
     return sinks.read_report(b.spark, path)
 
 
+@query("publish_report_versions", "IN-7", """
+    SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(floor(o_totalprice) AS BIGINT) END AS price, o_orderstatus AS status,
+           (SELECT COUNT(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority = '2-HIGH') AS errors
+    FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority <> '2-HIGH'""")
+def publish_report_versions(b: Inputs):
+    """The second version of a report, with the number of its bad rows."""
+    path = versions.new_folder(b.spark, "report")
+    rows = order_report(b)
+    versions.publish_version(rows.where("status = 'F'"), path, REPORT_TYPES)
+    saved = versions.publish_version(rows, path, REPORT_TYPES)
+    return versions.read_version(b.spark, path).withColumn("errors", saved.select("errors").scalar())
+
+
 @query("overlap_dedupe", "IN-8", """
     SELECT event_id, "user", event_type, CASE WHEN dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN 2 ELSE 1 END AS fetched
     FROM b_events""")

@@ -9,6 +9,7 @@ from lectern.plans.coach import dotted, ranges
 from lectern.plans.recommend import trials
 from lectern.plans.registry import query
 from lectern.session import new_folder
+from lectern.sources import versions
 from lectern.streaming import jobs
 
 
@@ -26,6 +27,20 @@ def snapshot_upsert_stream(b: Inputs):
     return b.spark.read.parquet(store).select("user", "event_id", "event_type", F.round(F.unix_micros("ts") / 1000000.0, 3).alias("at"))
 
 
+@query("snapshot_delta_stream", "STR-1", """
+    SELECT "user", event_id, event_type, round(epoch_us(ts) / 1000000.0, 3) AS at FROM (
+        SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY ts DESC) AS r FROM b_events) WHERE r = 1 AND event_type <> 'error'""")
+def snapshot_delta_stream(b: Inputs):
+    """Merged when read, with a compaction between two runs; users whose newest event is an error count as deleted."""
+    store, offsets = new_folder(b.spark, "deltas"), new_folder(b.spark, "offsets")
+    rows = events(b).select("user", "event_id", "event_type", "ts", (F.col("event_type") == "error").alias("gone"))
+    jobs.snapshot_delta_stream(rows, store, "user", "ts", checkpoint=offsets)
+    versions.compact(b.spark, store, ["user"], "ts")
+    jobs.snapshot_delta_stream(rows, store, "user", "ts", checkpoint=offsets)
+    merged = versions.read_merged(b.spark, store, ["user"], "ts", deleted="gone")
+    return merged.select("user", "event_id", "event_type", F.round(F.unix_micros("ts") / 1000000.0, 3).alias("at"))
+
+
 SQL_INPUTS["b_live"] = """
     WITH p AS (SELECT experiment, alternative, identity, began, floor(epoch(began) / 1800)::BIGINT * 1800 AS w FROM b_participants),
     h AS (SELECT p.experiment, p.alternative, p.identity, floor(epoch(e.ts) / 1800)::BIGINT * 1800 AS w, 1 AS n, r.counting

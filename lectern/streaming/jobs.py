@@ -17,6 +17,7 @@ from lectern.functions.columns import ip_to_long
 from lectern.functions.ordered import hour_chunk, scan_groups
 from lectern.session import new_folder
 from lectern.sources.sinks import merge_buckets, table_exists
+from lectern.sources.versions import write_delta
 
 DELAY = "1 day"
 
@@ -59,6 +60,12 @@ def snapshot_upsert_stream(
     run_available(fresh, merge, checkpoint=checkpoint)
 
 
+def snapshot_delta_stream(stream: DataFrame, store: str, key: str, ts: str, delay: str = DELAY, checkpoint: str | None = None) -> None:
+    """As ``snapshot_upsert_stream``, merged when read (``versions.read_merged``): a batch writes its own rows and rewrites none."""
+    fresh = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key, ts])
+    run_available(fresh, lambda batch, number: write_delta(batch, number, store), checkpoint=checkpoint)
+
+
 def live_experiment_stream(
     stream: DataFrame, store: str, window: str = "30 minutes", delay: str = DELAY, checkpoint: str | None = None
 ) -> None:
