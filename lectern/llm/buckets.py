@@ -82,7 +82,8 @@ def _whole_buckets(found: Callable[[pd.DataFrame], Iterator[pd.DataFrame]]) -> C
                 continue
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
             last = int(np.searchsorted(rows["key"].to_numpy(dtype=np.int64), rows["key"].iloc[-1]))
-            yield from found(rows.iloc[:last])
+            if last:
+                yield from found(rows.iloc[:last])
             held = rows.iloc[last:]
         if held is not None:
             yield from found(held)

@@ -101,7 +101,7 @@ class Signatures(Kernel):
         self.percent = percent
 
     def load(self, data: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(data), dtype=np.uint64).reshape(len(data), -1)
+        return np.frombuffer(b"".join(data), dtype=np.uint64).reshape(len(data), SYMBOL_BITS + LONG_SYMBOLS // 64 * LONG_BITS)
 
     def near(self, key: np.ndarray | None, n: np.ndarray, x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
         differ = np.bitwise_or.reduce(x[i, :SYMBOL_BITS] ^ y[j, :SYMBOL_BITS], axis=1)
