@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.buckets import Kernel, pairs_across
@@ -63,16 +65,17 @@ def keys(symbols: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, digest and keys of each text; only a portion of a batch's texts are Python strings at a time."""
     for batch in batches:
-        texts = batch["text"].tolist()
-        for piece in portions([len(t or "") for t in texts]):
-            rows = []
-            for text in texts[piece]:
+        for piece in portions(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()):
+            part, rows = batch.slice(piece.start, piece.stop - piece.start), []
+            for text in part.column("text").to_pylist():
                 found = shingles(text)
                 digest = as_long(np.array([found.sum(dtype=np.uint64), (found * found).sum(dtype=np.uint64)], dtype=np.uint64)).tolist()
-                rows.append((len(found), *digest, keys(signature(found, SYMBOLS)) if len(found) else []))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].values[piece], "text_key": batch["text_key"].values[piece], **{name: [r[i] for r in rows] for i, name in enumerate(("n_shingles", "h1", "h2", "keys"))}})
+                rows.append((len(found), *digest, keys(signature(found, SYMBOLS)) if len(found) else np.empty(0, dtype=np.int64)))
+            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), *made], names=["doc_id", "text_key", "n_shingles", "h1", "h2", "keys"])
 
 
 def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +122,7 @@ def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``near_duplicates`` with the text_key and the digest (h1, h2) of each row."""
     if not PERCENT <= percent <= 100:
         raise ValueError(f"percent must be from {PERCENT} to 100")
-    signed = cut_lineage(docs.select("doc_id", text_key().alias("text_key"), "text").mapInPandas(_signed, "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>"))
+    signed = cut_lineage(docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(_signed, "doc_id long, text_key long, n_shingles int, h1 long, h2 long, keys array<long>"))
     known = cut_lineage(classes(signed))
     filed = with_rows(signed.select("doc_id", "text_key", "keys"), known.select("doc_id", "text_key", "id")).select("id", F.explode("keys").alias("key"))
     entries = cut_lineage(shared_buckets(filed))

@@ -26,6 +26,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.labelled import held_out, sample
@@ -392,9 +394,13 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns; the text decides, so no join is needed."""
     verdict = _tagger(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pd.concat([*verdict(iter([batch.assign(doc_id=np.arange(len(batch)))[["doc_id", "text"]]]))], ignore_index=True) if len(batch) else batch
-            yield batch[found["score"].to_numpy() < 0.5] if len(batch) else batch
-
-    return docs.mapInPandas(run, docs.schema)
+            # Only a portion of a batch's texts are Python strings at a time, and rows pass as they came.
+            for piece in portions(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()):
+                part = batch.slice(piece.start, piece.stop - piece.start)
+                texts = pd.DataFrame({"doc_id": np.arange(len(part)), "text": pd.Series(part.column("text").to_pylist(), dtype=object)})
+                found = pd.concat([*verdict(iter([texts]))], ignore_index=True)
+                yield part.filter(pa.array(found["score"].to_numpy() < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
