@@ -313,6 +313,17 @@ def test_early_pruning_changes_nothing(spark, rows):
     assert rows(recommend.recommend(done, 6, 5)) == rows(plain)
 
 
+def test_pairs_carry_their_counts_and_join_no_more(spark, rows):
+    done = spark.createDataFrame([(f"u{u}", f"v{v}", float((u * v) % 3)) for u in range(6) for v in range(u + 3)], "user string, item string, completion_time double")
+    counts = recommend.item_counts(done)
+    plain = recommend.cooccurrence_counts(recommend.cooccurrence(done), counts)
+    carried = recommend.cooccurrence_counts(recommend.cooccurrence(done, block=2, counts=counts), counts)
+    columns = ["item1", "item2", "preceed_cnt", "succeed_cnt", "cnt1", "cnt2"]
+    assert rows(carried, *columns) == rows(plain, *columns)
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(carried) < joins(plain)
+
+
 def test_similarity_matrix_indexes(spark):
     scores = spark.createDataFrame([("b", "a", 0.5), ("b", "c", 0.25)], "item1 string, item2 string, score double")
     got = {r.item: (r["index"], r.row) for r in recommend.similarity_matrix(scores).collect()}
