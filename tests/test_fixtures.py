@@ -324,6 +324,19 @@ def test_pairs_carry_their_counts_and_join_no_more(spark, rows):
     assert joins(carried) < joins(plain)
 
 
+def test_similarity_matrix_makes_its_scores_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    scores = spark.createDataFrame([("a", "b", 0.5), ("b", "a", 0.5)], "item1 string, item2 string, score double").mapInPandas(counted, "item1 string, item2 string, score double")
+    assert recommend.similarity_matrix(scores).count() == 2
+    assert made.value == 2
+
+
 def test_similarity_matrix_indexes(spark):
     scores = spark.createDataFrame([("b", "a", 0.5), ("b", "c", 0.25)], "item1 string, item2 string, score double")
     got = {r.item: (r["index"], r.row) for r in recommend.similarity_matrix(scores).collect()}
