@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.ordered import epoch_hour_chunk, scan_groups
@@ -267,37 +269,89 @@ def first_responses(responses: DataFrame, order: Sequence[str], max_time: float
     return first.select("user", "exercise", F.col("r.correct").alias("correct"), F.log(seconds).alias("log_time"))
 
 
+def by_user(data: DataFrame, *columns: str) -> DataFrame:
+    """One row for each known user with the answers (exercise and ``columns``), at most one per exercise, dealt evenly and written once."""
+    rows = data.where("user IS NOT NULL").groupBy("user").agg(F.sort_array(F.collect_list(F.struct("exercise", *columns))).alias("answers"))
+    return cut_lineage(rows.repartition(3 * data.sparkSession.sparkContext.defaultParallelism))
+
+
+def _expected(items: dict, nodes: np.ndarray, weights: np.ndarray, use_time: bool):
+    """Per task and exercise the expected answers, right answers and log times at each node, from users' whole answers."""
+    x = np.hstack([nodes, np.ones((len(nodes), 1))])
+    names = pa.array(list(items), pa.string())
+    w, v, sigma = (np.array([item[c] for item in items.values()], dtype=float) for c in ("w_correct", "w_time", "sigma"))
+    prior = np.log(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, r, s = (np.zeros((len(names), len(nodes))) for _ in range(3))
+        q = np.zeros(len(names))
+        for batch in batches:
+            answers = batch.column("answers")
+            flat, sizes = answers.flatten(), answers.value_lengths().to_numpy()
+            k = pc.fill_null(pc.index_in(flat.field("exercise"), names), -1).to_numpy(zero_copy_only=False)
+            known = np.flatnonzero(k >= 0)
+            k, user = k[known], np.repeat(np.arange(len(sizes)), sizes)[known]
+            right = pc.fill_null(flat.field("correct"), False).to_numpy(zero_copy_only=False)[known]
+            time = flat.field("log_time").to_numpy(zero_copy_only=False)[known].astype(float)
+            z = np.clip(w[k] @ x.T, -30, 30)
+            chance = -np.log1p(np.exp(np.where(right[:, None], -z, z)))
+            tells = np.ones(len(k), dtype=bool)
+            if use_time:
+                tells = ~np.isnan(time)  # an answer without a time says nothing
+                miss = v[k] @ x.T - time[:, None]
+                chance = chance - miss * miss / (2 * sigma[k] * sigma[k])[:, None] - np.log(sigma[k])[:, None]
+            logs = np.zeros((len(sizes), len(nodes)))
+            np.add.at(logs, user[tells], chance[tells])
+            logs += prior
+            post = np.exp(logs - logs.max(axis=1, keepdims=True))
+            post /= post.sum(axis=1, keepdims=True)
+            counted = np.bincount(user[tells], minlength=len(sizes))[user] > 0
+            k, share, right, time = k[counted], post[user[counted]], right[counted], time[counted]
+            np.add.at(n, k, share)
+            np.add.at(r, k[right], share[right])
+            timed = ~np.isnan(time)
+            np.add.at(s, k[timed], share[timed] * time[timed, None])
+            np.add.at(q, k[timed], time[timed] ** 2)
+        seen = np.flatnonzero(n.any(axis=1))
+        lists = pa.list_(pa.float64())
+        yield pa.RecordBatch.from_arrays(
+            [names.take(pa.array(seen, pa.int64())), *[pa.array(c[seen].tolist(), lists) for c in (n, r, s)], pa.array(q[seen], pa.float64())],
+            names=["exercise", "n", "r", "s", "q"])
+
+    return run
+
+
 def item_response_fit(
     responses: DataFrame, dims: int = 1, epochs: int = 100, l2: float = 1e-3, use_time: bool = False, points: int | None = None,
     order: Sequence[str] = ("time_done", "event_id"), tolerance: float = 1e-3,
 ) -> tuple[DataFrame, DataFrame]:
     """Item couplings and user abilities by expectation maximisation over a grid of abilities.
 
-    Each epoch: users' node weights from sums over their answers; expected counts per exercise and node
-    from sums over its answers; one small solve per exercise.  Abilities are standard normal; the
+    Each epoch is one scan of the users, each with the own answers: node weights of each user, expected counts per exercise and node added up
+    by the tasks, and one small solve per exercise.  Abilities are standard normal; the
     signs are set so that the mean coupling is not negative.  It ends when no coupling moves by ``tolerance`` in
     an epoch, or after ``epochs``.  Returns (items, abilities); ``converged`` says for each item whether its couplings had come to rest.
     """
     nodes, weights = quadrature(dims, points or NODES.get(dims, MORE_NODES))
     data = cut_lineage(first_responses(responses, order))
+    users = by_user(data, "correct", "log_time")
+    spark, known = data.sparkSession, "exercise string, w_correct array<double>, w_time array<double>, sigma double, move double"
     start = [0.5**j for j in range(dims)] + [0.0]  # equal axes could not part
-    vector = lambda v: F.array(*[F.lit(float(x)) for x in v])
-    items = cut_lineage(data.select("exercise").distinct().select(
-        "exercise", vector(start).alias("w_correct"), vector([0.0] * (dims + 1)).alias("w_time"), F.lit(1.0).alias("sigma"), F.lit(None).cast("double").alias("move")))
+    fitted = [(r[0], start, [0.0] * (dims + 1), 1.0, None) for r in data.select("exercise").distinct().where("exercise IS NOT NULL").collect()]
     for _ in range(epochs):
-        post = _posteriors(data, items, nodes, weights, use_time).select("user", "post")
-        rows = data.join(post, "user")
-        q = range(len(nodes))
-        counts = rows.groupBy("exercise").agg(
-            F.array(*[F.sum(F.col("post")[i]) for i in q]).alias("n"),
-            F.array(*[F.sum(F.when(F.col("correct"), F.col("post")[i]).otherwise(0.0)) for i in q]).alias("r"),
-            F.array(*[F.sum(F.col("post")[i] * F.col("log_time")) for i in q]).alias("s"), F.sum(F.col("log_time") * F.col("log_time")).alias("q"))
-        fitted = counts.join(items.select("exercise", "w_correct"), "exercise").mapInPandas(
-            _solve_items(nodes, l2, use_time), "exercise string, w_correct array<double>, w_time array<double>, sigma double, move double")
-        items = cut_lineage(fitted)
-        largest = items.agg(F.max("move")).first()[0]
-        if largest is None or largest < tolerance:
+        # The couplings, a few numbers for each exercise, go out with the tasks; the answers stay where they are.
+        items = {r[0]: {"w_correct": r[1], "w_time": r[2], "sigma": r[3]} for r in fitted}
+        if not items:
+            break
+        parts = users.select("answers").mapInArrow(_expected(items, nodes, weights, use_time), "exercise string, n array<double>, r array<double>, s array<double>, q double")
+        added = lambda c: F.array(*[F.sum(F.col(c)[i]) for i in range(len(nodes))]).alias(c)
+        counts = parts.groupBy("exercise").agg(added("n"), added("r"), added("s"), F.sum("q").alias("q"))
+        before = F.create_map(*[F.lit(x) for name, item in items.items() for x in (name, list(map(float, item["w_correct"])))])
+        solved = counts.withColumn("w_correct", before[F.col("exercise")]).mapInPandas(_solve_items(nodes, l2, use_time), known)
+        fitted = [tuple(r) for r in solved.collect()]
+        if not fitted or max(r[4] for r in fitted) < tolerance:
             break
+    items = spark.createDataFrame(fitted, known)
     mean = [items.agg(F.avg(F.col("w_correct")[j])).scalar() for j in range(dims)]
     sign = [F.when(mean[j] < 0, -1.0).otherwise(1.0) for j in range(dims)] + [F.lit(1.0)]
     flip = lambda w: F.array(*[F.col(w)[j] * sign[j] for j in range(dims + 1)]).alias(w)

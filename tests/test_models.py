@@ -280,3 +280,34 @@ def test_registered_fits_use_the_operators_defaults(spark, monkeypatch):
 
     stats.training(Inputs(spark, "/root/testdata/sf0.001"))
     assert {r["n"] for r in described[0].selectExpr("size(random) AS n").distinct().collect()} == {100}
+
+
+def test_expected_counts_are_the_sums_over_answers(spark):
+    data = spark.createDataFrame(
+        [(u, f"e{e}", (u + e) % 3 > 0, None if u == 4 or e == u else 1.0 + (u * e) % 4) for u in range(5) for e in range(3)] + [(None, "e1", True, 1.0), (7, None, True, 1.0)],
+        "user int, exercise string, correct boolean, log_time double")
+    nodes, weights = models.quadrature(1, 5)
+    given = {f"e{e}": {"w_correct": [0.5 + e, 0.1 * e], "w_time": [0.2, 0.3 * e], "sigma": 1.0 + e} for e in range(3)}
+    items = spark.createDataFrame([(e, i["w_correct"], i["w_time"], i["sigma"]) for e, i in given.items()], "exercise string, w_correct array<double>, w_time array<double>, sigma double")
+    for use_time in (False, True):
+        rows = data.where("user IS NOT NULL").join(models._posteriors(data, items, nodes, weights, use_time), "user").where("exercise IS NOT NULL")
+        wanted = {r[0]: r[1:] for r in rows.groupBy("exercise").agg(
+            F.array(*[F.sum(F.col("post")[i]) for i in range(5)]), F.array(*[F.sum(F.when(F.col("correct"), F.col("post")[i]).otherwise(0.0)) for i in range(5)]),
+            F.array(*[F.sum(F.col("post")[i] * F.col("log_time")) for i in range(5)]), F.sum(F.when(F.col("post")[0].isNotNull(), F.col("log_time") * F.col("log_time")))).collect()}
+        parts = models.by_user(data, "correct", "log_time").select("answers").mapInArrow(
+            models._expected(given, nodes, weights, use_time), "exercise string, n array<double>, r array<double>, s array<double>, q double").collect()
+        for exercise, (n, r, s, q) in wanted.items():
+            mine = [part for part in parts if part.exercise == exercise]
+            for name, value in (("n", n), ("r", r), ("s", s), ("q", q)):
+                assert np.allclose(np.sum([part[name] for part in mine], axis=0), value)
+
+
+def test_the_registered_slope_fits_first(spark, monkeypatch):
+    from lectern.plans import load_all
+    from lectern.plans.registry import QUERIES
+
+    load_all()
+    asked, fit = [], models.item_response_fit
+    monkeypatch.setattr(models, "item_response_fit", lambda *args, **named: asked.append(named) or fit(*args, **{**named, "epochs": 1}))
+    out = QUERIES["item_response_slope"](spark, "/root/testdata/sf0.001")
+    assert asked == [{}] and "flat" in out.columns
