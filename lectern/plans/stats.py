@@ -370,12 +370,15 @@ def item_response_fit(b: Inputs):
     m AS (SELECT "user", a, exp(l - MAX(l) OVER (PARTITION BY "user")) AS e FROM l),
     p AS (SELECT "user", a, e / SUM(e) OVER (PARTITION BY "user") AS post FROM m)
     SELECT exercise, COUNT(DISTINCT "user") AS n, round((SUM(post * (correct::INT - 1 / (1 + exp(-z))) * a) - 0.002::DOUBLE * MAX(w0)) / COUNT(DISTINCT "user"), 6) + 0.0 AS slope_0,
-           round((SUM(post * (correct::INT - 1 / (1 + exp(-z)))) - 0.002::DOUBLE * MAX(w1)) / COUNT(DISTINCT "user"), 6) + 0.0 AS slope_1
+           round((SUM(post * (correct::INT - 1 / (1 + exp(-z)))) - 0.002::DOUBLE * MAX(w1)) / COUNT(DISTINCT "user"), 6) + 0.0 AS slope_1, true AS flat
     FROM z JOIN p USING ("user", a) GROUP BY 1""")
 def item_response_slope(b: Inputs):
-    """The way up from given couplings."""
-    slopes = models.item_response_slope(*answered_items(b))
-    return slopes.select("exercise", "n", *[(F.round(F.col("slope")[i], 6) + F.lit(0.0)).alias(f"slope_{i}") for i in range(2)])
+    """The way up from given couplings, and whether there is none left at those of a fit."""
+    data, items = answered_items(b)
+    fitted, _ = models.item_response_fit(responses(b))
+    flat = models.item_response_slope(data, fitted).select("exercise", F.forall("slope", lambda s: F.abs(s) < 0.002).alias("flat"))
+    slopes = models.item_response_slope(data, items).join(flat, "exercise", "left")
+    return slopes.select("exercise", "n", *[(F.round(F.col("slope")[i], 6) + F.lit(0.0)).alias(f"slope_{i}") for i in range(2)], "flat")
 
 
 def answered_items(b: Inputs):
