@@ -60,8 +60,9 @@ def feature_samples(
     valid = history_validity(attempts, chunk, order).where("sequential").select("user")
     rows = attempts.join(valid, "user", "left_semi")
     described = cut_lineage(accuracy_features(rows, chunk, order=order).withColumn("prediction", score(weights)))
-    parts = random_components(described.where("problem_number = 1"), dim, seed)
-    with_parts = described.join(parts, ["exercise", "problem_type", "correct"], "left")
+    keys = ["exercise", "problem_type", "correct"]
+    parts = cut_lineage(random_components(described.where("problem_number = 1"), dim, seed))
+    with_parts = described.join(parts, keys, "left")
     begins = F.col("total_done") == 0
     first = F.col("problem_number") == 1
     own = lambda i: F.when(first, F.coalesce(f"c{i}", F.lit(0.0))).otherwise(0.0)
@@ -75,6 +76,8 @@ def feature_samples(
             kept = kept.where(F.col("problem_number") < numbers[1])
     if randomized:
         kept = kept.where("randomized")
+    # The few vectors are joined anew: brought along, they would double the width of all rows that the scan shuffles.
+    kept = kept.drop(*[f"c{i}" for i in range(dim)]).join(parts, keys, "left")
     return kept.select(
         "exercise", F.col("correct").cast("int").alias("correct"), "prediction", "n_prev_ex", "problem_number",
         (F.col("position") - 1).alias("attempt_number"), *FEATURES, F.array(*[F.col(f"f{i}") - own(i) for i in range(dim)]).alias("random"))

@@ -311,3 +311,21 @@ def test_the_registered_slope_fits_first(spark, monkeypatch):
     monkeypatch.setattr(models, "item_response_fit", lambda *args, **named: asked.append(named) or fit(*args, **{**named, "epochs": 1}))
     out = QUERIES["item_response_slope"](spark, "/root/testdata/sf0.001")
     assert asked == [{}] and "flat" in out.columns
+
+
+def test_feature_samples_scan_without_the_vectors(spark):
+    attempts = spark.createDataFrame(
+        [(u, f"e{n % 2}", "a", n % 3 > 0, n // 2 + 1, float(n), u * 10 + n, False) for u in range(3) for n in range(6)],
+        "user int, exercise string, problem_type string, correct boolean, problem_number int, time_done double, event_id int, randomized boolean")
+    samples = models.feature_samples(attempts, dim=2)
+    assert samples.count() == 18
+
+    def nodes(plan):
+        yield plan
+        below = plan.children()
+        for i in range(below.size()):
+            yield from nodes(below.apply(i))
+
+    scans = [n for n in nodes(samples._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    outputs = [[n.output().apply(i).name() for i in range(n.output().size())] for n in scans]
+    assert outputs and not any("c0" in names for names in outputs)
