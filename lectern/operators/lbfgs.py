@@ -1,7 +1,7 @@
 """Quasi-Newton fits of a logistic regression for every group at once.
 
-A group's samples never come together. Each iteration is one scan: the tasks add up, per group, the loss and the
-gradient at several step lengths along its direction, and the sums meet entry by entry. The group then takes the longest step that lowers the loss
+A group's samples never come together: they are laid out once in blocks, a few rows for each batch, that a join with the groups' states
+costs little. Each iteration is one scan of the blocks: the tasks add up, per group, the loss and the gradient at several step lengths along its direction, and the sums meet entry by entry. The group then takes the longest step that lowers the loss
 enough, learns from the change of its gradient and sets the next direction; that sees one row per group.
 """
 
@@ -11,7 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lectern.session import cut_lineage
 
@@ -38,17 +40,32 @@ def direction(gradient: np.ndarray, moves: np.ndarray, changes: np.ndarray) -> n
     return -q
 
 
-def _sums(group: str, label: str, weight: str | None):
-    """Per task and group the loss and its gradient at all step lengths, as one flat row; one group's rows are held at a time."""
+def _blocks(group: str, label: str, weight: str | None):
+    """The samples of each batch and group as one row: labels y, weights w and the features x one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(group).dictionary_encode()
+            codes = pc.fill_null(keys.indices, -1).to_numpy(zero_copy_only=False)
+            places = [pa.array(np.flatnonzero(codes == k)) for k in range(len(keys.dictionary))]
+            cells = {"y": label, **({"w": weight} if weight else {})}
+            lists = {c: [batch.column(name).take(at).to_numpy(zero_copy_only=False).astype(float) for at in places] for c, name in cells.items()}
+            lists["x"] = [batch.column("features").take(at).flatten().to_numpy(zero_copy_only=False).astype(float) for at in places]
+            columns = [pa.array(v, pa.list_(pa.float64())) for v in lists.values()]
+            yield pa.RecordBatch.from_arrays([keys.dictionary, *columns], names=[group, *lists])
+
+    return run
+
+
+def _sums(group: str, weight: str | None):
+    """Per task and group the loss and its gradient at all step lengths, as one flat row; one block is held at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict = {}
         for batch in batches:
-            for key, rows in batch.groupby(group, sort=False):
-                x = np.stack(rows["features"].to_numpy())
-                theta, way = np.asarray(rows["theta"].iloc[0]), np.asarray(rows["way"].iloc[0])
-                y = rows[label].to_numpy(dtype=float)
-                w = rows[weight].to_numpy(dtype=float) if weight else np.ones(len(y))
+            for key, x, y, w, theta, way in zip(*(batch[c] for c in (group, "x", "y", "w" if weight else "y", "theta", "way"))):
+                theta, way, x = np.asarray(theta), np.asarray(way), x.reshape(len(y), -1)
+                w = w if weight else np.ones(len(y))
                 z = np.clip((x @ theta)[:, None] + (x @ way)[:, None] * np.array((0.0, *STEPS)), -100, 100)
                 loss = (w[:, None] * (np.logaddexp(0.0, z) - y[:, None] * z)).sum(axis=0)
                 gradient = x.T @ (w[:, None] * (1.0 / (1.0 + np.exp(-z)) - y[:, None]))
@@ -94,7 +111,7 @@ def _advance(group: str, l2: np.ndarray | float, tolerance: float):
                 if far is not None and far < tolerance:
                     way = np.zeros(len(theta))
                 out.append((theta.tolist(), way.tolist(), moves.ravel().tolist(), changes.ravel().tolist(), far))
-            yield pd.DataFrame({group: batch[group], **{c: [r[i] for r in out] for i, c in enumerate(("theta", "way", "moves", "changes", "move"))}})
+            yield pd.DataFrame({group: batch[group], "scans": batch["scans"] + 1, **{c: [r[i] for r in out] for i, c in enumerate(("theta", "way", "moves", "changes", "move"))}})
 
     return run
 
@@ -108,25 +125,29 @@ def lbfgs_per_group(
     The loss has ``l2`` / 2 times the squared couplings on top. ``start`` (group, theta) holds where to begin, else at zero. A group is left alone
     once neither its last move nor its next one reaches ``tolerance`` in any entry; ``scans`` counts the scans it took part in.
     """
-    kind = dict(samples.dtypes)[group]
-    counts = cut_lineage(samples.groupBy(group).agg(F.count(F.lit(1)).alias("num_samples"), F.max(F.size("features")).alias("d")))
-    data = samples.select(group, F.col(label).cast("double").alias(label), "features", *([weight] if weight else []))
-    zeros, none = F.array_repeat(F.lit(0.0), F.col("d")), F.array().cast("array<double>")
+    kind, vector = dict(samples.dtypes)[group], "array<double>"
+    data = samples.select(group, F.col(label).cast("double").alias(label), "features", *([F.col(weight).cast("double").alias(weight)] if weight else []))
+    cells = ["y", *(["w"] if weight else []), "x"]
+    blocks = data.mapInArrow(_blocks(group, label, weight), ", ".join([f"{group} {kind}", *[f"{c} {vector}" for c in cells]])).persist()
+    counts = cut_lineage(blocks.groupBy(group).agg(
+        F.sum(F.size("y").cast("bigint")).alias("num_samples"), F.max((F.size("x") / F.size("y")).cast("int")).alias("d")))
+    zeros, none = F.array_repeat(F.lit(0.0), F.col("d")), F.array().cast(vector)
     begun = counts if start is None else counts.join(start.select(group, F.col("theta").alias("given")), group, "left")
     theta = zeros if start is None else F.coalesce("given", zeros)
     state = cut_lineage(begun.select(
-        group, theta.alias("theta"), zeros.alias("way"), none.alias("moves"), none.alias("changes"), F.lit(None).cast("double").alias("move"), F.lit(0).alias("scans")))
+        group, F.lit(0).alias("scans"), theta.alias("theta"), zeros.alias("way"), none.alias("moves"), none.alias("changes"), F.lit(None).cast("double").alias("move")))
     resting = F.coalesce(F.col("move") < tolerance, F.lit(False))
     for _ in range(max_steps + 1):
         moving = state.where(~resting)
-        parts = data.join(moving.select(group, "theta", "way"), group).mapInPandas(_sums(group, label, weight), f"{group} {kind}, part array<double>")
-        cells = parts.select(group, F.posexplode("part").alias("i", "v")).groupBy(group, "i").agg(F.sum("v").alias("v"))
+        parts = blocks.join(moving.select(group, "theta", "way"), group).mapInPandas(_sums(group, weight), f"{group} {kind}, part {vector}")
+        # A task has one row for each of its groups already, so the sums of a group meet in one shuffle.
+        cells = parts.repartition(group).select(group, F.posexplode("part").alias("i", "v")).groupBy(group, "i").agg(F.sum("v").alias("v"))
         total = cells.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda c: c["v"]).alias("total"))
-        vector = "array<double>"
-        stepped = moving.select(group, "theta", "way", "moves", "changes").join(total, group).mapInPandas(
-            _advance(group, l2, tolerance), f"{group} {kind}, theta {vector}, way {vector}, moves {vector}, changes {vector}, move double")
-        counted = moving.select(group, (F.col("scans") + 1).alias("scans"))
-        state = cut_lineage(state.where(resting).unionByName(stepped.join(counted, group)))
-        if state.where(~resting).isEmpty():
+        stepped = moving.drop("move").join(total, group).mapInPandas(
+            _advance(group, l2, tolerance), f"{group} {kind}, scans int, theta {vector}, way {vector}, moves {vector}, changes {vector}, move double")
+        left = Observation()
+        state = cut_lineage(state.where(resting).unionByName(stepped).observe(left, F.count_if(~resting).alias("n")))
+        if not left.get["n"]:
             break
+    blocks.unpersist()
     return counts.drop("d").join(state.select(group, "theta", "scans", resting.alias("converged")), group)

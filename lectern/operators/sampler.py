@@ -11,11 +11,12 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.operators.lbfgs import lbfgs_per_group
-from lectern.operators.models import SEED, first_responses
+from lectern.operators.models import SEED, by_user, first_responses
 from lectern.session import cut_lineage
 
 _ANSWERS_AT_ONCE = 200_000
@@ -40,31 +41,43 @@ def _chance(theta: np.ndarray, couplings: np.ndarray, sign: np.ndarray) -> np.nd
     return -0.5 * (theta * theta).sum(axis=1) - np.where(sign != 0, np.logaddexp(0.0, -sign * z), 0.0).sum(axis=1)
 
 
-def _walk(dims: int, steps: int, burn_in: int, chains: int, scale: float, seed: str, draws: int):
-    """Per user the chains' mean, variance, last places and number of accepted steps."""
+def _walk(items: dict, dims: int, steps: int, burn_in: int, chains: int, scale: float, seed: str, draws: int):
+    """Per user the chains' mean, variance, last places and number of accepted steps, beside the user and the answers."""
+    w = np.array(list(items.values()), dtype=float).reshape(len(items), dims + 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch["answers"].map(len).to_numpy()
+            answers = batch.column("answers")
+            flat, counts = answers.flatten(), answers.value_lengths().to_numpy()
+            k = pc.fill_null(pc.index_in(flat.field("exercise"), pa.array(list(items), flat.field("exercise").type)), -1).to_numpy(zero_copy_only=False)
+            known = np.flatnonzero(k >= 0)
+            owner = np.repeat(np.arange(len(counts)), counts)[known]
+            sign = np.where(pc.fill_null(flat.field("correct"), False).to_numpy(zero_copy_only=False)[known], 1.0, -1.0)
+            sizes = np.bincount(owner, minlength=len(counts))
+            asked = np.flatnonzero(sizes)  # users without an answer to a known exercise have no chain
+            ends = np.cumsum(sizes)
             start = 0
-            while start < len(batch):
+            while start < len(asked):
                 # So many users that the padded answers of their chains stay few.
                 stop, widest = start, 0
-                while stop < len(batch) and (stop == start or max(widest, sizes[stop]) * (stop + 1 - start) * chains <= _ANSWERS_AT_ONCE):
-                    widest = max(widest, sizes[stop])
+                while stop < len(asked) and (stop == start or max(widest, sizes[asked[stop]]) * (stop + 1 - start) * chains <= _ANSWERS_AT_ONCE):
+                    widest = max(widest, sizes[asked[stop]])
                     stop += 1
-                yield walked(batch.iloc[start:stop], int(widest))
+                users = asked[start:stop]
+                row = np.repeat(np.arange(len(users)), sizes[users])
+                at = np.concatenate([np.arange(ends[u] - sizes[u], ends[u]) for u in users])
+                column = np.arange(len(at)) - np.repeat(np.cumsum(sizes[users]) - sizes[users], sizes[users])
+                couplings, signs = np.zeros((len(users), widest, dims + 1)), np.zeros((len(users), widest))
+                couplings[row, column], signs[row, column] = w[k[known[at]]], sign[at]
+                part = batch.take(pa.array(users))
+                yield walked(part, couplings, signs)
                 start = stop
 
-    def walked(users: pd.DataFrame, widest: int) -> pd.DataFrame:
-        couplings, sign = np.zeros((len(users), widest, dims + 1)), np.zeros((len(users), widest))
-        for k, answers in enumerate(users["answers"]):
-            for j, answer in enumerate(answers):
-                couplings[k, j] = answer["w"]
-                sign[k, j] = 1.0 if answer["correct"] else -1.0
+    def walked(users: pa.RecordBatch, couplings: np.ndarray, sign: np.ndarray) -> pa.RecordBatch:
+        count = users.num_rows
         couplings, sign = np.repeat(couplings, chains, axis=0), np.repeat(sign, chains, axis=0)
-        names = [f"{seed}|{user}|{chain}" for user in users["user"] for chain in range(chains)]
-        theta = np.repeat(np.stack(users["start"].to_numpy()), chains, axis=0).astype(float)
+        names = [f"{seed}|{user}|{chain}" for user in users.column("user").to_pylist() for chain in range(chains)]
+        theta = np.repeat(np.array(users.column("start").to_pylist(), dtype=float), chains, axis=0)
         density = _chance(theta, couplings, sign)
         accepted, kept = np.zeros(len(names), dtype=int), np.zeros((2, len(names), dims))
         last = []
@@ -78,16 +91,27 @@ def _walk(dims: int, steps: int, burn_in: int, chains: int, scale: float, seed:
             if step >= burn_in:
                 kept += np.stack([theta, theta * theta])
             if step >= steps - draws:
-                last.append(theta.reshape(len(users), chains, dims))
-        mean, square = kept.reshape(2, len(users), chains, dims).mean(axis=2) / max(steps - burn_in, 1)
-        places = np.concatenate(last, axis=1) if last else np.zeros((len(users), 0, dims))
-        return pd.DataFrame({
-            "user": users["user"], "theta": mean.tolist(), "variance": (square - mean * mean).tolist(), "accepted": accepted.reshape(len(users), chains).sum(axis=1),
-            "draws": places.tolist()})
+                last.append(theta.reshape(count, chains, dims))
+        mean, square = kept.reshape(2, count, chains, dims).mean(axis=2) / max(steps - burn_in, 1)
+        places = np.concatenate(last, axis=1) if last else np.zeros((count, 0, dims))
+        vectors = pa.list_(pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [users.column("user"), users.column("answers"), pa.array(mean.tolist(), vectors), pa.array((square - mean * mean).tolist(), vectors),
+             pa.array(accepted.reshape(count, chains).sum(axis=1)), pa.array(places.tolist(), pa.list_(vectors))],
+            names=["user", "answers", "theta", "variance", "accepted", "draws"])
 
     return run
 
 
+def _walked(users: DataFrame, items: DataFrame, dims: int, steps: int, burn_in: int, chains: int, scale: float | None, seed: str, draws: int) -> DataFrame:
+    """``_walk`` over ``users`` (user, answers, start). The couplings, a few numbers for each exercise, go out with the tasks; users are not moved."""
+    known = {r[0]: r[1] for r in items.where("exercise IS NOT NULL").select("exercise", "w_correct").collect()}
+    kinds = dict(users.dtypes)
+    walk = _walk(known, dims, steps, burn_in, chains, scale or 1.2 / dims**0.5, seed, draws)
+    return users.select("user", "answers", "start").mapInArrow(
+        walk, f"user {kinds['user']}, answers {kinds['answers']}, theta array<double>, variance array<double>, accepted long, draws array<array<double>>")
+
+
 def sample_abilities(
     data: DataFrame, items: DataFrame, dims: int = 1, steps: int = 400, burn_in: int = 100, chains: int = 4, scale: float | None = None,
     seed: str = str(SEED), draws: int = 1, start: DataFrame | None = None,
@@ -99,16 +123,15 @@ def sample_abilities(
     the places of each chain's last steps, ``start`` (user, theta) where chains begin, else at zero. A user's answers
     come together, at most one per exercise.
     """
-    kind = dict(data.dtypes)["user"]
     zero = F.array_repeat(F.lit(0.0), dims)
-    answers = data.join(items.select("exercise", F.col("w_correct").alias("w")), "exercise").groupBy("user").agg(
-        F.sort_array(F.collect_list(F.struct("exercise", "w", "correct"))).alias("answers"))
+    answers = data.groupBy("user").agg(F.sort_array(F.collect_list(F.struct("exercise", "correct"))).alias("answers"))
     if start is None:
         rows = answers.withColumn("start", zero)
     else:
         rows = answers.join(start.select("user", F.col("theta").alias("start")), "user", "left").withColumn("start", F.coalesce("start", zero))
-    walk = _walk(dims, steps, burn_in, chains, scale or 1.2 / dims**0.5, seed, draws)
-    return rows.mapInPandas(walk, f"user {kind}, theta array<double>, variance array<double>, accepted long, draws array<array<double>>")
+    # Shuffled tables as small as these would end in one task, for all their steps.
+    rows = rows.repartition(3 * data.sparkSession.sparkContext.defaultParallelism)
+    return _walked(rows, items, dims, steps, burn_in, chains, scale, seed, draws).drop("answers")
 
 
 def item_response_sampled(
@@ -124,12 +147,12 @@ def item_response_sampled(
     data = cut_lineage(first_responses(responses, order).select("user", "exercise", "correct"))
     first = F.array(*[F.lit(0.5**j) for j in range(dims)], F.lit(0.0))  # equal axes could not part
     items = cut_lineage(data.select("exercise").distinct().select("exercise", first.alias("w_correct")))
-    abilities, late = None, []
+    # Users without a name are sampled at the end, but have no say in the couplings.
+    users, late = by_user(data, "correct").withColumn("start", F.array_repeat(F.lit(0.0), dims)), []
     for epoch in range(epochs):
-        sampled = sample_abilities(data, items, dims, steps, 0, chains, seed=f"{seed}|{epoch}", draws=draws, start=abilities)
-        sampled = cut_lineage(sampled)
-        abilities = sampled.select("user", F.element_at("draws", -1).alias("theta"))
-        places = data.join(sampled.select("user", F.explode("draws").alias("place")), "user")
+        sampled = cut_lineage(_walked(users, items, dims, steps, 0, chains, None, f"{seed}|{epoch}", draws))
+        users = sampled.select("user", "answers", F.element_at("draws", -1).alias("start"))
+        places = sampled.select(F.explode("answers").alias("answer"), "draws").select("answer.*", F.explode("draws").alias("place"))
         rows = places.select("exercise", "correct", F.concat("place", F.array(F.lit(1.0))).alias("features"))
         fitted = lbfgs_per_group(rows, l2=2 * l2 * chains * draws, max_steps=20, tolerance=1e-3, start=items.select("exercise", F.col("w_correct").alias("theta")))
         items = cut_lineage(fitted.select("exercise", F.col("theta").alias("w_correct")))

@@ -126,3 +126,26 @@ def test_answers_speak_for_abilities(spark):
         post /= post.sum()
         assert r.ability == pytest.approx((post * axis).sum(), abs=1e-3) and r.difficulty == w[r.exercise][1]
         assert r.variance == pytest.approx((post * axis**2).sum() - (post * axis).sum() ** 2, abs=2e-3)
+
+
+def test_samples_are_made_once_for_all_scans(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    rows = [(f"g{i % 3}", bool(rng.random() < 1 / (1 + np.exp(-a))), [float(a), 1.0]) for i, (a, _) in enumerate(x)]
+    samples = spark.createDataFrame(rows, "exercise string, correct boolean, features array<double>").mapInPandas(
+        count, "exercise string, correct boolean, features array<double>")
+    fits = lbfgs.lbfgs_per_group(samples, l2=0.5).collect()
+    assert len(fits) == 3 and all(r.scans > 2 and r.num_samples == 100 for r in fits)
+    assert made.value == 300
+
+
+def test_chains_are_dealt_over_tasks(spark):
+    sampled = sampler.sample_abilities(_answers(spark), _items(spark, 1), steps=20, burn_in=5)
+    assert sampled.select(F.spark_partition_id()).distinct().count() > 1
