@@ -11,7 +11,7 @@ from lectern.functions.days import daily_levels, edge, to_date
 from lectern.functions.ordered import top_k
 from lectern.operators.activity import ACTIVITY_COUNTS, in_range
 from lectern.operators.geo import ip_geolocate
-from lectern.session import cut_lineage
+from lectern.session import cut_lineage, tasks_for
 
 CLASS_SIZE = 10
 WINDOW = 28
@@ -148,7 +148,8 @@ def rolling_active_teachers(
     rows = activity.where((F.col("dt") < to_date(end)) & F.col("teacher").isNotNull())
     if since is not None:
         rows = rows.where(F.date_add(since, window) < F.col("dt"))
-    days = rows.select("teacher", "user", "dt").distinct()
+    rows = cut_lineage(rows.select("teacher", "user", "dt"))
+    days = rows.repartition(tasks_for(rows), "teacher", "user").distinct()
     members = active_edges(days, ["teacher", "user"], {"teachers": (min_days, False)}, window)
     return daily_levels(busy_edges(members, "teacher", threshold), ["teachers"], end)
 
@@ -189,7 +190,9 @@ def student_teacher_count(
     for members, threshold, group, member in classes:
         pair_days = cut_lineage(members.join(days, "user").where(F.col("dt") >= F.col("began")).withColumn(
             "late", F.date_add("began", WINDOW) < F.col("dt")).drop("began"))
-        user_days = pair_days.groupBy("user", "dt").agg(F.bool_or("late").alias("late"))
+        user_days = cut_lineage(pair_days.groupBy("user", "dt").agg(F.bool_or("late").alias("late")))
+        user_days = user_days.repartition(tasks_for(user_days), "user")
+        pair_days = pair_days.repartition(tasks_for(pair_days), "teacher", "user")
         series.append(busy_edges(active_edges(pair_days, ["teacher", "user"], kinds), "teacher", threshold).select(
             F.concat("metric", F.lit(f"_{group}")).alias("metric"), "dt", "d"))
         series.append(active_edges(user_days, ["user"], kinds).select(

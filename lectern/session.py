@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -64,6 +65,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+# Rows of a task in steps that keep several copies of each: a distinct, a sort and a window come to about 1 KB a row.
+ROWS_PER_TASK = 200_000
+
+
+def tasks_for(table: DataFrame, times: float = 1) -> int:
+    """Tasks for ``times`` the rows of a written table, so that a task's memory doesn't grow with the table.
+
+    Adaptive execution sizes tasks by compressed bytes, and of narrow rows with few values tens of millions are a few megabytes.
+    """
+    return max(1, math.ceil(table.count() * times / ROWS_PER_TASK))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
