@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.columns import any_true, bucket_end_anchored, clamp, count_if, explode_present, month_of
 from lectern.functions.days import to_date
+from lectern.session import cut_lineage, tasks_for
 
 WATCH_CAP = 1800
 SOLVE_CAP = 600
@@ -175,9 +176,11 @@ def distinct_usage(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     Rows fold to (key, user, day), then (key, user), then key: the same as two distinct counts
     without the row expansion Spark uses for several distinct aggregates.
     """
-    per_day = rows.groupBy(*keys, "user", "dt").agg(
+    rows = cut_lineage(rows.select(*keys, "user", "dt", "completed", "num_seconds"))
+    tasks = tasks_for(rows)
+    per_day = rows.repartition(tasks, *keys, "user", "dt").groupBy(*keys, "user", "dt").agg(
         count_if(F.col("completed")).alias("completed"), F.sum("num_seconds").alias("seconds_watched"))
-    per_user = per_day.groupBy(*keys, "user").agg(
+    per_user = per_day.repartition(tasks, *keys, "user").groupBy(*keys, "user").agg(
         F.count(F.lit(1)).alias("visits"), F.sum("completed").alias("completed"),
         F.sum("seconds_watched").alias("seconds_watched"))
     return per_user.groupBy(*keys).agg(

@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 from lectern import session
-from lectern.operators import coach
+from lectern.operators import activity, coach
 
 DAY = dt.date(2024, 1, 1)
 
@@ -28,3 +28,12 @@ def test_rolling_teachers_deal_pairs(spark, monkeypatch):
     out = coach.rolling_active_teachers(days, "2024-02-20", threshold=20)
     assert set(_tasks(out, "teacher", "user")) == {7}
     assert {r.teachers for r in out.where("dt > '2024-01-02' AND dt < '2024-01-20'").collect()} == {3}
+
+
+def test_usage_deals_user_days(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    rows = [(f"t{u % 2}", u, DAY + dt.timedelta(d), True, 5) for u in range(30) for d in range(20)]
+    usage = spark.createDataFrame(rows, "title string, user long, dt date, completed boolean, num_seconds long")
+    out = activity.distinct_usage(usage, ["title"])
+    assert set(_tasks(out, "title", "user", "dt")) == {6} and set(_tasks(out, "title", "user")) == {6}
+    assert sorted(tuple(r) for r in out.collect()) == [("t0", 15, 300, 300, 1500), ("t1", 15, 300, 300, 1500)]
