@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.session import cut_lineage
+from lectern.session import cut_lineage, tasks_for
 
 
 def split_explode(df: DataFrame, field: str, delim: str, carry: Sequence[str], required: bool = True) -> DataFrame:
@@ -77,6 +77,18 @@ def exercises_by_topic(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("topic").agg(F.array_sort(F.collect_set("exercise")).alias("exercises"))
 
 
+def _joined(ways: DataFrame, more: DataFrame, tasks: int) -> DataFrame:
+    """Pairs that a way and another from its target on lead between; a task has at most the ways to its nodes beyond its share."""
+    first, second = ways.repartition(tasks, "target").alias("a"), more.repartition(tasks, "source").alias("b")
+    return first.join(second, F.col("a.target") == F.col("b.source")).select("a.source", "b.target")
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    """The distinct pairs as a written table, found in as many tasks as their number asks for."""
+    pairs = cut_lineage(pairs)
+    return cut_lineage(pairs.repartition(tasks_for(pairs), "source", "target").distinct())
+
+
 def _doubled(direct: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The transitive closure (source, target) of a DAG and, for nodes with a way on, the length of their longest (node, height).
 
@@ -90,14 +102,15 @@ def _doubled(direct: DataFrame) -> tuple[DataFrame, DataFrame]:
         after = leaps.select(F.col("source").alias("node"), F.lit(length).alias("height"))
         near = leaps
         if closure is not None:
-            near = near.unionByName(closure).unionByName(closure.alias("c").join(leaps.alias("l"), F.col("c.target") == F.col("l.source")).select("c.source", "l.target"))
+            tasks = max(tasks_for(closure), tasks_for(leaps))
+            near = near.unionByName(closure).unionByName(_joined(closure, leaps, tasks))
             way = leaps.join(heights.withColumnRenamed("node", "target"), "target").select(F.col("source").alias("node"), (F.col("height") + length).alias("height"))
             after = after.unionByName(way).unionByName(heights)
-        closure = cut_lineage(near.distinct())
+        closure = _distinct(near)
         heights = cut_lineage(after.groupBy("node").agg(F.max("height").alias("height")))
         if not closure.where("source = target").isEmpty():
             raise ValueError(f"the graph has a cycle: {', '.join(map(str, _one_cycle(closure)))}")
-        leaps = cut_lineage(leaps.alias("a").join(leaps.alias("b"), F.col("a.target") == F.col("b.source")).select("a.source", "b.target").distinct())
+        leaps = _distinct(_joined(leaps, leaps, tasks_for(leaps)))
         length *= 2
         if leaps.isEmpty():
             return closure, heights
@@ -133,5 +146,7 @@ def cover_graph(edges: DataFrame) -> DataFrame:
 
     related = relations(closure, "descendant", "ancestor").unionByName(relations(direct, "covers", "covered"))
     levels = heights.select("node", (F.col("height") + 1).alias("level"))
+    # Both directions of all pairs; a node's rows are at most the nodes.
+    related = related.repartition(tasks_for(closure, 2) + tasks_for(direct, 2), "node")
     return related.join(levels, "node", "left").select(
         "node", "related", "relation", F.coalesce("level", F.lit(1)).alias("level"))

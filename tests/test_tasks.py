@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 from lectern import session
-from lectern.operators import activity, coach
+from lectern.operators import activity, catalog, coach
 
 DAY = dt.date(2024, 1, 1)
 
@@ -37,3 +37,10 @@ def test_usage_deals_user_days(spark, monkeypatch):
     out = activity.distinct_usage(usage, ["title"])
     assert set(_tasks(out, "title", "user", "dt")) == {6} and set(_tasks(out, "title", "user")) == {6}
     assert sorted(tuple(r) for r in out.collect()) == [("t0", 15, 300, 300, 1500), ("t1", 15, 300, 300, 1500)]
+
+
+def test_closure_deals_relations(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    out = catalog.cover_graph(spark.createDataFrame([(i, i + 1) for i in range(40)], "source long, target long"))
+    assert set(_tasks(out, "node")) == {17 + 1}  # 820 pairs and 40 edges, both ways
+    assert out.count() == 2 * (820 + 40) and {r.level for r in out.where("node = 0").select("level").distinct().collect()} == {41}
