@@ -123,7 +123,7 @@ def lbfgs_per_group(
     """Logistic regression of ``label`` on ``features`` for every group: (group, theta, num_samples, scans, converged).
 
     The loss has ``l2`` / 2 times the squared couplings on top. ``start`` (group, theta) holds where to begin, else at zero. A group is left alone
-    once neither its last move nor its next one reaches ``tolerance`` in any entry; ``scans`` counts the scans it took part in.
+    once neither its last move nor its next one reaches ``tolerance`` in any entry; one with an unknown label stays where it began, whatever tasks its samples are in; ``scans`` counts the scans it took part in.
     """
     kind, vector = dict(samples.dtypes)[group], "array<double>"
     data = samples.select(group, F.col(label).cast("double").alias(label), "features", *([F.col(weight).cast("double").alias(weight)] if weight else []))
@@ -137,16 +137,18 @@ def lbfgs_per_group(
     state = cut_lineage(begun.select(
         group, F.lit(0).alias("scans"), theta.alias("theta"), zeros.alias("way"), none.alias("moves"), none.alias("changes"), F.lit(None).cast("double").alias("move")))
     resting = F.coalesce(F.col("move") < tolerance, F.lit(False))
+    # A sample without a label leaves its group no direction; Arrow may turn NaN into null.
+    done = resting | F.exists("way", lambda x: x.isNull() | F.isnan(x))
     for _ in range(max_steps + 1):
-        moving = state.where(~resting)
+        moving = state.where(~done)
         parts = blocks.join(moving.select(group, "theta", "way"), group).mapInPandas(_sums(group, weight), f"{group} {kind}, part {vector}")
         # A task has one row for each of its groups already, so the sums of a group meet in one shuffle.
-        cells = parts.repartition(group).select(group, F.posexplode("part").alias("i", "v")).groupBy(group, "i").agg(F.sum("v").alias("v"))
+        cells = parts.repartition(group).select(group, F.posexplode("part").alias("i", "v")).groupBy(group, "i").agg(F.sum(F.coalesce("v", F.lit(float("nan")))).alias("v"))
         total = cells.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda c: c["v"]).alias("total"))
         stepped = moving.drop("move").join(total, group).mapInPandas(
             _advance(group, l2, tolerance), f"{group} {kind}, scans int, theta {vector}, way {vector}, moves {vector}, changes {vector}, move double")
         left = Observation()
-        state = cut_lineage(state.where(resting).unionByName(stepped).observe(left, F.count_if(~resting).alias("n")))
+        state = cut_lineage(state.where(done).unionByName(stepped).observe(left, F.count_if(~done).alias("n")))
         if not left.get["n"]:
             break
     blocks.unpersist()

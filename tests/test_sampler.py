@@ -149,3 +149,12 @@ def test_samples_are_made_once_for_all_scans(spark):
 def test_chains_are_dealt_over_tasks(spark):
     sampled = sampler.sample_abilities(_answers(spark), _items(spark, 1), steps=20, burn_in=5)
     assert sampled.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_unknown_labels_keep_a_group_at_its_start(spark):
+    rows = [(g, None if g == "hole" and k == 5 else k % 3 > 0, [float(k % 7) - 3, 1.0]) for g in ("hole", "whole") for k in range(60)]
+    samples = spark.createDataFrame(rows, "exercise string, correct boolean, features array<double>").repartition(12)
+    start = spark.createDataFrame([("hole", [1.0, 0.0]), ("whole", [1.0, 0.0])], "exercise string, theta array<double>")
+    fits = {r.exercise: r for r in lbfgs.lbfgs_per_group(samples, l2=0.5, start=start).collect()}
+    assert fits["hole"].theta == [1.0, 0.0] and not fits["hole"].converged and fits["hole"].num_samples == 60
+    assert fits["whole"].converged and fits["whole"].theta != [1.0, 0.0]
