@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.session import cut_lineage, tasks_for
+from lectern.session import cut_lineage, tasks_for, tasks_of
 
 
 def split_explode(df: DataFrame, field: str, delim: str, carry: Sequence[str], required: bool = True) -> DataFrame:
@@ -83,10 +83,16 @@ def _joined(ways: DataFrame, more: DataFrame, tasks: int) -> DataFrame:
     return first.join(second, F.col("a.target") == F.col("b.source")).select("a.source", "b.target")
 
 
-def _distinct(pairs: DataFrame) -> DataFrame:
-    """The distinct pairs as a written table, found in as many tasks as their number asks for."""
-    pairs = cut_lineage(pairs)
-    return cut_lineage(pairs.repartition(tasks_for(pairs), "source", "target").distinct())
+def _number(ways: DataFrame, more: DataFrame) -> int:
+    """Rows of ``_joined``, from the ways to and from each node."""
+    first = ways.groupBy(F.col("target").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    second = more.groupBy(F.col("source").alias("node")).agg(F.count(F.lit(1)).alias("m"))
+    return first.join(second, "node").agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+
+
+def _distinct(pairs: DataFrame, rows: int) -> DataFrame:
+    """The distinct ones of so many pairs as a written table."""
+    return cut_lineage(pairs.repartition(tasks_of(rows), "source", "target").distinct())
 
 
 def _doubled(direct: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,17 +106,18 @@ def _doubled(direct: DataFrame) -> tuple[DataFrame, DataFrame]:
     closure = heights = None
     while True:
         after = leaps.select(F.col("source").alias("node"), F.lit(length).alias("height"))
-        near = leaps
+        near, rows = leaps, leaps.count()
         if closure is not None:
-            tasks = max(tasks_for(closure), tasks_for(leaps))
+            known = closure.count()
+            tasks, rows = tasks_of(max(known, rows)), rows + known + _number(closure, leaps)
             near = near.unionByName(closure).unionByName(_joined(closure, leaps, tasks))
             way = leaps.join(heights.withColumnRenamed("node", "target"), "target").select(F.col("source").alias("node"), (F.col("height") + length).alias("height"))
             after = after.unionByName(way).unionByName(heights)
-        closure = _distinct(near)
+        closure = _distinct(near, rows)
         heights = cut_lineage(after.groupBy("node").agg(F.max("height").alias("height")))
         if not closure.where("source = target").isEmpty():
             raise ValueError(f"the graph has a cycle: {', '.join(map(str, _one_cycle(closure)))}")
-        leaps = _distinct(_joined(leaps, leaps, tasks_for(leaps)))
+        leaps = _distinct(_joined(leaps, leaps, tasks_for(leaps)), _number(leaps, leaps))
         length *= 2
         if leaps.isEmpty():
             return closure, heights

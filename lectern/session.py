@@ -74,7 +74,12 @@ def tasks_for(table: DataFrame, times: float = 1) -> int:
 
     Adaptive execution sizes tasks by compressed bytes, and of narrow rows with few values tens of millions are a few megabytes.
     """
-    return max(1, math.ceil(table.count() * times / ROWS_PER_TASK))
+    return tasks_of(table.count() * times)
+
+
+def tasks_of(rows: float) -> int:
+    """Tasks for so many rows, see ``tasks_for``."""
+    return max(1, math.ceil(rows / ROWS_PER_TASK))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
