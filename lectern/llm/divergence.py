@@ -26,11 +26,12 @@ an empty table gives an empty result; other columns play no part. Ties go by the
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.session import cut_lineage
@@ -43,59 +44,85 @@ _UNIT = 1_000_000_000
 # Rows of a hot source or language are dealt to so many keys; the small side is repeated for each.
 _SALTS = 16
 _HELD = 500_000
-# Counts of so many terms are held in a task before they are handed on.
-_COUNTED = 400_000
+# Bytes of texts whose terms are counted together, and of a piece of a longer text.
+_COUNTED = 16_000_000
 _AT_ONCE = 1_000_000
 
 
-def _terms(text: str) -> Iterator[list[bytes]]:
-    """The terms of a text, in lists of about a million bytes of it."""
-    data = text.encode("utf-8", "surrogatepass").translate(_BYTES)
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """Translated text in pieces of about ``_AT_ONCE`` bytes that cut no term."""
     start = 0
     while start < len(data):
         stop = data.find(b" ", start + _AT_ONCE)
-        yield data[start : stop if stop >= 0 else len(data)].split()
+        yield data[start : stop if stop >= 0 else len(data)]
         start = stop if stop >= 0 else len(data)
 
 
+def _tally(texts: list[bytes], group: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Each term in each group of the translated ``texts``: the term, the group, its occurrences and its texts."""
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+    found = split.flatten().dictionary_encode()
+    # Texts are ordered by group, so sorted pairs of term and text have the texts of a group together.
+    order = np.argsort(group, kind="stable")
+    rank = np.empty(len(texts), dtype=np.int64)
+    rank[order] = np.arange(len(texts))
+    pairs = found.indices.to_numpy() * np.int64(len(texts)) + np.repeat(rank, pc.list_value_length(split).to_numpy())
+    empty = pc.index(found.dictionary, "").as_py()
+    if empty >= 0:
+        pairs = pairs[pairs // len(texts) != empty]
+    pairs.sort()
+    term, text = np.divmod(pairs, len(texts))
+    group = group[order][text]
+    fresh = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
+    starts = np.flatnonzero(fresh & np.append(True, (term[1:] != term[:-1]) | (group[1:] != group[:-1]))[: len(pairs)])
+    n = np.diff(np.append(starts, len(pairs)))
+    docs = np.add.reduceat(fresh.astype(np.int64), starts) if len(starts) else n
+    return found.dictionary.take(pa.array(term[starts])), group[starts], n, docs
+
+
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Occurrences and documents of each term by (lang, source), summed over many rows; a group also has a row without a term."""
-    found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    number: dict[tuple[str, str], int] = {}
+    texts: list[bytes] = []
+    groups: list[int] = []
     held = 0
 
-    def taken() -> pd.DataFrame:
-        parts = [
-            pd.DataFrame({
-                "lang": lang, "source": source, "term": [None, *(t.decode("utf-8", "surrogatepass") for t in count)],
-                "n": [0, *count.values()], "docs": [0, *map(docs.__getitem__, count)]})
-            for (lang, source), (count, docs) in found.items()]
-        found.clear()
-        return pd.concat(parts, ignore_index=True)
+    def rows(terms: pa.Array, group: np.ndarray, n: np.ndarray, docs: np.ndarray) -> pd.DataFrame:
+        names = [pa.array([key[i] for key in number], pa.large_string()).take(pa.array(group)) for i in (0, 1)]
+        columns = {"lang": names[0], "source": names[1], "term": terms}
+        return pd.DataFrame({c: pd.Series(pd.arrays.ArrowExtensionArray(v)) for c, v in columns.items()} | {"n": n, "docs": docs})
 
     for batch in batches:
         for text, lang, source in zip(batch["text"], batch["lang"], batch["source"]):
-            if (lang, source) not in found:
-                found[lang, source] = (Counter(), Counter())
-            count, docs = found[lang, source]
-            before, own = len(count), None
-            for some in _terms(text):
-                count.update(some)
-                own = set(some) if own is None else own.union(some)
-            if own:
-                docs.update(own)
-            held += len(count) - before
+            group = number.setdefault((lang, source), len(number))
+            data = (text if isinstance(text, bytes) else text.encode("utf-8")).translate(_BYTES)
+            if len(data) > _AT_ONCE:
+                # The pieces of a long text are counted in turn and put together, so that it is one document.
+                parts = [_tally([piece], np.zeros(1, dtype=np.int64)) for piece in _pieces(data)]
+                one = pa.table({"term": pa.chunked_array([p[0] for p in parts]), "n": np.concatenate([p[2] for p in parts])}).group_by("term").aggregate([("n", "sum")])
+                yield rows(one["term"].combine_chunks(), np.full(len(one), group), one["n_sum"].to_numpy(), np.ones(len(one), dtype=np.int64))
+                continue
+            texts.append(data)
+            groups.append(group)
+            held += len(data)
             if held > _COUNTED:
-                yield taken()
-                held = 0
-    if found:
-        yield taken()
+                yield rows(*_tally(texts, np.array(groups)))
+                texts, groups, held = [], [], 0
+    if texts:
+        yield rows(*_tally(texts, np.array(groups)))
+    if number:
+        none = np.zeros(len(number), dtype=np.int64)
+        yield rows(pa.nulls(len(number), pa.large_string()), np.arange(len(number)), none, none)
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n, docs of ``docs`` (text, lang, source); the row without a term says that the group occurs."""
-    texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    found = texts.mapInPandas(_counted, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    """lang, source, term, n, docs of ``docs`` (text, lang, source); the row without a term says that the group occurs.
+
+    All rows of a term are in one partition. Tasks have summed their rows before, so a frequent term is no more than a row for each portion of text and source.
+    """
+    text, *rest = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
+    found = docs.select(text.cast("binary").alias("text"), *rest).mapInPandas(_counted, "lang string, source string, term string, n long, docs long")
+    return found.repartition("term", "lang").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(n: str, size: str) -> Column:
@@ -211,12 +238,12 @@ def _own_terms(cells: DataFrame, sources: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value and rank of ``docs`` (text, lang, source)."""
-    per = cut_lineage(counts(docs))
-    terms = per.where("term IS NOT NULL").groupBy("lang", "term").agg(
-        F.sum("n").alias("total"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("row"))
-    kept = cut_lineage(terms.where(F.col("docs") >= least_docs).select("lang", "term", "total", F.explode("row").alias("x")).select("lang", "term", "total", "x.source", "x.n"))
+    of_term = Window.partitionBy("term", "lang")  # one row per source at most
+    whole = counts(docs).select("*", F.sum("n").over(of_term).alias("total"), F.sum("docs").over(of_term).alias("in_docs"), F.min("source").over(of_term).alias("least"))
+    per = cut_lineage(whole.where((F.col("in_docs") >= least_docs) | F.col("term").isNull()).select("lang", "source", "term", "n", "total", (F.col("source") == F.col("least")).alias("first")))
+    kept = per.where("term IS NOT NULL")
     sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    languages = kept.groupBy("lang", "term").agg(F.first("total").alias("total")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("whole"))
+    languages = kept.where("first").groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("whole"))
     known = per.where("term IS NULL").select("lang", "source").join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
     sources = known.select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("size", "v", "whole")])
     sources = cut_lineage(sources.withColumn("zero", _share("0", "size")))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from lectern.llm import divergence
 
@@ -133,3 +134,14 @@ def test_path_counts_nodes_once():
         path.insert(["a", "b", "c"], [1, 2, 3], shares, 2)
     path.close(0)
     assert path.held == 6 and [times for _, _, times in path.closed] == [8, 8]
+
+
+def test_rows_of_a_term_meet_once(spark):
+    """All sources of a term are in one partition as counted, so no second shuffle of all terms is needed."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(_random_rows(5, 60, ["a", "b", "c"]), "text string, lang string, source string")
+        places = divergence.counts(docs).withColumn("place", F.spark_partition_id()).groupBy("lang", "term").agg(F.countDistinct("place").alias("n"))
+        assert places.count() > 20 and places.where("n > 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
