@@ -214,16 +214,19 @@ def _node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     return two.where(once & _possible(percent)).select("p.key", F.col("x.node").alias("node_x"), F.col("y.node").alias("node_y"))
 
 
-def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int | None = None) -> DataFrame:
+def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int | None = None, sharper: tuple[DataFrame, Kernel] | None = None) -> DataFrame:
     """a, b of the members of one bucket but different components that may be linked; a pair may come twice.
 
-    ``rows`` has key, id, component and the bucket's size; ``payload`` id, n and data.
+    ``rows`` has key, id, component and the bucket's size; ``payload`` id, n and data. Buckets that aren't tiny, whose pairs may be many,
+    are compared by the payload and kernel of ``sharper``, if given.
     """
     ends = "a long, b long"
     tiny = TINY if tiny is None else tiny
     few = rows.where(F.col("size") <= tiny).join(payload.select("id", "n"), "id").select("key", "id", "component", "n")
     paired = few.repartition("key").sortWithinPartitions("key").mapInPandas(_tiny(kernel.percent), ends).distinct()
     compared = near_pairs(cut_lineage(paired), payload, kernel)
+    if sharper is not None:
+        payload, kernel = sharper
     more = rows.where(F.col("size").between(tiny + 1, LEAF)).join(payload, "id").select("key", "id", "component", "n", "data")
     small = compared.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), ends))
     large = cut_lineage(rows.where(F.col("size") > max(tiny, LEAF)))

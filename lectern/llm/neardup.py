@@ -11,7 +11,9 @@ No bucket is expanded into pairs. Documents with equal sets are one class from t
 checked against the head it shares most keys with, the most central member of a large bucket, on the whole sets, and components are formed
 from these links. Buckets with one component are then settled. Members of other buckets are checked across components only
 (``buckets``): a pair is taken at its first common key, if the sizes allow
-the similarity and a longer signature (512 symbols of four bits) doesn't rule it out, and is confirmed on whole sets.
+the similarity and a longer signature (512 symbols of four bits) doesn't rule it out, and is confirmed on whole sets. Members of all but tiny
+buckets are also held against each other by 32 bits of each shingle (of a sample, beyond ``SAMPLE`` shingles), so that of the many
+pairs a little under the threshold hardly any is left to be confirmed.
 
 Defined results: null and empty texts have the empty set and are linked with nothing. The nodes of
 the graph are distinct sets, so each text is judged by itself, whether its doc_id is null or has other texts too. A component is named by its
@@ -20,6 +22,7 @@ smallest doc_id; it has no name (null) if all are null. An empty table gives an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.llm import buckets
 from lectern.llm.buckets import Kernel, pairs_across
 from lectern.llm.classes import classes, labelled, shared_buckets, stars, unsettled
 from lectern.llm.links import bit_planes, components, confirmed, shingle_sets, text_key, with_rows, without_rows
@@ -40,6 +44,8 @@ MOST_DIFFERENT = 2 * (SYMBOLS // CHUNK) - 1
 LONG_SYMBOLS, LONG_BITS = 512, 4
 # Differences of long signatures: at similarity 0.75 mean 120, deviation 9.6; beyond this fewer than one pair in a thousand million.
 MOST_LONG = 181
+# Shingles of a set that are sampled, about; all of a smaller set. A sample's share may be so many deviations below the threshold.
+SAMPLE, DEVIATIONS = 1024, 6.35
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RNG.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
@@ -78,13 +84,27 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), *made], names=["doc_id", "text_key", "n_shingles", "h1", "h2", "keys"])
 
 
+def _level(n: int) -> int:
+    """Of a set of ``n`` the shingles with so many zero bits are sampled."""
+    return max(0, math.ceil(math.log2(n / SAMPLE)))
+
+
+def sampled(values: np.ndarray) -> bytes:
+    """Size of a set, then the upper 32 bits of its sampled shingles in order."""
+    upper = (values >> np.uint64(32)).astype(np.uint32)
+    upper = upper[upper & np.uint32(2 ** _level(len(values)) - 1) == 0]
+    return np.append(np.uint32(len(values)), np.sort(upper)).tobytes()
+
+
 def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Signatures, and samples of members of buckets that aren't tiny."""
     for batch in batches:
-        sets = batch["shingles"].tolist()
+        sets = [np.asarray(s, dtype=np.int64).view(np.uint64) for s in batch["shingles"]]
         for piece in portions([len(s) for s in sets]):
-            symbols = np.stack([signature(np.asarray(s, dtype=np.int64).view(np.uint64), LONG_SYMBOLS) for s in sets[piece]])
+            symbols = np.stack([signature(s, LONG_SYMBOLS) for s in sets[piece]])
             planes, long = bit_planes(symbols[:, :SYMBOLS], SYMBOL_BITS), bit_planes(symbols, LONG_BITS)
-            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "data": [p.tobytes() + x.tobytes() for p, x in zip(planes, long)]})
+            samples = [sampled(s) if large else b"" for s, large in zip(sets[piece], batch["large"].values[piece])]
+            yield pd.DataFrame({"id": batch["id"].values[piece], "n": [len(s) for s in sets[piece]], "data": [p.tobytes() + x.tobytes() for p, x in zip(planes, long)], "sample": samples})
 
 
 def at_first_common_key(differ: np.ndarray, place: int | np.ndarray) -> np.ndarray:
@@ -118,6 +138,33 @@ class Signatures(Kernel):
         return close
 
 
+class SampledSignatures(Signatures):
+    """Signatures, each followed by the sample of its set."""
+
+    def load(self, data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        fixed = 8 * (SYMBOL_BITS + LONG_SYMBOLS // 64 * LONG_BITS)
+        return super().load([d[:fixed] for d in data]), [np.frombuffer(d[fixed:], dtype=np.uint32) for d in data]
+
+    def near(self, key: np.ndarray | None, n: np.ndarray, x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
+        close = super().near(key, n, x[0], i, y[0], j)
+        for at in np.flatnonzero(close).tolist():
+            close[at] = self.alike(x[1][i[at]], y[1][j[at]])
+        return close
+
+    def alike(self, one: np.ndarray, two: np.ndarray) -> bool:
+        """Whether the samples leave a link possible: no link of two whole sets is lost, as equal shingles have equal bits."""
+        sizes = [int(v[0]) for v in (one, two)]
+        level = max(map(_level, sizes))
+        one, two = (v[1:][v[1:] & np.uint32(2**level - 1) == 0] for v in (one, two))
+        place = np.searchsorted(two, one)
+        place[place == len(two)] = 0
+        shared = int((two[place] == one).sum()) if len(two) else 0
+        if not level:
+            return 100 * shared >= self.percent * (sum(sizes) - shared)
+        share, union = self.percent / 100, len(one) + len(two) - shared
+        return shared >= share * union - DEVIATIONS * math.sqrt(share * (1 - share) * union)
+
+
 def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``near_duplicates`` with the text_key and the digest (h1, h2) of each row."""
     if not PERCENT <= percent <= 100:
@@ -131,8 +178,11 @@ def _judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = cut_lineage(shingle_sets(texts.select(F.col("id").alias("doc_id"), "text")))
     links = cut_lineage(confirmed(stars(entries), sets, percent))
     rows = cut_lineage(unsettled(entries, components(links)))
-    signatures = cut_lineage(sets.join(rows.select("id").distinct(), "id").mapInPandas(_payload, "id long, n int, data binary"))
-    more = confirmed(pairs_across(rows, signatures, Signatures(percent)).distinct(), sets, percent)
+    members = rows.groupBy("id").agg((F.max("size") > buckets.TINY).alias("large"))
+    signatures = cut_lineage(sets.join(members, "id").mapInPandas(_payload, "id long, n int, data binary, sample binary"))
+    sampled_ones = signatures.select("id", "n", F.concat("data", "sample").alias("data"))
+    pairs = pairs_across(rows, signatures.select("id", "n", "data"), Signatures(percent), sharper=(sampled_ones, SampledSignatures(percent)))
+    more = confirmed(pairs.distinct(), sets, percent)
     return labelled(signed, known, components(links.unionByName(more)))
 
 

@@ -129,6 +129,39 @@ def test_large_bucket_without_links(spark, monkeypatch):
     assert found == expected and len(set(expected.values())) > 1
 
 
+def test_pairs_below_the_threshold_are_not_carried_on(spark, monkeypatch):
+    """Copies of one text that are a little too far from each other meet in large buckets; their pairs aren't confirmed one by one."""
+    monkeypatch.setattr(buckets, "TINY", 1)
+    monkeypatch.setattr(buckets, "LEAF", 8)
+    rng, text = np.random.default_rng(3), _sentence(9, 200)
+    rows = []
+    for k in range(60):
+        copy = list(text)
+        for at in rng.choice(196, 5, replace=False):
+            copy[at] = f"c{k}x{at}"
+        rows.append((k, " ".join(copy)))
+    rows += [(100 + k, t + " end") for k, t in rows[:3]]
+    asked, confirmed = [], neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, *rest: (asked.append(pairs.distinct().count()), confirmed(pairs, *rest))[1])
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == _linked([{"doc_id": d, "text": t} for d, t in rows])
+    links = sum(4 * len(a & b) >= 3 * len(a | b) for k, a in enumerate(sets) for b in sets[:k]) if (sets := [_set(t) for _, t in rows]) else 0
+    assert asked[1] <= links < 100
+
+
+def test_samples_lose_no_link():
+    """Whole sets are judged as they are; samples of larger sets keep pairs at the threshold and drop pairs far below."""
+    rng, kernel = np.random.default_rng(5), neardup.SampledSignatures()
+    for size in (4, 100, 1024, 1100, 2100, 9000):
+        for share in (0.5, 0.74, 0.75, 0.76, 1.0):
+            both = round(2 * size * share / (1 + share))
+            values = rng.integers(0, 2**64, 2 * size - both, dtype=np.uint64)
+            one, two = (np.frombuffer(neardup.sampled(v), dtype=np.uint32) for v in (values[:size], values[size - both :]))
+            link = 100 * both >= 75 * (2 * size - both)
+            assert kernel.alike(one, two) == link if size <= 1024 else kernel.alike(one, two) >= link
+            assert share > 0.5 or not kernel.alike(one, two)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     found = {r["id"]: r["component"] for r in components(links).collect()}
