@@ -340,4 +340,4 @@ def test_quality(spark):
 
 
 def test_names():
-    assert len(QUERIES) == 10 and set(ORACLES) <= set(QUERIES)
+    assert len(QUERIES) == 13 and set(ORACLES) <= set(QUERIES)
