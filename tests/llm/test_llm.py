@@ -211,6 +211,24 @@ def test_token_counts(spark):
     assert tokencount.count_tokens(frame.limit(0)).count() == 0
 
 
+def test_pieces_are_encoded_once(monkeypatch):
+    """Texts have the tokens of their pieces, whatever white space or special strings are in them; a piece known isn't encoded again."""
+    monkeypatch.setattr(tokencount, "_KEPT_PIECES", 40)
+    tokenizer, rng = tokencount.encoder("byte_bpe_50k.json"), np.random.default_rng(11)
+    parts = ["a", "bc", "'s", "'", " ", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u180e", "\u2003", "\u200b", "\u3000", "1", "é", "漢字", "!", "<|endoftext|>", "<|end", "😀", "x" * 70]
+    count = tokencount.Counter(tokenizer)
+    for _ in range(20):
+        texts = ["".join(rng.choice(parts, int(rng.integers(0, 30)))) for _ in range(50)]
+        assert count(texts) == [len(tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+        assert max(map(len, count.known), default=0) <= tokencount._LONGEST_KEPT
+    asked, lengths = [], tokencount.Counter._lengths
+    monkeypatch.setattr(tokencount.Counter, "_lengths", lambda self, texts: (asked.extend(texts), lengths(self, texts))[1])
+    count = tokencount.Counter(tokenizer)
+    for _ in range(3):
+        assert count(["the cat and the dog and the cat"] * 4) == [8] * 4
+    assert sorted(asked) == [" and", " cat", " dog", " the"] + ["the"] * 12
+
+
 @pytest.mark.parametrize("layout", [(c, t, p) for c in (tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS) for t in (False, True) for p in (False, True)])
 @pytest.mark.parametrize("order", ["<", ">"])
 def test_tiff_round_trip(layout, order):
