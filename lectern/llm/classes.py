@@ -29,7 +29,11 @@ def classes(signed: DataFrame) -> DataFrame:
 
 
 def shared_buckets(filed: DataFrame) -> DataFrame:
-    """key, id, least (smallest id), size of the keys in ``filed`` (id, key) that several ids have."""
+    """key, id, least (smallest id), size of the keys in ``filed`` (id, key) that several ids have.
+
+    ``filed`` is shuffled once; its buckets are counted where their rows are.
+    """
+    filed = filed.repartition("key")
     buckets = filed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("size")).where("least <> most").select("key", "least", "size")
     return filed.join(buckets, "key").select("key", "id", "least", "size").distinct()
 

@@ -13,6 +13,8 @@ from lectern.session import cut_lineage
 
 # Up to so many ids (16 bytes each) are sent to all tasks; beyond that the tables are shuffled.
 BROADCAST_IDS = 1_000_000
+# Places for the bits of a set, for each of its shingles.
+PLACES = 8
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -64,16 +66,49 @@ def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """id, shingles (distinct, as longs) of (doc_id, text); one row per id."""
+def place_bits(values: np.ndarray) -> bytes:
+    """A bit for each place that shingles of a set fall on; the number of places is a power of two, ``PLACES`` to a shingle or more."""
+    places = 1 << max(3, (PLACES * len(values) - 1).bit_length())
+    bits = np.zeros(places, dtype=np.uint8)
+    bits[(values & np.uint64(places - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_shared(n_a: int, a: bytes, n_b: int, b: bytes) -> int:
+    """The most shingles that two sets share by their sizes and ``place_bits``: one for each place of both, and those that either has beside another on one place."""
+    one, two = (np.frombuffer(x, dtype=np.uint8) for x in (a, b))
+    size = min(len(one), len(two))
+    # Places are low bits, so those of a smaller number of places are all that agree in its bits.
+    one, two = (np.bitwise_or.reduce(x.reshape(-1, size), axis=0) for x in (one, two))
+    places = [int(np.bitwise_count(x).sum(dtype=np.int64)) for x in (one & two, one, two)]
+    return places[0] + min(n_a - places[1], n_b - places[2])
+
+
+def shingle_sets(docs: DataFrame, bits: bool = False) -> DataFrame:
+    """id, shingles (distinct, as longs) of (doc_id, text); one row per id. With ``bits`` also n and the ``place_bits``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
             for piece in portions([len(t or "") for t in texts]):
-                yield pd.DataFrame({"id": batch["doc_id"].values[piece], "shingles": [as_long(shingles(t)) for t in texts[piece]]})
+                sets = [shingles(t) for t in texts[piece]]
+                more = {"n": [len(s) for s in sets], "bits": [place_bits(s) for s in sets]} if bits else {}
+                yield pd.DataFrame({"id": batch["doc_id"].values[piece], "shingles": [as_long(s) for s in sets], **more})
+
+    return docs.select("doc_id", "text").dropDuplicates(["doc_id"]).mapInPandas(run, "id long, shingles array<long>" + ", n int, bits binary" * bits)
+
 
-    return docs.select("doc_id", "text").dropDuplicates(["doc_id"]).mapInPandas(run, "id long, shingles array<long>")
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that ``most_shared`` leaves possible, by n and bits of ``sets``; no link is lost."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = batch[["n_a", "bits_a", "n_b", "bits_b"]].itertuples(index=False)
+            kept = [(100 + percent) * most_shared(*r) >= percent * (r.n_a + r.n_b) for r in rows]
+            yield batch.loc[np.array(kept, dtype=bool), ["a", "b"]]
+
+    sides = [sets.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -84,15 +119,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int, bits: bool = False) -> DataFrame:
     """``confirmed``, with the sets of only those ids that are in ``pairs`` (a, b).
 
     ``texts`` has doc_id, text_key and text, ``rows`` the doc_id and text_key of each id. Rows that repeat a document are left out
-    before their sets are made.
+    before their sets are made. With ``bits``, for pairs of which few are links, whole sets are sent only for ``possible`` ones.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = _ends(pairs)
     found = with_rows(texts, rows.join(ids, "id", "left_semi").select("doc_id", "text_key", "id"))
-    return confirmed(pairs, cut_lineage(shingle_sets(found.select(F.col("id").alias("doc_id"), "text"))), percent)
+    sets = cut_lineage(shingle_sets(found.select(F.col("id").alias("doc_id"), "text"), bits))
+    if bits:
+        pairs = cut_lineage(possible(pairs, sets, percent))
+        sets = sets.select("id", "shingles").join(_small(_ends(pairs)), "id", "left_semi")
+    return confirmed(pairs, sets, percent)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
 def bit_planes(symbols: np.ndarray, bits: int) -> np.ndarray:

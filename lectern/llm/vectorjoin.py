@@ -4,7 +4,8 @@ Links are pairs of documents with 100 intersection >= percent union of their set
 counts its shingles by ``GROUPS`` groups of their hashes. Two sets share at most the sum over the groups of the smaller of
 their counts, and a set and a node of the tree at most the sum of the smaller of its count and the largest below
 the node, so a pair of nodes whose sum is less than a link needs is not followed (``buckets``). Pairs of points that
-survive are verified on whole sets.
+survive are verified on whole sets; groups of large sets are alike whatever is in them, so in the search of trees a bit for each of many
+more groups (``links.possible``) is compared first.
 
 One tree of all points would prune nothing high up: texts that have nothing in common also have about the same counts in a group, and
 the box of a few hundred of them holds everything. So there is a tree for each rare shingle. Shingles are
@@ -171,5 +172,5 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     left = points.join(rows.select("id").distinct(), "id", "left_semi").join(trees, "id", "left")
     payload = cut_lineage(left.mapInPandas(_payload, "id long, n int, data binary"))
     pairs = cut_lineage(pairs_across(rows, payload, kernel, FEW).distinct())
-    found = components(links.unionByName(verified(pairs, texts, rows_of, percent)))
+    found = components(links.unionByName(verified(pairs, texts, rows_of, percent, bits=True)))
     return labelled(signed, known, found).select("doc_id", "n_shingles", "component_id")

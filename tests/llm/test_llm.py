@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lectern.llm import buckets, decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import buckets, classes, decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
 from lectern.llm.links import components
 from lectern.llm.queries import ORACLES, QUERIES
 
@@ -229,6 +229,22 @@ def test_pieces_are_encoded_once(monkeypatch):
     assert sorted(asked) == [" and", " cat", " dog", " the"] + ["the"] * 12
 
 
+def test_keys_are_shuffled_once(spark):
+    """The buckets of keys are counted from the same shuffle that deals out their rows."""
+    filed = spark.createDataFrame([(k, key) for k in range(40) for key in (k % 7, 100 + k)] + [(3, 3)], "id long, key long")
+    shared = classes.shared_buckets(filed)
+    assert sorted(map(tuple, shared.select("key", "id", "least").collect())) == sorted((k % 7, k, k % 7) for k in range(40))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = classes.shared_buckets(filed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and sum("ReusedExchange" in line for line in exchanges) == 1
+
+
 @pytest.mark.parametrize("layout", [(c, t, p) for c in (tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS) for t in (False, True) for p in (False, True)])
 @pytest.mark.parametrize("order", ["<", ">"])
 def test_tiff_round_trip(layout, order):

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from lectern.llm import buckets, vectorjoin
+from lectern.llm.links import confirmed, most_shared, place_bits, possible, shingle_sets
 from lectern.llm.shingles import shingles
 
 
@@ -112,6 +113,28 @@ def test_first_ones_hold_any_link():
             assert first[0] & first[1]
 
 
+def test_bits_bound_what_is_shared():
+    """No link is ruled out by the bits of two sets, whatever their sizes; unlike sets whose groups are alike are."""
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 1), (1, 3), (40, 40), (1000, 830), (1030, 1000), (5000, 5000), (5000, 700)):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            both = round(min(n, m) * share)
+            values = rng.integers(0, 2**64, n + m - both, dtype=np.uint64)
+            most = most_shared(n, place_bits(values[:n]), m, place_bits(values[n - both :]))
+            assert both <= most <= min(n, m)
+            assert share > 0.5 or n < 1000 or 180 * most < 80 * (n + m)
+
+
+def test_possible_keeps_links(spark):
+    rng = random.Random(4)
+    base = _words(rng, 900)
+    texts = _copies(rng, base, 12, 60) + [" ".join(_words(rng, 900)) for _ in range(4)]
+    sets = shingle_sets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bits=True)
+    pairs = spark.createDataFrame([(a, b) for b in range(16) for a in range(b)], "a long, b long")
+    kept, links = ({tuple(r) for r in t.collect()} for t in (possible(pairs, sets, 80), confirmed(pairs, sets, 80)))
+    assert links and links <= kept and not any(b >= 12 for _, b in kept)
+
+
 def test_points_bound_what_is_shared(monkeypatch):
     """Also where a count goes beyond what the point holds."""
     for most in (255, 2):
