@@ -5,7 +5,8 @@ Members of small buckets are compared where the bucket is gathered, pair by pair
 A large bucket is sorted by component and size and cut into leaves of ``LEAF`` members; leaves come ``FAN`` to a parent. Pairs
 of nodes are followed from the parents to the leaves, and only those in which a link may be: not all of one
 component, sizes that allow the similarity, and bounds that do (``top`` of either node). Leaves are packed into one row
-each, so no member is copied for another; a task holds two leaves.
+each, so no member is copied for another. ``BLOCK`` neighbouring leaves go to one place together, where all pairs of two blocks' leaves are
+compared, so a leaf is sent once for each block it meets; a task holds two blocks.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.session import cut_lineage
 
-TINY, LEAF, FAN = 16, 256, 16
+TINY, LEAF, FAN, BLOCK = 16, 256, 16, 4
 _AT_ONCE = 16_384
-_NODE = "key long, node long, parent long, level int, c_lo long, c_hi long, n_lo int, n_hi int, top array<int>"
+_NODE = "key long, node long, parent long, block long, level int, c_lo long, c_hi long, n_lo int, n_hi int, top array<int>"
 _PACKED = "ids array<long>, components array<long>, ns array<int>, data array<binary>"
 
 
@@ -147,11 +148,11 @@ def _leaves(kernel: Kernel) -> Callable:
 
     def parent(children: list[dict]) -> dict:
         return {
-            "key": children[0]["key"], "node": children[0]["node"], "parent": 0, "level": 1, "c_lo": min(c["c_lo"] for c in children), "c_hi": max(c["c_hi"] for c in children),
+            "key": children[0]["key"], "node": children[0]["node"], "parent": 0, "block": 0, "level": 1, "c_lo": min(c["c_lo"] for c in children), "c_hi": max(c["c_hi"] for c in children),
             "n_lo": min(c["n_lo"] for c in children), "n_hi": max(c["n_hi"] for c in children), "top": np.maximum.reduce([c["top"] for c in children]), "ids": [], "components": [], "ns": [], "data": []}
 
     def closed(children: list[dict]) -> pd.DataFrame:
-        return pd.DataFrame([*({**c, "parent": children[0]["node"]} for c in children), parent(children)])
+        return pd.DataFrame([*({**c, "parent": children[0]["node"], "block": children[i - i % BLOCK]["node"]} for i, c in enumerate(children)), parent(children)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         children: list[dict] = []
@@ -182,13 +183,17 @@ def _leaves(kernel: Kernel) -> Callable:
 
 
 def _met(kernel: Kernel) -> Callable:
-    """Pairs between the two leaves of a group, or within its only one."""
+    """Pairs between each leaf of a group and the leaves it is to meet (``others``), or within it."""
 
     def run(leaves: pd.DataFrame) -> pd.DataFrame:
-        sides = [_Members(kernel, r.ids, r.components, r.ns, r.data) for r in leaves.itertuples(index=False)]
-        x, y = sides[0], sides[-1]
-        i, j = np.triu_indices(len(x.id), 1) if x is y else (v.ravel() for v in np.indices((len(x.id), len(y.id))))
-        return _near(kernel, np.full(len(i), leaves["key"].iloc[0]), x, i, y, j)
+        members = {r.node: _Members(kernel, r.ids, r.components, r.ns, r.data) for r in leaves.itertuples(index=False)}
+        found = []
+        for node, others in zip(leaves["node"], leaves["others"]):
+            for other in others:
+                x, y = members[node], members[other]
+                i, j = np.triu_indices(len(x.id), 1) if x is y else (v.ravel() for v in np.indices((len(x.id), len(y.id))))
+                found.append(_near(kernel, np.full(len(i), leaves["key"].iloc[0]), x, i, y, j))
+        return pd.concat(found, ignore_index=True)
 
     return run
 
@@ -203,15 +208,16 @@ def _possible(percent: int) -> Column:
 
 
 def _node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
-    """key, x, y of the leaves between which a link may be, from the parents down."""
-    meta = nodes.select("key", "node", "parent", "level", "c_lo", "c_hi", "n_lo", "n_hi", "top")
+    """key, x, y and blocks (smaller number first) of the leaves between which a link may be, from the parents down."""
+    meta = nodes.select("key", "node", "parent", "block", "level", "c_lo", "c_hi", "n_lo", "n_hi", "top")
     parents, leaves = meta.where("level = 1"), meta.where("level = 0")
     above = parents.alias("x").join(parents.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") <= F.col("y.node"))).where(_possible(percent))
     above = cut_lineage(above.select("x.key", F.col("x.node").alias("px"), F.col("y.node").alias("py")))
     one = above.alias("p").join(leaves.alias("x"), (F.col("p.key") == F.col("x.key")) & (F.col("p.px") == F.col("x.parent")))
     two = one.join(leaves.alias("y"), (F.col("p.key") == F.col("y.key")) & (F.col("p.py") == F.col("y.parent")))
     once = (F.col("p.px") != F.col("p.py")) | (F.col("x.node") <= F.col("y.node"))
-    return two.where(once & _possible(percent)).select("p.key", F.col("x.node").alias("node_x"), F.col("y.node").alias("node_y"))
+    blocks = [order("x.block", "y.block").alias(name) for order, name in ((F.least, "block_x"), (F.greatest, "block_y"))]
+    return two.where(once & _possible(percent)).select("p.key", F.col("x.node").alias("node_x"), F.col("y.node").alias("node_y"), *blocks)
 
 
 def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int | None = None, sharper: tuple[DataFrame, Kernel] | None = None) -> DataFrame:
@@ -220,15 +226,15 @@ def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int
     ``rows`` has key, id, component and the bucket's size; ``payload`` id, n and data. Buckets that aren't tiny, whose pairs may be many,
     are compared by the payload and kernel of ``sharper``, if given.
     """
-    ends = "a long, b long"
+    pair = "a long, b long"
     tiny = TINY if tiny is None else tiny
     few = rows.where(F.col("size") <= tiny).join(payload.select("id", "n"), "id").select("key", "id", "component", "n")
-    paired = few.repartition("key").sortWithinPartitions("key").mapInPandas(_tiny(kernel.percent), ends).distinct()
+    paired = few.repartition("key").sortWithinPartitions("key").mapInPandas(_tiny(kernel.percent), pair).distinct()
     compared = near_pairs(cut_lineage(paired), payload, kernel)
     if sharper is not None:
         payload, kernel = sharper
     more = rows.where(F.col("size").between(tiny + 1, LEAF)).join(payload, "id").select("key", "id", "component", "n", "data")
-    small = compared.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), ends))
+    small = compared.unionByName(more.repartition("key").sortWithinPartitions("key").mapInPandas(_small(kernel), pair))
     large = cut_lineage(rows.where(F.col("size") > max(tiny, LEAF)))
     if large.isEmpty():
         return small
@@ -236,7 +242,9 @@ def pairs_across(rows: DataFrame, payload: DataFrame, kernel: Kernel, tiny: int
     packed = large.join(payload, "id").select(*order, "data").repartitionByRange(*order).sortWithinPartitions(*order)
     nodes = cut_lineage(packed.mapInPandas(_leaves(kernel), f"{_NODE}, {_PACKED}"))
     pairs = _node_pairs(nodes, kernel.percent)
-    sides = pairs.select("key", "node_x", "node_y", F.explode(F.array_distinct(F.array("node_x", "node_y"))).alias("node"))
+    group = ["key", "block_x", "block_y"]
+    ends = [F.struct(F.col("node_x").alias("node"), F.col("node_y").alias("other")), F.struct(F.col("node_y").alias("node"), F.lit(None).cast("bigint").alias("other"))]
+    sides = pairs.select(*group, F.explode(F.array(*ends)).alias("end")).groupBy(*group, F.col("end.node").alias("node")).agg(F.collect_list("end.other").alias("others"))  # a block's leaves at most
     leaves = nodes.where("level = 0").select("key", "node", "ids", "components", "ns", "data")
-    met = sides.join(leaves, ["key", "node"]).groupBy("key", "node_x", "node_y")
-    return small.unionByName(met.applyInPandas(_met(kernel), ends))
+    met = sides.join(leaves, ["key", "node"]).groupBy(*group)
+    return small.unionByName(met.applyInPandas(_met(kernel), pair))

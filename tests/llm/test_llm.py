@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lectern.llm import buckets, classes, decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter
+from lectern.llm import buckets, classes, decontam, labelled, mixing, neardup, pii, quality, secrets, tiff, tokencount, toxicity, urlfilter, vectorjoin
 from lectern.llm.links import components
 from lectern.llm.queries import ORACLES, QUERIES
 
@@ -229,6 +229,24 @@ def test_pieces_are_encoded_once(monkeypatch):
     assert sorted(asked) == [" and", " cat", " dog", " the"] + ["the"] * 12
 
 
+def test_large_leaves_are_sent_by_blocks(spark, monkeypatch):
+    """Of 16 leaves that all meet, each is sent once for each of the 4 blocks it meets."""
+    monkeypatch.setattr(buckets, "LEAF", 4)
+    monkeypatch.setattr(buckets, "FAN", 8)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        point = vectorjoin.point(np.arange(50, dtype=np.uint64))
+        payload = spark.createDataFrame([(k, 50, point + np.int64(7).tobytes()) for k in range(64)], "id long, n int, data binary")
+        rows = spark.range(64).selectExpr("7L AS key", "id", "id AS component", "64L AS size")
+        pairs = buckets.pairs_across(rows, payload, vectorjoin.CountVectors(), 1).distinct().collect()
+        assert {tuple(r) for r in pairs} == {(a, b) for b in range(64) for a in range(b)}
+        monkeypatch.setattr(buckets, "_met", lambda kernel: lambda leaves: leaves.assign(a=len(leaves), b=0)[["a", "b"]].head(1))
+        sent = [r["a"] for r in buckets.pairs_across(rows, payload, vectorjoin.CountVectors(), 1).collect()]
+        assert sorted(sent) == [4] * 4 + [8] * 6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 def test_keys_are_shuffled_once(spark):
     """The buckets of keys are counted from the same shuffle that deals out their rows."""
     filed = spark.createDataFrame([(k, key) for k in range(40) for key in (k % 7, 100 + k)] + [(3, 3)], "id long, key long")
