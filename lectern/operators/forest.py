@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.operators.models import SEED
 from lectern.session import cut_lineage
@@ -76,7 +76,7 @@ def _level_sums(level: int, trees: int, features: int, most: int, bins: int, see
         if not len(rows) or not len(forest):
             return pd.DataFrame({"group": [], "block": [], "part": [], "sums": []})
         group, part = rows["group"].iloc[0], int(rows["chunk"].iloc[0]) // _TOGETHER
-        code = np.frombuffer(b"".join(rows["codes"]), dtype=np.uint8).reshape(len(rows), features)
+        code = np.stack(rows["codes"].to_numpy())
         names, label = rows["name"].to_numpy(), rows["label"].to_numpy(dtype=float)
         grown, size = _by_tree(forest["splits"].iloc[0]), width * most * bins
 
@@ -138,14 +138,20 @@ def _splits(level: int, features: int, most: int, bins: int, seed: int):
     return run
 
 
-def _coded(features: int):
-    def run(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(edges):
-            return pd.DataFrame({"group": [], "chunk": [], "name": [], "label": [], "codes": []})
-        code = codes(np.stack(rows["features"].to_numpy()), np.array(edges["edges"].iloc[0].tolist(), dtype=float).reshape(features, -1))
-        return rows.drop(columns="features").assign(codes=[c.tobytes() for c in code])
+def _below(x: Column, cuts: Column, most: int) -> Column:
+    """How many of the at most ``most`` sorted cuts are below x, by halving; like ``codes`` for one entry."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(x > F.try_element_at(cuts, at + s), at + s).otherwise(at))
 
-    return run
+
+def _coded(samples: DataFrame, edges: DataFrame, group: str, bins: int) -> DataFrame:
+    """``samples`` with ``__codes`` in place of features, of the groups that have ``edges``.
+
+    Codes are made where the rows are: a byte (two beyond 128 bins) for each feature is then shuffled and not eight.
+    """
+    code = lambda x, cuts: _below(x, cuts, bins - 1).cast("tinyint" if bins <= 128 else "smallint")
+    known = samples.join(edges.select(group, F.col("edges").alias("__edges")), group)
+    return known.withColumn("__codes", F.zip_with("features", "__edges", code)).drop("features", "__edges")
 
 
 def _chunked(samples: DataFrame, sizes: DataFrame, group: str, chunk: int) -> tuple[DataFrame, DataFrame]:
@@ -179,11 +185,10 @@ def fit_forest_per_group(
     cuts = F.array(*[F.percentile_approx(F.col("features")[j], shares, F.lit(1000)) for j in range(d)])
     edges = cut_lineage(samples.join(sizes.select(group), group, "left_semi").groupBy(group).agg(cuts.alias("edges")))
     rows, chunks = _chunked(samples, sizes, group, chunk)
-    plain = rows.select(F.col(group).alias("group"), F.col("__chunk").alias("chunk"), F.col("__name").alias("name"), F.col(label).cast("double").alias("label"), "features")
     chunks = cut_lineage(chunks.select(F.col(group).alias("group"), F.col("__chunk").alias("chunk")))
     where = ["group", "chunk"]
-    known = chunks.join(edges.withColumnRenamed(group, "group"), "group").groupBy(*where)
-    coded = cut_lineage(plain.groupBy(*where).cogroup(known).applyInPandas(_coded(d), f"group {kind}, chunk int, name long, label double, codes binary"))
+    coded = cut_lineage(_coded(rows, edges, group, bins).select(
+        F.col(group).alias("group"), F.col("__chunk").alias("chunk"), F.col("__name").alias("name"), F.col(label).cast("double").alias("label"), F.col("__codes").alias("codes")))
     many = sizes.agg(F.max("num_samples")).first()[0] > chunk * _TOGETHER  # else a tree's chunks are few
     grown = None
     for level in range(depth):
@@ -200,12 +205,11 @@ def fit_forest_per_group(
     return sizes.select(group, "num_samples", "yes").join(edges, group).join(splits.withColumnRenamed("group", group), group, "left").withColumn("splits", F.coalesce("splits", none))
 
 
-def _chances(features: int, columns: list[str]):
+def _chances(columns: list[str]):
     def run(rows: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(forest):
             return pd.DataFrame({c: [] for c in [*columns, "p"]})
-        one = forest.iloc[0]
-        code = codes(np.stack(rows["features"].to_numpy()), np.array(one["edges"].tolist(), dtype=float).reshape(features, -1))
+        one, code = forest.iloc[0], np.stack(rows["__codes"].to_numpy())
         grown = _by_tree(one["splits"])
         total = np.zeros(len(rows))
         for levels in grown.values():
@@ -223,12 +227,20 @@ def _chances(features: int, columns: list[str]):
     return run
 
 
-def predict_forest_per_group(samples: DataFrame, forests: DataFrame, group: str = "exercise", chunk: int = CHUNK) -> DataFrame:
-    """``samples`` of the groups that have a forest with ``p``, the mean over the trees of the chance of a right answer in the row's last node."""
+def predict_forest_per_group(samples: DataFrame, forests: DataFrame, group: str = "exercise", chunk: int = CHUNK, keep: Sequence[str] | None = None) -> DataFrame:
+    """``samples`` of the groups that have a forest with ``p``, the mean over the trees of the chance of a right answer in the row's last node.
+
+    ``keep`` names the columns that come with p (all of them by default); only they and a code for each feature are shuffled.
+    """
     forests = cut_lineage(forests)
-    d = forests.agg(F.max(F.size("edges"))).first()[0]
-    sizes = samples.groupBy(group).agg(F.count(F.lit(1)).alias("num_samples")).join(forests.select(group), group, "left_semi")
+    columns = samples.columns if keep is None else list(keep)
+    bins = (forests.agg(F.max(F.size(F.get("edges", F.lit(0))))).first()[0] or 0) + 1
+    # Written, so that Spark knows how small it is and doesn't shuffle the samples to meet it.
+    sizes = cut_lineage(samples.groupBy(group).agg(F.count(F.lit(1)).alias("num_samples")).join(forests.select(group), group, "left_semi"))
     rows, chunks = _chunked(samples, sizes, group, chunk)
-    dealt = cut_lineage(chunks.join(forests, group)).groupBy(group, "__chunk")
-    schema = ", ".join(f"`{c}` {t}" for c, t in samples.dtypes)
-    return rows.groupBy(group, "__chunk").cogroup(dealt).applyInPandas(_chances(d or 0, samples.columns), f"{schema}, p double")
+    again = [c for c in columns if c == "features"]  # codes take the place of features
+    rows = _coded(rows.withColumns({f"__{c}": F.col(c) for c in again}), forests, group, bins).withColumnsRenamed({f"__{c}": c for c in again})
+    dealt = cut_lineage(chunks.join(forests.drop("edges"), group)).groupBy(group, "__chunk")
+    schema = ", ".join(f"`{c}` {t}" for c, t in samples.select(*columns).dtypes)
+    meant = rows.select(*dict.fromkeys([group, "__chunk", "__codes", *columns]))
+    return meant.groupBy(group, "__chunk").cogroup(dealt).applyInPandas(_chances(columns), f"{schema}, p double")

@@ -170,7 +170,8 @@ def feature_samples_randomized(b: Inputs):
 
 
 def training(b: Inputs):
-    return cut_lineage(models.feature_vector(models.feature_samples(odd_attempts(b).withColumnRenamed("task_type", "problem_type"), numbers=(1, None)), ["custom", "random"]))
+    samples = models.feature_samples(odd_attempts(b).withColumnRenamed("task_type", "problem_type"), numbers=(1, None))
+    return cut_lineage(models.feature_vector(samples, ["custom", "random"]).drop("random"))  # features hold the same numbers
 
 
 @query("fit_per_group", "ST-6")
@@ -235,7 +236,7 @@ def fit_forest(b: Inputs):
 def fit_forest_per_group(b: Inputs):
     """A forest for each exercise; its chances lie in range and are right on the whole."""
     rows = training(b)
-    scored = forest.predict_forest_per_group(rows, forest.fit_forest_per_group(rows))
+    scored = forest.predict_forest_per_group(rows, forest.fit_forest_per_group(rows), keep=["exercise", "correct"])
     sums = scored.groupBy("exercise").agg(
         F.count(F.lit(1)).alias("n"), F.avg("correct").alias("c"), F.avg("p").alias("p"), F.min("p").alias("low"), F.max("p").alias("high"))
     return sums.select("exercise", "n", F.round("c", 6).alias("mean_correct"), ((F.col("low") >= 0) & (F.col("high") <= 1)).alias("in_range"),

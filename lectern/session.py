@@ -6,6 +6,8 @@ import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,12 +84,31 @@ def tasks_of(rows: float) -> int:
     return max(1, math.ceil(rows / ROWS_PER_TASK))
 
 
+# Shuffle files of a query go when it ends, else they stay until the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run to their end inside leave no shuffle files."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Later steps read the columns they need from it instead of computing it again, and a lost
-    executor costs no more than that.
+    executor costs no more than that. What was shuffled to make the table is removed once it stands.
     """
     path = new_folder(df.sparkSession, "step")
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

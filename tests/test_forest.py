@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import forest
+from lectern.session import cut_lineage
 
 
 def _samples(spark, seed=1):
@@ -89,3 +90,41 @@ def test_draws_are_like_a_bootstrap():
     counts = np.stack([forest.draws(names, t, 1) for t in range(5)])
     assert np.abs(counts.mean(axis=1) - 1).max() < 0.03 and np.abs((counts == 0).mean(axis=1) - np.exp(-1)).max() < 0.02
     assert abs(np.corrcoef(counts)[0, 1]) < 0.03
+
+
+def test_codes_by_halving_equal_codes(spark):
+    edges = [[-1.0, 0.0, 0.0, 2.5, float("inf")], [float("nan")] * 5, [float("-inf"), 1.0, 1.0, 1.0, float("nan")]]
+    points = [-2.0, -1.0, -0.0, 0.0, 1e-300, 1.0, 2.5, 3.0, float("inf"), float("-inf"), float("nan")]
+    x = np.array([[p] * 3 for p in points])
+    samples = spark.createDataFrame([("g", i, v.tolist()) for i, v in enumerate(x)], "g string, i int, features array<double>")
+    fits = spark.createDataFrame([("g", edges)], "g string, edges array<array<double>>")
+    for bins in (6, 9, 200):
+        found = {r.i: r["__codes"] for r in forest._coded(samples, fits, "g", bins).collect()}
+        assert [found[i] for i in range(len(x))] == forest.codes(x, np.array(edges)).astype(int).tolist()
+
+
+def test_features_are_not_shuffled(spark):
+    samples = cut_lineage(_samples(spark))
+    fits = forest.fit_forest_per_group(samples, trees=3, depth=2)
+    shuffled = lambda df: [n for n in _exchanged(df) if n == "features"]
+    lean = forest.predict_forest_per_group(samples, fits, keep=["exercise", "correct"])
+    assert lean.columns == ["exercise", "correct", "p"] and not shuffled(lean)
+    whole = forest.predict_forest_per_group(samples, fits)
+    assert whole.columns == [*samples.columns, "p"] and whole.schema["features"].dataType == samples.schema["features"].dataType
+    key = lambda df: sorted((r.exercise, r.correct, r.p) for r in df.collect())
+    assert key(lean) == key(whole)
+    assert sorted(map(repr, whole.select("features").collect())) == sorted(map(repr, samples.select("features").collect()))
+
+
+def _exchanged(df):
+    """Names of the columns that the plan of ``df`` shuffles."""
+    names, executed = [], df._jdf.queryExecution().executedPlan()
+    nodes = [executed.initialPlan() if "Adaptive" in executed.getClass().getSimpleName() else executed]
+    while nodes:
+        node = nodes.pop()
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+        if "ShuffleExchange" in node.getClass().getSimpleName():
+            out = node.output()
+            names += [out.apply(i).name() for i in range(out.size())]
+    return names
