@@ -234,12 +234,13 @@ def predict_forest_per_group(samples: DataFrame, forests: DataFrame, group: str
     """
     forests = cut_lineage(forests)
     columns = samples.columns if keep is None else list(keep)
-    bins = (forests.agg(F.max(F.size(F.get("edges", F.lit(0))))).first()[0] or 0) + 1
-    # Written, so that Spark knows how small it is and doesn't shuffle the samples to meet it.
+    # Written, so that Spark knows how small they are and doesn't shuffle the samples to meet them.
+    edges = cut_lineage(forests.select(group, "edges"))
+    bins = (edges.agg(F.max(F.size(F.get("edges", F.lit(0))))).first()[0] or 0) + 1
     sizes = cut_lineage(samples.groupBy(group).agg(F.count(F.lit(1)).alias("num_samples")).join(forests.select(group), group, "left_semi"))
     rows, chunks = _chunked(samples, sizes, group, chunk)
     again = [c for c in columns if c == "features"]  # codes take the place of features
-    rows = _coded(rows.withColumns({f"__{c}": F.col(c) for c in again}), forests, group, bins).withColumnsRenamed({f"__{c}": c for c in again})
+    rows = _coded(rows.withColumns({f"__{c}": F.col(c) for c in again}), edges, group, bins).withColumnsRenamed({f"__{c}": c for c in again})
     dealt = cut_lineage(chunks.join(forests.drop("edges"), group)).groupBy(group, "__chunk")
     schema = ", ".join(f"`{c}` {t}" for c, t in samples.select(*columns).dtypes)
     meant = rows.select(*dict.fromkeys([group, "__chunk", "__codes", *columns]))
